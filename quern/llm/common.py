@@ -59,3 +59,26 @@ class Hashes(dict):
         if len(self) > self.most:
             self.clear()
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+def mix(x: np.ndarray) -> np.ndarray:
+    """A bijective scramble of 64-bit values."""
+    x = (x ^ (x >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def gram_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of all runs of `size` words, from the words' hashes; none if there are fewer words."""
+    n = len(hashes) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64)
+    out = np.full(n, size, np.uint64)
+    for j in range(size):
+        out = mix(out + hashes[j : j + n])
+    return out
+
+
+def shingle_set(words: list[bytes], size: int, hashes: Hashes) -> np.ndarray:
+    """Sorted distinct hashes of a text's word shingles; a text of fewer words has one, of no word none."""
+    return np.unique(gram_hashes(hashes.of(words), min(size, len(words)))) if words else np.zeros(0, np.uint64)

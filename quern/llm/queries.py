@@ -3,6 +3,7 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quern.llm.neardup import near_duplicates
 from quern.llm.packing import pack_documents
 from quern.llm.tokencount import count_tokens
 
@@ -19,8 +20,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, limit=1024)
 
 
+def op8_odd_sketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_cost_balanced_packing, op4_token_counts)}
+    return {f.__name__: f for f in (op1_cost_balanced_packing, op4_token_counts, op8_odd_sketch_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
