@@ -3,6 +3,8 @@
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from quern.llm.decontam import decontaminate, digest
+from quern.llm.langid import identify
 from quern.llm.neardup import near_duplicates
 from quern.llm.packing import pack_documents
 from quern.llm.tokencount import count_tokens
@@ -16,16 +18,24 @@ def op1_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
 
 
+def op3_mixture_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"), folds=3, fold=1)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, limit=1024)
 
 
+def op7_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10))
+
+
 def op8_odd_sketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_cost_balanced_packing, op4_token_counts, op8_odd_sketch_near_duplicates)}
+    return {f.__name__: f for f in (op1_cost_balanced_packing, op3_mixture_language_id, op4_token_counts, op7_positional_decontamination, op8_odd_sketch_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
