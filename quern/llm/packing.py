@@ -12,6 +12,7 @@ packed like any other; ties go to the earlier row and the lower sequence; an emp
 of the table are ignored.
 """
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -21,6 +22,7 @@ import pyarrow.compute
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from quern.llm.bpe import Merges
 from quern.llm.common import slices, texts_of
 from quern.scratch import spread
 
@@ -28,21 +30,38 @@ SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer whose tokens never cross a space, encoded once for each distinct stretch."""
+    """Ids of texts by a tokenizer whose tokens never cross a space, found once for each distinct stretch.
 
-    def __init__(self, path: str, end_id: int, most: int = 250_000, longest: int = 200):
+    Stretches of ASCII and Latin-1 letters, on which normalising is plain lower-casing, are merged as arrays; the
+    tokenizer itself encodes every other one.
+    """
+
+    PLAIN = re.compile("[!-;=-~\\nÀ-ÖØ-öø-ÿ]*")
+    CUT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\\sa-zß-öø-ÿ0-9]+")
+
+    def __init__(self, path: str, end_id: int, most: int = 400_000, longest: int = 200):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.end, self.most, self.longest = Tokenizer.from_file(path), np.array([end_id], "<u4").tobytes(), most, longest
+        self.tokenizer, self.merges = Tokenizer.from_file(path), Merges(path)
+        self.end, self.most, self.longest = np.array([end_id], "<u4").tobytes(), most, longest
         self.known: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         parts = [t.split(" ") for t in texts]
         if new := list(set().union(*parts).difference(self.known)):
-            for chunk, got in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            plain, other = [], []
+            for chunk in new:
+                (plain if self.PLAIN.fullmatch(chunk) else other).append(chunk)
+            cut = [self.CUT.findall(c.lower()) for c in plain]
+            distinct = list(set().union(*cut)) if cut else []
+            symbols, counts = self.merges.merge([x.encode() for x in distinct])
+            flat, ends = symbols.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
+            ids = dict(zip(distinct, [flat[a:b] for a, b in zip([0, *ends], ends)]))
+            self.known.update((c, ids[p[0]] if len(p) == 1 else b"".join(map(ids.__getitem__, p))) for c, p in zip(plain, cut))
+            for chunk, got in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
                 self.known[chunk] = np.array(got.ids, "<u4").tobytes()
         out = [np.frombuffer(b"".join(map(self.known.__getitem__, p)) + self.end, "<u4") for p in parts]
         for chunk in [c for c in new if len(c) > self.longest]:

@@ -9,74 +9,17 @@ Defined cases: null and empty texts have 0 bytes and 0 tokens; a null doc_id is
 texts of any length are counted whole; an empty table gives no rows; other columns are ignored.
 """
 
-import json
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 
+from quern.llm.bpe import Merges
 from quern.llm.common import slices, texts_of
 from quern.scratch import spread
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
-NONE = np.int64(1) << 40
-
-
-def byte_symbols() -> dict[int, str]:
-    """The printable character that stands for each byte in byte-level vocabularies."""
-    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
-
-
-class Merges:
-    """The vocabulary as arrays: the symbol of each byte, and pair -> (rank, merged symbol) by binary search."""
-
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        vocab, pairs = spec["model"]["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
-        self.special = [t["content"] for t in spec["added_tokens"]]
-        self.byte = np.array([vocab[c] for _, c in sorted(byte_symbols().items())], np.int64)
-        keys = np.array([vocab[a] << 20 | vocab[b] for a, b in pairs], np.int64)
-        order = np.argsort(keys)
-        self.keys, self.rank = keys[order], order.astype(np.int64)
-        self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
-
-    def ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        key = left << 20 | right
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        return np.where(self.keys[at] == key, self.rank[at], NONE)
-
-    def count(self, tokens: list[bytes]) -> np.ndarray:
-        """Number of symbols left of each (non-empty) pre-token."""
-        size = np.fromiter(map(len, tokens), np.int64, len(tokens))
-        counts, who = size.copy(), np.arange(len(tokens))
-        sym = self.byte[np.frombuffer(b"".join(tokens), np.uint8)]
-        while len(sym):
-            start = np.cumsum(size) - size
-            rank = np.full(len(sym), NONE)
-            rank[:-1] = self.ranks(sym[:-1], sym[1:])
-            rank[start + size - 1] = NONE  # a last symbol has no partner
-            low = np.minimum.reduceat(rank, start)
-            hit = (rank == np.repeat(low, size)) & (rank < NONE)
-            at = np.flatnonzero(hit)
-            if doubled := len(at) and (sym[at] == sym[np.minimum(at + 1, len(sym) - 1)]).any():
-                run = np.cumsum(np.diff(at, prepend=-2) != 1)
-                nth = np.arange(len(at)) - np.searchsorted(run, run)
-                at = at[nth % 2 == 0]
-            del doubled
-            gone = np.zeros(len(sym), bool)
-            gone[at + 1] = True
-            sym[at] = self.merged[rank[at]]
-            size = size - np.add.reduceat(gone, start, dtype=np.int64)
-            counts[who] = size
-            going = (low < NONE) & (size > 1)
-            sym = sym[~gone]
-            sym, size, who = sym[np.repeat(going, size)], size[going], who[going]
-        return counts
 
 
 class Counter:
@@ -111,7 +54,7 @@ class Counter:
         new = list(set().union(*parts).difference(self.known))
         cut = [self.cut.findall(x) for x in new]
         distinct = list(set().union(*cut)) if cut else []
-        sizes = dict(zip(distinct, self.merges.count([x.encode() for x in distinct]).tolist()))
+        sizes = dict(zip(distinct, self.merges.merge([x.encode() for x in distinct], symbols=False)[1].tolist()))
         self.known.update((x, sum(map(sizes.__getitem__, c))) for x, c in zip(new, cut))
         out = [n + sum(map(self.known.__getitem__, p)) for n, p in zip(extra, parts)]
         if len(self.known) > self.most:
