@@ -2,9 +2,11 @@
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quern.llm.decontam import decontaminate, digest
 from quern.llm.langid import identify
+from quern.llm import linededup
 from quern.llm.neardup import near_duplicates
 from quern.llm.packing import pack_documents
 from quern.llm.tokencount import count_tokens
@@ -26,6 +28,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, limit=1024)
 
 
+def op5_content_defined_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "lines_report.*", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10))
 
@@ -35,8 +42,8 @@ def op8_odd_sketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_cost_balanced_packing, op3_mixture_language_id, op4_token_counts, op7_positional_decontamination, op8_odd_sketch_near_duplicates)}
+    return {f.__name__: f for f in (op1_cost_balanced_packing, op3_mixture_language_id, op4_token_counts, op5_content_defined_line_dedup, op7_positional_decontamination, op8_odd_sketch_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_content_defined_line_dedup": linededup.sql()}
