@@ -100,10 +100,11 @@ def infer(grams: np.ndarray, logs: np.ndarray, penalty: float) -> np.ndarray:
     return out
 
 
-def identify(docs: DataFrame, folds: int = 3, fold: int = 1, bound: int = 10_000, penalty: float = 4.0) -> DataFrame:
+def identify(docs: DataFrame, folds: int = 3, fold: int = 1, bound: int = 10_000, penalty: float = 4.0, rows: bool = False) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, langs) of every row; langs lists the chosen set, largest share first.
 
     Rows whose crc32(doc_id) modulo `folds` is `fold` are held out; the model learns from the others' text and lang.
+    rows: add the table's own columns as a struct `row`.
     """
     held = F.coalesce(remainder("doc_id", folds) == fold, F.lit(False))
     labelled = docs.where(remainder("doc_id", folds) != fold).where("lang IS NOT NULL AND text IS NOT NULL").select("doc_id", "text", "lang")
@@ -126,6 +127,13 @@ def identify(docs: DataFrame, folds: int = 3, fold: int = 1, bound: int = 10_000
                     names.append(langs[order[0]])
                     scores.append(min(1.0, max(0.0, float(share[order[0]]))))
                     sets.append(",".join(langs[i] for i in order if share[i] > 0))
-                yield pa.RecordBatch.from_arrays([some.column("doc_id"), some.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.string())], ["doc_id", "held_out", "lang_pred", "score", "langs"])
-
-    return spread(texts_of(docs, held.alias("held_out"))).mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double, langs string")
+                found = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(sets, pa.string())]
+                kept = {c: some.column(c) for c in some.schema.names if c != "text"}
+                yield pa.RecordBatch.from_arrays([*kept.values(), *found], [*kept, "lang_pred", "score", "langs"])
+
+    whole = [F.struct("*").alias("row")] if rows else []
+    texts = texts_of(docs, held.alias("held_out"), *whole)
+    schema = texts.drop("text").schema
+    for name, kind in (("lang_pred", "string"), ("score", "double"), ("langs", "string")):
+        schema = schema.add(name, kind)
+    return spread(texts).mapInArrow(run, schema)
