@@ -4,6 +4,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,3 +28,9 @@ def spread(df: DataFrame) -> DataFrame:
     """Deal out a table that arrives in fewer partitions than there are cores; larger scans stay as they are."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def without(df: DataFrame, keys: DataFrame, on: str, broadcast_rows: int = 1_000_000) -> DataFrame:
+    """The rows of df whose `on` is not in keys. keys is written first; it is broadcast only if its count allows it."""
+    keys = stored(keys.select(on).distinct())
+    return df.join(F.broadcast(keys) if keys.count() <= broadcast_rows else keys, on, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
