@@ -4,9 +4,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quern.llm.ann import nearest
 from quern.llm.decontam import decontaminate, digest
 from quern.llm.langid import identify
 from quern.llm import linededup
+from quern.llm.licenses import scan
 from quern.llm.neardup import near_duplicates
 from quern.llm.packing import pack_documents
 from quern.llm.tokencount import count_tokens
@@ -20,6 +22,10 @@ def op1_cost_balanced_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2, capacity=4096)
 
 
+def op2_cross_polytope_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
 def op3_mixture_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"), folds=3, fold=1)
 
@@ -33,6 +39,10 @@ def op5_content_defined_line_dedup(spark: SparkSession, sf_dir: str) -> DataFram
     return done.select("doc_id", "lines_report.*", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_diagonal_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10))
 
@@ -42,7 +52,7 @@ def op8_odd_sketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_cost_balanced_packing, op3_mixture_language_id, op4_token_counts, op5_content_defined_line_dedup, op7_positional_decontamination, op8_odd_sketch_near_duplicates)}
+    return {f.__name__: f for f in (op1_cost_balanced_packing, op2_cross_polytope_neighbours, op3_mixture_language_id, op4_token_counts, op5_content_defined_line_dedup, op6_diagonal_license_scan, op7_positional_decontamination, op8_odd_sketch_near_duplicates)}
 
 
 def oracle_sql() -> dict[str, str]:
