@@ -3,9 +3,9 @@
 1. Benchmark items are cut into windows (of `size` words, or the whole item if it is shorter). Every document's
    occurrences of the benchmark's terms are counted, and each window's rarest terms become its keys.
 2. The index stores postings (term, doc_id, position) of the training tokens; only the lists of key terms are needed.
-3. Each list is shifted by its term's offset in the window; a start place that occurs in all of a window's shifted
-   lists is a candidate. Candidates meet the text on one diagonal per (document, item), where whole phrases are
-   confirmed word by word. Places where only most words of a window agree are reported as proximity matches.
+3. Each list is shifted by its term's place in the item, which leaves diagonals (document position - item position);
+   one that occurs in all of a window's shifted lists is a candidate. Candidates meet the text on one diagonal per
+   (document, item), where whole phrases are confirmed word by word. Places where only most words of a window agree are reported as proximity matches.
 
 Item and document may be of any size: the benchmark is sent to all tasks only while it has at most `small` words,
 else terms are matched by joins alone.
@@ -79,11 +79,13 @@ def candidates(docs: DataFrame, items: DataFrame, size: int, keys: int, small: i
     terms = {bytes(r[0]) for r in chosen.select("term").distinct().collect()} if vocabulary is not None else None
     index = occurrences(docs.where("doc_id IS NOT NULL"), terms, places=True)
 
-    needed = chosen.groupBy("item_id", "at").agg(F.count("*").alias("needed"))
-    lists = chosen.select("term", "item_id", "at", "offset")
-    shifted = index.join(lists, "term").select("item_id", "at", "doc_id", "offset", (F.col("position") - F.col("offset")).alias("start"))
-    met = shifted.groupBy("item_id", "at", "doc_id", "start").agg(F.countDistinct("offset").alias("met")).join(needed, ["item_id", "at"]).where("met = needed")
-    return met.select("doc_id", "item_id", (F.col("start") - F.col("at")).alias("diagonal")).distinct()
+    # Windows overlap, so a key term is looked up once for each place in its item; a place and a posting fix a diagonal.
+    lists = chosen.select("term", "item_id", (F.col("at") + F.col("offset")).alias("place")).distinct()
+    shifted = index.join(lists, "term").select("item_id", "doc_id", (F.col("position") - F.col("place")).alias("diagonal"), "place")
+    of_window = chosen.groupBy("item_id", "at").agg(F.collect_set(F.col("at") + F.col("offset")).alias("needed"))
+    of_item = of_window.groupBy("item_id").agg(F.collect_set("needed").alias("windows"), F.min(F.size("needed")).alias("least"))
+    met = shifted.groupBy("doc_id", "item_id", "diagonal").agg(F.collect_set("place").alias("met")).join(of_item, "item_id").where("size(met) >= least")
+    return met.where(F.exists("windows", lambda w: F.size(F.array_except(w, F.col("met"))) == 0)).select("doc_id", "item_id", "diagonal")
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, keys: int = 3, near: float = 0.8, small: int = 5_000_000) -> DataFrame:
