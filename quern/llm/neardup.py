@@ -5,9 +5,10 @@
    bit. The XOR of two sketches keeps only samples that differ, so its population count estimates high similarities.
 3. In each band bucket every node is compared with the bucket's smallest node only. The sketch drops clearly unlike
    pairs (six standard deviations below the threshold); the rest are confirmed on full sets.
-4. Buckets that still hold several components then have their pairs across components compared, inside a join whose
-   condition is the sketch. Pairs within a component can't change the result, so a group of m near copies costs about
-   m comparisons, no cap is needed, and no pair that shares a bucket is lost.
+4. Where a bucket still holds several components beside that node, all nodes compared with it are dealt out in bounded
+   chunks, a task for each pair of chunks, and pairs across components are compared there: first all sketches, then full
+   sets. Pairs within a component can't change the result, so only links that join components come out, a group of m
+   near copies gives about m rows, no cap is needed, and no pair that shares a bucket is lost.
 
 Defined cases: null and empty texts have an empty set, are linked with nothing and are kept; a text of fewer words
 than a shingle is one shingle; rows that repeat a doc_id or a text are linked like other documents; a row with a null
@@ -103,6 +104,13 @@ def alike(a: str, b: str, percent: int) -> Column:
     return (small * 100 >= large * percent) & (differing <= most_differing_bits(percent / 100))
 
 
+def with_texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """wanted with the text of one document of each node."""
+    texts = texts_of(docs, F.xxhash64("text").alias("text_hash"))
+    keyed = wanted.join(nodes.select("node", F.col("doc_id").alias("whose"), F.col("text_hash").alias("what")), "node")
+    return keyed.join(texts, keyed.whose.eqNullSafe(texts.doc_id) & (keyed.what == texts.text_hash)).select(*[keyed[c] for c in wanted.columns], texts.text)
+
+
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int, chunk: int = 256) -> DataFrame:
     """The pairs (a, b) whose full shingle sets have 100 * intersection >= percent * union.
 
@@ -110,10 +118,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, p
     """
     pairs = pairs.join(pairs.groupBy("a").agg(F.ceil(F.count("*") / chunk).alias("chunks")), "a").withColumn("salt", F.pmod(F.xxhash64("b"), "chunks"))
     wanted = pairs.select(F.col("b").alias("node"), "a", "salt", F.lit(1).alias("member")).union(pairs.select(F.col("a").alias("node"), "a", "salt", F.lit(0)).distinct())
-    texts = texts_of(docs, F.xxhash64("text").alias("text_hash"))
-    keyed = wanted.join(nodes.select("node", "doc_id", "text_hash"), "node")
-    null_safe = keyed.doc_id.eqNullSafe(texts.doc_id) & (keyed.text_hash == texts.text_hash)
-    dealt = keyed.join(texts, null_safe).select(keyed.node, keyed.a, keyed.salt, keyed.member, texts.text).repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
+    dealt = with_texts(wanted, nodes, docs).repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, hub, base = Hashes(), None, None
@@ -136,6 +141,66 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, p
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def joining_links(sets: list[np.ndarray], sketches: np.ndarray, component: np.ndarray, part: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Links (row, row) that join all components that any similar pair joins; rows of equal parts only meet if all are equal."""
+    size, component = np.array([len(s) for s in sets]), component.copy()
+    values, flat = np.unique(np.concatenate(sets), return_inverse=True)
+    ends = np.cumsum(size)
+    most, alone, links = most_differing_bits(percent / 100), len(np.unique(part)) == 1, []
+    mark = np.zeros(len(values), bool)
+    for i in range(len(sets)):
+        others = (component != component[i]) & (alone | (part != part[i]))
+        others[: i + 1] = False
+        j = np.flatnonzero(others & (np.minimum(size, size[i]) * 100 >= percent * np.maximum(size, size[i])))
+        j = j[np.bitwise_count(sketches[j] ^ sketches[i]).sum(1) <= most]
+        if not len(j):
+            continue
+        own = flat[ends[i] - size[i] : ends[i]]
+        mark[own] = True
+        both = np.array([np.count_nonzero(mark[flat[ends[k] - size[k] : ends[k]]]) for k in j])
+        mark[own] = False
+        for k in j[100 * both >= percent * (size[i] + size[j] - both)]:
+            if component[k] != component[i]:
+                links.append((i, int(k)))
+                component[component == component[k]] = component[i]
+    return links
+
+
+def across(members: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int, chunk_rows: int = 1000, chunk_shingles: int = 500_000) -> DataFrame:
+    """Links (a, b) that join the components of members (hub, node, component) of the same hub.
+
+    A hub's members are cut into chunks of bounded rows and shingles; every pair of chunks meets in a task.
+    """
+    light = members.join(nodes.select("node", "n_shingles", *SKETCH), "node")
+    chunks = light.groupBy("hub").agg(F.ceil(F.greatest(F.count("*") / chunk_rows, F.sum("n_shingles") / chunk_shingles)).alias("chunks"))
+    light = light.join(chunks, "hub").withColumn("part", F.pmod(F.xxhash64("node"), "chunks")).withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
+    light = light.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("other", "chunks", "n_shingles")
+    dealt = with_texts(light, nodes, docs).repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, group, held = Hashes(), None, {}
+
+        def flush() -> pa.RecordBatch:
+            names = list(held)
+            rows = list(held.values())
+            links = joining_links([r[0] for r in rows], np.array([r[1] for r in rows], np.int64).reshape(-1, LANES), np.array([r[2] for r in rows]), np.array([r[3] for r in rows]), percent) if rows else []
+            return pa.RecordBatch.from_arrays([pa.array([names[i] for i, _ in links], pa.int64()), pa.array([names[j] for _, j in links], pa.int64())], ["a", "b"])
+
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("hub", "low", "high")))
+            sketches = np.stack([batch.column(s).to_numpy() for s in SKETCH], 1)
+            rows = (batch.column(c).to_pylist() for c in ("node", "component", "part"))
+            for key, sketch, node, component, part, text in zip(keys, sketches, *rows, raw(batch.column("text"))):
+                if key != group:
+                    yield flush()
+                    group, held = key, {}
+                if node not in held:
+                    held[node] = (shingle_set(text.translate(LOWER).split(), words, hashes), sketch, component, part)
+        yield flush()
+
+    return dealt.mapInArrow(run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document; linked are sets with similarity >= percent / 100."""
     signed = stored(signatures(docs, words))
@@ -150,13 +215,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     links = stored(confirmed(stars, nodes, docs, words, percent))
     found = components(links)
 
-    labelled = shared.join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
+    labelled = shared.where("hub <> node").join(found, "node", "left").select("key", "hub", "node", F.coalesce("component", "node").alias("component"))
     open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    members = stored(labelled.join(open_keys, "key").join(light, "node"))
-    x, y = members.alias("x"), members.alias("y")
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")) & alike("x", "y", percent))
-    across = across.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct().join(stars, ["a", "b"], "left_anti")
-    more = stored(confirmed(stored(across), nodes, docs, words, percent))
+    members = stored(labelled.join(open_keys, "key").select("hub", "node", "component").distinct())
+    more = stored(across(members, nodes, docs, words, percent))
     if not more.isEmpty():
         found = components(links.union(more))
 
