@@ -11,6 +11,7 @@ from quern.llm import linededup
 from quern.llm.licenses import scan
 from quern.llm.neardup import near_duplicates
 from quern.llm.packing import pack_documents
+from quern.llm.suffixdedup import cut_repeats
 from quern.llm.tokencount import count_tokens
 
 
@@ -51,8 +52,13 @@ def op8_odd_sketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFram
     return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
 
 
+def op9_interval_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = cut_repeats(table(spark, sf_dir, "documents"), least=50)
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_cost_balanced_packing, op2_cross_polytope_neighbours, op3_mixture_language_id, op4_token_counts, op5_content_defined_line_dedup, op6_diagonal_license_scan, op7_positional_decontamination, op8_odd_sketch_near_duplicates)}
+    return {f.__name__: f for f in (op1_cost_balanced_packing, op2_cross_polytope_neighbours, op3_mixture_language_id, op4_token_counts, op5_content_defined_line_dedup, op6_diagonal_license_scan, op7_positional_decontamination, op8_odd_sketch_near_duplicates, op9_interval_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
