@@ -9,6 +9,7 @@ from quern.llm.decontam import decontaminate, digest
 from quern.llm.langid import identify
 from quern.llm import linededup
 from quern.llm.licenses import scan
+from quern.llm.lm import score_texts
 from quern.llm.neardup import near_duplicates
 from quern.llm.packing import pack_documents
 from quern.llm.suffixdedup import cut_repeats
@@ -57,8 +58,12 @@ def op9_interval_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op10_recurrent_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(table(spark, sf_dir, "documents"), folds=5, fold=1)
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_cost_balanced_packing, op2_cross_polytope_neighbours, op3_mixture_language_id, op4_token_counts, op5_content_defined_line_dedup, op6_diagonal_license_scan, op7_positional_decontamination, op8_odd_sketch_near_duplicates, op9_interval_suffix_dedup)}
+    return {f.__name__: f for f in (op1_cost_balanced_packing, op2_cross_polytope_neighbours, op3_mixture_language_id, op4_token_counts, op5_content_defined_line_dedup, op6_diagonal_license_scan, op7_positional_decontamination, op8_odd_sketch_near_duplicates, op9_interval_suffix_dedup, op10_recurrent_lm_scores)}
 
 
 def oracle_sql() -> dict[str, str]:
