@@ -412,7 +412,8 @@ def resume_antijoin(spark, sf_dir):
 def stream_exact_dedup(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     path = f"{shared_folder(spark)}/quern-stream-{uuid.uuid4().hex}"
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.col("ts").cast("timestamp"))
+    # A pattern, as the table may be one file: a plain path would have to be a folder.
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]").withColumn("ts", F.col("ts").cast("timestamp"))
     seen = stream_dedup(stream, ["user_id", "event_type"], "ts", "36500 days").select("user_id", "event_type")
     seen.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{path}/out")
