@@ -60,7 +60,7 @@ def window_marks(data: np.ndarray, least: int, k: int) -> np.ndarray:
         s = min(span, width - span)
         low = np.minimum(low[:-s], low[s:])
         span += s
-    return mix(low)
+    return mix(low) >> np.uint64(16)  # 48 bits; equal marks of unlike windows only cost a comparison
 
 
 def runs(texts: list[bytes], least: int, k: int) -> Iterator[tuple[np.ndarray, ...]]:
@@ -85,9 +85,20 @@ def runs(texts: list[bytes], least: int, k: int) -> Iterator[tuple[np.ndarray, .
         yield np.array([p[0] for p in some])[part[at]], place, stop - at, mark[at], data, at
 
 
+def short(values: np.ndarray) -> np.ndarray:
+    """48-bit values as rows of six bytes."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def packed(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     """Binary rows: the bytes of counts[i] values each."""
-    ends = np.concatenate([[0], np.cumsum(counts) * values.itemsize]).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(counts) * (values.nbytes // max(1, len(values)))]).astype(np.int64)
     return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(np.ascontiguousarray(values).tobytes())]).cast(pa.binary())
 
 
@@ -105,7 +116,7 @@ def shared_marks(docs: DataFrame, least: int, k: int, buckets: int) -> DataFrame
         own = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (bucket[1:] != bucket[:-1])])
         of_row = np.diff(np.append(np.searchsorted(own, row), len(own)))
         counts = np.diff(np.append(own, len(doc))).astype(np.uint32)
-        return pa.RecordBatch.from_arrays([pa.array(bucket[row]), packed(doc[own], of_row), packed(counts, of_row), packed(mark, np.diff(np.append(row, len(mark))))], ["bucket", "docs", "counts", "marks"])
+        return pa.RecordBatch.from_arrays([pa.array(bucket[row]), packed(doc[own], of_row), packed(counts, of_row), packed(short(mark), np.diff(np.append(row, len(mark))))], ["bucket", "docs", "counts", "marks"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -124,7 +135,8 @@ def shared_marks(docs: DataFrame, least: int, k: int, buckets: int) -> DataFrame
 
     def meet(table: pa.Table) -> pa.Table:
         columns = (b"".join(table.column(c).to_pylist()) for c in ("docs", "counts", "marks"))
-        docs, counts, marks = (np.frombuffer(b, t) for b, t in zip(columns, (np.int64, np.uint32, np.uint64)))
+        docs, counts, marks = next(columns), next(columns), unpacked(next(columns))
+        docs, counts = np.frombuffer(docs, np.int64), np.frombuffer(counts, np.uint32)
         doc = np.repeat(docs, counts)
         order = np.argsort(marks, kind="stable")
         sorted_marks, owner = marks[order], doc[order]
@@ -135,7 +147,7 @@ def shared_marks(docs: DataFrame, least: int, k: int, buckets: int) -> DataFrame
         order = np.argsort(doc, kind="stable")
         doc, marks = doc[order], marks[order]
         row = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-        return pa.table({"key": pa.array(doc[row]), "marks": packed(marks, np.diff(np.append(row, len(marks))))})
+        return pa.table({"key": pa.array(doc[row]), "marks": packed(short(marks), np.diff(np.append(row, len(marks))))})
 
     dealt = docs.mapInArrow(deal, "bucket long, docs binary, counts binary, marks binary")
     return dealt.groupBy("bucket").applyInArrow(meet, "key long, marks binary")
@@ -170,37 +182,62 @@ def smallest_docs(fragments: list[bytes], marks: np.ndarray, docs: np.ndarray, l
 def repeated_ranges(texts: DataFrame, least: int, k: int, buckets: int) -> DataFrame:
     """(key, spans): window ranges (first, last + 1) that a document loses, from texts (key, text, marks)."""
 
+    def emit(known: dict[bytes, int], marks: list[int], held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        doc, place, which = (np.concatenate(x) for x in zip(*held))
+        fragments, mark = list(known), np.array(marks, np.uint64)
+        bucket = (mark % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        row = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0])
+        distinct = np.diff(np.append(row, len(order)))
+        nth = np.empty(len(order), np.int64)  # of a fragment in its row
+        nth[order] = np.arange(len(order)) - np.repeat(row, distinct)
+        size = np.array([len(fragments[i]) for i in order])
+        by_row = np.argsort(bucket[which], kind="stable")
+        n = np.bincount(np.searchsorted(bucket[order][row], bucket[which]), minlength=len(row))
+        content = np.frombuffer(b"".join(fragments[i] for i in order), np.uint8)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[order][row]), packed(doc[by_row], n), packed(place[by_row].astype(np.uint32), n), packed(nth[which[by_row]].astype(np.uint32), n), packed(size.astype(np.uint32), distinct), packed(short(mark[order]), distinct), packed(content, np.add.reduceat(size, row))],
+            ["bucket", "docs", "places", "which", "sizes", "marks", "content"],
+        )
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
+        marks, held, size = [], [], 0
         for batch in batches:
             for some in slices(batch, "text"):
                 names = some.column("key").to_numpy()
-                hot = np.unique(np.frombuffer(b"".join(x for row in some.column("marks").to_pylist() for x in row), np.uint64))
+                hot = np.unique(unpacked(b"".join(x for row in some.column("marks").to_pylist() for x in row)))
                 for text, place, windows, mark, data, at in runs(raw(some.column("text")), least, k):
-                    keep = hot[np.minimum(np.searchsorted(hot, mark), len(hot) - 1)] == mark
-                    if not keep.any():
+                    pick = np.flatnonzero(hot[np.minimum(np.searchsorted(hot, mark), len(hot) - 1)] == mark)
+                    if not len(pick):
                         continue
-                    bucket = (mark[keep] // np.uint64(buckets) % np.uint64(buckets)).astype(np.int64)
-                    order = np.argsort(bucket, kind="stable")
-                    pick = np.flatnonzero(keep)[order]
-                    bucket, size = bucket[order], windows[pick] + least - 1
-                    row = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-                    n = np.diff(np.append(row, len(bucket)))
-                    content = data[spread_ranges(at[pick], size)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(bucket[row]), packed(names[text[pick]], n), packed(place[pick].astype(np.uint32), n), packed(size.astype(np.uint32), n), packed((mark[pick] >> np.uint64(32)).astype(np.uint32), n), packed(content, np.add.reduceat(size, row))],
-                        ["bucket", "docs", "places", "sizes", "marks", "content"],
-                    )
+                    content, which = data.tobytes(), np.empty(len(pick), np.int64)
+                    stops = at[pick] + windows[pick] + least - 1
+                    for i, (a, b, m) in enumerate(zip(at[pick].tolist(), stops.tolist(), mark[pick].tolist())):
+                        fragment = content[a:b]
+                        if (n := known.setdefault(fragment, len(known))) == len(marks):
+                            marks.append(m)
+                            size += len(fragment)
+                        which[i] = n
+                    held.append((names[text[pick]], place[pick], which))
+                    if size > 16 << 20:
+                        yield emit(known, marks, held)
+                        known, marks, held, size = {}, [], [], 0
+        if held:
+            yield emit(known, marks, held)
 
     def meet(table: pa.Table) -> pa.Table:
-        columns = (b"".join(table.column(c).to_pylist()) for c in ("docs", "places", "sizes", "marks"))
-        doc, place, size, mark = (np.frombuffer(b, t).astype(np.int64) for b, t in zip(columns, (np.int64, np.uint32, np.uint32, np.uint32)))
-        content = b"".join(table.column("content").to_pylist())
-        ends = np.cumsum(size)
+        rows = [table.column(c).to_pylist() for c in ("docs", "places", "which", "sizes", "marks", "content")]
+        doc, place, size = (np.frombuffer(b"".join(rows[i]), t).astype(np.int64) for i, t in ((0, np.int64), (1, np.uint32), (3, np.uint32)))
+        mark, content, ends = unpacked(b"".join(rows[4])).astype(np.int64), b"".join(rows[5]), np.cumsum(size)
+        first = np.cumsum([0, *(len(x) // 4 for x in rows[3])])  # a row numbers its own fragments
+        sent = np.concatenate([np.frombuffer(x, np.uint32) + f for x, f in zip(rows[2], first)])
         known: dict[bytes, int] = {}
-        which = np.array([known.setdefault(content[a:b], len(known)) for a, b in zip((ends - size).tolist(), ends.tolist())])
+        same = np.array([known.setdefault(content[a:b], len(known)) for a, b in zip((ends - size).tolist(), ends.tolist())])
+        which, mark_of, size = same[sent], mark, size[sent]
         low, marks = np.full(len(known), np.iinfo(np.int64).max), np.zeros(len(known), np.int64)
         np.minimum.at(low, which, doc)
-        marks[which] = mark
+        marks[same] = mark_of
         found, begin = smallest_docs(list(known), marks, low, least)
         windows = size - least + 1
         out = []
@@ -218,11 +255,11 @@ def repeated_ranges(texts: DataFrame, least: int, k: int, buckets: int) -> DataF
         row = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
         return pa.table({"key": pa.array(doc[row]), "spans": packed(spans.ravel(), 2 * np.diff(np.append(row, len(doc))))})
 
-    dealt = texts.mapInArrow(deal, "bucket long, docs binary, places binary, sizes binary, marks binary, content binary")
+    dealt = texts.mapInArrow(deal, "bucket long, docs binary, places binary, which binary, sizes binary, marks binary, content binary")
     return dealt.groupBy("bucket").applyInArrow(meet, "key long, spans binary")
 
 
-def cut_repeats(docs: DataFrame, least: int = 50, k: int = 20, bucket_bytes: int = 24 << 20, fragment_bytes: int = 6 << 20) -> DataFrame:
+def cut_repeats(docs: DataFrame, least: int = 50, k: int = 20, bucket_bytes: int = 4 << 20, fragment_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, text): text is what is left, as bytes.
 
     bucket_bytes, fragment_bytes: text per bucket in which marks meet, and in which fragments meet.
