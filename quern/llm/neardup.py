@@ -183,7 +183,7 @@ def across(members: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, pe
         def flush() -> pa.RecordBatch:
             names = list(held)
             rows = list(held.values())
-            links = joining_links([r[0] for r in rows], np.array([r[1] for r in rows], np.int64).reshape(-1, LANES), np.array([r[2] for r in rows]), np.array([r[3] for r in rows]), percent) if rows else []
+            links = joining_links([r[0] for r in rows], np.array([r[1] for r in rows], np.int64).view(np.uint64).reshape(-1, LANES), np.array([r[2] for r in rows]), np.array([r[3] for r in rows]), percent) if rows else []
             return pa.RecordBatch.from_arrays([pa.array([names[i] for i, _ in links], pa.int64()), pa.array([names[j] for _, j in links], pa.int64())], ["a", "b"])
 
         for batch in batches:
