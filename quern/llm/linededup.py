@@ -28,10 +28,12 @@ def pinned(df: DataFrame, **expressions: str) -> DataFrame:
 
 
 def lined(docs: DataFrame, window: int, divisor: int) -> DataFrame:
-    """docs as (row: all its columns, doc_id, text_hash, lines, chunks): chunks are (start, stop) line numbers, stop excluded."""
+    """docs as (own0, own1, ...: its columns by place, doc_id, text_hash, lines, chunks): chunks are (start, stop) line numbers, stop excluded."""
     rolling = " + ".join(f"get(hashes, i - {j}) * {31 ** j}" for j in range(window))
-    rows = docs.select(F.struct("*").alias("row")).select("row", F.col("row.doc_id").cast("long").alias("doc_id"), F.expr("xxhash64(coalesce(row.text, ''))").alias("text_hash"))
-    rows = pinned(rows, lines="split(coalesce(row.text, ''), '\n')")
+    key, text = (f"own{docs.columns.index(c)}" for c in ("doc_id", "text"))
+    rows = docs.toDF(*[f"own{i}" for i in range(len(docs.columns))])
+    rows = rows.select("*", F.col(key).cast("long").alias("doc_id"), F.expr(f"xxhash64(coalesce({text}, ''))").alias("text_hash"))
+    rows = pinned(rows, lines=f"split(coalesce({text}, ''), '\n')")
     rows = pinned(rows, hashes="transform(lines, l -> CAST(conv(substr(md5(CAST(l AS BINARY)), 1, 8), 16, 10) AS BIGINT))")
     rows = pinned(rows, stops=f"transform(filter(sequence(0, size(hashes) - 1), i -> i = size(hashes) - 1 OR (i >= {window - 1} AND ({rolling}) % {divisor} = 0)), i -> i + 1)").drop("hashes")
     return pinned(rows, chunks="filter(transform(stops, (e, i) -> struct(IF(i = 0, 0, get(stops, i - 1)) AS start, e AS stop)), c -> c.stop - c.start > 1)").drop("stops")
@@ -57,7 +59,7 @@ def dedup_lines(docs: DataFrame, window: int = 2, divisor: int = 3) -> DataFrame
     stays = "transform(sequence(0, size(gone)), i -> struct(IF(i = 0, 0, get(gone, i - 1).stop) AS start, IF(i = size(gone), size(lines), get(gone, i).start) AS stop))"
     kept = F.expr(f"array_join(flatten(transform({stays}, s -> slice(lines, s.start + 1, s.stop - s.start))), '\\n')")
     report = F.struct(F.expr("CAST(size(lines) AS BIGINT)").alias("n_lines"), F.expr("CAST(size(chunks) AS BIGINT)").alias("n_chunks"), F.expr("CAST(aggregate(gone, 0, (n, c) -> n + c.stop - c.start) AS BIGINT)").alias("n_removed"))
-    columns = [kept.alias("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns]
+    columns = [(kept if c == "text" else F.col(f"own{i}")).alias(c) for i, c in enumerate(docs.columns)]
     return joined.select(*columns, report.alias("lines_report"))
 
 
