@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.scratch import stored
@@ -122,7 +122,9 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 12,
     pairs = asking.groupBy("bucket", "part").cogroup(index.groupBy("bucket", "part")).applyInPandas(score, "query long, node long, score double").distinct()
     # The k + 1 nearest nodes hold the k nearest rows other than the query's own.
     best = pairs.groupBy("query").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "node"))), 1, k + 1).alias("best"))
-    smallest = members.join(pairs.select("node").distinct(), "node").groupBy("node").agg(F.slice(F.sort_array(F.collect_list("id")), 1, k + 1).alias("ids"))
+    # Ranking with a limit is cut down before the shuffle, so a node of very many rows stays small.
+    nth = F.row_number().over(Window.partitionBy("node").orderBy("id"))
+    smallest = members.join(pairs.select("node").distinct(), "node").withColumn("nth", nth).where(F.col("nth") <= k + 1).groupBy("node").agg(F.sort_array(F.collect_list("id")).alias("ids"))
     near = best.select("query", F.inline("best")).join(smallest, "node").select("query", "far", F.explode("ids").alias("vec_id"))
     near = near.groupBy("query").agg(F.slice(F.sort_array(F.collect_list(F.struct("far", "vec_id"))), 1, k + 1).alias("near"))
     answers = asked.join(near, F.col("node") == F.col("query")).select(F.col("id").alias("query_id"), F.slice(F.filter("near", lambda x: x.vec_id != F.col("id")), 1, k).alias("near"))
