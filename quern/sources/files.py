@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quern.functions.text import safe_name, without_line_label
+from quern.functions.text import safe_name, strip, without_line_label
 
 
 def read_records(spark: SparkSession, path: str | list[str], schema: T.StructType | str, bad: str = "skip") -> DataFrame:
@@ -15,10 +15,12 @@ def read_records(spark: SparkSession, path: str | list[str], schema: T.StructTyp
     bad: `skip` drops lines that aren't JSON, `fail` raises on them, `keep` gives them in a column `_bad`.
     """
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
-    reader = spark.read
     if bad == "fail":
-        return reader.schema(schema).option("mode", "FAILFAST").json(path)
-    found = reader.schema(schema.add("_bad", T.StringType())).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").json(path)
+        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+    # Parsed from text: the JSON reader refuses queries that need the bad lines alone, such as counts.
+    lines = spark.read.text(path).where(strip(F.col("value")) != "")
+    kept = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
+    found = lines.select(F.from_json("value", kept, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r")).select("r.*")
     return found if bad == "keep" else found.where("_bad IS NULL").drop("_bad")
 
 
