@@ -2,8 +2,11 @@
 
 Rows are ranked by length (longer first), then by id. The greedy form removes a row if and only if a surviving row of
 better rank is similar; the one-shot form removes it if any row of better rank is. Rows whose normalised text is equal
-are collapsed first, since they have equal shingles: only the best of them can survive. What is left of a bucket is
-joined to itself by band key, which AQE splits if one is large.
+are collapsed first, since they have equal shingles: only the best of them can survive.
+
+The greedy form works in rounds: rows that lead all their buckets survive, and only they are compared with the others
+in those buckets, so a group of m copies costs about m comparisons for each survivor, not m^2. The one-shot form and
+the pairs need all pairs of a bucket by definition; they come from a self-join on band keys, which AQE splits.
 """
 
 import hashlib
@@ -118,24 +121,37 @@ def ranked(pairs: DataFrame, rows: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("better"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("worse"))
 
 
-def greedy_removed(edges: DataFrame) -> DataFrame:
-    """Ids that a surviving better row removes, in rounds: rows without an undecided better neighbour survive."""
-    edges, gone = stored(edges.distinct()), None
-    while not edges.isEmpty():
-        worse = edges.select(F.col("worse").alias("better")).distinct()
-        kept = edges.select("better").distinct().join(worse, "better", "left_anti")
-        out = stored(edges.join(kept, "better", "left_semi").select(F.col("worse").alias("id")).distinct())
-        gone = out if gone is None else gone.union(out)
-        decided = out.union(kept.select(F.col("better").alias("id")))
-        edges = stored(edges.join(decided.withColumnRenamed("id", "better"), "better", "left_anti").join(decided.withColumnRenamed("id", "worse"), "worse", "left_anti").select("better", "worse"))
-    return gone if gone is not None else edges.select(F.col("worse").alias("id"))
+def crowded(banded: DataFrame) -> DataFrame:
+    """The rows of buckets that hold at least two."""
+    many = banded.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
+    return banded.join(many, ["band", "key"], "left_semi")
+
+
+def greedy_removed(rows: DataFrame, threshold: float = 0.7, permutations: int = 128, n_bands: int = 16, k: int = 5) -> DataFrame:
+    """Ids among (id, text_norm, size) that a surviving better row removes."""
+    rank = rows.select("id", F.struct((-F.col("size")).alias("far"), "id").alias("rank"))
+    shared = stored(crowded(bands(signatures(rows, permutations=permutations, k=k), n_bands=n_bands)).join(rank, "id"))
+    sets = stored(rows.join(shared.select("id").distinct(), "id", "left_semi").select("id", F.transform(shingles(F.col("text_norm"), k), lambda s: F.xxhash64(s)).alias("grams")))
+    left, right = sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), sets.select(F.col("id").alias("b"), F.col("grams").alias("y"))
+    gone = shared.select("id").limit(0)
+    while not shared.isEmpty():
+        tops = shared.groupBy("band", "key").agg(F.min("rank").alias("top"))
+        placed = stored(shared.join(tops, ["band", "key"]).select("id", F.col("top.id").alias("top"), (F.col("rank") > F.col("top")).alias("beaten")).distinct())
+        leaders = placed.groupBy("id").agg(F.bool_or("beaten").alias("beaten")).where("NOT beaten").select("id")
+        pairs = placed.where("beaten").select(F.col("top").alias("a"), F.col("id").alias("b")).join(leaders.withColumnRenamed("id", "a"), "a", "left_semi").distinct()
+        out = stored(pairs.join(left, "a").join(right, "b").where(jaccard(F.col("x"), F.col("y")) >= threshold).select(F.col("b").alias("id")).distinct())
+        gone = gone.union(out)
+        shared = stored(crowded(shared.join(out.union(leaders), "id", "left_anti")))
+    return gone
 
 
 def deduplicate(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.7, permutations: int = 128, n_bands: int = 16, k: int = 5, greedy: bool = True) -> DataFrame:
     """The surviving rows of df."""
     rows = stored(prepared(df, id_col, text_col))
-    edges = ranked(similar_pairs(rows, threshold, permutations, n_bands, k), rows)
-    gone = greedy_removed(edges) if greedy else edges.select(F.col("worse").alias("id")).distinct()
+    if greedy:
+        gone = greedy_removed(rows, threshold, permutations, n_bands, k)
+    else:
+        gone = ranked(similar_pairs(rows, threshold, permutations, n_bands, k), rows).select(F.col("worse").alias("id")).distinct()
     kept = rows.select("id").join(gone, "id", "left_anti").withColumnRenamed("id", id_col)
     return df.join(kept, id_col, "left_semi")
 
