@@ -6,8 +6,8 @@
 3. In each band bucket every node is compared with the bucket's smallest node only. The sketch drops clearly unlike
    pairs (six standard deviations below the threshold); the rest are confirmed on full sets.
 4. Where a bucket still holds several components beside that node, all nodes compared with it are dealt out in bounded
-   chunks, a task for each pair of chunks, and pairs across components are compared there: first all sketches, then full
-   sets. Pairs within a component can't change the result, so only links that join components come out, a group of m
+   chunks, a task for each pair of chunks that isn't of one component, and pairs across components are compared there:
+   first all sketches, then full sets. Pairs within a component can't change the result, so only links that join components come out, a group of m
    near copies gives about m rows, no cap is needed, and no pair that shares a bucket is lost.
 
 Defined cases: null and empty texts have an empty set, are linked with nothing and are kept; a text of fewer words
@@ -167,14 +167,17 @@ def joining_links(sets: list[np.ndarray], sketches: np.ndarray, component: np.nd
 
 
 def across(members: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int, chunk_rows: int = 1000, chunk_shingles: int = 500_000) -> DataFrame:
-    """Links (a, b) that join the components of members (hub, node, component) of the same hub.
+    """Links (a, b) that join the components of members (hub, node, component, main) of the same hub.
 
-    A hub's members are cut into chunks of bounded rows and shingles; every pair of chunks meets in a task.
+    A hub's members are cut into chunks of bounded rows and shingles, those of its main component apart from the
+    others; every pair of chunks but those of two main ones meets in a task.
     """
     light = members.join(nodes.select("node", "n_shingles", *SKETCH), "node")
-    chunks = light.groupBy("hub").agg(F.ceil(F.greatest(F.count("*") / chunk_rows, F.sum("n_shingles") / chunk_shingles)).alias("chunks"))
-    light = light.join(chunks, "hub").withColumn("part", F.pmod(F.xxhash64("node"), "chunks")).withColumn("other", F.explode(F.expr("sequence(0, chunks - 1)")))
-    light = light.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("other", "chunks", "n_shingles")
+    needed = lambda of: F.coalesce(F.ceil(F.greatest(F.count_if(of) / chunk_rows, F.sum(F.when(of, F.col("n_shingles"))) / chunk_shingles)), F.lit(0))
+    chunks = light.groupBy("hub").agg(needed(F.col("main")).alias("mains"), needed(~F.col("main")).alias("rest")).where("rest > 0")
+    light = light.join(chunks, "hub").withColumn("part", F.expr("IF(main, pmod(xxhash64(node), mains), mains + pmod(xxhash64(node), rest))"))
+    light = light.withColumn("other", F.explode(F.expr("sequence(IF(main, mains, 0), mains + rest - 1)")))
+    light = light.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("other", "mains", "rest", "main", "n_shingles")
     dealt = with_texts(light, nodes, docs).repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +220,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     labelled = shared.where("hub <> node").join(found, "node", "left").select("key", "hub", "node", F.coalesce("component", "node").alias("component"))
     open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    members = stored(labelled.join(open_keys, "key").select("hub", "node", "component").distinct())
+    of_hub = found.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
+    members = labelled.join(open_keys, "key").select("hub", "node", "component").distinct().join(of_hub, "hub", "left")
+    members = stored(members.select("hub", "node", "component", (F.col("component") == F.coalesce("hub_component", "hub")).alias("main")))
     more = stored(across(members, nodes, docs, words, percent))
     if not more.isEmpty():
         found = components(links.union(more))
