@@ -34,3 +34,12 @@ def without(df: DataFrame, keys: DataFrame, on: str, broadcast_rows: int = 1_000
     """The rows of df whose `on` is not in keys. keys is written first; it is broadcast only if its count allows it."""
     keys = stored(keys.select(on).distinct())
     return df.join(F.broadcast(keys) if keys.count() <= broadcast_rows else keys, on, "left_anti").select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; DataFrames that still read them can't be used afterwards."""
+    jvm, folder = spark.sparkContext._jvm, shared_folder(spark)
+    path = jvm.org.apache.hadoop.fs.Path(f"{folder}/quern-{spark.sparkContext.applicationId}-*")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in fs.globStatus(path) or []:
+        fs.delete(status.getPath(), True)

@@ -167,3 +167,13 @@ def test_filter_chain_and_stats(spark):
     assert [r["id"] for r in select.filter_chain(rows, "id", target=1).collect()] == [2]
     assert sorted(r["id"] for r in select.filter_chain(rows.drop("quality_score"), "id").collect()) == [1, 2, 4, 5]
     assert tuple(select.score_stats(rows, "quality_score").first()) == (pd.Series([90, 95, 99]).mean(), 95.0, 90.0, 99.0)
+
+
+def test_scratch_tables(spark):
+    from quern import scratch
+
+    kept = scratch.stored(spark.range(5))
+    assert scratch.without(kept, spark.range(3), "id").count() == 2 and scratch.without(kept, spark.range(3), "id", broadcast_rows=0).count() == 2
+    scratch.clear(spark)
+    with pytest.raises(Exception):
+        kept.count()
