@@ -3,8 +3,10 @@
 A byte goes if it is covered by a string of `least` bytes that also starts in a document with a smaller doc_id.
 
 1. Consecutive windows of `least` bytes with the same minimum hash of their k-byte strings form a run; the minimum is
-   its mark. Equal windows have equal marks wherever they stand. Marks are dealt out in packed arrays by hash, and each
-   document learns which of its marks another document has.
+   its mark. Equal windows have equal marks wherever they stand, and the place of the minimum has the same neighbouring
+   bytes on the left or on the right, for at least half of what the window has besides. Marks with short hashes of both
+   sides are dealt out in packed arrays, and each document learns which of its marks another document has with an
+   equal side.
 2. Only runs with such marks travel, as the bytes their windows cover, dealt by mark, so equal windows meet. Equal
    fragments are merged first, with their smallest doc_id; a fragment thousands of documents share is compared once.
 3. Fragments of one mark that differ are compared by interval expansion on their Burrows-Wheeler transform (suffixes),
@@ -38,8 +40,8 @@ FACTOR = 0x9E3779B97F4A7C15
 BYTE = np.random.default_rng(5).integers(0, 2**63, 256, np.uint64)
 
 
-def window_marks(data: np.ndarray, least: int, k: int) -> np.ndarray:
-    """Minimum hash of the k-byte strings of every window of `least` bytes."""
+def string_hashes(data: np.ndarray, k: int) -> np.ndarray:
+    """Hash of the k bytes at every place that has so many left."""
     powers = {1: (BYTE[data], FACTOR)}
     have, value = 0, None
     bit = 1
@@ -54,17 +56,34 @@ def window_marks(data: np.ndarray, least: int, k: int) -> np.ndarray:
                 have += bit
         powers[2 * bit] = (h[:-bit] * np.uint64(f) + h[bit:] if len(h) > bit else h[:0], f * f % 2**64)
         bit *= 2
-    low = mix(value)
-    width, span = least - k + 1, 1
+    return mix(value)
+
+
+def sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
+    """The best of every `width` neighbours."""
+    span = 1
     while span < width:
         s = min(span, width - span)
-        low = np.minimum(low[:-s], low[s:])
+        values = best(values[:-s], values[s:])
         span += s
-    return mix(low) >> np.uint64(16)  # 48 bits; equal marks of unlike windows only cost a comparison
+    return values
 
 
-def runs(texts: list[bytes], least: int, k: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """(text number, first window, windows, mark) of every run, for groups of texts of bounded size, with their bytes and places."""
+def mark_of(minimum: np.ndarray) -> np.ndarray:
+    """48 bits; equal marks of unlike windows only cost a comparison."""
+    return mix(minimum) >> np.uint64(16)
+
+
+def tag_of(mark: np.ndarray, buckets: int) -> np.ndarray:
+    """A mark's bucket and 32 bits of the rest."""
+    return (mark % np.uint64(buckets)) << np.uint64(32) | mark // np.uint64(buckets) & np.uint64(2**32 - 1)
+
+
+def pieces(texts: list[bytes], least: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Bounded groups of text segments: bytes, and of each segment its text's number, place in it, start and size here.
+
+    Segments overlap by `least` - 1 bytes, so every window of a text lies in exactly one.
+    """
     parts = [(i, at, t[at : at + SEGMENT + least - 1]) for i, t in enumerate(texts) for at in range(0, len(t) - least + 1, SEGMENT)]
     while parts:
         n, total = 0, 0
@@ -73,16 +92,41 @@ def runs(texts: list[bytes], least: int, k: int) -> Iterator[tuple[np.ndarray, .
             n += 1
         some, parts = parts[:n], parts[n:]
         size = np.array([len(p[2]) for p in some])
-        start = np.cumsum(size) - size
-        data = np.frombuffer(b"".join(p[2] for p in some), np.uint8)
-        mark = window_marks(data, least, k)
-        part = np.repeat(np.arange(n, dtype=np.int32), size)
-        fine = part[: len(mark)] == part[least - 1 :]
-        first = fine & np.r_[True, (mark[1:] != mark[:-1]) | (part[1 : len(mark)] != part[: len(mark) - 1])]
+        yield np.frombuffer(b"".join(p[2] for p in some), np.uint8), np.array([p[0] for p in some]), np.array([p[1] for p in some]), np.cumsum(size) - size, size
+
+
+def minima(data: np.ndarray, size: np.ndarray, least: int, k: int) -> tuple[np.ndarray, ...]:
+    """Hash of the k bytes at every place, the minimum of every window, whether the window lies in one segment, and the
+    segment of every byte."""
+    hashes = string_hashes(data, k)
+    window = sliding(hashes, least - k + 1, np.minimum)
+    part = np.repeat(np.arange(len(size), dtype=np.int32), size)
+    return hashes, window, part[: len(window)] == part[least - 1 :], part
+
+
+def marked_places(texts: list[bytes], least: int, k: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text number, mark, hash of the bytes before, hash of the bytes after) of every place that is a window's minimum."""
+    side = (least - k) // 2
+    for data, text, _, start, size in pieces(texts, least):
+        hashes, window, whole, part = minima(data, size, least, k)
+        room = np.zeros(least - k, np.uint64)
+        at = np.flatnonzero(sliding(np.concatenate([room, np.where(whole, window, 0), room]), least - k + 1, np.maximum) == hashes)
+        own = part[at]
+        sides = (string_hashes(data, side) >> np.uint64(56)).astype(np.uint8)
+        before = np.where(at - side >= start[own], sides[np.maximum(at - side, 0)], 0)
+        after = np.where(at + k + side <= (start + size)[own], sides[np.minimum(at + k, len(sides) - 1)], 0)
+        yield text[own], mark_of(hashes[at]), before, after, data
+
+
+def runs(texts: list[bytes], least: int, k: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(text number, first window, windows, mark) of every run, with the bytes at hand and the run's place in them."""
+    for data, text, offset, start, size in pieces(texts, least):
+        _, window, whole, part = minima(data, size, least, k)
+        first = whole & np.r_[True, (window[1:] != window[:-1]) | (part[1 : len(window)] != part[: len(window) - 1])]
         at = np.flatnonzero(first)
-        stop = np.minimum(np.append(at[1:], len(mark)), (start + size - least + 1)[part[at]])
-        place = at - start[part[at]] + np.array([p[1] for p in some])[part[at]]
-        yield np.array([p[0] for p in some])[part[at]], place, stop - at, mark[at], data, at
+        own = part[at]
+        stop = np.minimum(np.append(at[1:], len(window)), (start + size - least + 1)[own])
+        yield text[own], at - start[own] + offset[own], stop - at, mark_of(window[at]), data, at
 
 
 def short(values: np.ndarray) -> np.ndarray:
@@ -102,30 +146,42 @@ def packed(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(np.ascontiguousarray(values).tobytes())]).cast(pa.binary())
 
 
-def shared_marks(docs: DataFrame, least: int, k: int, buckets: int) -> DataFrame:
-    """(key, marks): marks of a document's runs that another document has too, in packed rows."""
+def several(keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
+    """For each row, whether its key occurs with more than one doc."""
+    order = np.argsort(keys, kind="stable")
+    starts = np.flatnonzero(np.r_[True, np.diff(keys[order]) != 0])
+    owner = docs[order]
+    out = np.empty(len(keys), bool)
+    out[order] = np.repeat(np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts), np.diff(np.append(starts, len(keys))))
+    return out
 
-    def emit(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
-        doc, mark = (np.concatenate(x) for x in zip(*held))
-        bucket = (mark % np.uint64(buckets)).astype(np.int64)
-        order = np.lexsort((mark, doc, bucket))
-        doc, mark, bucket = doc[order], mark[order], bucket[order]
-        new = np.r_[True, (mark[1:] != mark[:-1]) | (doc[1:] != doc[:-1])]
-        doc, mark, bucket = doc[new], mark[new], bucket[new]
+
+def shared_marks(docs: DataFrame, least: int, k: int, buckets: int) -> DataFrame:
+    """(key, tags): tags of a document's marks that another document has with an equal side, in packed rows."""
+
+    def emit(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+        doc, mark, before, after = (np.concatenate(x) for x in zip(*held))
+        tag = tag_of(mark, buckets)
+        bucket = (tag >> np.uint64(32)).astype(np.int64)
+        entry = tag << np.uint64(32) >> np.uint64(16) | before.astype(np.uint64) << np.uint64(8) | after.astype(np.uint64)
+        order = np.lexsort((entry, doc, bucket))
+        doc, entry, bucket = doc[order], entry[order], bucket[order]
+        new = np.r_[True, (entry[1:] != entry[:-1]) | (doc[1:] != doc[:-1]) | (bucket[1:] != bucket[:-1])]
+        doc, entry, bucket = doc[new], entry[new], bucket[new]
         row = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         own = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (bucket[1:] != bucket[:-1])])
         of_row = np.diff(np.append(np.searchsorted(own, row), len(own)))
         counts = np.diff(np.append(own, len(doc))).astype(np.uint32)
-        return pa.RecordBatch.from_arrays([pa.array(bucket[row]), packed(doc[own], of_row), packed(counts, of_row), packed(short(mark), np.diff(np.append(row, len(mark))))], ["bucket", "docs", "counts", "marks"])
+        return pa.RecordBatch.from_arrays([pa.array(bucket[row]), packed(doc[own], of_row), packed(counts, of_row), packed(short(entry), np.diff(np.append(row, len(entry))))], ["bucket", "docs", "counts", "entries"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
             for some in slices(batch, "text"):
                 names = some.column("key").to_numpy()
-                for text, _, _, mark, data, _ in runs(raw(some.column("text")), least, k):
+                for text, mark, before, after, data in marked_places(raw(some.column("text")), least, k):
                     if len(mark):
-                        held.append((names[text], mark))
+                        held.append((names[text], mark, before, after))
                     size += len(data)
                     if size > 16 << 20 and held:
                         yield emit(held)
@@ -134,23 +190,20 @@ def shared_marks(docs: DataFrame, least: int, k: int, buckets: int) -> DataFrame
             yield emit(held)
 
     def meet(table: pa.Table) -> pa.Table:
-        columns = (b"".join(table.column(c).to_pylist()) for c in ("docs", "counts", "marks"))
-        docs, counts, marks = next(columns), next(columns), unpacked(next(columns))
-        docs, counts = np.frombuffer(docs, np.int64), np.frombuffer(counts, np.uint32)
-        doc = np.repeat(docs, counts)
-        order = np.argsort(marks, kind="stable")
-        sorted_marks, owner = marks[order], doc[order]
-        starts = np.flatnonzero(np.r_[True, sorted_marks[1:] != sorted_marks[:-1]])
-        several = np.minimum.reduceat(owner, starts) != np.maximum.reduceat(owner, starts)
-        hot = np.repeat(several, np.diff(np.append(starts, len(owner))))
-        doc, marks = owner[hot], sorted_marks[hot]
-        order = np.argsort(doc, kind="stable")
-        doc, marks = doc[order], marks[order]
+        docs, counts, entries = (b"".join(table.column(c).to_pylist()) for c in ("docs", "counts", "entries"))
+        doc, entry = np.repeat(np.frombuffer(docs, np.int64), np.frombuffer(counts, np.uint32)), unpacked(entries)
+        mark = entry >> np.uint64(16)
+        hot = several(entry >> np.uint64(8), doc) | several(mark << np.uint64(8) | entry & np.uint64(255), doc)
+        doc, tag = doc[hot], mark[hot] | np.uint64(table.column("bucket")[0].as_py() << 32)
+        order = np.lexsort((tag, doc))
+        doc, tag = doc[order], tag[order]
+        new = np.r_[True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])][: len(doc)]
+        doc, tag = doc[new], tag[new]
         row = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-        return pa.table({"key": pa.array(doc[row]), "marks": packed(short(marks), np.diff(np.append(row, len(marks))))})
+        return pa.table({"key": pa.array(doc[row]), "tags": packed(tag, np.diff(np.append(row, len(tag))))})
 
-    dealt = docs.mapInArrow(deal, "bucket long, docs binary, counts binary, marks binary")
-    return dealt.groupBy("bucket").applyInArrow(meet, "key long, marks binary")
+    dealt = docs.mapInArrow(deal, "bucket long, docs binary, counts binary, entries binary")
+    return dealt.groupBy("bucket").applyInArrow(meet, "key long, tags binary")
 
 
 def smallest_docs(fragments: list[bytes], marks: np.ndarray, docs: np.ndarray, least: int, block: int = 2 << 20) -> tuple[np.ndarray, np.ndarray]:
@@ -179,8 +232,8 @@ def smallest_docs(fragments: list[bytes], marks: np.ndarray, docs: np.ndarray, l
     return found, begin
 
 
-def repeated_ranges(texts: DataFrame, least: int, k: int, buckets: int) -> DataFrame:
-    """(key, spans): window ranges (first, last + 1) that a document loses, from texts (key, text, marks)."""
+def repeated_ranges(texts: DataFrame, least: int, k: int, mark_buckets: int, buckets: int) -> DataFrame:
+    """(key, spans): window ranges (first, last + 1) that a document loses, from texts (key, text, tags)."""
 
     def emit(known: dict[bytes, int], marks: list[int], held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         doc, place, which = (np.concatenate(x) for x in zip(*held))
@@ -206,9 +259,12 @@ def repeated_ranges(texts: DataFrame, least: int, k: int, buckets: int) -> DataF
         for batch in batches:
             for some in slices(batch, "text"):
                 names = some.column("key").to_numpy()
-                hot = np.unique(unpacked(b"".join(x for row in some.column("marks").to_pylist() for x in row)))
+                tags = [np.frombuffer(b"".join(row), np.uint64) for row in some.column("tags").to_pylist()]
+                whose = np.repeat(np.arange(len(tags), dtype=np.uint64), [len(t) for t in tags])
+                hot = np.unique(mix(np.concatenate(tags) ^ mix(whose + np.uint64(1))))
                 for text, place, windows, mark, data, at in runs(raw(some.column("text")), least, k):
-                    pick = np.flatnonzero(hot[np.minimum(np.searchsorted(hot, mark), len(hot) - 1)] == mark)
+                    own = mix(tag_of(mark, mark_buckets) ^ mix(text.astype(np.uint64) + np.uint64(1)))
+                    pick = np.flatnonzero(hot[np.minimum(np.searchsorted(hot, own), len(hot) - 1)] == own)
                     if not len(pick):
                         continue
                     content, which = data.tobytes(), np.empty(len(pick), np.int64)
@@ -266,8 +322,9 @@ def cut_repeats(docs: DataFrame, least: int = 50, k: int = 20, bucket_bytes: int
     """
     texts = texts_of(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "text")
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    hot = shared_marks(spread(texts.where(F.col("key") != NO_ID)), least, k, 1 + total // bucket_bytes).groupBy("key").agg(F.collect_list("marks").alias("marks"))
-    ranges = repeated_ranges(texts.join(hot, "key"), least, k, 1 + total // fragment_bytes).groupBy("key").agg(F.collect_list("spans").alias("spans"))
+    mark_buckets = 1 + total // bucket_bytes
+    hot = shared_marks(spread(texts.where(F.col("key") != NO_ID)), least, k, mark_buckets).groupBy("key").agg(F.collect_list("tags").alias("tags"))
+    ranges = repeated_ranges(texts.join(hot, "key"), least, k, mark_buckets, 1 + total // fragment_bytes).groupBy("key").agg(F.collect_list("spans").alias("spans"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
