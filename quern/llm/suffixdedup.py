@@ -315,7 +315,7 @@ def repeated_ranges(texts: DataFrame, least: int, k: int, mark_buckets: int, buc
     return dealt.groupBy("bucket").applyInArrow(meet, "key long, spans binary")
 
 
-def cut_repeats(docs: DataFrame, least: int = 50, k: int = 20, bucket_bytes: int = 4 << 20, fragment_bytes: int = 4 << 20) -> DataFrame:
+def cut_repeats(docs: DataFrame, least: int = 50, k: int = 14, bucket_bytes: int = 4 << 20, fragment_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, text): text is what is left, as bytes.
 
     bucket_bytes, fragment_bytes: text per bucket in which marks meet, and in which fragments meet.
