@@ -5,6 +5,8 @@ Documents run side by side in lanes, one after another in each; lanes are sorted
 are the first ones. A document starts from a zero state and the end slot, and its state is carried across windows.
 """
 
+from collections.abc import Iterable
+
 import numpy as np
 
 NAMES = ("E", "W", "U", "b", "Wc", "bc", "Wo", "bo")
@@ -143,25 +145,30 @@ def backward(p: dict, grads: dict, inputs: np.ndarray, fresh: np.ndarray, runnin
     np.add.at(grads["E"], x, g @ p["W"].T)
 
 
-def train(p: dict, docs: list[np.ndarray], end: int, window: int = 20, most: int = 64, rate: float = 0.01) -> dict:
-    """The weights after one pass over docs (arrays of slots) by Adam on windows of `window` steps."""
+def train(p: dict, groups: Iterable[list[np.ndarray]], end: int, window: int = 20, most: int = 256, rate: float = 0.01) -> dict:
+    """The weights after one pass over groups of documents (arrays of slots) by Adam on windows of `window` steps.
+
+    Only one group's lanes are held at a time; there are no more of them than its longest document leaves filled.
+    """
     p = {k: v.copy() for k, v in p.items()}
     mean, square, updates = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
-    inputs, targets, fresh, _, running = lanes(docs, most, end)
-    state = np.zeros((inputs.shape[1], len(p["U"])), np.float32)
-    for a in range(0, len(inputs), window):
-        b = min(a + window, len(inputs))
-        grads = {k: np.zeros_like(v) for k, v in p.items()}
-        states, state, saved = forward(p, p["E"] @ p["W"] + p["b"], inputs[a:b], fresh[a:b], running[a:b], state, keep=True)
-        slots = np.concatenate([targets[t, : running[t]] for t in range(a, b)])
-        _, d_states = log_probabilities(p, states, slots, grads)
-        backward(p, grads, inputs[a:b], fresh[a:b], running[a:b], saved, d_states)
-        updates += 1
-        for k, g in grads.items():
-            g /= len(slots)
-            mean[k] += 0.1 * (g - mean[k])
-            square[k] += 0.01 * (g * g - square[k])
-            p[k] -= rate * (mean[k] / (1 - 0.9**updates)) / (np.sqrt(square[k] / (1 - 0.99**updates)) + 1e-6)
+    for docs in groups:
+        sizes = [len(d) for d in docs]
+        inputs, targets, fresh, _, running = lanes(docs, min(most, -(-sum(sizes) // max(sizes))), end)
+        state = np.zeros((inputs.shape[1], len(p["U"])), np.float32)
+        for a in range(0, len(inputs), window):
+            b = min(a + window, len(inputs))
+            grads = {k: np.zeros_like(v) for k, v in p.items()}
+            states, state, saved = forward(p, p["E"] @ p["W"] + p["b"], inputs[a:b], fresh[a:b], running[a:b], state, keep=True)
+            slots = np.concatenate([targets[t, : running[t]] for t in range(a, b)])
+            _, d_states = log_probabilities(p, states, slots, grads)
+            backward(p, grads, inputs[a:b], fresh[a:b], running[a:b], saved, d_states)
+            updates += 1
+            for k, g in grads.items():
+                g /= len(slots)
+                mean[k] += 0.1 * (g - mean[k])
+                square[k] += 0.01 * (g * g - square[k])
+                p[k] -= rate * (mean[k] / (1 - 0.9**updates)) / (np.sqrt(square[k] / (1 - 0.99**updates)) + 1e-6)
     return p
 
 

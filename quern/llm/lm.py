@@ -2,11 +2,12 @@
 
 Counts of all training tokens are aggregated by Spark. The `slots` most frequent words (and the end and unknown
 tokens) are the recurrent model's vocabulary; every other word is an unknown token times the word's smoothed share
-among the rest. Training runs in rounds: every partition trains from the current weights on its part of a fixed share
-of the training documents (another share each round), and the weights are averaged by the number of tokens, in a tree
-of groups. So what training reads and gathers grows with the input, while a task's work stays that of its partition.
+among the rest. Training runs in rounds: every partition trains from the current weights on its part of the round's training
+documents, and the weights are averaged by the number of tokens, in a tree of groups. The rounds take disjoint slices of
+the documents' hashes that add up to all of them, so every training document is learned from once. What training reads
+and gathers grows with the input, while a task's work stays that of its partition.
 
-Counts of at most `table` frequent words go to all tasks (a fixed bound). Counts of rarer words meet their documents
+Counts of at most `table` frequent words and the slots go to all tasks (a fixed bound). Counts of rarer words meet their documents
 in a join, one row for each distinct rare word of a document.
 
 Defined cases: a null or empty text is its end alone; documents with a null doc_id are neither held out nor learned
@@ -67,18 +68,34 @@ def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(zip(rows.column("word").to_pylist(), rows.column("n").to_pylist()), key=lambda x: (-x[1], x[0]))
 
 
-def averaged(docs: DataFrame, weights: dict, slot_of, end: int, branch: int = 64, blocks: int = 16) -> dict:
-    """The weights after every partition of docs has trained from `weights`, averaged by tokens."""
+def averaged(docs: DataFrame, weights: dict, slot_of, end: int, branch: int = 64, blocks: int = 16, group: int = 1_000_000) -> dict:
+    """The weights after every partition of docs has trained from `weights`, in groups of `group` tokens, averaged by tokens."""
     shared = docs.sparkSession.sparkContext.broadcast(weights)
     sizes = [weights[k].size for k in gru.NAMES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, unknown = slot_of.value
-        texts = [np.array([own.get(w, unknown) for w in t.translate(LOWER).split()] + [end], np.int32) for batch in batches for t in raw(batch.column("text"))]
-        if not texts:
+        n = 0.0
+
+        def groups() -> Iterator[list[np.ndarray]]:
+            nonlocal n
+            texts, held = [], 0
+            for batch in batches:
+                for some in slices(batch, "text"):
+                    for t in raw(some.column("text")):
+                        texts.append(np.array([own.get(w, unknown) for w in t.translate(LOWER).split()] + [end], np.int32))
+                        held += len(texts[-1])
+                        if held > group:
+                            n += held
+                            yield texts
+                            texts, held = [], 0
+            if texts:
+                n += held
+                yield texts
+
+        trained = gru.train(shared.value, groups(), end)
+        if not n:
             return
-        trained = gru.train(shared.value, texts, end)
-        n = float(sum(map(len, texts)))
         flat = np.concatenate([trained[k].ravel() for k in gru.NAMES]).astype(np.float64) * n
         for i, part in enumerate(np.array_split(np.append(flat, n), blocks)):
             yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([part.tobytes()], pa.binary())], ["block", "total"])
@@ -97,10 +114,11 @@ def averaged(docs: DataFrame, weights: dict, slot_of, end: int, branch: int = 64
     return {k: x.reshape(weights[k].shape) for k, x in zip(gru.NAMES, parts)}
 
 
-def score_texts(docs: DataFrame, folds: int = 5, fold: int = 1, classes: int = 48, hidden: int = 16, inputs: int = 16, table: int = 100_000, rounds: int = 3, share: float = 0.02) -> DataFrame:
+def score_texts(docs: DataFrame, folds: int = 5, fold: int = 1, classes: int = 48, hidden: int = 16, inputs: int = 16, table: int = 100_000, rounds: int = 3, share: float = 1.0) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row, in log10.
 
     Documents whose crc32(doc_id) modulo `folds` is `fold` are held out. classes: of the output, and words of a class.
+    Each round learns from `share` of its own slice, one of `rounds`, of the training documents.
     """
     spark = docs.sparkSession
     kept = remainder("doc_id", folds)
@@ -109,13 +127,13 @@ def score_texts(docs: DataFrame, folds: int = 5, fold: int = 1, classes: int = 4
     counts = stored(token_counts(learned))
     totals = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("kinds")).first()
     tokens, kinds = totals["tokens"] or 0, totals["kinds"]
-    top = most_frequent(counts, table)
-
     slots = classes * classes
-    words = [END, *[w for w, _ in top if w != END][: slots - 2]]
+    # The end token first, then exactly the most frequent words; the table holds them all.
+    top = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.length("word") > 0, F.desc("n"), "word").limit(slots - 1).collect()]
+    words = [END, *[w for w, _ in top if w != END]]
     own, unknown = {w: i for i, w in enumerate(words)}, len(words)
     frequency = np.zeros(slots)
-    known = dict(top)
+    known = dict(most_frequent(counts, table)) | dict(top)
     frequency[: len(words)] = [known.get(w, 0) for w in words]
     rest = max(0, tokens - int(frequency.sum()))
     frequency[unknown] = rest
@@ -123,8 +141,8 @@ def score_texts(docs: DataFrame, folds: int = 5, fold: int = 1, classes: int = 4
     slot_of = spark.sparkContext.broadcast((own, unknown))
     weights = gru.initial(frequency, classes, hidden, inputs)
     for r in range(rounds):
-        part = F.pmod(F.xxhash64("doc_id", F.lit(r)), F.lit(1 << 20)) < int(share * (1 << 20))
-        weights = averaged(learned.where(part), weights, slot_of, own[END])
+        place = F.pmod(F.xxhash64("doc_id"), F.lit(rounds << 20)) - (r << 20)
+        weights = averaged(learned.where((place >= 0) & (place < int(share * (1 << 20)))), weights, slot_of, own[END])
 
     model = spark.sparkContext.broadcast((weights, weights["E"] @ weights["W"] + weights["b"], known))
     keyed = texts.withColumns({"text_hash": F.xxhash64("text"), "held_out": F.coalesce(kept == fold, F.lit(False))})

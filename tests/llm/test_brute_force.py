@@ -439,6 +439,23 @@ def test_language_model(spark, docs, empty):
     assert lm.score_texts(empty).count() == 0
 
 
+def test_language_model_learns_from_every_training_document(spark, docs, monkeypatch):
+    seen, vocabularies = [], []
+
+    def averaged(part, weights, slot_of, end):
+        seen.extend(r["doc_id"] for r in part.collect())
+        vocabularies.append(slot_of.value[0])
+        return weights
+
+    monkeypatch.setattr(lm, "averaged", averaged)
+    lm.score_texts(docs, table=10)
+    ids = [i for i, *_ in corpus() if i is not None and zlib.crc32(str(i).encode()) % 5 != 1]
+    assert sorted(seen) == sorted(ids)
+    learned = Counter(w for i in ids for w in words(TEXTS[i]))
+    most = sorted(learned, key=lambda w: (-learned[w], w.encode()))[: 48 * 48 - 2]
+    assert len(vocabularies) == 3 and all(list(v) == [b"", *(w.encode() for w in most)] for v in vocabularies)
+
+
 # The pipeline
 
 
