@@ -6,13 +6,16 @@ in every table; the vectors in those buckets are scored exactly, by inner produc
 precision, and each query keeps its nearest.
 
 Inner products of vectors of unequal length become angles by one more coordinate: sqrt(longest^2 - length^2) for the
-indexed vectors, 0 for the queries. Equal vectors are one node: it is hashed and scored once, and lists the smallest
+indexed vectors, 0 for the queries. Vectors are indexed by bands of length, each with its own `longest`, so that a few
+long vectors don't turn all others towards that coordinate; a query probes its axes in every band, and meets the whole
+of a band of no more than `block` vectors. Queries that find
+fewer than k others this way, and fewer than there are, are scored exactly against all vectors, in blocks. Equal vectors are one node: it is hashed and scored once, and lists the smallest
 of its ids, as many as could be returned, since ties go to smaller ids. A bucket is scored in blocks of bounded size,
 each against the queries that probe it, so no bucket has to fit into a task.
 
 Defined cases: vectors that are null, of another length than most, zero, or that hold null or non-finite components
-take no part; so do null ids. Repeated rows are one row. With fewer candidates than k all are returned; a query
-without any candidate has no row; empty tables give no rows; other columns are ignored.
+take no part; so do null ids. Repeated rows are one row. With fewer than k others all are returned; a query without
+any other row has no row; empty tables give no rows; other columns are ignored.
 """
 
 from collections.abc import Iterator
@@ -76,6 +79,12 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 12,
     shape = nodes.agg(F.max(F.size("v")).alias("dims"), F.max("length").alias("longest")).first()
     dims, longest = shape["dims"] or 1, shape["longest"] or 1.0
     asked = stored(members.where(F.col("id") % every == 0))
+    # Lengths of a band differ by a factor of 2 ** (1 / 4) at most; those too small for a double are a band of their own.
+    shorter = F.nanvl(F.log2(F.lit(longest)) - F.log2("length"), F.lit(0.0))
+    banded = nodes.withColumn("band", F.coalesce(F.floor(shorter * 4), F.lit(1 << 14)))
+    tops = banded.groupBy("band").agg(F.max("length").alias("top"), (F.count("*") <= block).alias("whole"))
+    # A whole band stands in negative buckets, one for each block of queries.
+    query_blocks = max(1, -(-asked.select("node").distinct().count() // block))
     signs = rotations(dims + 1, tables)
 
     def hashed(deep: int):
@@ -85,21 +94,32 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 12,
                     continue
                 x = np.array(pdf.v.tolist(), np.float64)
                 if deep == 1:
-                    own = np.concatenate([x / longest, np.sqrt(np.maximum(0, 1 - (pdf.length.to_numpy()[:, None] / longest) ** 2))], 1)
+                    top = np.maximum(pdf.top.to_numpy(), np.finfo(float).tiny)[:, None]
+                    own = np.concatenate([x / top, np.sqrt(np.maximum(0, 1 - (pdf.length.to_numpy()[:, None] / top) ** 2))], 1)
                 else:
                     own = np.concatenate([x / pdf.length.to_numpy()[:, None], np.zeros((len(x), 1))], 1)
                 for t in range(tables):
                     a = axes(rotated(own, signs[t]), deep)
-                    yield pd.DataFrame({"bucket": (t * 2 * signs.shape[2] + a).ravel(), "node": np.repeat(pdf.node.to_numpy(), a.shape[1]), "v": np.repeat(np.array([r.tobytes() for r in x], object), a.shape[1])})
+                    yield pd.DataFrame({"band": np.repeat(pdf.band.to_numpy(), a.shape[1]), "bucket": (t * 2 * signs.shape[2] + a).ravel(), "node": np.repeat(pdf.node.to_numpy(), a.shape[1]), "v": np.repeat(np.array([r.tobytes() for r in x], object), a.shape[1])})
 
         return run
 
-    schema = "bucket long, node long, v binary"
-    buckets = nodes.mapInPandas(hashed(1), schema)
-    counted = buckets.groupBy("bucket").agg(F.ceil(F.count("*") / block).alias("blocks"))
+    def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"band": pdf.band, "node": pdf.node, "v": [np.array(v, np.float64).tobytes() for v in pdf.v]})
+
+    schema = "band long, bucket long, node long, v binary"
+    ranged = banded.join(F.broadcast(tops), "band")
+    every_block = F.explode(F.sequence(F.lit(-query_blocks), F.lit(-1)).cast("array<long>"))
+    whole = ranged.where("whole").mapInPandas(packed, "band long, node long, v binary").select("band", every_block.alias("bucket"), "node", "v")
+    buckets = ranged.where("not whole").mapInPandas(hashed(1), schema).unionByName(whole)
+    counted = buckets.groupBy("band", "bucket").agg(F.ceil(F.count("*") / block).alias("blocks"))
     sizes = stored(counted)
-    index = buckets.join(F.broadcast(sizes), "bucket").withColumn("part", F.pmod(F.xxhash64("node"), "blocks")).drop("blocks")
-    asking = nodes.join(asked.select("node").distinct(), "node").mapInPandas(hashed(probes), schema)
+    index = buckets.join(F.broadcast(sizes), ["band", "bucket"]).withColumn("part", F.pmod(F.xxhash64("node"), "blocks")).drop("blocks")
+    asking = banded.join(asked.select("node").distinct(), "node")
+    own_block = (-F.pmod(F.xxhash64("node"), F.lit(query_blocks)) - 1).alias("bucket")
+    to_whole = asking.mapInPandas(packed, "band long, node long, v binary").select(own_block, "node", "v")
+    asking = asking.mapInPandas(hashed(probes), schema).drop("band").unionByName(to_whole)
     asking = asking.join(F.broadcast(sizes), "bucket").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
 
     def score(key: tuple, queries: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -119,14 +139,32 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 12,
             out.append(pd.DataFrame({"query": some.node.to_numpy()[i], "node": names[j], "score": (q[i] * x[j]).sum(1)}))
         return pd.concat(out)
 
-    pairs = asking.groupBy("bucket", "part").cogroup(index.groupBy("bucket", "part")).applyInPandas(score, "query long, node long, score double").distinct()
-    # The k + 1 nearest nodes hold the k nearest rows other than the query's own.
-    best = pairs.groupBy("query").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "node"))), 1, k + 1).alias("best"))
-    # Ranking with a limit is cut down before the shuffle, so a node of very many rows stays small.
-    nth = F.row_number().over(Window.partitionBy("node").orderBy("id"))
-    smallest = members.join(pairs.select("node").distinct(), "node").withColumn("nth", nth).where(F.col("nth") <= k + 1).groupBy("node").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    near = best.select("query", F.inline("best")).join(smallest, "node").select("query", "far", F.explode("ids").alias("vec_id"))
-    near = near.groupBy("query").agg(F.slice(F.sort_array(F.collect_list(F.struct("far", "vec_id"))), 1, k + 1).alias("near"))
-    answers = asked.join(near, F.col("node") == F.col("query")).select(F.col("id").alias("query_id"), F.slice(F.filter("near", lambda x: x.vec_id != F.col("id")), 1, k).alias("near"))
-    found = answers.select("query_id", F.posexplode("near").alias("place", "x"))
+    def answered(asked: DataFrame, pairs: DataFrame) -> DataFrame:
+        # The k + 1 nearest nodes hold the k nearest rows other than the query's own.
+        best = pairs.groupBy("query").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "node"))), 1, k + 1).alias("best"))
+        # Ranking with a limit is cut down before the shuffle, so a node of very many rows stays small.
+        nth = F.row_number().over(Window.partitionBy("node").orderBy("id"))
+        smallest = members.join(pairs.select("node").distinct(), "node").withColumn("nth", nth).where(F.col("nth") <= k + 1).groupBy("node").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+        near = best.select("query", F.inline("best")).join(smallest, "node").select("query", "far", F.explode("ids").alias("vec_id"))
+        near = near.groupBy("query").agg(F.slice(F.sort_array(F.collect_list(F.struct("far", "vec_id"))), 1, k + 1).alias("near"))
+        others = F.slice(F.filter("near", lambda x: x.vec_id != F.col("id")), 1, k)
+        return asked.join(near, F.col("node") == F.col("query"), "left").select("node", "id", F.coalesce(others, F.array().cast("array<struct<far: double, vec_id: long>>")).alias("near"))
+
+    keys = ["band", "bucket", "part"]
+    pairs = asking.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInPandas(score, "query long, node long, score double").distinct()
+    answers = stored(answered(asked, pairs))
+    few = F.size("near") < min(k, members.count() - 1)
+    lacking = stored(answers.where(few).select("node", "id"))
+    lacking_nodes = lacking.select("node").distinct()
+    n_lacking, n_nodes = lacking_nodes.count(), nodes.count()
+    if n_lacking:
+        # Blocks of queries against blocks of all vectors.
+        blocks, parts = -(-n_lacking // block), -(-n_nodes // block)
+        one = lambda n: F.pmod(F.xxhash64("node"), F.lit(n))
+        each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
+        left = banded.join(lacking_nodes, "node").mapInPandas(packed, "band long, node long, v binary").withColumn("bucket", one(blocks)).withColumn("part", each(parts))
+        right = banded.mapInPandas(packed, "band long, node long, v binary").withColumn("part", one(parts)).withColumn("bucket", each(blocks))
+        exact = left.groupBy("bucket", "part").cogroup(right.groupBy("bucket", "part")).applyInPandas(score, "query long, node long, score double")
+        answers = answers.where(~few).unionByName(answered(lacking, exact))
+    found = answers.select(F.col("id").alias("query_id"), F.posexplode("near").alias("place", "x"))
     return found.select("query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.far")).alias("score"))

@@ -139,6 +139,27 @@ def test_neighbours(spark, scale):
     assert [r["vec_id"] for r in ann.nearest(few, tables=40, probes=64).orderBy("rank").collect()] and ann.nearest(few.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["one long", "log-normal", "few"])
+def test_neighbours_of_unequal_lengths_and_few_rows(spark, kind):
+    rng = np.random.default_rng(6)
+    n = 10 if kind == "few" else 2000
+    x = rng.standard_normal((n, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if kind == "one long":
+        x[7] *= 50
+    if kind == "log-normal":
+        x *= np.exp(rng.standard_normal((n, 1)))
+    got = ann.nearest(spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<double>"), every=20, k=20).collect()
+    asked, k, hit = range(0, n, 20), min(20, n - 1), 0
+    for q in asked:
+        own = sorted((r["rank"], r["vec_id"]) for r in got if r["query_id"] == q)
+        assert [r for r, _ in own] == list(range(1, k + 1))
+        score = x @ x[q]
+        score[q] = -np.inf
+        hit += len({i for _, i in own} & set(np.argsort(-score)[:k].tolist()))
+    assert hit / (len(asked) * k) >= 0.9
+
+
 def test_rotations_keep_lengths():
     x = np.random.default_rng(1).standard_normal((5, 24))
     assert np.allclose(np.linalg.norm(ann.rotated(x, ann.rotations(24, 1)[0]), axis=1), np.linalg.norm(x, axis=1))
