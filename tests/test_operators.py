@@ -169,11 +169,27 @@ def test_filter_chain_and_stats(spark):
     assert tuple(select.score_stats(rows, "quality_score").first()) == (pd.Series([90, 95, 99]).mean(), 95.0, 90.0, 99.0)
 
 
+def test_a_cluster_needs_a_shared_folder():
+    from unittest.mock import MagicMock
+
+    from quern import scratch
+
+    session = MagicMock()
+    session.conf.get.return_value = session.sparkContext.getCheckpointDir.return_value = None
+    session.sparkContext.master = "spark://somewhere:7077"
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        scratch.shared_folder(session)
+
+
 def test_scratch_tables(spark):
     from quern import scratch
 
     kept = scratch.stored(spark.range(5))
-    assert scratch.without(kept, spark.range(3), "id").count() == 2 and scratch.without(kept, spark.range(3), "id", broadcast_rows=0).count() == 2
+    assert scratch.without(kept, spark.range(3), ["id"]).count() == 2 and scratch.without(kept, spark.range(3), ["id"], most=0).count() == 2
+    rows = spark.range(100).selectExpr("IF(id < 80, 0, id) AS k", "id")
+    names = scratch.stored(rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("first")))
+    got = sorted((r["id"], r["k"], r["first"]) for r in scratch.joined(rows, names, ["k"], crowd=10).collect())
+    assert got == [(i, 0 if i < 80 else i, 0 if i < 80 else i) for i in range(100)]
     scratch.clear(spark)
     with pytest.raises(Exception):
         kept.count()
