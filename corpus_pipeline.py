@@ -36,13 +36,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest doc_id, of each group of near-duplicates (five-word shingles, 0.8 or more)."""
-    return without(docs, near_duplicates(docs, words=5, percent=80).where("NOT kept AND doc_id IS NOT NULL"), "doc_id")
+    return without(docs, near_duplicates(docs, words=5, percent=80).where("NOT kept AND doc_id IS NOT NULL"), ["doc_id"])
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without any window of ten words of a benchmark item (or a whole shorter item)."""
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return without(docs, decontaminate(docs, items, size=10).where("n_hit > 0"), "doc_id")
+    return without(docs, decontaminate(docs, items, size=10).where("n_hit > 0"), ["doc_id"])
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,12 +1,9 @@
 """A small gated recurrent language model in numpy: truncated backpropagation, class-factored softmax, carried state.
 
 Slots (words) are numbered class * words + place; slot probabilities are P(class | state) * P(word | class, state).
-Documents run side by side in lanes, one after another in each; lanes are sorted so that those still running at a step
-are the first ones. A document starts from a zero state and the end slot, and its state is carried across windows.
+Documents run side by side in lanes, one after another in each, without padding: memory follows the tokens. A document starts from a zero state and the end slot, and its state is carried across windows.
 """
 
-from collections.abc import Iterable
-
 import numpy as np
 
 NAMES = ("E", "W", "U", "b", "Wc", "bc", "Wo", "bo")
@@ -33,39 +30,48 @@ def initial(frequency: np.ndarray, classes: int, hidden: int, inputs: int, seed:
     return out
 
 
-def lanes(docs: list[np.ndarray], most: int, end: int) -> tuple[np.ndarray, ...]:
-    """(inputs, targets, fresh, owner) as steps x lanes, and how many lanes run at each step."""
-    order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
-    held: list[list[int]] = [[] for _ in range(min(most, len(docs)))]
-    filled = np.zeros(len(held), np.int64)
-    for i in order:
-        lane = int(filled.argmin())
-        held[lane].append(i)
-        filled[lane] += len(docs[i])
-    rank = np.argsort(-filled, kind="stable")
-    steps = int(filled.max(initial=0))
-    inputs, targets, owner = (np.zeros((steps, len(held)), np.int32) for _ in range(3))
-    fresh = np.zeros((steps, len(held)), bool)
-    for place, lane in enumerate(rank):
-        at = 0
-        for i in held[lane]:
-            n = len(docs[i])
-            targets[at : at + n, place] = docs[i]
-            inputs[at, place] = end
-            inputs[at + 1 : at + n, place] = docs[i][:-1]
-            fresh[at, place] = True
-            owner[at : at + n, place] = i
-            at += n
-    running = np.searchsorted(-filled[rank], -np.arange(steps), side="left")
-    return inputs, targets, fresh, owner, running
-
-
-def forward(p: dict, gates: np.ndarray, inputs: np.ndarray, fresh: np.ndarray, running: np.ndarray, state: np.ndarray, keep: bool = False) -> tuple[np.ndarray, np.ndarray, list]:
+class Lanes:
+    """Documents dealt to lanes, one after another in each, without padding.
+
+    Token arrays hold lane after lane; start and length tell where a lane lies, longest first. Lane i runs at step t
+    while t < length[i], so the lanes running at a step are the first ones.
+    """
+
+    def __init__(self, docs: list[np.ndarray], most: int, first: np.ndarray):
+        sizes = [len(d) for d in docs]
+        held: list[list[int]] = [[] for _ in range(min(most, len(docs)))]
+        filled = np.zeros(len(held), np.int64)
+        for i in sorted(range(len(docs)), key=lambda i: -sizes[i]):
+            lane = int(filled.argmin())
+            held[lane].append(i)
+            filled[lane] += sizes[i]
+        rank = np.argsort(-filled, kind="stable")
+        order = np.array([i for lane in rank for i in held[lane]])
+        size = np.array(sizes)[order]
+        self.length = filled[rank]
+        self.start = np.cumsum(self.length) - self.length
+        self.targets = np.concatenate([docs[i] for i in order])
+        self.owner = np.repeat(order.astype(np.int32), size)
+        begin = np.cumsum(size) - size
+        self.inputs = np.roll(self.targets, 1)
+        self.inputs[begin] = first[order]
+        self.fresh = np.zeros(len(self.targets), bool)
+        self.fresh[begin] = True
+        self.steps = int(self.length[0])
+
+    def rows(self, a: int, b: int) -> list[np.ndarray]:
+        """Places of the tokens of steps a .. b - 1 in the token arrays, step by step."""
+        running = np.searchsorted(-self.length, -np.arange(a, min(b, self.steps)), side="left")
+        return [self.start[:n] + t for t, n in enumerate(running.tolist(), a)]
+
+
+def forward(p: dict, gates: np.ndarray, own: Lanes, rows: list[np.ndarray], state: np.ndarray, keep: bool = False) -> tuple[np.ndarray, np.ndarray, list]:
     """States of a window (rows of all running lanes, step by step), the last state of each lane, and what backward needs."""
     h, states, saved = len(p["U"]), [], []
-    for t, n in enumerate(running.tolist()):
-        before = state[:n] * ~fresh[t, :n, None]
-        x, u = gates[inputs[t, :n]], before @ p["U"]
+    for at in rows:
+        n = len(at)
+        before = state[:n] * ~own.fresh[at, None]
+        x, u = gates[own.inputs[at]], before @ p["U"]
         zr = sigmoid(x[:, : 2 * h] + u[:, : 2 * h])
         z, r = zr[:, :h], zr[:, h:]
         new = tanh(x[:, 2 * h :] + r * u[:, 2 * h :])
@@ -77,9 +83,9 @@ def forward(p: dict, gates: np.ndarray, inputs: np.ndarray, fresh: np.ndarray, r
     return np.concatenate(states), state, saved
 
 
-def bounded(weights: np.ndarray, bias: np.ndarray) -> bool:
+def bounded(weights: np.ndarray, bias: np.ndarray) -> np.ndarray:
     """Whether no state (of components between -1 and 1) gives a logit that exp or a sum of exps can't hold."""
-    return np.abs(bias).max() + np.abs(weights).sum(0).max() < 60
+    return np.abs(bias).max(-1) + np.abs(weights).sum(-2).max(-1) < 60
 
 
 def log_probabilities(p: dict, states: np.ndarray, slots: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
@@ -100,7 +106,7 @@ def log_probabilities(p: dict, states: np.ndarray, slots: np.ndarray, grads: dic
         grads["Wc"] += states.T @ e
         grads["bc"] += e.sum(0)
         d_states = e @ p["Wc"].T
-    order = np.argsort(group.astype(np.int16), kind="stable")
+    order, small = np.argsort(group.astype(np.int16), kind="stable"), bounded(p["Wo"], p["bo"])
     ends = np.cumsum(np.bincount(group, minlength=classes))
     for c in range(classes):
         own = order[ends[c - 1] if c else 0 : ends[c]]
@@ -108,7 +114,7 @@ def log_probabilities(p: dict, states: np.ndarray, slots: np.ndarray, grads: dic
             continue
         s = states[own]
         logits = s @ p["Wo"][c] + p["bo"][c]
-        if not bounded(p["Wo"][c], p["bo"][c]):
+        if not small[c]:
             logits -= logits.max(1, keepdims=True)
         e = np.exp(logits)
         total, at = (e @ np.ones(words, e.dtype))[:, None], np.arange(len(own))
@@ -122,13 +128,13 @@ def log_probabilities(p: dict, states: np.ndarray, slots: np.ndarray, grads: dic
     return out, d_states
 
 
-def backward(p: dict, grads: dict, inputs: np.ndarray, fresh: np.ndarray, running: np.ndarray, saved: list, d_states: np.ndarray) -> None:
+def backward(p: dict, grads: dict, own: Lanes, rows: list[np.ndarray], saved: list, d_states: np.ndarray) -> None:
     """Gradients through one window; what came before it counts as given."""
     h, at = len(p["U"]), len(d_states)
-    carry = np.zeros((int(running[0]), h), np.float32)
+    carry = np.zeros((len(rows[0]), h), d_states.dtype)
     xs, gates = [], []
-    for t in range(len(running) - 1, -1, -1):
-        n = int(running[t])
+    for t in range(len(rows) - 1, -1, -1):
+        n = len(rows[t])
         before, z, r, new, un = saved[t]
         d = d_states[at - n : at] + carry[:n]
         at -= n
@@ -136,52 +142,63 @@ def backward(p: dict, grads: dict, inputs: np.ndarray, fresh: np.ndarray, runnin
         d_z, d_r = d * (before - new) * z * (1 - z), d_new * un * r * (1 - r)
         through = np.concatenate([d_z, d_r, d_new * r], 1)
         grads["U"] += before.T @ through
-        carry[:n] = (d * z + through @ p["U"].T) * ~fresh[t, :n, None]
-        xs.append(inputs[t, :n])
+        carry[:n] = (d * z + through @ p["U"].T) * ~own.fresh[rows[t], None]
+        xs.append(own.inputs[rows[t]])
         gates.append(np.concatenate([d_z, d_r, d_new], 1))
     x, g = np.concatenate(xs), np.concatenate(gates)
-    grads["W"] += p["E"][x].T @ g
+    order = np.argsort(x, kind="stable")
+    first = np.flatnonzero(np.diff(x[order].astype(np.int32), prepend=-1))
+    by_word, words = np.add.reduceat(g[order], first), x[order[first]]
+    grads["W"] += p["E"][words].T @ by_word
     grads["b"] += g.sum(0)
-    np.add.at(grads["E"], x, g @ p["W"].T)
+    grads["E"][words] += by_word @ p["W"].T
 
 
-def train(p: dict, groups: Iterable[list[np.ndarray]], end: int, window: int = 20, most: int = 256, rate: float = 0.01) -> dict:
-    """The weights after one pass over groups of documents (arrays of slots) by Adam on windows of `window` steps.
+def pieces(docs: list[np.ndarray], end: int, most: int) -> tuple[list[np.ndarray], np.ndarray]:
+    """Documents cut after every `most` tokens, and what precedes each piece: the end token, or the word before."""
+    out = [(d[a : a + most], d[a - 1] if a else end) for d in docs for a in range(0, len(d), most)]
+    return [d for d, _ in out], np.array([f for _, f in out])
 
-    Only one group's lanes are held at a time; there are no more of them than its longest document leaves filled.
+
+def train(p: dict, docs: list[np.ndarray], end: int, window: int = 20, most: int = 256, rate: float = 0.01, longest: int = 4000) -> dict:
+    """The weights after one pass over documents (arrays of slots) by Adam on windows of `window` steps.
+
+    Documents are learned whole, in pieces of at most `longest` tokens, so a long one doesn't run on alone; there are
+    no more lanes than the longest piece leaves filled.
     """
     p = {k: v.copy() for k, v in p.items()}
     mean, square, updates = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
-    for docs in groups:
-        sizes = [len(d) for d in docs]
-        inputs, targets, fresh, _, running = lanes(docs, min(most, -(-sum(sizes) // max(sizes))), end)
-        state = np.zeros((inputs.shape[1], len(p["U"])), np.float32)
-        for a in range(0, len(inputs), window):
-            b = min(a + window, len(inputs))
-            grads = {k: np.zeros_like(v) for k, v in p.items()}
-            states, state, saved = forward(p, p["E"] @ p["W"] + p["b"], inputs[a:b], fresh[a:b], running[a:b], state, keep=True)
-            slots = np.concatenate([targets[t, : running[t]] for t in range(a, b)])
-            _, d_states = log_probabilities(p, states, slots, grads)
-            backward(p, grads, inputs[a:b], fresh[a:b], running[a:b], saved, d_states)
-            updates += 1
-            for k, g in grads.items():
-                g /= len(slots)
-                mean[k] += 0.1 * (g - mean[k])
-                square[k] += 0.01 * (g * g - square[k])
-                p[k] -= rate * (mean[k] / (1 - 0.9**updates)) / (np.sqrt(square[k] / (1 - 0.99**updates)) + 1e-6)
+    docs, first = pieces(docs, end, longest)
+    if not docs:
+        return p
+    own = Lanes(docs, min(most, -(-sum(map(len, docs)) // max(map(len, docs)))), first)
+    state = np.zeros((len(own.length), len(p["U"])), np.float32)
+    for a in range(0, own.steps, window):
+        rows = own.rows(a, a + window)
+        grads = {k: np.zeros_like(v) for k, v in p.items()}
+        states, state, saved = forward(p, p["E"] @ p["W"] + p["b"], own, rows, state, keep=True)
+        slots = own.targets[np.concatenate(rows)]
+        _, d_states = log_probabilities(p, states, slots, grads)
+        backward(p, grads, own, rows, saved, d_states)
+        updates += 1
+        for k, g in grads.items():
+            g /= len(slots)
+            mean[k] += 0.1 * (g - mean[k])
+            square[k] += 0.01 * (g * g - square[k])
+            p[k] -= rate * (mean[k] / (1 - 0.9**updates)) / (np.sqrt(square[k] / (1 - 0.99**updates)) + 1e-6)
     return p
 
 
 def score(p: dict, gates: np.ndarray, docs: list[np.ndarray], end: int, window: int = 96, most: int = 256) -> np.ndarray:
-    """Natural log probability of each document (an array of slots). gates: E @ W + b."""
+    """Natural log probability of each document (an array of slots), its state carried to its end. gates: E @ W + b."""
     out = np.zeros(len(docs))
     if not docs:
         return out
-    inputs, targets, fresh, owner, running = lanes(docs, most, end)
-    state = np.zeros((inputs.shape[1], len(p["U"])), np.float32)
-    for a in range(0, len(inputs), window):
-        b = min(a + window, len(inputs))
-        states, state, _ = forward(p, gates, inputs[a:b], fresh[a:b], running[a:b], state)
-        slots, whose = (np.concatenate([x[t, : running[t]] for t in range(a, b)]) for x in (targets, owner))
-        out += np.bincount(whose, log_probabilities(p, states, slots)[0].astype(np.float64), len(docs))
+    own = Lanes(docs, most, np.full(len(docs), end))
+    state = np.zeros((len(own.length), len(p["U"])), np.float32)
+    for a in range(0, own.steps, window):
+        rows = own.rows(a, a + window)
+        states, state, _ = forward(p, gates, own, rows, state)
+        at = np.concatenate(rows)
+        out += np.bincount(own.owner[at], log_probabilities(p, states, own.targets[at])[0].astype(np.float64), len(docs))
     return out

@@ -1,14 +1,17 @@
 """Language-model scores of whole documents: a smoothed unigram base, and a gated recurrent model.
 
-Counts of all training tokens are aggregated by Spark. The `slots` most frequent words (and the end and unknown
-tokens) are the recurrent model's vocabulary; every other word is an unknown token times the word's smoothed share
-among the rest. Training runs in rounds: every partition trains from the current weights on its part of the round's training
-documents, and the weights are averaged by the number of tokens, in a tree of groups. The rounds take disjoint slices of
-the documents' hashes that add up to all of them, so every training document is learned from once. What training reads
-and gathers grows with the input, while a task's work stays that of its partition.
-
-Counts of at most `table` frequent words and the slots go to all tasks (a fixed bound). Counts of rarer words meet their documents
-in a join, one row for each distinct rare word of a document.
+1. Counts of all training tokens are aggregated by Spark. The `classes` squared less two most frequent words, the end
+   and the unknown token are the recurrent model's slots; every other word is an unknown token times its smoothed share
+   among the rest.
+2. Texts are read once more and become arrays of slots, with the counts of their rarer words, in a table of their own.
+3. Training runs in `rounds` over disjoint parts of the training documents that add up to all of them. A round's
+   documents are dealt by a hash of id and text into shards of about `shard` tokens; every shard trains from the round's
+   first weights, and the weights are averaged by tokens, in a tree. The number of shards grows with the corpus, and
+   neither shards nor their order depend on how the table is partitioned.
+4. Every document is scored from its slots, the state carried from window to window.
+
+Counts of at most `table` frequent words and the slots go to all tasks (a fixed bound). Counts of rarer words meet their
+documents in a join on the word, one row for each distinct rare word of a document.
 
 Defined cases: a null or empty text is its end alone; documents with a null doc_id are neither held out nor learned
 from; rows that repeat doc_id and text get equal scores; without training documents all slots are equally likely and
@@ -22,7 +25,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quern.llm import gru
@@ -68,44 +72,28 @@ def most_frequent(counts: DataFrame, most: int) -> list[tuple[bytes, int]]:
     return sorted(zip(rows.column("word").to_pylist(), rows.column("n").to_pylist()), key=lambda x: (-x[1], x[0]))
 
 
-def averaged(docs: DataFrame, weights: dict, slot_of, end: int, branch: int = 64, blocks: int = 16, group: int = 1_000_000) -> dict:
-    """The weights after every partition of docs has trained from `weights`, in groups of `group` tokens, averaged by tokens."""
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
+def averaged(slots: DataFrame, weights: dict, end: int, branch: int = 64, blocks: int = 16) -> dict:
+    """The weights after every shard of slots (shard, doc_id, text_hash, slots) has trained from `weights`, averaged by tokens."""
+    shared = slots.sparkSession.sparkContext.broadcast(weights)
     sizes = [weights[k].size for k in gru.NAMES]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, unknown = slot_of.value
-        n = 0.0
-
-        def groups() -> Iterator[list[np.ndarray]]:
-            nonlocal n
-            texts, held = [], 0
-            for batch in batches:
-                for some in slices(batch, "text"):
-                    for t in raw(some.column("text")):
-                        texts.append(np.array([own.get(w, unknown) for w in t.translate(LOWER).split()] + [end], np.int32))
-                        held += len(texts[-1])
-                        if held > group:
-                            n += held
-                            yield texts
-                            texts, held = [], 0
-            if texts:
-                n += held
-                yield texts
-
-        trained = gru.train(shared.value, groups(), end)
-        if not n:
-            return
+    def learn(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("doc_id", "ascending"), ("text_hash", "ascending")])
+        docs = [np.frombuffer(x, np.uint16) for x in table.column("slots").to_pylist()]
+        trained, n = gru.train(shared.value, docs, end), float(sum(map(len, docs)))
         flat = np.concatenate([trained[k].ravel() for k in gru.NAMES]).astype(np.float64) * n
-        for i, part in enumerate(np.array_split(np.append(flat, n), blocks)):
-            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([part.tobytes()], pa.binary())], ["block", "total"])
+        parts = np.array_split(np.append(flat, n), blocks)
+        shard = table.column("shard")[0].as_py()
+        return pa.table({"block": np.arange(blocks), "shard": np.full(blocks, shard), "total": pa.array([x.tobytes() for x in parts], pa.binary())})
 
     def add(table: pa.Table) -> pa.Table:
+        table = table.sort_by("shard")
         total = np.sum([np.frombuffer(x) for x in table.column("total").to_pylist()], 0)
-        return pa.table({"block": table.column("block")[:1], "total": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"block": table.column("block")[:1], "shard": table.column("shard")[:1], "total": pa.array([total.tobytes()], pa.binary())})
 
-    rows = docs.mapInArrow(run, "block long, total binary").withColumn("branch", F.pmod(F.spark_partition_id(), F.lit(branch)))
-    sums = rows.groupBy("block", "branch").applyInArrow(add, "block long, total binary").groupBy("block").applyInArrow(add, "block long, total binary").collect()
+    kind = "block long, shard long, total binary"
+    rows = slots.groupBy("shard").applyInArrow(learn, kind)
+    sums = rows.withColumn("branch", F.pmod("shard", F.lit(branch))).groupBy("block", "branch").applyInArrow(add, kind).groupBy("block").applyInArrow(add, kind).collect()
     if not sums:
         return weights
     flat = np.concatenate([np.frombuffer(r["total"]) for r in sorted(sums, key=lambda r: r["block"])])
@@ -114,94 +102,107 @@ def averaged(docs: DataFrame, weights: dict, slot_of, end: int, branch: int = 64
     return {k: x.reshape(weights[k].shape) for k, x in zip(gru.NAMES, parts)}
 
 
-def score_texts(docs: DataFrame, folds: int = 5, fold: int = 1, classes: int = 48, hidden: int = 16, inputs: int = 16, table: int = 100_000, rounds: int = 3, share: float = 1.0) -> DataFrame:
+def learned_weights(slots: DataFrame, weights: dict, end: int, rounds: int, shard: int) -> dict:
+    """The weights after training on all rows of slots (doc_id, text_hash, n_tokens, slots), once each."""
+    for r in range(rounds):
+        part = slots.where(F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(rounds)) == r)
+        shards = max(1, -(-(part.agg(F.sum("n_tokens")).first()[0] or 0) // shard))
+        dealt = part.withColumn("shard", F.pmod(F.xxhash64("text_hash", "doc_id"), F.lit(shards)))
+        weights = averaged(dealt.select("shard", "doc_id", "text_hash", "slots"), weights, end)
+    return weights
+
+
+def encoded(texts: DataFrame, vocabulary) -> DataFrame:
+    """texts (doc_id, text_hash, held_out, learned, text) as slots, with what the tables of counts say of their tokens.
+
+    vocabulary: a broadcast of (word -> place in the next two, log10 of count + 0.5, slot); the unknown slot is the last.
+    common and outside sum the logs of known words, and of those beyond the slots; words and times list the rare words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, logs, slot = vocabulary.value
+        get, unknown = place.get, len(logs) - 1
+        beyond, row = slot == slot[unknown], TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for some in slices(batch, "text", 2 << 20):
+                found: list[tuple] = []
+                for text in raw(some.column("text")):
+                    words = text.translate(LOWER).split()
+                    at = np.fromiter((get(w, unknown) for w in words), np.int32, len(words))
+                    at = np.append(at, place[END])
+                    rare = at == unknown
+                    seldom = Counter([words[i] for i in np.flatnonzero(rare)])
+                    outside = beyond[at]
+                    found.append((len(at), int(len(at) - rare.sum()), int(outside.sum()), float(logs[at].sum()), float(logs[at[outside]].sum()), slot[at].tobytes(), list(seldom), list(seldom.values())))
+                kept = {c: some.column(c) for c in ("doc_id", "text_hash", "held_out", "learned")}
+                ids = pa.array(np.arange(row, row + len(some)))
+                row += len(some)
+                kinds = [pa.int64()] * 3 + [pa.float64()] * 2 + [pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
+                cols = [pa.array(x, k) for x, k in zip(zip(*found), kinds)]
+                yield pa.RecordBatch.from_arrays([ids, *kept.values(), *cols], ["row", *kept, "n_tokens", "n_common", "n_outside", "common", "outside", "slots", "words", "times"])
+
+    schema = "row long, doc_id long, text_hash long, held_out boolean, learned boolean, n_tokens long, n_common long, n_outside long, common double, outside double, slots binary, words array<binary>, times array<long>"
+    return spread(texts).mapInArrow(run, schema)
+
+
+def modelled(rows: DataFrame, weights: dict, end: int) -> DataFrame:
+    """rows with `model`, the recurrent model's log10 probability of their slots, instead of slots."""
+    shared = rows.sparkSession.sparkContext.broadcast((weights, weights["E"] @ weights["W"] + weights["b"]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights, gates = shared.value
+        for batch in batches:
+            for some in slices(batch, "slots", 2 << 20):  # many documents at once fill the lanes beside a long one
+                found = gru.score(weights, gates, [np.frombuffer(x, np.uint16) for x in some.column("slots").to_pylist()], end) / math.log(10)
+                kept = {c: some.column(c) for c in some.schema.names if c != "slots"}
+                yield pa.RecordBatch.from_arrays([*kept.values(), pa.array(found)], [*kept, "model"])
+
+    return rows.mapInArrow(run, rows.drop("slots").schema.add("model", "double"))
+
+
+def score_texts(docs: DataFrame, folds: int = 5, fold: int = 1, classes: int = 48, hidden: int = 16, inputs: int = 16, table: int = 100_000, rounds: int = 3, shard: int = 1_000_000) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row, in log10.
 
     Documents whose crc32(doc_id) modulo `folds` is `fold` are held out. classes: of the output, and words of a class.
-    Each round learns from `share` of its own slice, one of `rounds`, of the training documents.
     """
     spark = docs.sparkSession
     kept = remainder("doc_id", folds)
     texts = texts_of(docs)
-    learned = texts.where(kept != fold)
-    counts = stored(token_counts(learned))
+    counts = stored(token_counts(texts.where(kept != fold)))
     totals = counts.agg(F.sum("n").alias("tokens"), F.count("*").alias("kinds")).first()
     tokens, kinds = totals["tokens"] or 0, totals["kinds"]
-    slots = classes * classes
-    # The end token first, then exactly the most frequent words; the table holds them all.
-    top = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.length("word") > 0, F.desc("n"), "word").limit(slots - 1).collect()]
+    # The end token first, then exactly the most frequent words.
+    top = [(bytes(r["word"]), r["n"]) for r in counts.orderBy(F.length("word") > 0, F.desc("n"), "word").limit(classes * classes - 1).collect()]
     words = [END, *[w for w, _ in top if w != END]]
-    own, unknown = {w: i for i, w in enumerate(words)}, len(words)
-    frequency = np.zeros(slots)
-    known = dict(most_frequent(counts, table)) | dict(top)
-    frequency[: len(words)] = [known.get(w, 0) for w in words]
-    rest = max(0, tokens - int(frequency.sum()))
+    known = {END: 0} | dict(top)
+    rest, rest_kinds = tokens - sum(known.values()), kinds - sum(n > 0 for n in known.values())
+    frequency = np.zeros(classes * classes)
+    frequency[: len(words)] = [known[w] for w in words]
+    unknown = len(words)
     frequency[unknown] = rest
-    rest_kinds = max(0, kinds - sum(w in known for w in words))
-    slot_of = spark.sparkContext.broadcast((own, unknown))
-    weights = gru.initial(frequency, classes, hidden, inputs)
-    for r in range(rounds):
-        place = F.pmod(F.xxhash64("doc_id"), F.lit(rounds << 20)) - (r << 20)
-        weights = averaged(learned.where((place >= 0) & (place < int(share * (1 << 20)))), weights, slot_of, own[END])
-
-    model = spark.sparkContext.broadcast((weights, weights["E"] @ weights["W"] + weights["b"], known))
-    keyed = texts.withColumns({"text_hash": F.xxhash64("text"), "held_out": F.coalesce(kept == fold, F.lit(False))})
-
-    def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = model.value[2]
-        for batch in batches:
-            for some in slices(batch, "text"):
-                row, word, times = [], [], []
-                for i, text in enumerate(raw(some.column("text"))):
-                    found = Counter([w for w in text.translate(LOWER).split() if w not in known])
-                    row += [i] * len(found)
-                    word += found.keys()
-                    times += found.values()
-                at = pa.array(row, pa.int64())
-                yield pa.RecordBatch.from_arrays([some.column("doc_id").take(at), some.column("text_hash").take(at), pa.array(word, pa.binary()), pa.array(times, pa.int64())], ["doc_id", "text_hash", "word", "times"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weights, gates, known = model.value
-        own, unknown = slot_of.value
-        log = {w: math.log10(n + 0.5) for w, n in known.items()}
-        for batch in batches:
-            for some in slices(batch, "text", 8 << 20):  # many documents at once fill the lanes beside a long one
-                slots, logs = [], []
-                for text in raw(some.column("text")):
-                    words = text.translate(LOWER).split()
-                    words.append(END)
-                    slots.append(np.array([own.get(w, unknown) for w in words], np.int32))
-                    logs.append(np.array([log.get(w, np.nan) for w in words]))
-                common = [~np.isnan(x) for x in logs]
-                outside = [s == unknown for s in slots]
-                cols = {
-                    "n_tokens": [len(s) for s in slots],
-                    "n_common": [int(c.sum()) for c in common],
-                    "n_outside": [int(o.sum()) for o in outside],
-                    "base": [float(x[c].sum()) for x, c in zip(logs, common)],
-                    "outside": [float(x[c & o].sum()) for x, c, o in zip(logs, common, outside)],
-                    "model": gru.score(weights, gates, slots, own[END]) / math.log(10),
-                }
-                kept = {c: some.column(c) for c in ("doc_id", "text_hash", "held_out")}
-                yield pa.RecordBatch.from_arrays([*kept.values(), *(pa.array(v) for v in cols.values())], [*kept, *cols])
-
-    long = spread(keyed.select("doc_id", "text_hash", "held_out", "text"))
-    scored = long.mapInArrow(run, "doc_id long, text_hash long, held_out boolean, n_tokens long, n_common long, n_outside long, base double, outside double, model double")
-    seldom = spread(keyed.select("doc_id", "text_hash", "text")).mapInArrow(rare, "doc_id long, text_hash long, word binary, times long").withColumn("hash", F.xxhash64("word")).drop("word")
-    found = seldom.join(counts.select(F.xxhash64("word").alias("hash"), "n"), "hash", "left").fillna(0, ["n"])
-    sums = found.groupBy("doc_id", "text_hash").agg(F.sum(F.col("times") * F.log10(F.col("n") + 0.5)).alias("rare"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("n_rare"))
-
-    # Rows that repeat a document have added up their rare words.
-    copies = F.count("*").over(Window.partitionBy("doc_id", "text_hash"))
-    both = scored.withColumn("copies", copies).alias("s").join(sums.alias("r"), F.col("s.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("s.text_hash") == F.col("r.text_hash")), "left")
-    rare_sum, rare_known = F.coalesce(F.col("rare") / F.col("copies"), F.lit(0.0)), F.coalesce(F.col("n_rare") / F.col("copies"), F.lit(0)).cast("long")
+    known |= dict(most_frequent(counts, table))
+    logs = np.log10(np.array([n + 0.5 for n in known.values()] + [1.0]))
+    slot = np.full(len(known) + 1, unknown, np.uint16)
+    places = {w: i for i, w in enumerate(known)}
+    slot[[places[w] for w in words]] = np.arange(len(words))
+    vocabulary = spark.sparkContext.broadcast((places, logs, slot))
+
+    keyed = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), F.coalesce(kept == fold, F.lit(False)).alias("held_out"), F.coalesce(kept != fold, F.lit(False)).alias("learned"), "text")
+    rows = stored(encoded(keyed, vocabulary))
+    weights = learned_weights(rows.where("learned"), gru.initial(frequency, classes, hidden, inputs), 0, rounds, shard)
+
+    scored = modelled(rows.drop("learned", "words", "times", "text_hash"), weights, 0)
+    seldom = rows.where("size(words) > 0").select("row", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("times").alias("times")))).toDF("row", "word", "times")
+    found = seldom.join(counts, "word", "left").fillna(0, ["n"])
+    sums = found.groupBy("row").agg(F.sum(F.col("times") * F.log10(F.col("n") + 0.5)).alias("rare"), F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("n_rare"))
+    both = scored.join(sums, "row", "left").fillna(0, ["rare", "n_rare"])
     base_log, rest_log = math.log10(tokens + 0.5 * (kinds + 1)), math.log10(rest + 0.5 * (rest_kinds + 1))
     return both.select(
-        F.col("s.doc_id").alias("doc_id"),
+        "doc_id",
         "held_out",
         "n_tokens",
-        (F.col("n_common") + rare_known).alias("n_known"),
+        (F.col("n_common") + F.col("n_rare") - (0 if known[END] else 1)).alias("n_known"),
         F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + rare_sum - F.col("n_tokens") * base_log).alias("base_score"),
-        (F.col("model") + F.col("outside") + rare_sum - F.col("n_outside") * rest_log).alias("score"),
+        (F.col("common") + F.col("rare") - F.col("n_tokens") * base_log).alias("base_score"),
+        (F.col("model") + F.col("outside") + F.col("rare") - F.col("n_outside") * rest_log).alias("score"),
     )

@@ -418,13 +418,14 @@ def test_gradients():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in gru.initial(np.arange(1, 10.0), 3, 4, 5).items()}
     p |= {k: rng.standard_normal(p[k].shape) * 0.5 for k in ("E", "Wc", "Wo", "b")}
-    inputs, targets, fresh, _, running = gru.lanes([rng.integers(0, 9, n) for n in (7, 3, 5, 1)], 2, 0)
-    slots = np.concatenate([targets[t, : running[t]] for t in range(len(running))])
-    run = lambda keep=False: gru.forward(p, p["E"] @ p["W"] + p["b"], inputs, fresh, running, np.zeros((inputs.shape[1], 4)), keep)
+    own = gru.Lanes([rng.integers(0, 9, n) for n in (7, 3, 5, 1)], 2, np.zeros(4, int))
+    rows = own.rows(0, own.steps)
+    slots = own.targets[np.concatenate(rows)]
+    run = lambda keep=False: gru.forward(p, p["E"] @ p["W"] + p["b"], own, rows, np.zeros((2, 4)), keep)
     loss = lambda: -gru.log_probabilities(p, run()[0], slots)[0].sum()
     grads = {k: np.zeros_like(v) for k, v in p.items()}
     states, _, saved = run(True)
-    gru.backward(p, grads, inputs, fresh, running, saved, gru.log_probabilities(p, states, slots, grads)[1])
+    gru.backward(p, grads, own, rows, saved, gru.log_probabilities(p, states, slots, grads)[1])
     for k in p:
         for _ in range(6):
             at, e = tuple(rng.integers(0, s) for s in p[k].shape), 1e-5
@@ -437,44 +438,101 @@ def test_gradients():
             assert abs((up - down) / (2 * e) - grads[k][at]) < 1e-4 * (1 + abs(grads[k][at]))
 
 
+def forward_score(p, doc, end):
+    """Natural log probability of a document, one token at a time, with plain formulas."""
+    h, total, before = np.zeros(len(p["U"])), 0.0, end
+    logistic, softmax = lambda x: 1 / (1 + np.exp(-x)), lambda x: np.exp(x) / np.exp(x).sum()
+    n, words = len(h), p["bo"].shape[1]
+    for token in np.asarray(doc, int):
+        x, u = p["E"][before] @ p["W"] + p["b"], h @ p["U"]
+        z, r = logistic(x[:n] + u[:n]), logistic(x[n : 2 * n] + u[n : 2 * n])
+        h = z * h + (1 - z) * np.tanh(x[2 * n :] + r * u[2 * n :])
+        c, w = divmod(int(token), words)
+        total += np.log(softmax(h @ p["Wc"] + p["bc"])[c]) + np.log(softmax(h @ p["Wo"][c] + p["bo"][c])[w])
+        before = token
+    return total
+
+
 def test_scores_do_not_depend_on_windows_and_lanes():
     rng = np.random.default_rng(1)
     p = gru.initial(np.arange(1, 10.0), 3, 4, 5)
     docs, gates = [rng.integers(0, 9, n) for n in (70, 3, 5, 1)], p["E"] @ p["W"] + p["b"]
-    assert np.allclose(gru.score(p, gates, docs, 0), [gru.score(p, gates, [d], 0, window=3, most=1)[0] for d in docs], atol=1e-3)
+    want = [forward_score(p, d, 0) for d in docs]
+    assert np.allclose(gru.score(p, gates, docs, 0), want, atol=1e-3)
+    assert np.allclose([gru.score(p, gates, [d], 0, window=3, most=1)[0] for d in docs], want, atol=1e-3)
+
+
+def test_a_very_long_document_needs_memory_for_its_tokens_only():
+    import tracemalloc
+
+    p = gru.initial(np.arange(1, 10.0), 3, 4, 5)
+    rng = np.random.default_rng(2)
+    docs = [rng.integers(0, 9, n).astype(np.uint16) for n in [60_000, *[50] * 255]]
+    tracemalloc.start()
+    gru.score(p, p["E"] @ p["W"] + p["b"], docs, 0)
+    gru.train(p, docs, 0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 << 20  # lanes padded to the longest would take 200 MB
+
+
+def test_training_pieces_cover_every_token():
+    docs = [np.arange(10), np.arange(3), np.arange(8)]
+    parts, first = gru.pieces(docs, 99, 4)
+    assert np.concatenate(parts).tolist() == np.concatenate(docs).tolist() and max(map(len, parts)) == 4
+    assert first.tolist() == [99, 3, 7, 99, 99, 3]
 
 
-def test_language_model(spark, docs, empty):
+def test_language_model(spark, docs, empty, monkeypatch):
     lists = {i: [*words(t), None] for i, t in TEXTS.items()}
     learned = Counter(w for i, *_ in corpus() if i is not None and zlib.crc32(str(i).encode()) % 5 != 1 for w in lists[i])
     total, kinds = sum(learned.values()), len(learned)
+    order = [None, *sorted((w for w in learned if w is not None), key=lambda w: (-learned[w], w.encode()))[: 6 * 6 - 2]]
+    fixed = gru.initial(np.arange(1, 37.0), 6, 5, 4, seed=9)
+    monkeypatch.setattr(lm, "learned_weights", lambda *a: fixed)
+    rest, rest_kinds = total - sum(learned[w] for w in order), kinds - len(order)
     for table in (200_000, 60):
-        got = by_id(lm.score_texts(docs, table=table, rounds=1, share=0.5))
+        got = by_id(lm.score_texts(docs, table=table, classes=6))
         assert set(got) == set(TEXTS)
         for i, rows in got.items():
             base = sum(math.log10((learned[w] + 0.5) / (total + 0.5 * (kinds + 1))) for w in lists[i])
+            slots = [order.index(w) if w in order else len(order) for w in lists[i]]
+            score = forward_score(fixed, slots, 0) / math.log(10) + sum(math.log10((learned[w] + 0.5) / (rest + 0.5 * (rest_kinds + 1))) for w in lists[i] if w not in order)
             for r in rows:
                 assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (len(lists[i]), sum(learned[w] > 0 for w in lists[i]), total)
-                assert abs(r["base_score"] - base) < 1e-6 * abs(base) and r["score"] < 0
+                assert abs(r["base_score"] - base) < 1e-6 * abs(base) and abs(r["score"] - score) < 1e-3 + 1e-5 * abs(score)
                 assert r["held_out"] == (i is not None and zlib.crc32(str(i).encode()) % 5 == 1)
     assert lm.score_texts(empty).count() == 0
+    assert [tuple(r)[2:5] for r in lm.score_texts(docs.where("doc_id IS NULL")).collect()] == [(4, 0, 0)]
 
 
 def test_language_model_learns_from_every_training_document(spark, docs, monkeypatch):
-    seen, vocabularies = [], []
+    seen = []
 
-    def averaged(part, weights, slot_of, end):
-        seen.extend(r["doc_id"] for r in part.collect())
-        vocabularies.append(slot_of.value[0])
+    def averaged(part, weights, end):
+        seen.extend(part.collect())
         return weights
 
     monkeypatch.setattr(lm, "averaged", averaged)
-    lm.score_texts(docs, table=10)
+    lm.score_texts(docs, table=10, shard=300)
     ids = [i for i, *_ in corpus() if i is not None and zlib.crc32(str(i).encode()) % 5 != 1]
-    assert sorted(seen) == sorted(ids)
+    assert sorted(r["doc_id"] for r in seen) == sorted(ids) and len({r["shard"] for r in seen}) > 3
     learned = Counter(w for i in ids for w in words(TEXTS[i]))
     most = sorted(learned, key=lambda w: (-learned[w], w.encode()))[: 48 * 48 - 2]
-    assert len(vocabularies) == 3 and all(list(v) == [b"", *(w.encode() for w in most)] for v in vocabularies)
+    slot = {w: n for n, w in enumerate(most, 1)}
+    for r in seen:
+        assert np.frombuffer(r["slots"], np.uint16).tolist() == [*(slot.get(w, len(most) + 1) for w in words(TEXTS[r["doc_id"]])), 0]
+
+
+def test_language_model_scores_do_not_depend_on_partitions_and_beat_the_base(spark):
+    rng = random.Random(10)
+    kinds = ["alpha beta gamma delta", "one two three four five", "red green blue", "sun moon star sky"]
+    rows = [(i, " ".join(rng.choice(kinds) for _ in range(rng.randint(1, 40)))) for i in range(1500)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    one, other = ({r["doc_id"]: r for r in lm.score_texts(table.repartition(n, "text"), shard=20_000).collect()} for n in (1, 5))
+    assert all(abs(one[i]["score"] - other[i]["score"]) < 1e-4 * abs(one[i]["score"]) for i in one)
+    held = [r for r in one.values() if r["held_out"]]
+    assert sum(r["score"] for r in held) > 0.8 * sum(r["base_score"] for r in held)  # both are negative
 
 
 # The pipeline
