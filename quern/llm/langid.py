@@ -6,13 +6,12 @@ maximisation estimates which share of the text's trigrams each language explains
 nested one (languages added by share) with the best likelihood less a penalty for each language. lang_pred is the
 language with the largest share of that set, score its share.
 
-Defined cases: a null text, or one without any letter, is `und` with score 0; so is every text if nothing can be
+Defined cases: a null text, or one without any letter (Unicode category L), is `und` with score 0; so is every text if nothing can be
 learned from. Null langs are not learned from. A null doc_id has no remainder: it is not held out, nor learned from.
 Ties go to the alphabetically first language. Repeated rows count each. Empty tables give no rows; other columns of
 the table are ignored.
 """
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,11 +25,15 @@ from quern.scratch import spread
 
 UNKNOWN = "und"
 BUCKETS = 1 << 15
-LETTER = re.compile(r"[^\W\d_]")
 #: Bytes that are no part of a letter count as one space.
 LETTERS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """Whether any character is a letter by its Unicode category (number signs such as one half are none)."""
+    return any(map(str.isalpha, text))
+
+
 def trigrams(text: str) -> np.ndarray:
     """Bucket of every byte trigram of the lower-cased text."""
     b = np.frombuffer(b" " + text.lower().encode().translate(LETTERS) + b"  ", np.uint8).astype(np.uint32)
@@ -117,7 +120,7 @@ def identify(docs: DataFrame, folds: int = 3, fold: int = 1, bound: int = 10_000
             for some in slices(batch, "text"):
                 names, scores, sets = [], [], []
                 for text in some.column("text").to_pylist():
-                    if not langs or not LETTER.search(text):
+                    if not langs or not has_letter(text):
                         names.append(UNKNOWN)
                         scores.append(0.0)
                         sets.append("")

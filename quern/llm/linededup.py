@@ -1,24 +1,26 @@
 """Line deduplication by content-defined chunks, in DataFrame operations only.
 
-A text's lines are hashed; a rolling hash over `window` neighbouring line hashes that is divisible by `divisor` ends a
-chunk after its last line. Boundaries thus depend on nearby lines alone, and an inserted line shifts none further on.
+A text's lines are hashed; a rolling hash over one line hash (the next line's) or two (the last two lines') puts lines
+into residue classes modulo `divisor`. In the chunking (r, s) a chunk begins before every line of class r and ends after
+every pair of lines of class s, so boundaries depend on nearby lines alone and an inserted line shifts none further on.
+Every pair of classes gives a chunking of its own; a passage that one of them doesn't isolate is isolated by another.
 Chunks of two lines or more whose hash occurs again anywhere are compared byte by byte; of equal chunks the first one
-(by doc_id, then place) stays and the others go.
+(by doc_id, then place) stays, and the lines of the others go. A removed line has an equal one at an earlier place, so
+the first copy of every line stays whatever the chunkings remove.
 
-Hashes are counted before any text moves; only chunks with a repeated hash travel with their text, and equal ones are
-pre-aggregated. The table of repeated hashes is broadcast only while it is small, else joined by shuffle.
+Chunk hashes are counted before any text moves, and are made of line hashes. Only chunks with a repeated hash travel
+with their text, once a distinct text and partition; their occurrences then meet by hash. Tables of repeated hashes are
+broadcast only while they are small, and frequent hashes apart from the others.
 
 Defined cases: null and empty texts are one empty line; a single line is no chunk and always stays; rows that repeat
 both doc_id and text count as one row and lose nothing to each other; a row with a null doc_id can't be ordered, so it
 stays whole and repeats nothing; empty tables give no rows; other columns of the table are passed through.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.scratch import stored
-
-BROADCAST_ROWS = 1_000_000
+from quern.scratch import joined, small, stored
 
 
 def pinned(df: DataFrame, **expressions: str) -> DataFrame:
@@ -27,54 +29,75 @@ def pinned(df: DataFrame, **expressions: str) -> DataFrame:
     return df.select("*", F.expr(f"inline(array(struct({fields})))"))
 
 
-def lined(docs: DataFrame, window: int, divisor: int) -> DataFrame:
-    """docs as (own0, own1, ...: its columns by place, doc_id, text_hash, lines, chunks): chunks are (start, stop) line numbers, stop excluded."""
-    rolling = " + ".join(f"get(hashes, i - {j}) * {31 ** j}" for j in range(window))
+def lined(docs: DataFrame, divisor: int) -> DataFrame:
+    """docs as (own0, own1, ...: its columns by place, doc_id, text_hash, lines, chunks): chunks are (start, stop, hash), stop excluded."""
     key, text = (f"own{docs.columns.index(c)}" for c in ("doc_id", "text"))
     rows = docs.toDF(*[f"own{i}" for i in range(len(docs.columns))])
     rows = rows.select("*", F.col(key).cast("long").alias("doc_id"), F.expr(f"xxhash64(coalesce({text}, ''))").alias("text_hash"))
     rows = pinned(rows, lines=f"split(coalesce({text}, ''), '\n')")
     rows = pinned(rows, hashes="transform(lines, l -> CAST(conv(substr(md5(CAST(l AS BINARY)), 1, 8), 16, 10) AS BIGINT))")
-    rows = pinned(rows, stops=f"transform(filter(sequence(0, size(hashes) - 1), i -> i = size(hashes) - 1 OR (i >= {window - 1} AND ({rolling}) % {divisor} = 0)), i -> i + 1)").drop("hashes")
-    return pinned(rows, chunks="filter(transform(stops, (e, i) -> struct(IF(i = 0, 0, get(stops, i - 1)) AS start, e AS stop)), c -> c.stop - c.start > 1)").drop("stops")
+    places = "filter(sequence(1, size(hashes) - 1), i -> i > 0 AND i < size(hashes) AND ({}))"
+    opens = f"(get(hashes, i) * 17 + 5) div 16 % {divisor}"
+    shuts = f"(i > 1 AND (get(hashes, i - 2) * 31 + get(hashes, i - 1)) % {divisor} = {{s}})"
+    stops = {f"stops{r}{s}": f"array_append({places.format(f'{opens} = {r} OR ' + shuts.format(s=s))}, size(hashes))" for r in range(divisor) for s in range(divisor)}
+    rows = pinned(rows, **stops)
+    # A range as one number, since distinct numbers are found by hashing and distinct structs by comparing all.
+    chunk = "transform(filter(transform({0}, (e, i) -> struct(IF(i = 0, 0, get({0}, i - 1)) AS start, e AS stop)), c -> c.stop - c.start > 1), c -> c.start * 4294967296 + c.stop)"
+    rows = pinned(rows, ranges=f"array_distinct(concat({', '.join(chunk.format(name) for name in stops)}))").drop(*stops)
+    rows = pinned(rows, ends="transform(ranges, c -> struct(CAST(c div 4294967296 AS INT) AS start, CAST(c % 4294967296 AS INT) AS stop))").drop("ranges")
+    return pinned(rows, chunks="transform(ends, c -> struct(c.start AS start, c.stop AS stop, xxhash64(slice(hashes, c.start + 1, c.stop - c.start)) AS hash))").drop("ends", "hashes")
 
 
 def repeated_chunks(rows: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, gone): the sorted line ranges that each document loses."""
-    bodies = "transform(chunks, c -> struct(c AS chunk, array_join(slice(lines, c.start + 1, c.stop - c.start), '\n') AS body))"
-    chunks = rows.where("doc_id IS NOT NULL").select("doc_id", "text_hash", F.expr(f"inline({bodies})")).withColumn("hash", F.xxhash64("body"))
-    again = stored(chunks.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"))
-    few = again.count() <= BROADCAST_ROWS
-    found = chunks.join(F.broadcast(again) if few else again.hint("shuffle_hash"), "hash")
-    first = found.groupBy("hash", "body").agg(F.min(F.struct("doc_id", F.col("chunk.start").alias("start"))).alias("first"))
-    gone = found.join(first, ["hash", "body"]).where("struct(doc_id, chunk.start) > first")
-    return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("chunk")).alias("gone"))
-
-
-def dedup_lines(docs: DataFrame, window: int = 2, divisor: int = 3) -> DataFrame:
+    """(doc_id, text_hash, gone): the line ranges that each document loses, sorted, disjoint."""
+    chunks = rows.where("doc_id IS NOT NULL").select("doc_id", "text_hash", "lines", "chunks")
+    counted = chunks.select(F.expr("inline(chunks)")).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
+    again = stored(counted)
+    # Bodies are made in the scan and leave it only if their hash is repeated.
+    bodies = chunks.select("doc_id", "text_hash", F.expr("inline(transform(chunks, c -> struct(c.hash AS hash, c.start AS start, c.stop AS stop, array_join(slice(lines, c.start + 1, c.stop - c.start), '\n') AS body)))"))
+    found = bodies.join(small(again.select("hash")), "hash")
+    distinct = found.groupBy("hash", "body").agg(F.min(F.struct("doc_id", "start")).alias("first"))
+    kinds = distinct.groupBy("hash").agg(F.count("*").alias("kinds"), F.min("first").alias("first"))
+    firsts = stored(kinds.join(again, "hash"))
+    narrow = chunks.select("doc_id", "text_hash", F.expr("inline(chunks)"))
+    met = joined(narrow, firsts.where("kinds = 1").drop("kinds"), ["hash"]).select("doc_id", "text_hash", "start", "stop", "first")
+    # Chunks whose hash several texts have are told apart by their bytes.
+    several = firsts.where("kinds > 1").select("hash")
+    if not several.isEmpty():
+        unlike = found.join(several, "hash", "left_semi").join(distinct, ["hash", "body"]).select("doc_id", "text_hash", "start", "stop", "first")
+        met = met.unionByName(unlike)
+    gone = met.where("struct(doc_id, start) > first").select("doc_id", "text_hash", "start", "stop").distinct()
+    # Ranges of several chunkings overlap: each goes on where those before it have ended.
+    before = Window.partitionBy("doc_id", "text_hash").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
+    gone = gone.withColumn("start", F.greatest("start", F.coalesce(F.max("stop").over(before), F.lit(0)))).where("start < stop")
+    return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("gone"))
+
+
+def dedup_lines(docs: DataFrame, divisor: int = 3) -> DataFrame:
     """docs with their remaining text, plus n_lines, n_chunks, n_removed (lines) as columns of a struct `lines_report`."""
-    rows = lined(docs, window, divisor)
-    joined = rows.join(repeated_chunks(rows), ["doc_id", "text_hash"], "left")
-    joined = pinned(joined.withColumnRenamed("gone", "listed"), gone="coalesce(listed, array())")
+    rows = lined(docs, divisor)
+    joined_rows = rows.join(repeated_chunks(rows), ["doc_id", "text_hash"], "left")
+    joined_rows = pinned(joined_rows.withColumnRenamed("gone", "ranges"), gone="coalesce(ranges, array())")
     stays = "transform(sequence(0, size(gone)), i -> struct(IF(i = 0, 0, get(gone, i - 1).stop) AS start, IF(i = size(gone), size(lines), get(gone, i).start) AS stop))"
-    kept = F.expr(f"array_join(flatten(transform({stays}, s -> slice(lines, s.start + 1, s.stop - s.start))), '\\n')")
+    kept = F.expr(f"array_join(flatten(transform({stays}, s -> slice(lines, s.start + 1, s.stop - s.start))), '\n')")
     report = F.struct(F.expr("CAST(size(lines) AS BIGINT)").alias("n_lines"), F.expr("CAST(size(chunks) AS BIGINT)").alias("n_chunks"), F.expr("CAST(aggregate(gone, 0, (n, c) -> n + c.stop - c.start) AS BIGINT)").alias("n_removed"))
     columns = [(kept if c == "text" else F.col(f"own{i}")).alias(c) for i, c in enumerate(docs.columns)]
-    return joined.select(*columns, report.alias("lines_report"))
+    return joined_rows.select(*columns, report.alias("lines_report"))
 
 
-def sql(window: int = 2, divisor: int = 3) -> str:
+def sql(divisor: int = 3) -> str:
     """The op5 query in DuckDB SQL."""
-    assert window == 2
     return f"""
 WITH e AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents),
 h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS v FROM e),
-b AS (SELECT *, CASE WHEN i > 1 AND (lag(v) OVER (PARTITION BY doc_id ORDER BY i) * 31 + v) % {divisor} = 0 THEN 1 ELSE 0 END AS cut FROM h),
-c AS (SELECT *, coalesce(sum(cut) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM b),
-k AS (SELECT doc_id, chunk, min(i) AS start, count(*) AS m, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY doc_id, chunk),
-f AS (SELECT *, m > 1 AND row_number() OVER (PARTITION BY body, m > 1 ORDER BY doc_id, start) > 1 AS gone FROM k)
-SELECT doc_id, CAST(sum(m) AS BIGINT) AS n_lines, CAST(count(*) FILTER (m > 1) AS BIGINT) AS n_chunks,
-    CAST(coalesce(sum(m) FILTER (gone), 0) AS BIGINT) AS n_removed,
-    sha256(coalesce(string_agg(body, chr(10) ORDER BY start) FILTER (NOT gone), '')) AS kept_sha256
-FROM f GROUP BY doc_id
+m AS (SELECT doc_id, i, line, i > 1 AS inner_line, (v * 17 + 5) // 16 % {divisor} AS opens,
+    CASE WHEN i > 2 THEN (lag(v, 2) OVER (PARTITION BY doc_id ORDER BY i) * 31 + lag(v) OVER (PARTITION BY doc_id ORDER BY i)) % {divisor} ELSE -1 END AS shuts FROM h),
+b AS (SELECT m.*, r.r * {divisor} + s.s AS chunking, CASE WHEN inner_line AND (opens = r.r OR shuts = s.s) THEN 1 ELSE 0 END AS cut FROM m, range({divisor}) r(r), range({divisor}) s(s)),
+c AS (SELECT *, sum(cut) OVER (PARTITION BY doc_id, chunking ORDER BY i) AS chunk FROM b),
+k AS (SELECT DISTINCT doc_id, min(i) AS start, max(i) AS stop, string_agg(line, chr(10) ORDER BY i) AS body FROM c GROUP BY doc_id, chunking, chunk HAVING count(*) > 1),
+f AS (SELECT *, row_number() OVER (PARTITION BY body ORDER BY doc_id, start) > 1 AS gone FROM k),
+g AS (SELECT DISTINCT doc_id, unnest(range(start, stop + 1)) AS i FROM f WHERE gone),
+n AS (SELECT doc_id, count(*) AS n_chunks FROM k GROUP BY doc_id),
+t AS (SELECT e.doc_id, count(*) AS n_lines, count(g.i) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY e.i) FILTER (g.i IS NULL), '') AS kept FROM e LEFT JOIN g USING (doc_id, i) GROUP BY e.doc_id)
+SELECT t.doc_id, n_lines, coalesce(n_chunks, 0) AS n_chunks, n_removed, sha256(kept) AS kept_sha256 FROM t LEFT JOIN n USING (doc_id)
 """

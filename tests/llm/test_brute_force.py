@@ -173,13 +173,13 @@ def test_language_identification(spark, empty):
     sound = {"aa": ["ka", "ta", "na", "ra"], "bb": ["lo", "mi", "sü", "pe"], "cc": ["gru", "bro", "dze", "fle"]}
     say = lambda lang, n: " ".join("".join(rng.choice(sound[lang]) for _ in range(3)) for _ in range(n))
     rows = [(i, say(lang := "abc"[i % 3] * 2, rng.randint(5, 80)), lang) for i in range(240)]
-    mixed = [(1000, say("aa", 60) + " " + say("bb", 30), None), (1001, None, "aa"), (1002, "123 !?", "bb"), (1003, "", None), (None, say("cc", 20), None), (1004, say("bb", 9000), None)]
+    mixed = [(1000, say("aa", 60) + " " + say("bb", 30), None), (1001, None, "aa"), (1002, "123 !?", "bb"), (1003, "", None), (None, say("cc", 20), None), (1004, say("bb", 9000), None), (1005, "\u00bd \u00b2 \u2460 \u2167", "aa")]
     got = by_id(langid.identify(spark.createDataFrame(rows + mixed, "doc_id long, text string, lang string")))
     held = [i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 3 == 1]
     assert [i for i in got if got[i][0]["held_out"] and i is not None and i < 1000] and all(got[i][0]["held_out"] for i in held)
     assert all(got[i][0]["lang_pred"] == lang for i, _, lang in rows)
     assert got[1000][0]["langs"] == "aa,bb" and 0.5 < got[1000][0]["score"] < 0.8
-    assert [got[i][0]["lang_pred"] for i in (1001, 1002, 1003, None, 1004)] == ["und", "und", "und", "cc", "bb"]
+    assert [got[i][0]["lang_pred"] for i in (1001, 1002, 1003, None, 1004, 1005)] == ["und", "und", "und", "cc", "bb", "und"]
     assert got[None][0]["held_out"] is False
     assert langid.identify(empty).count() == 0
     unlearned = spark.createDataFrame([(1, "text", None)], "doc_id long, text string, lang string")
@@ -189,21 +189,29 @@ def test_language_identification(spark, empty):
 # 5: lines
 
 
+def model_lines(texts, divisor=3):
+    """(lines, chunks, removed, text left) of each document; texts by doc_id."""
+    number = lambda line: int(hashlib.md5(line.encode()).hexdigest()[:8], 16)
+    split, chunks, first = {i: (t or "").split("\n") for i, t in texts.items()}, {}, {}
+    for i in sorted(texts):
+        lines, own = split[i], set()
+        for r in range(divisor):
+            for s in range(divisor):
+                cut = lambda n: (number(lines[n]) * 17 + 5) // 16 % divisor == r or (n > 1 and (number(lines[n - 2]) * 31 + number(lines[n - 1])) % divisor == s)  # noqa: E731, B023
+                ends = [0, *(n for n in range(1, len(lines)) if cut(n)), len(lines)]
+                own |= {(a, b) for a, b in zip(ends, ends[1:]) if b - a > 1}
+        chunks[i] = sorted(own)
+        for a, b in chunks[i]:
+            first.setdefault("\n".join(lines[a:b]), (i, a))
+    out = {}
+    for i, lines in split.items():
+        gone = {n for a, b in chunks[i] if first["\n".join(lines[a:b])] < (i, a) for n in range(a, b)}
+        out[i] = (len(lines), len(chunks[i]), len(gone), "\n".join(x for n, x in enumerate(lines) if n not in gone))
+    return out
+
+
 def test_line_dedup(docs, empty):
-    cut = lambda a, b: (int(hashlib.md5(b.encode()).hexdigest()[:8], 16) + 31 * int(hashlib.md5(a.encode()).hexdigest()[:8], 16)) % 3 == 0
-    seen, want = {}, {}
-    for i in sorted(k for k in TEXTS if k is not None):
-        chunks, lines = [[]], (TEXTS[i] or "").split("\n")
-        for n, line in enumerate(lines):
-            chunks[-1].append(line)
-            if n and n < len(lines) - 1 and cut(lines[n - 1], line):
-                chunks.append([])
-        kept, many = [], 0
-        for c in chunks:
-            many += len(c) > 1
-            if len(c) == 1 or seen.setdefault("\n".join(c), (i, id(c))) == (i, id(c)):
-                kept += c
-        want[i] = (len(lines), many, len(lines) - len(kept), "\n".join(kept))
+    want = model_lines({i: t for i, t in TEXTS.items() if i is not None})
     got = by_id(linededup.dedup_lines(docs))
     for i, w in want.items():
         assert all((*r["lines_report"], r["text"]) == w for r in got[i]), i
@@ -212,6 +220,30 @@ def test_line_dedup(docs, empty):
     assert any(w[2] for w in want.values())
 
 
+def test_line_dedup_of_many_lines_and_frequent_passages(spark, monkeypatch):
+    from quern import scratch
+
+    rng = random.Random(15)
+    line = lambda: " ".join(rng.choice(["red", "green", "blue", "grey"]) + str(rng.randrange(50)) for _ in range(4))
+    passage = [line() for _ in range(12)]
+    texts = {i: "\n".join([line(), *passage[: 2 + i % 11], line()]) for i in range(60)}
+    texts[60] = "\n".join(line() for _ in range(4000)) + "\n" + "\n".join(passage)
+    monkeypatch.setattr(scratch.joined, "__defaults__", (5,))
+    got = by_id(linededup.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)))
+    for i, w in model_lines(texts).items():
+        assert (*got[i][0]["lines_report"], got[i][0]["text"]) == w, i
+
+
+def test_line_chunks_with_equal_hashes_are_compared_by_bytes(spark, monkeypatch):
+    # With one hash for every chunk, only the bytes tell chunks apart.
+    plain = linededup.lined
+    monkeypatch.setattr(linededup, "lined", lambda *a: plain(*a).withColumn("chunks", F.expr("transform(chunks, c -> struct(c.start AS start, c.stop AS stop, 7L AS hash))")))
+    texts = {i: t for i, t in TEXTS.items() if i is not None}
+    got = by_id(linededup.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id long, text string")))
+    for i, w in model_lines(texts).items():
+        assert (*got[i][0]["lines_report"], got[i][0]["text"]) == w, i
+
+
 # 6: licenses
 
 
