@@ -24,6 +24,15 @@ def texts_of(docs: DataFrame, *extra) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *extra)
 
 
+#: The columns that name a row: its doc_id, or its text's hash if that is null.
+ROW = ["key", "unnamed"]
+
+
+def named_rows(docs: DataFrame) -> DataFrame:
+    """(doc_id, key, unnamed, text) as texts_of; rows of one name have one doc_id, or none and one text."""
+    return texts_of(docs).select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("key"), F.col("doc_id").isNull().alias("unnamed"), "text")
+
+
 def raw(column: pa.Array) -> list:
     """The strings of an Arrow column as UTF-8 bytes, without decoding them."""
     return column.cast(pa.binary() if pa.types.is_string(column.type) else pa.large_binary()).to_pylist()
