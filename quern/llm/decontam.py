@@ -1,18 +1,21 @@
 """Benchmark decontamination on a distributed positional inverted index of the training tokens.
 
 1. Benchmark items are cut into windows (of `size` words, or the whole item if it is shorter). Every document's
-   occurrences of the benchmark's terms are counted, and each window's rarest terms become its keys.
-2. The index stores postings (term, doc_id, position) of the training tokens; only the lists of key terms are needed.
-3. Each list is shifted by its term's place in the item, which leaves diagonals (document position - item position);
-   one that occurs in all of a window's shifted lists is a candidate. Candidates meet the text on one diagonal per
-   (document, item), where whole phrases are confirmed word by word. Places where only most words of a window agree are reported as proximity matches.
+   occurrences of the benchmark's terms are counted, and each window's rarest terms become its keys, `misses` + 2 of them.
+2. The index stores postings (term, document, position) of the training tokens; only the lists of key terms are needed.
+3. Each list is shifted by its term's place in the item, which leaves diagonals (document position - item position).
+   Where a window's shifted lists intersect, all of them or all but `misses`, the diagonal is a candidate.
+4. Candidates meet the text, one list of diagonals for each document and item. Exact phrases are confirmed word by word.
+   Proximity matches are windows within `misses` words added, dropped or replaced of a stretch of the text: such edits
+   leave at least two of `misses` + 2 keys on one diagonal, so none is overlooked, whichever words they change.
 
-Item and document may be of any size: the benchmark is sent to all tasks only while it has at most `small` words,
-else terms are matched by joins alone.
+Item and document may be of any size: the benchmark's terms are sent to all tasks only while it has at most `small`
+words, else terms are matched by joins alone.
 
 Defined cases: null and empty texts have no words and neither hit nor are hit; a document or item of any length is
 read whole; repeated rows of a document are reported each, repeated items once by item_id; a null item_id takes part
-as the empty string, a null doc_id is reported without hits; empty tables give no hits; other columns are ignored.
+as the empty string; rows with a null doc_id are searched like others; items shorter than `size` words have no
+proximity matches; empty tables give no hits; other columns are ignored.
 """
 
 from collections.abc import Iterator
@@ -23,7 +26,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import ALNUM, raw, slices, texts_of
+from quern.llm.common import ALNUM, ROW, named_rows, raw, slices
 from quern.scratch import spread, stored
 
 WORDS = "transform(filter(split(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\\\x00-\\\\x2F\\\\x3A-\\\\x60\\\\x7B-\\\\x7F]+'), w -> w <> ''), w -> CAST(w AS BINARY))"
@@ -36,92 +39,129 @@ def windows_of(items: DataFrame, size: int) -> DataFrame:
     return starts.select("item_id", "at", F.expr(f"slice(words, at + 1, {size})").alias("terms"))
 
 
-def occurrences(docs: DataFrame, wanted: set | None, places: bool) -> DataFrame:
-    """Postings (term, doc_id, position) or, without places, partial counts (term, n) of the training tokens.
+def occurrences(docs: DataFrame, wanted, places: bool) -> DataFrame:
+    """Postings (term, key, unnamed, position) or, without places, partial counts (term, n) of the training tokens.
 
-    wanted: the only terms to give, or None for all.
+    wanted: a broadcast set of the only terms to give, or None for all.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[bytes, int] = {}
+        only = None if wanted is None else wanted.value
         for batch in batches:
             for some in slices(batch, "text", 2 << 20):
-                terms, ids, at = [], [], []
-                for doc, text in zip(some.column("doc_id").to_pylist(), raw(some.column("text"))):
+                terms, row, at = [], [], []
+                for n, text in enumerate(raw(some.column("text"))):
                     words = text.translate(ALNUM).split()
-                    for i, w in enumerate(words) if wanted is None else [(i, w) for i, w in enumerate(words) if w in wanted]:
+                    for i, w in enumerate(words) if only is None else [(i, w) for i, w in enumerate(words) if w in only]:
                         if places:
                             terms.append(w)
-                            ids.append(doc)
+                            row.append(n)
                             at.append(i)
                         else:
                             counts[w] = counts.get(w, 0) + 1
                 if places:
-                    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), pa.array(ids, pa.int64()), pa.array(at, pa.int64())], ["term", "doc_id", "position"])
+                    rows = pa.array(row, pa.int64())
+                    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), some.column("key").take(rows), some.column("unnamed").take(rows), pa.array(at, pa.int64())], ["term", *ROW, "position"])
             if len(counts) > 500_000:
                 yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
                 counts = {}
         if not places:
             yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
 
-    return spread(texts_of(docs)).mapInArrow(run, "term binary, doc_id long, position long" if places else "term binary, n long")
+    return spread(named_rows(docs).select(*ROW, "text")).mapInArrow(run, "term binary, key long, unnamed boolean, position long" if places else "term binary, n long")
 
 
-def candidates(docs: DataFrame, items: DataFrame, size: int, keys: int, small: int) -> DataFrame:
-    """(doc_id, item_id, diagonal): where all key terms of some window stand at their offsets."""
+def candidates(docs: DataFrame, items: DataFrame, size: int, misses: int, small: int) -> DataFrame:
+    """(key, unnamed, item_id, diagonal): where the key terms of some window stand at their offsets, or all but `misses`."""
+    context = docs.sparkSession.sparkContext
     windows = windows_of(items, size)
     n_words = items.select(F.sum(F.expr(f"size({WORDS})"))).first()[0] or 0
-    vocabulary = {bytes(r[0]) for r in windows.select(F.explode("terms")).distinct().collect()} if n_words <= small else None
+    vocabulary = context.broadcast({bytes(r[0]) for r in windows.select(F.explode("terms")).distinct().collect()}) if n_words <= small else None
     counts = occurrences(docs, vocabulary, places=False).groupBy("term").agg(F.sum("n").alias("n"))
-    places = windows.select("item_id", "at", F.posexplode("terms").alias("offset", "term")).join(counts, "term", "left").fillna(0, ["n"])
-    rank = F.row_number().over(Window.partitionBy("item_id", "at").orderBy("n", "offset"))
-    chosen = stored(places.withColumn("rank", rank).where(F.col("rank") <= keys).select("item_id", "at", "offset", "term"))
-    terms = {bytes(r[0]) for r in chosen.select("term").distinct().collect()} if vocabulary is not None else None
-    index = occurrences(docs.where("doc_id IS NOT NULL"), terms, places=True)
+    places = windows.select("item_id", "at", F.size("terms").alias("length"), F.posexplode("terms").alias("offset", "term")).join(counts, "term", "left").fillna(0, ["n"])
+    rank = F.row_number().over(Window.partitionBy("item_id", "at", "length").orderBy("n", "offset"))
+    chosen = stored(places.withColumn("rank", rank).where(F.col("rank") <= misses + 2).select("item_id", "at", "length", "offset", "term"))
+    terms = context.broadcast({bytes(r[0]) for r in chosen.select("term").distinct().collect()}) if vocabulary is not None else None
+    index = occurrences(docs, terms, places=True)
 
     # Windows overlap, so a key term is looked up once for each place in its item; a place and a posting fix a diagonal.
     lists = chosen.select("term", "item_id", (F.col("at") + F.col("offset")).alias("place")).distinct()
-    shifted = index.join(lists, "term").select("item_id", "doc_id", (F.col("position") - F.col("place")).alias("diagonal"), "place")
-    of_window = chosen.groupBy("item_id", "at").agg(F.collect_set(F.col("at") + F.col("offset")).alias("needed"))
-    of_item = of_window.groupBy("item_id").agg(F.collect_set("needed").alias("windows"), F.min(F.size("needed")).alias("least"))
-    met = shifted.groupBy("doc_id", "item_id", "diagonal").agg(F.collect_set("place").alias("met")).join(of_item, "item_id").where("size(met) >= least")
-    return met.where(F.exists("windows", lambda w: F.size(F.array_except(w, F.col("met"))) == 0)).select("doc_id", "item_id", "diagonal")
-
-
-def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, keys: int = 3, near: float = 0.8, small: int = 5_000_000) -> DataFrame:
+    shifted = index.join(lists, "term").select("item_id", *ROW, (F.col("position") - F.col("place")).alias("diagonal"), "place")
+    of_window = chosen.groupBy("item_id", "at", "length").agg(F.collect_set(F.col("at") + F.col("offset")).alias("places"))
+    needed = F.when(F.col("length") < size, F.size("places")).otherwise(F.greatest(F.size("places") - misses, F.lit(1)))
+    of_item = of_window.withColumn("needed", needed).groupBy("item_id").agg(F.collect_set(F.struct("places", "needed")).alias("windows"), F.min("needed").alias("least"))
+    met = shifted.groupBy(*ROW, "item_id", "diagonal").agg(F.collect_set("place").alias("met")).join(of_item, "item_id").where("size(met) >= least")
+    return met.where(F.exists("windows", lambda w: F.size(F.array_intersect(w.places, F.col("met"))) >= w.needed)).select(*ROW, "item_id", "diagonal")
+
+
+def within(phrase: list[bytes], text: list[bytes], misses: int) -> bool:
+    """Whether some stretch of text is the phrase but for at most `misses` words added, dropped or replaced."""
+    row = [0] * (len(text) + 1)
+    for i, word in enumerate(phrase, 1):
+        before, row = row, [i]
+        for j, other in enumerate(text):
+            row.append(min(before[j] + (word != other), before[j + 1] + 1, row[j] + 1))
+        if min(row) > misses:
+            return False
+    return True
+
+
+def matches(words: list[bytes], item: list[bytes], diagonals: list[int], size: int, misses: int) -> tuple[set[int], set[int], int, set[int]]:
+    """(starts of exact windows in words, those windows, their length, windows near on one of the diagonals)."""
+    span, begin, exact, near = min(size, len(item)), set(), set(), set()
+    for shift in diagonals:
+        low, high = max(0, -shift), min(len(item), len(words) - shift)
+        same = np.fromiter((item[i] == words[i + shift] for i in range(low, high)), np.int64, max(0, high - low))
+        if len(same) >= span:
+            full = np.flatnonzero(np.convolve(same, np.ones(span, np.int64), "valid") == span) + low
+            exact.update(full.tolist())
+            begin.update((full + shift).tolist())
+        if misses and span == size:
+            sums = np.concatenate([[0], np.cumsum(same)])
+            at = np.arange(len(item) - size + 1)
+            # Two keys or more stand in place.
+            agree = sums[np.clip(at + size - low, 0, len(same))] - sums[np.clip(at - low, 0, len(same))]
+            for a in np.flatnonzero(agree >= 2).tolist():
+                if a not in near:
+                    phrase, text = item[a : a + size], words[max(0, a + shift - misses) : max(0, a + shift + size + misses)]
+                    if len(set(phrase).difference(text)) <= misses and within(phrase, text, misses):
+                        near.add(a)
+    return begin, exact, span, near
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, misses: int = 1, small: int = 5_000_000) -> DataFrame:
     """(doc_id, text, n_words, n_hit, n_items, items, n_near) of every document row.
 
     n_hit counts words inside an occurrence of a window, items lists the item_ids with one (sorted), n_near the windows
-    that are no exact match but agree in at least `near` of their words in place.
+    that have no exact match there, but a proximity match.
     """
     texts = F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce(F.col("text"), F.lit("")).alias("item")
     item_texts = items.select(*texts).dropDuplicates(["item_id", "item"])
-    places = candidates(docs, items, size, keys, small).join(item_texts, "item_id")
-    listed = places.groupBy("doc_id").agg(F.collect_list(F.struct("item_id", "diagonal", "item")).alias("places"))
-    joined = texts_of(docs).join(listed, "doc_id", "left")
+    found = candidates(docs, items, size, misses, small).groupBy(*ROW, "item_id").agg(F.collect_list("diagonal").alias("diagonals"))
+    listed = found.join(item_texts, "item_id").groupBy(*ROW).agg(F.collect_list(F.struct("item_id", "item", "diagonals")).alias("places"))
+    joined = named_rows(docs).join(listed, ROW, "left").select("doc_id", "text", "places")
     schema = "doc_id long, text string, n_words long, n_hit long, n_items long, items array<string>, n_near long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc, text, found in zip(batch.column("doc_id").to_pylist(), raw(batch.column("text")), batch.column("places").to_pylist()):
+            for doc, text, places in zip(batch.column("doc_id").to_pylist(), raw(batch.column("text")), batch.column("places").to_pylist()):
                 words = text.translate(ALNUM).split()
-                hit, names, near_by = np.zeros(len(words) + 1, np.int64), set(), 0
-                for place in found or []:
-                    item, shift = place["item"].encode().translate(ALNUM).split(), place["diagonal"]
-                    span, low = min(size, len(item)), max(0, -shift)
-                    high = min(len(item), len(words) - shift)
-                    same = np.fromiter((item[i] == words[i + shift] for i in range(low, high)), np.int64, max(0, high - low))
-                    full = np.convolve(same, np.ones(span, np.int64), "valid") if len(same) >= span else np.zeros(0, np.int64)
-                    starts = np.flatnonzero(full == span) + low + shift
-                    near_by += int(((full < span) & (full >= near * span)).sum())
-                    if len(starts):
-                        names.add(place["item_id"])
-                        np.add.at(hit, starts, 1)
-                        np.add.at(hit, starts + span, -1)
-                rows.append((doc, len(words), int((np.cumsum(hit)[:-1] > 0).sum()), sorted(names), near_by))
-            ids, n, hits, names, near_by = zip(*rows) if rows else ((), (), (), (), ())
-            cols = [pa.array(ids, pa.int64()), batch.column("text"), pa.array(n, pa.int64()), pa.array(hits, pa.int64()), pa.array(map(len, names), pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(near_by, pa.int64())]
+                hit, names, exact, near = np.zeros(len(words) + 1, np.int64), set(), set(), set()
+                for place in places or []:
+                    name = place["item_id"]
+                    begin, own, span, close = matches(words, place["item"].encode().translate(ALNUM).split(), place["diagonals"], size, misses)
+                    exact |= {(name, a) for a in own}
+                    near |= {(name, a) for a in close}
+                    if begin:
+                        names.add(name)
+                        first = np.fromiter(begin, np.int64, len(begin))
+                        hit[first] += 1
+                        hit[first + span] -= 1
+                rows.append((doc, len(words), int((np.cumsum(hit)[:-1] > 0).sum()), sorted(names), len(near - exact)))
+            ids, n, hits, names, near = zip(*rows) if rows else ((), (), (), (), ())
+            cols = [pa.array(ids, pa.int64()), batch.column("text"), pa.array(n, pa.int64()), pa.array(hits, pa.int64()), pa.array(map(len, names), pa.int64()), pa.array(names, pa.list_(pa.string())), pa.array(near, pa.int64())]
             yield pa.RecordBatch.from_arrays(cols, ["doc_id", "text", "n_words", "n_hit", "n_items", "items", "n_near"])
 
     return joined.mapInArrow(run, schema)

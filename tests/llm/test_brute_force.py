@@ -307,6 +307,15 @@ def test_license_notices_with_changed_words(spark):
 # 7: benchmark
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row = row, [i]
+        for j, y in enumerate(b):
+            row.append(min(before[j] + (x != y), before[j + 1] + 1, row[j] + 1))
+    return row[-1]
+
+
 @pytest.mark.parametrize("small", [5_000_000, 0])
 def test_decontamination(spark, empty, small):
     rng = random.Random(7)
@@ -321,17 +330,23 @@ def test_decontamination(spark, empty, small):
             a = rng.randint(0, max(0, len(other) - 9))
             w[5:5] = other[a : a + rng.randint(5, 20)]
         texts.append(" ".join(w).title())
+    for n in range(30):  # one word added, dropped or replaced in a passage
+        w = items[6][1].split()[n % 20 : n % 20 + 14]
+        at = rng.randrange(len(w))
+        w[at : at + (n % 3 > 0)] = ["new"] * (n % 3 < 2)
+        texts.append(" ".join([rng.choice(vocabulary), *w, rng.choice(vocabulary)]))
     texts += [None, "", "dup word dup word dup word dup word", items[0][1] + " " + items[6][1]]
     rows = [(i, t) for i, t in enumerate(texts)]
     table = spark.createDataFrame([*rows, rows[1], (None, items[0][1])], "doc_id long, text string").withColumn("term", F.lit("x"))
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
     got = by_id(decontam.digest(decontam.decontaminate(table, bench, size=10, small=small)))
-    windows = {}
+    windows, places = {}, {}
     for i, t in items:
         w = words(t, ALNUM)
         n = min(10, len(w))
         for a in range(len(w) - n + 1) if w else ():
             windows.setdefault(tuple(w[a : a + n]), set()).add(str(i))
+            places.setdefault(tuple(w[a : a + n]), set()).add((i, a))
     for i, t in rows:
         w, hit, names = words(t, ALNUM), set(), set()
         for window, who in windows.items():
@@ -339,9 +354,15 @@ def test_decontamination(spark, empty, small):
                 if tuple(w[a : a + len(window)]) == window:
                     hit |= set(range(a, a + len(window)))
                     names |= who
-        want = (len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit))
-        assert all(tuple(r)[1:6] == want for r in got[i]), i
-    assert any(r[0]["contaminated"] for r in got.values())
+        near = 0
+        for window, who in places.items():
+            if len(window) == 10 and not any(w[a : a + 10] == list(window) for a in range(len(w))):
+                near += len(who) * any(edits(window, w[a : a + n]) <= 1 for n in (9, 10, 11) for a in range(len(w) - n + 1))
+        want = (len(w), len(hit), len(names), hashlib.sha256(",".join(sorted(names)).encode()).hexdigest(), bool(hit), near)
+        assert all(tuple(r)[1:7] == want for r in got[i]), i
+    assert any(r[0]["contaminated"] for r in got.values()) and sum(r[0]["n_near"] > 0 for r in got.values()) > 10
+    n = len(items[0][1].split())
+    assert (got[None][0]["n_words"], got[None][0]["n_hit"]) == (n, n)
     assert decontam.decontaminate(empty, bench).count() == 0
     assert not decontam.digest(decontam.decontaminate(table, bench.limit(0))).where("contaminated").count()
 
