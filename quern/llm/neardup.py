@@ -1,6 +1,7 @@
 """Near-duplicate documents by banded MinHash, odd-sketch filtering and exact verification.
 
-1. Every document gets its set of word shingles (hashed to 64 bits). Documents with equal sets are one node.
+1. Every document gets its set of word shingles (hashed to 64 bits). Documents whose sets have equal hashes are one node,
+   after the sets of all of them have been compared with that of the smallest; those that differ become other nodes.
 2. A node's MinHash samples give band keys, and fold into an odd sketch: a parity bitmap in which each sample flips one
    bit. The XOR of two sketches keeps only samples that differ, so its population count estimates high similarities.
 3. In each band bucket every node is compared with the bucket's smallest node only. The sketch drops clearly unlike
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import LOWER, Hashes, mix, raw, shingle_set, slices, texts_of
 from quern.llm.components import components
-from quern.scratch import spread, stored
+from quern.scratch import joined, spread, stored
 
 ROWS, BANDS, LANES = 5, 35, 8
 SKETCH = [f"s{i}" for i in range(LANES)]
@@ -98,10 +99,10 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
 
 def alike(a: str, b: str, percent: int) -> Column:
-    """Whether the sketches and set sizes of aliases a and b leave a similarity of percent / 100 possible."""
-    differing = sum((F.bit_count(F.col(f"{a}.{s}").bitwiseXOR(F.col(f"{b}.{s}"))) for s in SKETCH[1:]), F.bit_count(F.col(f"{a}.s0").bitwiseXOR(F.col(f"{b}.s0"))))
-    small, large = F.least(f"{a}.n_shingles", f"{b}.n_shingles"), F.greatest(f"{a}.n_shingles", f"{b}.n_shingles")
-    return (small * 100 >= large * percent) & (differing <= most_differing_bits(percent / 100))
+    """Whether the sketches and set sizes in the columns with prefixes a and b leave a similarity of percent / 100 possible."""
+    differing = sum((F.bit_count(F.col(f"{a}{s}").bitwiseXOR(F.col(f"{b}{s}"))) for s in SKETCH[1:]), F.bit_count(F.col(f"{a}s0").bitwiseXOR(F.col(f"{b}s0"))))
+    low, high = F.least(f"{a}n_shingles", f"{b}n_shingles"), F.greatest(f"{a}n_shingles", f"{b}n_shingles")
+    return (low * 100 >= high * percent) & (differing <= most_differing_bits(percent / 100))
 
 
 def with_texts(wanted: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
@@ -116,7 +117,8 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, p
 
     Pairs are dealt by a; a node with many partners is dealt in chunks, each with its own copy of a's text.
     """
-    pairs = pairs.join(pairs.groupBy("a").agg(F.ceil(F.count("*") / chunk).alias("chunks")), "a").withColumn("salt", F.pmod(F.xxhash64("b"), "chunks"))
+    of_a = stored(pairs.groupBy("a").agg(F.ceil(F.count("*") / chunk).alias("chunks"), F.count("*").alias("n")))
+    pairs = joined(pairs, of_a, ["a"]).withColumn("salt", F.pmod(F.xxhash64("b"), "chunks"))
     wanted = pairs.select(F.col("b").alias("node"), "a", "salt", F.lit(1).alias("member")).union(pairs.select(F.col("a").alias("node"), "a", "salt", F.lit(0)).distinct())
     dealt = with_texts(wanted, nodes, docs).repartition("a", "salt").sortWithinPartitions("a", "salt", "member")
 
@@ -174,8 +176,8 @@ def across(members: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, pe
     """
     light = members.join(nodes.select("node", "n_shingles", *SKETCH), "node")
     needed = lambda of: F.coalesce(F.ceil(F.greatest(F.count_if(of) / chunk_rows, F.sum(F.when(of, F.col("n_shingles"))) / chunk_shingles)), F.lit(0))
-    chunks = light.groupBy("hub").agg(needed(F.col("main")).alias("mains"), needed(~F.col("main")).alias("rest")).where("rest > 0")
-    light = light.join(chunks, "hub").withColumn("part", F.expr("IF(main, pmod(xxhash64(node), mains), mains + pmod(xxhash64(node), rest))"))
+    chunks = light.groupBy("hub").agg(needed(F.col("main")).alias("mains"), needed(~F.col("main")).alias("rest"), F.count("*").alias("n")).where("rest > 0")
+    light = joined(light, stored(chunks), ["hub"]).withColumn("part", F.expr("IF(main, pmod(xxhash64(node), mains), mains + pmod(xxhash64(node), rest))"))
     light = light.withColumn("other", F.explode(F.expr("sequence(IF(main, mains, 0), mains + rest - 1)")))
     light = light.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("other", "mains", "rest", "main", "n_shingles")
     dealt = with_texts(light, nodes, docs).repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node")
@@ -204,30 +206,79 @@ def across(members: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, pe
     return dealt.mapInArrow(run, "a long, b long")
 
 
+def compared(signed: DataFrame, docs: DataFrame, words: int, chunk: int = 256) -> DataFrame:
+    """signed with nodes that hold equal sets only: rows whose set isn't that of their node's first row get another node.
+
+    The rows of a node are dealt in chunks, each with its own copy of the first row's text.
+    """
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    nodes = signed.where("node IS NOT NULL").groupBy("node").agg(F.min(name).alias("first"), F.count("*").alias("n")).where("n > 1")
+    nodes = stored(nodes.withColumn("chunks", F.ceil(F.col("n") / chunk)))
+    members = joined(signed.select("node", "doc_id", "text_hash"), nodes.select("node", "n", "first", "chunks"), ["node"]).distinct()
+    members = members.select("node", "doc_id", "text_hash", F.pmod(F.xxhash64("doc_id", "text_hash"), "chunks").alias("salt"), F.lit(1).alias("member"))
+    firsts = nodes.select("node", "first.doc_id", "first.text_hash", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("salt"), F.lit(0).alias("member"))
+    wanted, texts = members.union(firsts), texts_of(docs, F.xxhash64("text").alias("text_hash"))
+    met = wanted.join(texts.withColumnRenamed("doc_id", "whose").withColumnRenamed("text_hash", "what"), F.col("doc_id").eqNullSafe(F.col("whose")) & (F.col("text_hash") == F.col("what")))
+    dealt = met.drop("whose", "what").repartition("node", "salt").sortWithinPartitions("node", "salt", "member")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, group, base, own = Hashes(), None, b"", None
+        for batch in batches:
+            unlike = []
+            rows = zip(*(batch.column(c).to_pylist() for c in ("node", "salt", "member")), raw(batch.column("text")))
+            for i, (node, salt, member, text) in enumerate(rows):
+                if (node, salt) != group:
+                    group, base, own = (node, salt), text, None
+                elif member and text != base:
+                    own = shingle_set(base.translate(LOWER).split(), words, hashes) if own is None else own
+                    if not np.array_equal(own, shingle_set(text.translate(LOWER).split(), words, hashes)):
+                        unlike.append(i)
+            at = pa.array(unlike, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(c).take(at) for c in ("doc_id", "text_hash", "node")], ["doc_id", "text_hash", "node"])
+
+    unlike = stored(dealt.mapInArrow(run, "doc_id long, text_hash long, node long").distinct())
+    if unlike.isEmpty():
+        return signed
+    kept = ["doc_id", "text_hash", "node"]
+    other = unlike.select(F.col("doc_id").alias("u"), F.col("text_hash").alias("v"), F.col("node").alias("w"), F.lit(True).alias("unlike"))
+    both = signed.join(other, F.col("doc_id").eqNullSafe(F.col("u")) & (F.col("text_hash") == F.col("v")) & (F.col("node") == F.col("w")), "left")
+    node = F.when(F.col("unlike"), F.xxhash64("node", "text_hash", "doc_id")).otherwise(F.col("node"))
+    return stored(both.withColumn("node", node).select(*kept, *[c for c in signed.columns if c not in kept]))
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) of every document; linked are sets with similarity >= percent / 100."""
-    signed = stored(signatures(docs, words))
+    """(doc_id, text_hash, n_shingles, component_id, kept) of every document; linked are sets with similarity >= percent / 100."""
+    signed = compared(stored(signatures(docs, words)), docs, words)
     nodes = stored(signed.where("node IS NOT NULL").dropDuplicates(["node"]))
     keyed = nodes.select("node", F.explode("keys").alias("key"))
-    hubs = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").select("key", "hub")
-    shared = stored(keyed.join(hubs, "key"))
+    hubs = stored(keyed.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last"), F.count("*").alias("n")).where("hub < last").select("key", "hub", "n"))
+    shared = stored(joined(keyed, hubs, ["key"]))
     light = nodes.select("node", "n_shingles", *SKETCH)
 
     stars = shared.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
-    stars = stored(stars.alias("e").join(light.alias("x"), F.col("e.a") == F.col("x.node")).join(light.alias("y"), F.col("e.b") == F.col("y.node")).where(alike("x", "y", percent)).select("a", "b"))
+    centres = stored(light.join(stars.select(F.col("a").alias("node")).groupBy("node").agg(F.count("*").alias("n")), "node"))
+    x = centres.select("n", *[F.col(c).alias(f"x_{c}") for c in light.columns])
+    met = joined(stars, x.withColumnRenamed("x_node", "a"), ["a"]).join(light.withColumnRenamed("node", "b"), "b")
+    stars = stored(met.where(alike("x_", "", percent)).select("a", "b"))
     links = stored(confirmed(stars, nodes, docs, words, percent))
     found = components(links)
 
-    labelled = shared.where("hub <> node").join(found, "node", "left").select("key", "hub", "node", F.coalesce("component", "node").alias("component"))
-    open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
+    labelled = stored(shared.where("hub <> node").join(found, "node", "left").select("key", "hub", "node", F.coalesce("component", "node").alias("component")))
+    open_keys = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")).where("low < high").select("key", "n")
     of_hub = found.select(F.col("node").alias("hub"), F.col("component").alias("hub_component"))
-    members = labelled.join(open_keys, "key").select("hub", "node", "component").distinct().join(of_hub, "hub", "left")
-    members = stored(members.select("hub", "node", "component", (F.col("component") == F.coalesce("hub_component", "hub")).alias("main")))
+    members = stored(joined(labelled, stored(open_keys), ["key"]).select("hub", "node", "component").distinct())
+    hubs = members.groupBy("hub").agg(F.count("*").alias("n")).join(of_hub, "hub", "left").withColumn("hub_component", F.coalesce("hub_component", "hub"))
+    members = stored(joined(members, stored(hubs), ["hub"]).select("hub", "node", "component", (F.col("component") == F.col("hub_component")).alias("main")))
     more = stored(across(members, nodes, docs, words, percent))
     if not more.isEmpty():
         found = components(links.union(more))
 
-    known = signed.select("doc_id", "n_shingles", "node").join(found, "node", "left").select("doc_id", "n_shingles", F.coalesce("component", "node").alias("component"))
-    names = known.where("component IS NOT NULL").groupBy("component").agg(F.min("doc_id").alias("component_id"))
-    out = known.join(names, "component", "left").select("doc_id", "n_shingles", F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = stored(nodes.select("node").join(found, "node", "left").select("node", F.coalesce("component", "node").alias("component")))
+    per_node = signed.where("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("smallest"), F.count("*").alias("n"))
+    names = named.join(per_node, "node")
+    least = names.groupBy("component").agg(F.min("smallest").alias("component_id"), F.count("*").alias("n"))
+    of_node = joined(names.withColumnRenamed("n", "rows"), stored(least), ["component"]).select("node", "component_id", F.col("rows").alias("n"))
+    columns = ["doc_id", "text_hash", "n_shingles"]
+    out = joined(signed.select(*columns, "node"), stored(of_node), ["node"]).select(*columns, "component_id")
+    out = out.unionByName(signed.where("node IS NULL").select(*columns, F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))

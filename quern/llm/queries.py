@@ -50,7 +50,7 @@ def op7_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def op8_odd_sketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80).drop("text_hash")
 
 
 def op9_interval_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -437,6 +437,20 @@ def test_links_across_components_in_chunks(spark, main):
     assert groups(got) == groups(want)
 
 
+def test_equal_hashes_of_unlike_sets_are_told_apart(spark, monkeypatch):
+    from quern import scratch
+
+    plain = neardup.signatures
+    # All sets of one length get one node.
+    monkeypatch.setattr(neardup, "signatures", lambda docs, words: plain(docs, words).withColumn("node", F.when(F.col("node").isNotNull(), F.col("n_shingles"))))
+    monkeypatch.setattr(scratch.joined, "__defaults__", (3,))
+    monkeypatch.setattr(neardup.compared, "__defaults__", (4,))
+    texts = {i: t for i, t in TEXTS.items() if i is not None} | {1000 + i: t for i, t in enumerate(edited_copies(40))}
+    got = by_id(neardup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3), words=2))
+    for i, (n, c) in model_components(texts, 2, 80).items():
+        assert [(r["n_shingles"], r["component_id"], r["kept"]) for r in got[i]] == [(n, c, c == i)], i
+
+
 def test_odd_sketches_estimate_similarity():
     rng = np.random.default_rng(2)
     shared, own = rng.integers(0, 2**63, 900, np.uint64), rng.integers(0, 2**63, 200, np.uint64)
