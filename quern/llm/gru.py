@@ -107,24 +107,31 @@ def log_probabilities(p: dict, states: np.ndarray, slots: np.ndarray, grads: dic
         grads["bc"] += e.sum(0)
         d_states = e @ p["Wc"].T
     order, small = np.argsort(group.astype(np.int16), kind="stable"), bounded(p["Wo"], p["bo"])
-    ends = np.cumsum(np.bincount(group, minlength=classes))
-    for c in range(classes):
-        own = order[ends[c - 1] if c else 0 : ends[c]]
-        if not len(own):
+    ends = np.cumsum(np.bincount(group, minlength=classes)).tolist()
+    sorted_states, sorted_place, part = states[order], place[order], np.empty(len(slots), out.dtype)
+    d_sorted = np.empty_like(states) if grads is not None else None
+    for c, (a, b) in enumerate(zip([0, *ends], ends)):
+        if a == b:
             continue
-        s = states[own]
-        logits = s @ p["Wo"][c] + p["bo"][c]
+        s = sorted_states[a:b]
+        logits = s @ p["Wo"][c]
+        logits += p["bo"][c]
         if not small[c]:
             logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total, at = (e @ np.ones(words, e.dtype))[:, None], np.arange(len(own))
-        out[own] += logits[at, place[own]] - np.log(total[:, 0])
+        at = rows[: b - a]
+        own = logits[at, sorted_place[a:b]]
+        e = np.exp(logits, out=logits)
+        total = e @ np.ones(words, e.dtype)
+        part[a:b] = own - np.log(total)
         if grads is not None:
-            e /= total
-            e[at, place[own]] -= 1
+            e /= total[:, None]
+            e[at, sorted_place[a:b]] -= 1
             grads["Wo"][c] += s.T @ e
             grads["bo"][c] += e.sum(0)
-            d_states[own] += e @ p["Wo"][c].T
+            d_sorted[a:b] = e @ p["Wo"][c].T
+    out[order] += part
+    if grads is not None:
+        d_states[order] += d_sorted
     return out, d_states
 
 
@@ -160,7 +167,7 @@ def pieces(docs: list[np.ndarray], end: int, most: int) -> tuple[list[np.ndarray
     return [d for d, _ in out], np.array([f for _, f in out])
 
 
-def train(p: dict, docs: list[np.ndarray], end: int, window: int = 20, most: int = 256, rate: float = 0.01, longest: int = 4000) -> dict:
+def train(p: dict, docs: list[np.ndarray], end: int, window: int = 10, most: int = 512, rate: float = 0.01, longest: int = 2000) -> dict:
     """The weights after one pass over documents (arrays of slots) by Adam on windows of `window` steps.
 
     Documents are learned whole, in pieces of at most `longest` tokens, so a long one doesn't run on alone; there are
@@ -189,7 +196,7 @@ def train(p: dict, docs: list[np.ndarray], end: int, window: int = 20, most: int
     return p
 
 
-def score(p: dict, gates: np.ndarray, docs: list[np.ndarray], end: int, window: int = 96, most: int = 256) -> np.ndarray:
+def score(p: dict, gates: np.ndarray, docs: list[np.ndarray], end: int, window: int = 48, most: int = 512) -> np.ndarray:
     """Natural log probability of each document (an array of slots), its state carried to its end. gates: E @ W + b."""
     out = np.zeros(len(docs))
     if not docs:
