@@ -13,8 +13,11 @@ A byte goes if it is covered by a string of `least` bytes that also starts in a
    which groups all windows with equal bytes; a group's smallest doc_id decides which occurrences go.
 4. The ranges found return to their documents.
 
-Memory is bounded: texts are read in segments, buckets grow in number with the input, and a bucket's fragments are
-compared in blocks of marks.
+Texts are read in segments, buckets grow in number with the input, and a bucket's fragments are compared in blocks of
+marks. What many documents share is collapsed where it is read, for every 16 MB of text: of equal marks with an equal
+side only the smallest and largest doc travel to the meeting, of equal fragments only the smallest doc. The other
+documents' marks and ranges go straight on. A mark's part of a bucket thus grows with the fragments around it that
+differ, and with the number of 16 MB portions, but not with the documents.
 
 Defined cases: null and empty texts are empty; texts shorter than `least` lose nothing; of equal texts the one with the
 smallest doc_id stays whole; rows that repeat doc_id and text are one document and lose nothing to each other; if a
@@ -156,6 +159,23 @@ def several(keys: np.ndarray, docs: np.ndarray) -> np.ndarray:
     return out
 
 
+def ends_of_groups(docs: np.ndarray, *keys: np.ndarray) -> np.ndarray:
+    """For each row, whether it stands for the smallest or the largest doc of the rows with its keys."""
+    order = np.lexsort((docs, *keys))
+    edge = np.flatnonzero(np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0))
+    out = np.zeros(len(docs), bool)
+    out[order[np.r_[0, edge + 1]]] = out[order[np.r_[edge, len(docs) - 1]]] = True
+    return out
+
+
+def by_doc(doc: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Distinct docs in order, how many rows each has, and the values in that order."""
+    order = np.lexsort((*reversed(values), doc))
+    doc = doc[order]
+    row = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
+    return doc[row], np.diff(np.append(row, len(doc))), [v[order] for v in values]
+
+
 def shared_marks(docs: DataFrame, least: int, k: int, buckets: int) -> DataFrame:
     """(key, tags): tags of a document's marks that another document has with an equal side, in packed rows."""
 
@@ -168,11 +188,22 @@ def shared_marks(docs: DataFrame, least: int, k: int, buckets: int) -> DataFrame
         doc, entry, bucket = doc[order], entry[order], bucket[order]
         new = np.r_[True, (entry[1:] != entry[:-1]) | (doc[1:] != doc[:-1]) | (bucket[1:] != bucket[:-1])]
         doc, entry, bucket = doc[new], entry[new], bucket[new]
+        # Of entries that share a mark and a side here, the smallest and largest doc stand for all: the others are known
+        # to have company, so their marks pass the meeting by, in buckets below zero.
+        mark = entry >> np.uint64(16)
+        sent = ends_of_groups(doc, entry >> np.uint64(8), bucket) | ends_of_groups(doc, mark << np.uint64(8) | entry & np.uint64(255), bucket)
+        names, n_known, (known,) = by_doc(doc[~sent], mark[~sent] * np.uint64(buckets) + bucket[~sent].astype(np.uint64))
+        doc, entry, bucket = doc[sent], entry[sent], bucket[sent]
         row = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         own = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (bucket[1:] != bucket[:-1])])
         of_row = np.diff(np.append(np.searchsorted(own, row), len(own)))
         counts = np.diff(np.append(own, len(doc))).astype(np.uint32)
-        return pa.RecordBatch.from_arrays([pa.array(bucket[row]), packed(doc[own], of_row), packed(counts, of_row), packed(short(entry), np.diff(np.append(row, len(entry))))], ["bucket", "docs", "counts", "entries"])
+        columns = ["bucket", "docs", "counts", "entries"]
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[row]), packed(doc[own], of_row), packed(counts, of_row), packed(short(entry), np.diff(np.append(row, len(entry))))], columns)
+        if len(names):
+            one = np.array([len(names)])
+            aside = -1 - int(names[0]) % buckets
+            yield pa.RecordBatch.from_arrays([pa.array([aside]), packed(names, one), packed(n_known.astype(np.uint32), one), packed(short(known), np.array([len(known)]))], columns)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -184,23 +215,25 @@ def shared_marks(docs: DataFrame, least: int, k: int, buckets: int) -> DataFrame
                         held.append((names[text], mark, before, after))
                     size += len(data)
                     if size > 16 << 20 and held:
-                        yield emit(held)
+                        yield from emit(held)
                         held, size = [], 0
         if held:
-            yield emit(held)
+            yield from emit(held)
 
     def meet(table: pa.Table) -> pa.Table:
         docs, counts, entries = (b"".join(table.column(c).to_pylist()) for c in ("docs", "counts", "entries"))
         doc, entry = np.repeat(np.frombuffer(docs, np.int64), np.frombuffer(counts, np.uint32)), unpacked(entries)
+        if table.column("bucket")[0].as_py() < 0:
+            names, n, (tags,) = by_doc(doc, tag_of(entry, buckets))
+            return pa.table({"key": pa.array(names), "tags": packed(tags, n)})
         mark = entry >> np.uint64(16)
         hot = several(entry >> np.uint64(8), doc) | several(mark << np.uint64(8) | entry & np.uint64(255), doc)
         doc, tag = doc[hot], mark[hot] | np.uint64(table.column("bucket")[0].as_py() << 32)
         order = np.lexsort((tag, doc))
         doc, tag = doc[order], tag[order]
         new = np.r_[True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])][: len(doc)]
-        doc, tag = doc[new], tag[new]
-        row = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-        return pa.table({"key": pa.array(doc[row]), "tags": packed(tag, np.diff(np.append(row, len(tag))))})
+        names, n, (tags,) = by_doc(doc[new], tag[new])
+        return pa.table({"key": pa.array(names), "tags": packed(tags, n)})
 
     dealt = docs.mapInArrow(deal, "bucket long, docs binary, counts binary, entries binary")
     return dealt.groupBy("bucket").applyInArrow(meet, "key long, tags binary")
@@ -235,9 +268,16 @@ def smallest_docs(fragments: list[bytes], marks: np.ndarray, docs: np.ndarray, l
 def repeated_ranges(texts: DataFrame, least: int, k: int, mark_buckets: int, buckets: int) -> DataFrame:
     """(key, spans): window ranges (first, last + 1) that a document loses, from texts (key, text, tags)."""
 
-    def emit(known: dict[bytes, int], marks: list[int], held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    def emit(known: dict[bytes, int], marks: list[int], held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         doc, place, which = (np.concatenate(x) for x in zip(*held))
         fragments, mark = list(known), np.array(marks, np.uint64)
+        # Only a fragment's smallest doc here can keep it; in the others all its windows go, without meeting any more.
+        low = np.full(len(fragments), np.iinfo(np.int64).max)
+        np.minimum.at(low, which, doc)
+        lost = doc > low[which]
+        windows = np.array([len(f) for f in fragments]) - least + 1
+        names, n_lost, (begin, stop) = by_doc(doc[lost], place[lost], place[lost] + windows[which[lost]])
+        doc, place, which = doc[~lost], place[~lost], which[~lost]
         bucket = (mark % np.uint64(buckets)).astype(np.int64)
         order = np.argsort(bucket, kind="stable")
         row = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0])
@@ -248,9 +288,13 @@ def repeated_ranges(texts: DataFrame, least: int, k: int, mark_buckets: int, buc
         by_row = np.argsort(bucket[which], kind="stable")
         n = np.bincount(np.searchsorted(bucket[order][row], bucket[which]), minlength=len(row))
         content = np.frombuffer(b"".join(fragments[i] for i in order), np.uint8)
-        return pa.RecordBatch.from_arrays(
+        columns = ["bucket", "docs", "places", "which", "sizes", "marks", "content"]
+        if len(names):
+            one, none = np.array([len(begin)]), pa.array([b""], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([-1 - int(names[0]) % buckets]), packed(np.repeat(names, n_lost), one), packed(begin.astype(np.uint32), one), packed(stop.astype(np.uint32), one), none, none, none], columns)
+        yield pa.RecordBatch.from_arrays(
             [pa.array(bucket[order][row]), packed(doc[by_row], n), packed(place[by_row].astype(np.uint32), n), packed(nth[which[by_row]].astype(np.uint32), n), packed(size.astype(np.uint32), distinct), packed(short(mark[order]), distinct), packed(content, np.add.reduceat(size, row))],
-            ["bucket", "docs", "places", "which", "sizes", "marks", "content"],
+            columns,
         )
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -277,12 +321,16 @@ def repeated_ranges(texts: DataFrame, least: int, k: int, mark_buckets: int, buc
                         which[i] = n
                     held.append((names[text[pick]], place[pick], which))
                     if size > 16 << 20:
-                        yield emit(known, marks, held)
+                        yield from emit(known, marks, held)
                         known, marks, held, size = {}, [], [], 0
         if held:
-            yield emit(known, marks, held)
+            yield from emit(known, marks, held)
 
     def meet(table: pa.Table) -> pa.Table:
+        if table.column("bucket")[0].as_py() < 0:
+            docs, begin, stop = (b"".join(table.column(c).to_pylist()) for c in ("docs", "places", "which"))
+            names, n, spans = by_doc(np.frombuffer(docs, np.int64), np.frombuffer(begin, np.uint32), np.frombuffer(stop, np.uint32))
+            return pa.table({"key": pa.array(names), "spans": packed(np.stack(spans, 1).ravel(), 2 * n)})
         rows = [table.column(c).to_pylist() for c in ("docs", "places", "which", "sizes", "marks", "content")]
         doc, place, size = (np.frombuffer(b"".join(rows[i]), t).astype(np.int64) for i, t in ((0, np.int64), (1, np.uint32), (3, np.uint32)))
         mark, content, ends = unpacked(b"".join(rows[4])).astype(np.int64), b"".join(rows[5]), np.cumsum(size)
@@ -350,4 +398,7 @@ def cut_repeats(docs: DataFrame, least: int = 50, k: int = 14, bucket_bytes: int
                 ids = pa.compute.if_else(pa.compute.equal(key, NO_ID), pa.scalar(None, pa.int64()), key)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(left, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "text"])
 
-    return texts.join(ranges, "key", "left").mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, text binary")
+    # Rows without an id lose nothing; they don't meet under a common key.
+    named, unnamed = texts.where(F.col("key") != NO_ID), texts.where(F.col("key") == NO_ID)
+    spans = F.lit(None).cast("array<binary>").alias("spans")
+    return named.join(ranges, "key", "left").select("key", "text", "spans").union(unnamed.select("key", "text", spans)).mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, text binary")

@@ -489,16 +489,22 @@ def test_prefix_groups():
         assert sorted(map(sorted, want.values())) == sorted(map(sorted, got.values()))
 
 
-def test_repeated_strings(spark, docs, empty, monkeypatch):
+def model_repeats(texts):
+    """(bytes, removed, spans, bytes left) of each document; texts by doc_id."""
     first, want = {}, {}
-    for i in sorted(k for k in TEXTS if k is not None):
-        b = (TEXTS[i] or "").encode()
+    for i in sorted(texts):
+        b = (texts[i] or "").encode()
         gone = np.zeros(len(b), bool)
         for a in range(len(b) - 49):
             if first.setdefault(b[a : a + 50], i) < i:
                 gone[a : a + 50] = True
         spans = int((gone & ~np.r_[False, gone[:-1]]).sum()) if len(b) else 0
         want[i] = (len(b), int(gone.sum()), spans, bytes(np.frombuffer(b, np.uint8)[~gone]) if len(b) else b"")
+    return want
+
+
+def test_repeated_strings(spark, docs, empty):
+    want = model_repeats({i: t for i, t in TEXTS.items() if i is not None})
     for bucket in (4 << 20, 1000):
         got = by_id(suffixdedup.cut_repeats(docs, bucket_bytes=bucket, fragment_bytes=bucket))
         for i, w in want.items():
@@ -507,6 +513,21 @@ def test_repeated_strings(spark, docs, empty, monkeypatch):
     assert any(w[1] for w in want.values()) and suffixdedup.cut_repeats(empty).count() == 0
 
 
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_strings_that_all_documents_share(spark, partitions):
+    rng = random.Random(19)
+    line = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    common, second = line(90), line(64)
+    texts = {i: line(rng.randint(0, 60)) + common[rng.choice([0, 0, 7]) :] + line(rng.randint(0, 60)) + second * rng.randint(0, 3) for i in range(80)}
+    texts |= {100 + i: common for i in range(30)} | {200 + i: "ab" * rng.randint(20, 60) for i in range(20)}
+    table = spark.createDataFrame([*texts.items(), (None, common), (None, common)], "doc_id long, text string").repartition(partitions)
+    got = by_id(suffixdedup.cut_repeats(table, bucket_bytes=2000, fragment_bytes=2000))
+    for i, w in model_repeats(texts).items():
+        r = got[i][0]
+        assert (r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["text"])) == w, i
+    assert [bytes(r["text"]).decode() for r in got[None]] == [common, common]
+
+
 def test_segments_of_long_texts(monkeypatch):
     monkeypatch.setattr(suffixdedup, "SEGMENT", 100)
     text = bytes(random.Random(1).choices(b"abcdef", k=1234))
