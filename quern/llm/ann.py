@@ -1,17 +1,21 @@
 """Approximate nearest neighbours by cross-polytope hashing with exact reranking.
 
 Vectors are scaled to unit length and turned by fast pseudo-rotations (three rounds of random signs and a Hadamard
-transform). A table assigns a vector to the nearest signed axis of its rotation. A query probes the axes nearest to it
-in every table; the vectors in those buckets are scored exactly, by inner products of the original vectors in double
-precision, and each query keeps its nearest.
+transform). A rotation assigns a vector to the nearest signed axis among its first 64; a table joins the axes of two
+rotations or more into one code, so that codes grow in number with the table. A query probes, in every table, the codes
+with the largest sums of its own coordinates; their number falls as a power of the rows behind them, so the pairs that
+are scored grow slower than the table. Every code's vectors are scored exactly, by inner products of the original
+vectors in double precision, and each query keeps its nearest.
+
+Codes are dealt in ranges of about `block` vectors. A range receives each query that probes any of its codes once, with
+the list of those codes; ranges that hold too many vectors (unlike vectors with one code) are split further.
 
 Inner products of vectors of unequal length become angles by one more coordinate: sqrt(longest^2 - length^2) for the
 indexed vectors, 0 for the queries. Vectors are indexed by bands of length, each with its own `longest`, so that a few
-long vectors don't turn all others towards that coordinate; a query probes its axes in every band, and meets the whole
-of a band of no more than `block` vectors. Queries that find
-fewer than k others this way, and fewer than there are, are scored exactly against all vectors, in blocks. Equal vectors are one node: it is hashed and scored once, and lists the smallest
-of its ids, as many as could be returned, since ties go to smaller ids. A bucket is scored in blocks of bounded size,
-each against the queries that probe it, so no bucket has to fit into a task.
+long vectors don't turn all others towards that coordinate; a query probes every band, and meets the whole of a band of
+no more than `block` vectors. Queries that find fewer than k others this way, and fewer than there are, are scored
+exactly against all vectors, in blocks. Equal vectors are one node: it is hashed and scored once, and lists the smallest
+of its ids, as many as could be returned, since ties go to smaller ids.
 
 Defined cases: vectors that are null, of another length than most, zero, or that hold null or non-finite components
 take no part; so do null ids. Repeated rows are one row. With fewer than k others all are returned; a query without
@@ -25,17 +29,20 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.scratch import stored
+from quern.scratch import small, stored
+
+#: Probes in a table of CODES codes over PROBED_ROWS rows; they fall with the rows to the power FALL.
+PROBES, CODES, PROBED_ROWS, FALL = 700, 1 << 14, 10_000, 0.19
 
 
-def rotations(dims: int, tables: int, seed: int = 11) -> np.ndarray:
-    """Random signs (table x round x padded dimension)."""
+def rotations(dims: int, tables: int, axes: int, seed: int = 11) -> np.ndarray:
+    """Random signs (table x axis of a code x round x padded dimension)."""
     padded = 1 << max(1, dims - 1).bit_length()
-    return np.random.default_rng(seed).choice([-1.0, 1.0], (tables, 3, padded))
+    return np.random.default_rng(seed).choice([-1.0, 1.0], (tables, axes, 3, padded))
 
 
 def rotated(x: np.ndarray, signs: np.ndarray) -> np.ndarray:
-    """Rows of x under one table's pseudo-rotation: (Hadamard, signs) three times."""
+    """Rows of x under one pseudo-rotation: (Hadamard, signs) three times."""
     rounds, n = signs.shape
     y = np.zeros((len(x), n))
     y[:, : x.shape[1]] = x
@@ -50,11 +57,50 @@ def rotated(x: np.ndarray, signs: np.ndarray) -> np.ndarray:
     return y
 
 
-def axes(y: np.ndarray, probes: int) -> np.ndarray:
-    """The `probes` nearest signed axes of each row, nearest first: 2 * axis + (1 if negative)."""
-    both = np.stack([y, -y], 2).reshape(len(y), -1)
-    top = np.argpartition(-both, min(probes, both.shape[1]) - 1, axis=1)[:, :probes]
-    return np.take_along_axis(top, np.argsort(-np.take_along_axis(both, top, 1), axis=1, kind="stable"), 1)
+def widths(rows: int, padded: int) -> list[int]:
+    """How many coordinates of each rotation take part in a code: two rotations, more while a code would hold over 1000 rows."""
+    out, codes = [min(64, padded)] * 2, 4 * min(64, padded) ** 2
+    while rows > 1000 * codes:
+        if len(out) > 2 and out[-1] < min(64, padded):
+            out[-1] *= 2
+            codes *= 2
+        else:
+            out.append(1)
+            codes *= 2
+    return out
+
+
+def signed(y: np.ndarray, width: int) -> np.ndarray:
+    """The coordinates of both signs: 2 * axis, and 2 * axis + 1 for the negative one."""
+    return np.stack([y[:, :width], -y[:, :width]], 2).reshape(len(y), -1)
+
+
+def codes_of(x: np.ndarray, signs: np.ndarray, sizes: list[int]) -> np.ndarray:
+    """Each row's code: the nearest signed axis of every rotation, joined."""
+    code = np.zeros(len(x), np.int64)
+    for turn, width in zip(signs, sizes):
+        code = code * 2 * width + signed(rotated(x, turn), width).argmax(1)
+    return code
+
+
+def probed_codes(x: np.ndarray, signs: np.ndarray, sizes: list[int], probes: int) -> np.ndarray:
+    """The `probes` codes with the largest sums of coordinates of each row (all, if there are fewer), in order of codes.
+
+    Axes are added one by one: the first axes of a best code are always among the best so far.
+    """
+    code, total = np.zeros((len(x), 1), np.int64), np.zeros((len(x), 1))
+    for turn, width in zip(signs, sizes):
+        both = signed(rotated(x, turn), width)
+        total = (total[:, :, None] + both[:, None, :]).reshape(len(x), -1)
+        code = (code[:, :, None] * 2 * width + np.arange(2 * width)).reshape(len(x), -1)
+        if total.shape[1] > probes:
+            top = np.argpartition(-total, probes - 1, axis=1)[:, :probes]
+            total, code = np.take_along_axis(total, top, 1), np.take_along_axis(code, top, 1)
+    return np.sort(code, axis=1)
+
+
+def probe_count(rows: int, codes: int) -> int:
+    return max(1, min(codes, round(PROBES * codes / CODES * (max(rows, 1) / PROBED_ROWS) ** -FALL)))
 
 
 def usable(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
@@ -66,9 +112,23 @@ def usable(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
     return rows.where(F.size("v") == (usual["n"] if usual else 0)).distinct()
 
 
-def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 12, probes: int = 20, block: int = 2000, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
+def best_pairs(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray, rough: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the pairs (i of q, j of x), the k nearest of each i and those as near but for rounding, with their exact scores."""
+    order = np.lexsort((-rough, i))
+    i, j, rough = i[order], j[order], rough[order]
+    start = np.flatnonzero(np.diff(i, prepend=-1))
+    size = np.diff(np.append(start, len(i)))
+    floor = np.repeat(rough[start + np.minimum(size, k) - 1], size)
+    near = rough >= floor - 1e-9 * (1 + np.abs(floor))
+    i, j = i[near], j[near]
+    return i, j, (q[i] * x[j]).sum(1)
+
+
+def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 6, block: int = 2000, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row whose id is divisible by `every`."""
     rows = usable(vectors, id_column, column)
+    single = "array<float>" in vectors.schema[column].dataType.simpleString()
+    kind = np.float32 if single else np.float64  # what loses nothing
     # Of equal vectors, the smallest k + 1 ids (one may be the query's own) can be returned, and every query asks.
     nodes = stored(
         rows.groupBy("v")
@@ -80,78 +140,143 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 12,
     dims, longest = shape["dims"] or 1, shape["longest"] or 1.0
     asked = stored(members.where(F.col("id") % every == 0))
     # Lengths of a band differ by a factor of 2 ** (1 / 4) at most; those too small for a double are a band of their own.
+    # There are at most about 8200 bands, so their table is small whatever the input.
     shorter = F.nanvl(F.log2(F.lit(longest)) - F.log2("length"), F.lit(0.0))
     banded = nodes.withColumn("band", F.coalesce(F.floor(shorter * 4), F.lit(1 << 14)))
-    tops = banded.groupBy("band").agg(F.max("length").alias("top"), (F.count("*") <= block).alias("whole"))
-    # A whole band stands in negative buckets, one for each block of queries.
+    tops = stored(banded.groupBy("band").agg(F.max("length").alias("top"), F.count("*").alias("rows")))
+    large = {r["band"]: r["rows"] for r in tops.where(F.col("rows") > block).collect()}
+    sizes = widths(max(large.values(), default=0), 1 << max(1, dims).bit_length())
+    n_codes = int(np.prod([2 * w for w in sizes]))
+    # A range of codes holds about `block` vectors of its band if they are spread evenly.
+    per_range = {band: -(-n_codes // min(n_codes, -(-n // block))) for band, n in large.items()}
     query_blocks = max(1, -(-asked.select("node").distinct().count() // block))
-    signs = rotations(dims + 1, tables)
-
-    def hashed(deep: int):
-        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for pdf in batches:
-                if not len(pdf):
-                    continue
-                x = np.array(pdf.v.tolist(), np.float64)
-                if deep == 1:
-                    top = np.maximum(pdf.top.to_numpy(), np.finfo(float).tiny)[:, None]
-                    own = np.concatenate([x / top, np.sqrt(np.maximum(0, 1 - (pdf.length.to_numpy()[:, None] / top) ** 2))], 1)
-                else:
-                    own = np.concatenate([x / pdf.length.to_numpy()[:, None], np.zeros((len(x), 1))], 1)
+    signs = rotations(dims + 1, tables, len(sizes))
+
+    def raw(x: np.ndarray) -> list[bytes]:
+        return [r.tobytes() for r in x.astype(kind)]
+
+    def unraw(column: pd.Series) -> np.ndarray:
+        return np.frombuffer(b"".join(column), kind).reshape(len(column), -1).astype(np.float64)
+
+    def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for a in range(0, len(pdf), 2000):
+                some = pdf.iloc[a : a + 2000]
+                x = np.array(some.v.tolist(), np.float64)
+                top = np.maximum(some.top.to_numpy(), np.finfo(float).tiny)[:, None]
+                own = np.concatenate([x / top, np.sqrt(np.maximum(0, 1 - (some.length.to_numpy()[:, None] / top) ** 2))], 1)
+                v, per = raw(x), some.band.map(per_range).to_numpy()
                 for t in range(tables):
-                    a = axes(rotated(own, signs[t]), deep)
-                    yield pd.DataFrame({"band": np.repeat(pdf.band.to_numpy(), a.shape[1]), "bucket": (t * 2 * signs.shape[2] + a).ravel(), "node": np.repeat(pdf.node.to_numpy(), a.shape[1]), "v": np.repeat(np.array([r.tobytes() for r in x], object), a.shape[1])})
+                    code = codes_of(own, signs[t], sizes)
+                    yield pd.DataFrame({"band": some.band.to_numpy(), "range": t * n_codes + code // per, "node": some.node.to_numpy(), "code": code, "v": v})
 
-        return run
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        most = probe_count(min(large.values(), default=0), n_codes)
+        step = max(1, (8 << 20) // (most * 2 * sizes[-1] + n_codes // (2 * sizes[-1])))
+        for pdf in batches:
+            for a in range(0, len(pdf), step):
+                some = pdf.iloc[a : a + step]
+                x = np.array(some.v.tolist(), np.float64)
+                own = np.concatenate([x / some.length.to_numpy()[:, None], np.zeros((len(x), 1))], 1)
+                v, out = raw(x), []
+                for t in range(tables):
+                    for band, n in large.items():
+                        for node, bytes_, codes in zip(some.node, v, probed_codes(own, signs[t], sizes, probe_count(n, n_codes))):
+                            which = codes // per_range[band]
+                            cuts = np.flatnonzero(np.diff(which, prepend=-1))
+                            out += [(band, t * n_codes + int(which[c]), node, part.tobytes(), bytes_) for c, part in zip(cuts, np.split(codes, cuts[1:]))]
+                yield pd.DataFrame(out, columns=["band", "range", "node", "codes", "v"])
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"band": pdf.band, "node": pdf.node, "v": [np.array(v, np.float64).tobytes() for v in pdf.v]})
+            yield pd.DataFrame({"band": pdf.band, "node": pdf.node, "v": raw(np.array(pdf.v.tolist(), np.float64).reshape(len(pdf), -1))})
+
+    def result(queries: pd.DataFrame, held: pd.DataFrame, found: list[tuple]) -> pd.DataFrame:
+        i, j, score = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        return pd.DataFrame({"query": queries.node.to_numpy(np.int64)[i], "node": held.node.to_numpy(np.int64)[j], "score": score})
+
+    def score_codes(key: tuple, queries: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        """Pairs of a query and the vectors of the codes it probes."""
+        if not len(queries) or not len(held):
+            return result(queries, held, [])
+        held = held.sort_values(["code", "node"], ignore_index=True)
+        x, code = unraw(held.v), held.code.to_numpy()
+        names, start = np.unique(code, return_index=True)
+        stop, found = np.append(start[1:], len(code)), []
+        for a in range(0, len(queries), 1000):
+            some = queries.iloc[a : a + 1000]
+            q, lists = unraw(some.v), [np.frombuffer(c, np.int64) for c in some.codes]
+            which, who = np.concatenate(lists), np.repeat(np.arange(len(some)), [len(c) for c in lists])
+            at = np.searchsorted(names, which)
+            there = names[np.minimum(at, len(names) - 1)] == which
+            at, who = at[there], who[there]
+            order = np.argsort(at, kind="stable")
+            at, who = at[order], who[order]
+            cuts, pairs, held_pairs = np.flatnonzero(np.diff(at, prepend=-1)), [], 0
+            for b, e in zip(cuts, np.append(cuts[1:], len(at))):
+                lo, hi, own = start[at[b]], stop[at[b]], who[b:e]
+                for c in range(lo, hi, block):
+                    j = np.arange(c, min(hi, c + block))
+                    pairs.append((np.repeat(own, len(j)), np.tile(j, len(own)), (q[own] @ x[j].T).ravel()))
+                    held_pairs += len(own) * len(j)
+                    if held_pairs > 4_000_000:  # bounded: what can't be among the nearest is left behind
+                        i, j, score = best_pairs(q, x, *(np.concatenate(p) for p in zip(*pairs)), k + 1)
+                        pairs, held_pairs = [(i, j, score)], len(i)
+            if pairs:
+                i, j, score = best_pairs(q, x, *(np.concatenate(p) for p in zip(*pairs)), k + 1)
+                found.append((i + a, j, score))
+        return result(queries, held, found)
+
+    def score_all(key: tuple, queries: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        """All pairs of a block of queries and a block of vectors."""
+        found = []
+        if len(queries) and len(held):
+            x = unraw(held.v)
+            for a in range(0, len(queries), 500):
+                q = unraw(queries.v.iloc[a : a + 500])
+                rough = q @ x.T
+                i, j = np.divmod(np.arange(rough.size), len(x))
+                i, j, score = best_pairs(q, x, i, j, rough.ravel(), k + 1)
+                found.append((i + a, j, score))
+        return result(queries, held, found)
 
-    schema = "band long, bucket long, node long, v binary"
+    schema = "query long, node long, score double"
     ranged = banded.join(F.broadcast(tops), "band")
-    every_block = F.explode(F.sequence(F.lit(-query_blocks), F.lit(-1)).cast("array<long>"))
-    whole = ranged.where("whole").mapInPandas(packed, "band long, node long, v binary").select("band", every_block.alias("bucket"), "node", "v")
-    buckets = ranged.where("not whole").mapInPandas(hashed(1), schema).unionByName(whole)
-    counted = buckets.groupBy("band", "bucket").agg(F.ceil(F.count("*") / block).alias("blocks"))
-    sizes = stored(counted)
-    index = buckets.join(F.broadcast(sizes), ["band", "bucket"]).withColumn("part", F.pmod(F.xxhash64("node"), "blocks")).drop("blocks")
     asking = banded.join(asked.select("node").distinct(), "node")
-    own_block = (-F.pmod(F.xxhash64("node"), F.lit(query_blocks)) - 1).alias("bucket")
-    to_whole = asking.mapInPandas(packed, "band long, node long, v binary").select(own_block, "node", "v")
-    asking = asking.mapInPandas(hashed(probes), schema).drop("band").unionByName(to_whole)
-    asking = asking.join(F.broadcast(sizes), "bucket").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
+    indexed = ranged.where(F.col("rows") > block).mapInPandas(index, "band long, range long, node long, code long, v binary")
+    probing = asking.mapInPandas(ask, "band long, range long, node long, codes binary, v binary")
+    # Ranges far larger than a block are few; they are split, and the queries that probe them go to every part.
+    crowded = stored(indexed.groupBy("band", "range").agg(F.ceil(F.count("*") / (2 * block)).alias("parts")).where("parts > 1"))
+    keys = ["band", "range", "part"]
+    parts = F.coalesce("parts", F.lit(1))
+    held = indexed.join(small(crowded), ["band", "range"], "left").withColumn("part", F.pmod(F.xxhash64("node"), parts)).drop("parts")
+    probing = probing.join(small(crowded), ["band", "range"], "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
+    pairs = probing.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(score_codes, schema)
 
-    def score(key: tuple, queries: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query": np.zeros(0, np.int64), "node": np.zeros(0, np.int64), "score": np.zeros(0)})
-        if not len(queries) or not len(held):
-            return empty
-        held = held.sort_values("node")
-        x, names = np.frombuffer(b"".join(held.v)).reshape(len(held), -1), held.node.to_numpy()
-        out = []
-        for at in range(0, len(queries), 500):
-            some = queries.iloc[at : at + 500]
-            q = np.frombuffer(b"".join(some.v)).reshape(len(some), -1)
-            rough = q @ x.T
-            keep = min(k + 1, rough.shape[1])
-            floor = np.partition(rough, rough.shape[1] - keep, axis=1)[:, rough.shape[1] - keep]
-            i, j = np.nonzero(rough >= (floor - 1e-9 * (1 + np.abs(floor)))[:, None])
-            out.append(pd.DataFrame({"query": some.node.to_numpy()[i], "node": names[j], "score": (q[i] * x[j]).sum(1)}))
-        return pd.concat(out)
+    # Bands that fit in a block are met whole, by blocks of queries.
+    blank = "band long, node long, v binary"
+    query_block = F.pmod(F.xxhash64("node"), F.lit(query_blocks))
+    whole = ranged.where(F.col("rows") <= block).mapInPandas(packed, blank)
+    if not whole.isEmpty():
+        left = asking.mapInPandas(packed, blank).withColumn("block", query_block)
+        listed = [r["band"] for r in tops.where(F.col("rows") <= block).collect()]
+        left = left.drop("band").withColumn("band", F.explode(F.array(*[F.lit(b).cast("long") for b in listed])))
+        right = whole.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<long>")))
+        pairs = pairs.unionByName(left.groupBy("band", "block").cogroup(right.groupBy("band", "block")).applyInPandas(score_all, schema))
 
     def answered(asked: DataFrame, pairs: DataFrame) -> DataFrame:
         # The k + 1 nearest nodes hold the k nearest rows other than the query's own.
-        best = pairs.groupBy("query").agg(F.slice(F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("far"), "node"))), 1, k + 1).alias("best"))
+        pairs = pairs.distinct()
+        nth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "node"))
+        best = pairs.withColumn("nth", nth).where(F.col("nth") <= k + 1).select("query", "node", (-F.col("score")).alias("far"))
         # Ranking with a limit is cut down before the shuffle, so a node of very many rows stays small.
         nth = F.row_number().over(Window.partitionBy("node").orderBy("id"))
-        smallest = members.join(pairs.select("node").distinct(), "node").withColumn("nth", nth).where(F.col("nth") <= k + 1).groupBy("node").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-        near = best.select("query", F.inline("best")).join(smallest, "node").select("query", "far", F.explode("ids").alias("vec_id"))
+        smallest = members.join(best.select("node").distinct(), "node").withColumn("nth", nth).where(F.col("nth") <= k + 1).groupBy("node").agg(F.sort_array(F.collect_list("id")).alias("ids"))
+        near = best.join(smallest, "node").select("query", "far", F.explode("ids").alias("vec_id"))
         near = near.groupBy("query").agg(F.slice(F.sort_array(F.collect_list(F.struct("far", "vec_id"))), 1, k + 1).alias("near"))
         others = F.slice(F.filter("near", lambda x: x.vec_id != F.col("id")), 1, k)
         return asked.join(near, F.col("node") == F.col("query"), "left").select("node", "id", F.coalesce(others, F.array().cast("array<struct<far: double, vec_id: long>>")).alias("near"))
 
-    keys = ["band", "bucket", "part"]
-    pairs = asking.groupBy(*keys).cogroup(index.groupBy(*keys)).applyInPandas(score, "query long, node long, score double").distinct()
     answers = stored(answered(asked, pairs))
     few = F.size("near") < min(k, members.count() - 1)
     lacking = stored(answers.where(few).select("node", "id"))
@@ -162,9 +287,9 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 12,
         blocks, parts = -(-n_lacking // block), -(-n_nodes // block)
         one = lambda n: F.pmod(F.xxhash64("node"), F.lit(n))
         each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
-        left = banded.join(lacking_nodes, "node").mapInPandas(packed, "band long, node long, v binary").withColumn("bucket", one(blocks)).withColumn("part", each(parts))
-        right = banded.mapInPandas(packed, "band long, node long, v binary").withColumn("part", one(parts)).withColumn("bucket", each(blocks))
-        exact = left.groupBy("bucket", "part").cogroup(right.groupBy("bucket", "part")).applyInPandas(score, "query long, node long, score double")
+        left = banded.join(lacking_nodes, "node").mapInPandas(packed, blank).withColumn("block", one(blocks)).withColumn("part", each(parts))
+        right = banded.mapInPandas(packed, blank).withColumn("part", one(parts)).withColumn("block", each(blocks))
+        exact = left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(score_all, schema)
         answers = answers.where(~few).unionByName(answered(lacking, exact))
     found = answers.select(F.col("id").alias("query_id"), F.posexplode("near").alias("place", "x"))
     return found.select("query_id", (F.col("place") + 1).cast("int").alias("rank"), F.col("x.vec_id").alias("vec_id"), (-F.col("x.far")).alias("score"))

@@ -135,8 +135,58 @@ def test_neighbours(spark, scale):
         score[q] = -np.inf
         hit += len({r["vec_id"] for r in own} & set(np.lexsort((np.arange(900), -score))[:20].tolist()))
     assert hit / (45 * 20) >= 0.9
-    few = spark.createDataFrame(rows[:3], "vec_id long, embedding array<float>")
-    assert [r["vec_id"] for r in ann.nearest(few, tables=40, probes=64).orderBy("rank").collect()] and ann.nearest(few.limit(0)).count() == 0
+    assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 2, 15, 21])
+def test_all_candidates_of_few_vectors(spark, n):
+    x = np.random.default_rng(n).standard_normal((n, 8)).astype(np.float32)
+    x[n // 2 :] = x[n // 2]  # ties
+    got = ann.nearest(spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")).collect()
+    want = []
+    for q in range(0, n, 20):
+        score = [sum(float(a) * float(b) for a, b in zip(x[q], v)) for v in x]
+        order = sorted((i for i in range(n) if i != q), key=lambda i: (-round(score[i], 9), i))[:20]
+        want += [(q, r, i) for r, i in enumerate(order, 1)]
+    assert sorted((r["query_id"], r["rank"], r["vec_id"]) for r in got) == want
+
+
+@pytest.mark.parametrize("kind", ["array<float>", "array<double>"])
+def test_neighbours_by_hashed_codes(spark, kind):
+    rng = np.random.default_rng(14)
+    n, dims = 3000, 24
+    x = rng.standard_normal((n, dims)) + 2 * rng.standard_normal((10, dims))[rng.integers(0, 10, n)]
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x[1000:1400] = x[1000] + 1e-4 * rng.standard_normal((400, dims))  # a crowded code
+    x = np.float32(x).astype(float) if "float" in kind else x
+    got = ann.nearest(spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], f"vec_id long, embedding {kind}"), block=100).collect()
+    hit = 0
+    for q in range(0, n, 20):
+        own = sorted((r["rank"], r["vec_id"], r["score"]) for r in got if r["query_id"] == q)
+        score = x @ x[q]
+        score[q] = -np.inf
+        assert [r for r, _, _ in own] == list(range(1, 21)) and np.allclose([s for _, _, s in own], score[[i for _, i, _ in own]], rtol=1e-12)
+        hit += len({i for _, i, _ in own} & set(np.argsort(-score, kind="stable")[:20].tolist()))
+    assert hit / (n // 20 * 20) >= 0.9
+
+
+def test_probed_codes_are_the_best():
+    rng = np.random.default_rng(3)
+    x, signs, sizes = rng.standard_normal((6, 8)), ann.rotations(8, 1, 3)[0], [8, 8, 2]
+    sums = [ann.signed(ann.rotated(x, s), w) for s, w in zip(signs, sizes)]
+    total = (sums[0][:, :, None, None] + sums[1][:, None, :, None] + sums[2][:, None, None, :]).reshape(6, -1)
+    for probes in (1, 7, 100, 5000):
+        want = np.sort(np.argsort(-total, axis=1)[:, :probes], axis=1)
+        assert (ann.probed_codes(x, signs, sizes, probes) == want).all()
+    assert (ann.codes_of(x, signs, sizes) == total.argmax(1)).all()
+
+
+def test_codes_grow_and_probes_fall_with_the_table():
+    sizes = [ann.widths(n, 128) for n in (10**4, 10**7, 10**8, 10**9, 10**12)]
+    codes = [int(np.prod([2 * w for w in s])) for s in sizes]
+    assert codes == sorted(codes) and all(n <= 1000 * c for n, c in zip((10**4, 10**7, 10**8, 10**9, 10**12), codes))
+    shares = [ann.probe_count(n, c) / c for n, c in zip((10**4, 10**7, 10**8, 10**9), codes)]
+    assert shares == sorted(shares, reverse=True) and shares[-1] < shares[0] / 5
 
 
 @pytest.mark.parametrize("kind", ["one long", "log-normal", "few"])
@@ -162,7 +212,7 @@ def test_neighbours_of_unequal_lengths_and_few_rows(spark, kind):
 
 def test_rotations_keep_lengths():
     x = np.random.default_rng(1).standard_normal((5, 24))
-    assert np.allclose(np.linalg.norm(ann.rotated(x, ann.rotations(24, 1)[0]), axis=1), np.linalg.norm(x, axis=1))
+    assert np.allclose(np.linalg.norm(ann.rotated(x, ann.rotations(24, 1, 1)[0, 0]), axis=1), np.linalg.norm(x, axis=1))
 
 
 # 3: languages
