@@ -371,8 +371,10 @@ def cut_repeats(docs: DataFrame, least: int = 50, k: int = 14, bucket_bytes: int
     texts = texts_of(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "text")
     total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     mark_buckets = 1 + total // bucket_bytes
-    hot = shared_marks(spread(texts.where(F.col("key") != NO_ID)), least, k, mark_buckets).groupBy("key").agg(F.collect_list("tags").alias("tags"))
-    ranges = repeated_ranges(texts.join(hot, "key"), least, k, mark_buckets, 1 + total // fragment_bytes).groupBy("key").agg(F.collect_list("spans").alias("spans"))
+    # Rows without an id lose nothing; they don't meet under a common key. Both joins share one exchange of the others.
+    named, unnamed = texts.where(F.col("key") != NO_ID), texts.where(F.col("key") == NO_ID)
+    hot = shared_marks(spread(named), least, k, mark_buckets).groupBy("key").agg(F.collect_list("tags").alias("tags"))
+    ranges = repeated_ranges(named.join(hot, "key"), least, k, mark_buckets, 1 + total // fragment_bytes).groupBy("key").agg(F.collect_list("spans").alias("spans"))
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -398,7 +400,5 @@ def cut_repeats(docs: DataFrame, least: int = 50, k: int = 14, bucket_bytes: int
                 ids = pa.compute.if_else(pa.compute.equal(key, NO_ID), pa.scalar(None, pa.int64()), key)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(left, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "text"])
 
-    # Rows without an id lose nothing; they don't meet under a common key.
-    named, unnamed = texts.where(F.col("key") != NO_ID), texts.where(F.col("key") == NO_ID)
     spans = F.lit(None).cast("array<binary>").alias("spans")
     return named.join(ranges, "key", "left").select("key", "text", "spans").union(unnamed.select("key", "text", spans)).mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, text binary")
