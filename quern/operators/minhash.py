@@ -4,9 +4,10 @@ Rows are ranked by length (longer first), then by id. The greedy form removes a
 better rank is similar; the one-shot form removes it if any row of better rank is. Rows whose normalised text is equal
 are collapsed first, since they have equal shingles: only the best of them can survive.
 
-The greedy form works in rounds: rows that lead all their buckets survive, and only they are compared with the others
-in those buckets, so a group of m copies costs about m comparisons for each survivor, not m^2. The one-shot form and
-the pairs need all pairs of a bucket by definition; they come from a self-join on band keys, which AQE splits.
+Rows that lead all their buckets survive; they are compared with the others of those buckets, which removes a group of
+copies at the cost of its size. This is repeated while it removes a good share of the rows, so a few times at most.
+What is left shares buckets but is mostly unlike. Its buckets are cut into chunks of bounded size, and every two chunks
+of a bucket meet in a task, which gives only the pairs that are similar. The greedy form then decides on those links.
 """
 
 import hashlib
@@ -18,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.functions.text import strip
-from quern.scratch import spread, stored
+from quern.scratch import joined, spread, stored
 
 # The hash family.
 LARGEST, PRIME, SEED = 2**32 - 1, 4294967311, 42
@@ -31,8 +32,9 @@ def normalised(text: Column) -> Column:
 def shingles(text: Column, k: int = 5) -> Column:
     """Distinct character k-grams of the lower-cased, stripped text; the text itself if it is shorter."""
     chars = F.split(normalised(text), "")
+    gram = lambda c: lambda i: F.concat(*[F.get(c, i + j) for j in range(k)])
     # The one-element transform computes the characters once a row instead of once a shingle.
-    grams = F.transform(F.array(chars), lambda c: F.when(F.size(c) < k, F.array(F.array_join(c, ""))).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size(c) - k + 1, F.lit(1))), lambda i: F.array_join(F.slice(c, i, k), "")))))
+    grams = F.transform(F.array(chars), lambda c: F.when(F.size(c) < k, F.array(F.array_join(c, ""))).otherwise(F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(F.size(c) - k, F.lit(0))), gram(c)))))
     return F.get(grams, 0)
 
 
@@ -96,12 +98,62 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) > 0) & (F.size(b) > 0), both / (F.size(a) + F.size(b) - both)).otherwise(0.0)
 
 
+def gram_sets(rows: DataFrame, k: int = 5) -> DataFrame:
+    """(id, grams): hashes of the shingles of (id, text_norm)."""
+    return rows.select("id", F.transform(shingles(F.col("text_norm"), k), lambda s: F.xxhash64(s)).alias("grams"))
+
+
+def compared(shared: DataFrame, sets: DataFrame, threshold: float, all_pairs: bool, chunk: int = 200) -> DataFrame:
+    """Similar rows among those that share a bucket: pairs (better, worse), or the worse row alone, once a task.
+
+    shared: (band, key, id, rank, target), rank being (far, id); only rows marked as targets are looked at as the worse
+    one. A bucket's rows are dealt in chunks of about `chunk`, and each two chunks (or one with itself) meet in a task.
+    """
+    places = stored(shared.groupBy("band", "key").agg(F.ceil(F.count("*") / chunk).alias("chunks"), F.count("*").alias("n")).where("n > 1"))
+    dealt = joined(shared, places, ["band", "key"]).withColumn("part", F.pmod(F.xxhash64("id"), "chunks"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
+    dealt = dealt.select("band", "key", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "part", "id", "rank.far", "target").join(sets, "id")
+    kind = shared.schema["id"].dataType.simpleString()
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("far", "ascending"), ("id", "ascending")])
+        grams = table.column("grams").combine_chunks()
+        flat, size = grams.flatten().to_numpy(), np.diff(grams.offsets.to_numpy())
+        names, flat = np.unique(flat, return_inverse=True)
+        start, mark = np.cumsum(size) - size, np.zeros(len(names), bool)
+        part, target = (table.column(c).to_numpy() for c in ("part", "target"))
+        alone, better, worse = len(np.unique(part)) == 1, [], []
+        for i in np.flatnonzero(target & (size > 0)).tolist():
+            # Sizes that differ too much leave no such similarity.
+            may = (alone | (part[:i] != part[i])) & (np.minimum(size[:i], size[i]) >= threshold * np.maximum(size[:i], size[i])) & (size[:i] > 0)
+            j = np.flatnonzero(may)
+            if not len(j):
+                continue
+            mark[flat[start[i] : start[i] + size[i]]] = True
+            both = np.array([np.count_nonzero(mark[flat[start[n] : start[n] + size[n]]]) for n in j])
+            mark[flat[start[i] : start[i] + size[i]]] = False
+            j = j[both / (size[j] + size[i] - both) >= threshold][: None if all_pairs else 1]
+            better += j.tolist()
+            worse += [i] * len(j)
+        ids = table.column("id")
+        return pa.table({"better": ids.take(pa.array(better, pa.int64())), "worse": ids.take(pa.array(worse, pa.int64()))})
+
+    found = dealt.groupBy("band", "key", "low", "high").applyInArrow(run, f"better {kind}, worse {kind}")
+    return found.distinct() if all_pairs else found.select("worse").distinct()
+
+
+def with_rank(rows: DataFrame) -> DataFrame:
+    """(id, rank) of (id, size)."""
+    return rows.select("id", F.struct((-F.col("size")).alias("far"), "id").alias("rank"))
+
+
 def similar_pairs(rows: DataFrame, threshold: float = 0.7, permutations: int = 128, n_bands: int = 16, k: int = 5) -> DataFrame:
-    """(a, b, jaccard) of LSH candidates among (id, text_norm) with at least the threshold."""
-    pairs = candidates(bands(signatures(rows, permutations=permutations, k=k), n_bands=n_bands))
-    sets = rows.select("id", F.transform(shingles(F.col("text_norm"), k), lambda s: F.xxhash64(s)).alias("grams"))
+    """(a, b, jaccard) of LSH candidates among (id, text_norm, size) with at least the threshold, a < b."""
+    shared = stored(crowded(bands(signatures(rows, permutations=permutations, k=k), n_bands=n_bands)).join(with_rank(rows), "id").withColumn("target", F.lit(True)))
+    sets = stored(gram_sets(rows.join(shared.select("id").distinct(), "id", "left_semi"), k))
+    pairs = compared(shared, sets, threshold, all_pairs=True).select(F.least("better", "worse").alias("a"), F.greatest("better", "worse").alias("b"))
     left, right = sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), sets.select(F.col("id").alias("b"), F.col("grams").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", jaccard(F.col("x"), F.col("y")).alias("jaccard")).where(F.col("jaccard") >= threshold)
+    return pairs.join(left, "a").join(right, "b").select("a", "b", jaccard(F.col("x"), F.col("y")).alias("jaccard"))
 
 
 def prepared(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -109,49 +161,82 @@ def prepared(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     if text_col not in df.columns:
         raise ValueError(f"no column {text_col!r} to compare; columns are {df.columns}")
     rows = df.select(F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("text_norm"), F.coalesce(F.length(text_col), F.lit(0)).alias("size"))
-    best = rows.groupBy("text_norm").agg(F.min(F.struct((-F.col("size")).alias("far"), "id")).alias("best"))
-    return best.select(F.col("best.id").alias("id"), "text_norm", (-F.col("best.far")).alias("size"))
-
-
-def ranked(pairs: DataFrame, rows: DataFrame) -> DataFrame:
-    """(better, worse) for each pair, by size, then id."""
-    x = rows.select(F.col("id").alias("a"), F.col("size").alias("size_a"))
-    y = rows.select(F.col("id").alias("b"), F.col("size").alias("size_b"))
-    first = (F.col("size_a") > F.col("size_b")) | ((F.col("size_a") == F.col("size_b")) & (F.col("a") < F.col("b")))
-    return pairs.join(x, "a").join(y, "b").select(F.when(first, F.col("a")).otherwise(F.col("b")).alias("better"), F.when(first, F.col("b")).otherwise(F.col("a")).alias("worse"))
+    # By digest, so that texts don't travel as keys.
+    best = rows.groupBy(F.sha2("text_norm", 256).alias("digest")).agg(F.min(F.struct((-F.col("size")).alias("far"), "id")).alias("best")).select("best.id")
+    return rows.join(best, "id", "left_semi")
 
 
 def crowded(banded: DataFrame) -> DataFrame:
     """The rows of buckets that hold at least two."""
-    many = banded.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1").select("band", "key")
-    return banded.join(many, ["band", "key"], "left_semi")
-
-
-def greedy_removed(rows: DataFrame, threshold: float = 0.7, permutations: int = 128, n_bands: int = 16, k: int = 5) -> DataFrame:
-    """Ids among (id, text_norm, size) that a surviving better row removes."""
-    rank = rows.select("id", F.struct((-F.col("size")).alias("far"), "id").alias("rank"))
+    many = stored(banded.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1"))
+    return joined(banded, many, ["band", "key"])
+
+
+def led(shared: DataFrame, sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(ids of the rows that lead all their buckets, ids of the rows similar to a leader of a bucket of theirs)."""
+    tops = stored(shared.groupBy("band", "key").agg(F.min("rank").alias("top"), F.count("*").alias("n")))
+    placed = stored(joined(shared, tops, ["band", "key"]).select("id", F.col("top.id").alias("top"), (F.col("rank") > F.col("top")).alias("beaten")).distinct())
+    leaders = stored(placed.groupBy("id").agg(F.bool_or("beaten").alias("beaten")).where("NOT beaten").select("id"))
+    pairs = placed.where("beaten").select(F.col("top").alias("a"), F.col("id").alias("b")).join(leaders.withColumnRenamed("id", "a"), "a", "left_semi").distinct()
+    of_leader = sets.join(pairs.groupBy("a").agg(F.count("*").alias("n")).withColumnRenamed("a", "id"), "id").select(F.col("id").alias("a"), F.col("grams").alias("x"), "n")
+    met = joined(pairs, stored(of_leader), ["a"]).join(sets.select(F.col("id").alias("b"), F.col("grams").alias("y")), "b")
+    return leaders, stored(met.where(jaccard(F.col("x"), F.col("y")) >= threshold).select(F.col("b").alias("id")).distinct())
+
+
+def survivors_of_links(links: DataFrame, rank: DataFrame, few: int = 1_000_000) -> DataFrame:
+    """Ids that go if, in order of rank, a row goes whenever a better one it is linked with stays. links: (better, worse).
+
+    While there are more than `few` links, rows without a better one left are settled in rounds, all at a time; the last
+    `few` are walked through in one task, since a long chain of links would take as many rounds as it has rows.
+    """
+    gone, kind = links.select(F.col("worse").alias("id")).limit(0), links.schema["worse"].dataType.simpleString()
+    while links.count() > few:
+        stay = links.select(F.col("better").alias("id")).distinct().join(links.select(F.col("worse").alias("id")), "id", "left_anti")
+        out = stored(links.join(stay.withColumnRenamed("id", "better"), "better", "left_semi").select(F.col("worse").alias("id")).distinct())
+        gone = gone.union(out)
+        for side in ("better", "worse"):
+            links = links.join(out.withColumnRenamed("id", side), side, "left_anti")
+        links = stored(links.join(stay.withColumnRenamed("id", "better"), "better", "left_anti"))
+
+    def walk(table: pa.Table) -> pa.Table:
+        better: dict = {}
+        for b, w, far in zip(*(table.column(c).to_pylist() for c in ("better", "worse", "far"))):
+            better.setdefault((far, w), []).append(b)
+        out: set = set()
+        for far, w in sorted(better):
+            if any(b not in out for b in better[far, w]):
+                out.add(w)
+        return pa.table({"id": pa.array(list(out), table.schema.field("worse").type)})
+
+    last = links.join(rank.select(F.col("id").alias("worse"), "rank.far"), "worse").withColumn("one", F.lit(1))
+    return gone.union(last.groupBy("one").applyInArrow(walk, f"id {kind}"))
+
+
+def removed(rows: DataFrame, threshold: float, permutations: int, n_bands: int, k: int, greedy: bool) -> DataFrame:
+    """Ids among (id, text_norm, size) that a better row removes: any better one, or (greedy) any that survives."""
+    rank = with_rank(rows)
     shared = stored(crowded(bands(signatures(rows, permutations=permutations, k=k), n_bands=n_bands)).join(rank, "id"))
-    sets = stored(rows.join(shared.select("id").distinct(), "id", "left_semi").select("id", F.transform(shingles(F.col("text_norm"), k), lambda s: F.xxhash64(s)).alias("grams")))
-    left, right = sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), sets.select(F.col("id").alias("b"), F.col("grams").alias("y"))
-    gone = shared.select("id").limit(0)
-    while not shared.isEmpty():
-        tops = shared.groupBy("band", "key").agg(F.min("rank").alias("top"))
-        placed = stored(shared.join(tops, ["band", "key"]).select("id", F.col("top.id").alias("top"), (F.col("rank") > F.col("top")).alias("beaten")).distinct())
-        leaders = placed.groupBy("id").agg(F.bool_or("beaten").alias("beaten")).where("NOT beaten").select("id")
-        pairs = placed.where("beaten").select(F.col("top").alias("a"), F.col("id").alias("b")).join(leaders.withColumnRenamed("id", "a"), "a", "left_semi").distinct()
-        out = stored(pairs.join(left, "a").join(right, "b").where(jaccard(F.col("x"), F.col("y")) >= threshold).select(F.col("b").alias("id")).distinct())
+    sets = stored(gram_sets(rows.join(shared.select("id").distinct(), "id", "left_semi"), k))
+    if not greedy:
+        _, gone = led(shared, sets, threshold)
+        target = shared.join(gone.withColumn("out", F.lit(True)), "id", "left").withColumn("target", F.col("out").isNull()).drop("out")
+        return gone.union(compared(target, sets, threshold, all_pairs=False)).distinct()
+    gone, n = shared.select("id").limit(0), shared.select("id").distinct().count()
+    while n:
+        leaders, out = led(shared, sets, threshold)
         gone = gone.union(out)
         shared = stored(crowded(shared.join(out.union(leaders), "id", "left_anti")))
+        before, n = n, shared.select("id").distinct().count()
+        if n > before * 0.8:
+            links = stored(compared(shared.withColumn("target", F.lit(True)), sets, threshold, all_pairs=True))
+            return gone.union(survivors_of_links(links, rank))
     return gone
 
 
 def deduplicate(df: DataFrame, id_col: str, text_col: str, threshold: float = 0.7, permutations: int = 128, n_bands: int = 16, k: int = 5, greedy: bool = True) -> DataFrame:
     """The surviving rows of df."""
     rows = stored(prepared(df, id_col, text_col))
-    if greedy:
-        gone = greedy_removed(rows, threshold, permutations, n_bands, k)
-    else:
-        gone = ranked(similar_pairs(rows, threshold, permutations, n_bands, k), rows).select(F.col("worse").alias("id")).distinct()
+    gone = removed(rows, threshold, permutations, n_bands, k, greedy)
     kept = rows.select("id").join(gone, "id", "left_anti").withColumnRenamed("id", id_col)
     return df.join(kept, id_col, "left_semi")
 
@@ -164,7 +249,7 @@ def dedup_report(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def exact_dedup(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The row with the smallest id of each text."""
-    first = df.groupBy(text_col).agg(F.min(id_col).alias(id_col)).select(id_col)
+    first = df.groupBy(F.sha2(text_col, 256).alias("digest")).agg(F.min(id_col).alias(id_col)).select(id_col)
     return df.join(first, id_col, "left_semi")
 
 

@@ -51,6 +51,38 @@ def test_dedup_matches_the_model(spark, threshold):
     assert minhash.deduplicate(got, "id", "text", threshold, n_bands=64).count() == len(greedy)
 
 
+@pytest.mark.parametrize("few", [1_000_000, 0])
+def test_links_are_walked_in_order_of_rank(spark, few):
+    rng = random.Random(5)
+    links = sorted({tuple(sorted(rng.sample(range(40), 2))) for _ in range(50)})
+    stay = []
+    for i in range(40):
+        if not any((j, i) in links for j in stay):
+            stay.append(i)
+    rank = minhash.with_rank(spark.createDataFrame([(i, 100 - i) for i in range(40)], "id long, size long"))
+    gone = minhash.survivors_of_links(spark.createDataFrame(links, "better long, worse long"), rank, few)
+    assert sorted(r["id"] for r in gone.collect()) == sorted(set(range(40)) - set(stay))
+
+
+def test_rounds_of_unlike_rows_of_one_bucket_stay_few(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(i, "".join(rng.choice("abcdefgh") for _ in range(60))) for i in range(120)]
+    calls, led = [], minhash.led
+    monkeypatch.setattr(minhash, "led", lambda *a: calls.append(1) or led(*a))
+    # Bands of one sample out of 2000 possible shingle minima put most rows into common buckets.
+    df = spark.createDataFrame(rows, "id long, text string")
+    assert minhash.deduplicate(df, "id", "text", 0.7, n_bands=64, k=2).count() == len(rows) and len(calls) <= 6
+
+
+def test_large_buckets_meet_in_chunks(spark, monkeypatch):
+    monkeypatch.setattr(minhash.compared, "__defaults__", (7,))
+    rows = near_copies(seed=4, groups=6)
+    df = spark.createDataFrame(rows, "id long, text string")
+    greedy, once = model_greedy(rows, 0.8)
+    assert sorted(r["id"] for r in minhash.deduplicate(df, "id", "text", 0.8, n_bands=64).collect()) == greedy
+    assert sorted(r["id"] for r in minhash.deduplicate(df, "id", "text", 0.8, n_bands=64, greedy=False).collect()) == once
+
+
 def test_dedup_needs_its_column_and_takes_empty_tables(spark):
     df = spark.createDataFrame([], "id long, text string")
     with pytest.raises(ValueError, match="no column"):
