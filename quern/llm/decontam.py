@@ -9,8 +9,8 @@
    Proximity matches are windows within `misses` words added, dropped or replaced of a stretch of the text: such edits
    leave at least two of `misses` + 2 keys on one diagonal, so none is overlooked, whichever words they change.
 
-Item and document may be of any size: the benchmark's terms are sent to all tasks only while it has at most `small`
-words, else terms are matched by joins alone.
+Item and document may be of any size: the benchmark's terms, windows and texts are sent to all tasks only while it has
+at most `small` words, else they are matched by joins alone.
 
 Defined cases: null and empty texts have no words and neither hit nor are hit; a document or item of any length is
 read whole; repeated rows of a document are reported each, repeated items once by item_id; a null item_id takes part
@@ -72,12 +72,15 @@ def occurrences(docs: DataFrame, wanted, places: bool) -> DataFrame:
     return spread(named_rows(docs).select(*ROW, "text")).mapInArrow(run, "term binary, key long, unnamed boolean, position long" if places else "term binary, n long")
 
 
-def candidates(docs: DataFrame, items: DataFrame, size: int, misses: int, small: int) -> DataFrame:
+def total_words(items: DataFrame) -> int:
+    return items.select(F.sum(F.expr(f"size({WORDS})"))).first()[0] or 0
+
+
+def candidates(docs: DataFrame, items: DataFrame, size: int, misses: int, few: bool) -> DataFrame:
     """(key, unnamed, item_id, diagonal): where the key terms of some window stand at their offsets, or all but `misses`."""
     context = docs.sparkSession.sparkContext
     windows = windows_of(items, size)
-    n_words = items.select(F.sum(F.expr(f"size({WORDS})"))).first()[0] or 0
-    vocabulary = context.broadcast({bytes(r[0]) for r in windows.select(F.explode("terms")).distinct().collect()}) if n_words <= small else None
+    vocabulary = context.broadcast({bytes(r[0]) for r in windows.select(F.explode("terms")).distinct().collect()}) if few else None
     counts = occurrences(docs, vocabulary, places=False).groupBy("term").agg(F.sum("n").alias("n"))
     places = windows.select("item_id", "at", F.size("terms").alias("length"), F.posexplode("terms").alias("offset", "term")).join(counts, "term", "left").fillna(0, ["n"])
     rank = F.row_number().over(Window.partitionBy("item_id", "at", "length").orderBy("n", "offset"))
@@ -91,7 +94,8 @@ def candidates(docs: DataFrame, items: DataFrame, size: int, misses: int, small:
     of_window = chosen.groupBy("item_id", "at", "length").agg(F.collect_set(F.col("at") + F.col("offset")).alias("places"))
     needed = F.when(F.col("length") < size, F.size("places")).otherwise(F.greatest(F.size("places") - misses, F.lit(1)))
     of_item = of_window.withColumn("needed", needed).groupBy("item_id").agg(F.collect_set(F.struct("places", "needed")).alias("windows"), F.min("needed").alias("least"))
-    met = shifted.groupBy(*ROW, "item_id", "diagonal").agg(F.collect_set("place").alias("met")).join(of_item, "item_id").where("size(met) >= least")
+    of_item = stored(of_item)
+    met = shifted.groupBy(*ROW, "item_id", "diagonal").agg(F.collect_set("place").alias("met")).join(of_item if vocabulary is None else F.broadcast(of_item), "item_id").where("size(met) >= least")
     return met.where(F.exists("windows", lambda w: F.size(F.array_intersect(w.places, F.col("met"))) >= w.needed)).select(*ROW, "item_id", "diagonal")
 
 
@@ -130,7 +134,7 @@ def matches(words: list[bytes], item: list[bytes], diagonals: list[int], size: i
     return begin, exact, span, near
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, misses: int = 1, small: int = 5_000_000) -> DataFrame:
+def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, misses: int = 1, small: int = 500_000) -> DataFrame:
     """(doc_id, text, n_words, n_hit, n_items, items, n_near) of every document row.
 
     n_hit counts words inside an occurrence of a window, items lists the item_ids with one (sorted), n_near the windows
@@ -138,8 +142,9 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, misses: int
     """
     texts = F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce(F.col("text"), F.lit("")).alias("item")
     item_texts = items.select(*texts).dropDuplicates(["item_id", "item"])
-    found = candidates(docs, items, size, misses, small).groupBy(*ROW, "item_id").agg(F.collect_list("diagonal").alias("diagonals"))
-    listed = found.join(item_texts, "item_id").groupBy(*ROW).agg(F.collect_list(F.struct("item_id", "item", "diagonals")).alias("places"))
+    few = total_words(items) <= small
+    found = candidates(docs, items, size, misses, few).groupBy(*ROW, "item_id").agg(F.collect_list("diagonal").alias("diagonals"))
+    listed = found.join(F.broadcast(item_texts) if few else item_texts, "item_id").groupBy(*ROW).agg(F.collect_list(F.struct("item_id", "item", "diagonals")).alias("places"))
     joined = named_rows(docs).join(listed, ROW, "left").select("doc_id", "text", "places")
     schema = "doc_id long, text string, n_words long, n_hit long, n_items long, items array<string>, n_near long"
 
