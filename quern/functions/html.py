@@ -69,14 +69,18 @@ def longest_match(text: Column, pattern: str) -> Column:
     return strip(longest)
 
 
+# The fenced pages that are looked for, in order.
+FENCED = {
+    "html_block": r"(?i)```html\s*([\s\S]*?)```",
+    "doctype_block": r"(?i)```\s*(<!DOCTYPE[\s\S]*?)```",
+    "html_tag_block": r"(?i)```\s*(<html[\s\S]*?</html>)[\s\S]*?```",
+}
+
+
 def html_block(response: Column) -> Column:
     """struct(html, status): the page in a reply's code fences and how it was found (html null if it was not)."""
     text = F.coalesce(response, F.lit(""))
-    found = {
-        "html_block": longest_match(text, r"(?i)```html\s*([\s\S]*?)```"),
-        "doctype_block": longest_match(text, r"(?i)```\s*(<!DOCTYPE[\s\S]*?)```"),
-        "html_tag_block": longest_match(text, r"(?i)```\s*(<html[\s\S]*?</html>)[\s\S]*?```"),
-    }
+    found = {name: longest_match(text, pattern) for name, pattern in FENCED.items()}
     html, status = F.lit(None).cast("string"), F.lit("no_html_block")
     for name, block in reversed(found.items()):
         html, status = F.when(block != "", block).otherwise(html), F.when(block != "", name).otherwise(status)

@@ -70,3 +70,11 @@ def checklist_text(items: Column, most: int = 20) -> Column:
 def conversation_text(messages: Column) -> Column:
     """The content of a chat's first message (array of structs with `content`)."""
     return F.coalesce(F.get(messages, 0).content, F.lit(""))
+
+
+def question_text(question: Column) -> Column:
+    """A question given as plain text, or as the JSON of a chat: then the content of its first message, or that message."""
+    text = F.coalesce(question, F.lit(""))
+    first = F.get(F.from_json(text, "array<string>"), 0)
+    content = F.get_json_object(first, "$.content")
+    return F.when(strip(text).startswith("[") & first.isNotNull(), F.coalesce(content, first)).otherwise(text)

@@ -44,9 +44,14 @@ def fill_template(template: Column, variables: Column, values: dict[str, Column]
     return F.aggregate(variables, template, lambda text, name: F.coalesce(F.replace(text, F.concat(F.lit("{"), name, F.lit("}")), F.try_element_at(names, name)), text))
 
 
+def hash_number(*parts: Column | str) -> Column:
+    """A reproducible number below 2^32 from the parts' texts: the first word of the md5 of the parts joined by bars."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", *parts).cast("binary")), 1, 8), 16, 10).cast("long")
+
+
 def pick(options: list[str], *key: Column | str) -> Column:
     """A reproducible choice: the option whose number is the key's hash modulo their count."""
-    return F.element_at(F.array(*map(F.lit, options)), (F.pmod(F.xxhash64(*key), F.lit(len(options))) + 1).cast("int"))
+    return F.element_at(F.array(*map(F.lit, options)), (hash_number(*key) % len(options) + 1).cast("int"))
 
 
 def safe_name(name: Column) -> Column:
@@ -87,3 +92,14 @@ def without_json_fence(text: Column) -> Column:
 def bullet_list(items: Column) -> Column:
     """`a, b, c` as lines that begin with a dash (but the first)."""
     return F.replace(items, F.lit(", "), F.lit("\n- "))
+
+
+def data_url(image: Column, kind: str = "image/png") -> Column:
+    """Image bytes as a data URL in base64, on one line; null stays null."""
+    return F.concat(F.lit(f"data:{kind};base64,"), F.translate(F.base64(image), "\r\n", ""))
+
+
+def stamped(seconds: Column) -> Column:
+    """Seconds since 1970 as an ISO 8601 time in UTC."""
+    time = F.to_utc_timestamp(F.timestamp_seconds(seconds), F.current_timezone())
+    return F.date_format(time, "yyyy-MM-dd'T'HH:mm:ss'Z'")

@@ -27,19 +27,23 @@ def to_grpo(df: DataFrame, data_source: str, checklist_type: str, reference_col:
     return df.select(*keep, prompt.alias("prompt"), F.lit(data_source).alias("data_source"), info.alias("extra_info"))
 
 
-def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
-    """df with `position`, a permutation of 0 .. n - 1 that depends on seed and key alone.
+def numbered(df: DataFrame, *order: str, name: str = "position") -> DataFrame:
+    """df with `name`, the row's place from 0 in the order of the columns.
 
-    Rows are range-partitioned by a hash of their key; each partition's rank is offset by the rows before it, so no
-    task orders more than its own partition.
+    Rows are range-partitioned; each partition's rank is offset by the rows before it, so no task orders more than its
+    own partition.
     """
-    mixed = df.withColumn("mixed", F.xxhash64(F.lit(seed), key))
     # Written first: ranges are drawn from a sample, and both uses below must see the same ones.
-    parts = stored(mixed.repartitionByRange(F.col("mixed"), F.col(key)).withColumn("part", F.spark_partition_id()))
+    parts = stored(df.repartitionByRange(*map(F.col, order)).withColumn("part", F.spark_partition_id()))
     sizes = parts.groupBy("part").agg(F.count("*").alias("size"))
     before = sizes.withColumn("before", F.coalesce(F.sum("size").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    nth = F.row_number().over(Window.partitionBy("part").orderBy("mixed", key)) - 1
-    return parts.withColumn("nth", nth).join(F.broadcast(before), "part").withColumn("position", F.col("before") + F.col("nth")).drop("mixed", "part", "nth", "size", "before")
+    nth = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
+    return parts.withColumn("nth", nth).join(F.broadcast(before), "part").withColumn(name, F.col("before") + F.col("nth")).drop("part", "nth", "size", "before")
+
+
+def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
+    """df with `position`, a permutation of 0 .. n - 1 that depends on seed and key alone: the order of a hash."""
+    return numbered(df.withColumn("mixed", F.xxhash64(F.lit(seed), key)), "mixed", key).drop("mixed")
 
 
 def train_val_split(df: DataFrame, key: str, ratio: float = 0.9, seed: int = 42) -> DataFrame:

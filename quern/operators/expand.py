@@ -2,11 +2,12 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.text import bullet_list, fill_template, pick
-from quern.scratch import stored
+from quern.functions.text import bullet_list, fill_template, hash_number, pick
+from quern.operators.convert import numbered
+from quern.scratch import small, stored
 
 # Variant types, in order of their ids.
 VARIANT_TYPES = [
@@ -116,17 +117,16 @@ def expand_variants(tasks: DataFrame, types: list[str] = VARIANT_TYPES) -> DataF
 def fill_prompts(leaves: DataFrame, templates: DataFrame, per_leaf: int = 100, seed: int = 42, key: str = "node_id") -> DataFrame:
     """per_leaf prompts for each leaf (key, path): a template (prompt_template, variables) and values chosen by hash.
 
-    Templates are numbered and met by join, so their number isn't bounded.
+    Templates are numbered by their text and met by join, so their number isn't bounded.
     """
-    numbered = stored(templates.select("prompt_template", "variables").distinct())
-    n = numbered.count()
-    order = F.row_number().over(Window.orderBy("prompt_template")) - 1
-    numbered = numbered.withColumn("choice", order.cast("long"))
+    distinct = templates.select("prompt_template", "variables").dropDuplicates(["prompt_template"])
+    choices = stored(numbered(distinct, "prompt_template", name="choice"))
+    n = choices.count()
     draws = leaves.select(key, "path", F.explode(F.sequence(F.lit(0), F.lit(per_leaf - 1))).alias("k"))
-    draws = draws.withColumn("choice", F.pmod(F.xxhash64(F.lit(seed), key, "k"), F.lit(max(n, 1))))
+    draws = draws.withColumn("choice", hash_number(F.lit(str(seed)), key, "k") % max(n, 1))
     category = F.array_join("path", " > ")
     values: dict[str, Column] = {"web_category": category} | {name: pick(pool, F.lit(f"{seed} {name}"), key, "k") for name, pool in POOLS.items()}
-    return draws.join(numbered, "choice").select(key, "k", fill_template(F.col("prompt_template"), F.col("variables"), values).alias("prompt"), category.alias("web_category"), F.col("path").alias("category_path"))
+    return draws.join(small(choices), "choice").select(key, "k", fill_template(F.col("prompt_template"), F.col("variables"), values).alias("prompt"), category.alias("web_category"), F.col("path").alias("category_path"))
 
 
 def quotas(spark, target: int, weights: list[tuple[str, float]] = CATEGORY_WEIGHTS, exact: bool = False) -> DataFrame:
@@ -144,10 +144,31 @@ def quotas(spark, target: int, weights: list[tuple[str, float]] = CATEGORY_WEIGH
 
 
 def synthesise(quota: DataFrame, tasks: DataFrame, technologies: list[str] = TECHNOLOGIES) -> DataFrame:
-    """Quota rows (category_name, i, base_task, tech_stack): row i takes task i and technology i, both cyclic."""
-    rows = quota.where("n > 0").join(tasks.select("category_name", "tasks"), "category_name").select("position", "category_name", "tasks", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"))
-    tech = F.element_at(F.array(*map(F.lit, technologies)), F.col("i") % len(technologies) + 1)
-    return rows.select("position", "category_name", "i", F.get("tasks", F.col("i") % F.size("tasks")).alias("base_task"), tech.alias("tech_stack"))
+    """Quota rows (position, category_name, i, base_task, tech_stack): row i takes task i and technology i, both cyclic.
+
+    tasks: (category_name, nth, base_task), nth from 0 in each category. Tasks are met by their number, so a category
+    may have any number of them; a category without tasks gives no rows.
+    """
+    counts = tasks.groupBy("category_name").agg(F.count("*").alias("tasks"))
+    rows = quota.where("n > 0").join(counts, "category_name").select("position", "category_name", "tasks", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)).alias("i"))
+    tech = F.element_at(F.array(*map(F.lit, technologies)), (F.col("i") % len(technologies) + 1).cast("int"))
+    met = rows.withColumn("nth", F.col("i") % F.col("tasks")).join(tasks, ["category_name", "nth"])
+    return met.select("position", "category_name", "i", "base_task", tech.alias("tech_stack"))
+
+
+def number_tasks(tasks: DataFrame, category: str, order: str) -> DataFrame:
+    """tasks with `nth`, their place from 0 within the category."""
+    placed = stored(numbered(tasks, category, order, name="place"))
+    first = placed.groupBy(category).agg(F.min("place").alias("first"))
+    return placed.join(F.broadcast(first), category).withColumn("nth", F.col("place") - F.col("first")).drop("place", "first")
+
+
+def make_nodes(names: DataFrame, name_col: str = "name", root: str = "ROOT") -> DataFrame:
+    """(node_id, parent_id, name, depth, is_leaf): a root, and a child for each distinct name, numbered by name."""
+    kids = numbered(names.select(F.col(name_col).cast("string").alias("name")).where("name IS NOT NULL").distinct(), "name")
+    kids = kids.select((F.col("position") + 1).alias("node_id"), F.lit(0).cast("long").alias("parent_id"), "name", F.lit(1).alias("depth"), F.lit(False).alias("is_leaf"))
+    top = names.sparkSession.range(1).select(F.col("id").alias("node_id"), F.lit(None).cast("long").alias("parent_id"), F.lit(root).alias("name"), F.lit(0).alias("depth"), F.lit(False).alias("is_leaf"))
+    return top.unionByName(kids)
 
 
 def full_checklist(own: Column, universal: Column) -> Column:

@@ -16,26 +16,19 @@ class Client(Protocol):
     def complete(self, prompt: str) -> str: ...
 
 
-class EchoClient:
-    """A stand-in for tests: answers by a function of the prompt, and fails for prompts that hold `failing`."""
+def ask(client: Client, prompt: str, tries: int = 3, wait: tuple[float, float] = (2, 5), busy_wait: tuple[float, float] = (5, 15), is_busy: Callable[[Exception], bool] = lambda e: False, accepts: Callable[[str], bool] = bool, sleep: Callable[[float], None] = time.sleep) -> tuple[str | None, str | None]:
+    """(answer, None), or (None, error) after `tries` attempts; waits grow with the attempt, longer when it is busy.
 
-    def __init__(self, answer: Callable[[str], str] = str.upper, failing: str | None = None):
-        self.answer, self.failing = answer, failing
-
-    def complete(self, prompt: str) -> str:
-        if self.failing and self.failing in prompt:
-            raise RuntimeError("the service refused")
-        return self.answer(prompt)
-
-
-def ask(client: Client, prompt: str, tries: int = 3, wait: tuple[float, float] = (2, 5), busy_wait: tuple[float, float] = (5, 15), is_busy: Callable[[Exception], bool] = lambda e: False, sleep: Callable[[float], None] = time.sleep) -> tuple[str | None, str | None]:
-    """(answer, None), or (None, error) after `tries` attempts; waits grow with the attempt, longer when it is busy."""
+    An answer that `accepts` refuses (by default an empty one) is asked for again, like a failure.
+    """
     error = "empty answer"
     for n in range(1, tries + 1):
         low, high = wait
         try:
-            if answer := client.complete(prompt):
+            answer = client.complete(prompt)
+            if answer and accepts(answer):
                 return answer, None
+            error = "answer not accepted" if answer else "empty answer"
         except Exception as e:  # noqa: BLE001  a service may raise anything
             error = f"{type(e).__name__}: {e}"
             low, high = busy_wait if is_busy(e) else wait
@@ -44,14 +37,17 @@ def ask(client: Client, prompt: str, tries: int = 3, wait: tuple[float, float] =
     return None, f"failed after {tries} tries: {error}"
 
 
-def external_stage(rows: DataFrame, make_client: Callable[[], Client], key: str, prompt_col: str, answer_col: str = "response", concurrency: int = 16, tries: int = 3, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
-    """(key, answer, ok, error) of every row. A partition makes one client and keeps `concurrency` requests in flight."""
+def external_stage(rows: DataFrame, make_client: Callable[[], Client], key: str, prompt_col: str, answer_col: str = "response", concurrency: int = 16, **how) -> DataFrame:
+    """(key, answer, ok, error) of every row. A partition makes one client and keeps `concurrency` requests in flight.
+
+    how: what `ask` takes besides (tries, wait, busy_wait, is_busy, accepts, sleep).
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()
         with ThreadPoolExecutor(concurrency) as pool:
             for pdf in batches:
-                got = list(pool.map(lambda p: ask(client, p or "", tries, sleep=sleep), pdf[prompt_col]))
+                got = list(pool.map(lambda p: ask(client, p or "", **how), pdf[prompt_col]))
                 yield pd.DataFrame({key: pdf[key], answer_col: [a for a, _ in got], "ok": [e is None for _, e in got], "error": [e for _, e in got]})
 
     kind = rows.schema[key].dataType.simpleString()

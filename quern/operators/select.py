@@ -1,9 +1,9 @@
 """Score merging, filters, top-k and statistics."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.functions.html import fits_length, passes_rules
+from quern.functions.html import fits_length, html_block, passes_rules, validation_status
 from quern.functions.scores import CRITERION_WEIGHTS, passes_score
 
 
@@ -29,10 +29,14 @@ def filter_chain(rows: DataFrame, key: str, response_col: str = "response", scor
     return top_k(kept, target, key, score_col)
 
 
-def score_stats(rows: DataFrame, score_col: str) -> DataFrame:
-    """Mean, exact median, minimum and maximum of the scores that are numbers."""
+def score_stats(rows: DataFrame, score_col: str, accuracy: int | None = None) -> DataFrame:
+    """Mean, median, minimum and maximum of the scores that are numbers.
+
+    The median is exact, for which the distinct scores gather in one task; with an accuracy it is approximate.
+    """
     known = rows.where(F.col(score_col).isNotNull() & ~F.isnan(score_col))
-    return known.agg(F.avg(score_col).alias("mean"), F.percentile(score_col, F.lit(0.5)).alias("median"), F.min(score_col).alias("min"), F.max(score_col).alias("max"))
+    median = F.percentile(score_col, F.lit(0.5)) if accuracy is None else F.percentile_approx(score_col, 0.5, accuracy)
+    return known.agg(F.avg(score_col).alias("mean"), median.alias("median"), F.min(score_col).alias("min"), F.max(score_col).alias("max"))
 
 
 def status_counts(rows: DataFrame, status_col: str) -> DataFrame:
@@ -57,3 +61,54 @@ def weighted_scores(scores: DataFrame, key: str, criterion_col: str = "criterion
 def not_done(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """The rows whose key has no result yet."""
     return rows.join(done.select(key).distinct(), key, "left_anti")
+
+
+def truncated(text: str, most: int = 8000) -> Column:
+    """The first `most` characters, as a judge's prompt takes them; null counts as empty."""
+    return F.substring(F.coalesce(text, F.lit("")), 1, most)
+
+
+def top_score(items: Column) -> Column:
+    """The most points a checklist can give: the sum of its items' maxScore (5 where it is missing)."""
+    return F.aggregate(items, F.lit(0).cast("long"), lambda total, x: total + F.coalesce(x.maxScore, F.lit(5)).cast("long"))
+
+
+def batch_summary(rows: DataFrame, score_col: str) -> DataFrame:
+    """(mean, min, max) of a batch's rewards."""
+    return rows.agg(F.avg(score_col).alias("mean"), F.min(score_col).alias("min"), F.max(score_col).alias("max"))
+
+
+# The columns of a record that passed validation, besides the three that describe its page.
+RECORD_COLUMNS = ["index", "question", "checklist", "source", "base_task_id", "base_task_title", "tech_stack", "design_style", "feature_modifier"]
+
+
+def valid_records(rows: DataFrame, response_col: str = "response", success_col: str = "generation_success", columns: list[str] = RECORD_COLUMNS) -> DataFrame:
+    """Records (columns, response, extraction_method, html_length) of successful generations with a valid page.
+
+    response is the page alone; columns that the table lacks are null.
+    """
+    judged = rows.where(succeeded(rows, success_col)).withColumn("_block", html_block(F.col(response_col)))
+    good = judged.where(F.col("_block.html").isNotNull() & (validation_status(F.col("_block.html")) == "valid"))
+    own = [F.col(f"`{c}`") if c in rows.columns else F.lit(None).cast("string").alias(c) for c in columns]
+    return good.select(*own, F.col("_block.html").alias("response"), F.col("_block.status").alias("extraction_method"), F.length("_block.html").cast("long").alias("html_length"))
+
+
+def succeeded(rows: DataFrame, success_col: str = "generation_success") -> Column:
+    """Whether a generation succeeded; null, or no such column, counts as failed."""
+    return F.coalesce(F.col(success_col).cast("boolean"), F.lit(False)) if success_col in rows.columns else F.lit(False)
+
+
+def record_counters(rows: DataFrame, response_col: str = "response", success_col: str = "generation_success", bad_col: str | None = None) -> DataFrame:
+    """(counter, n): total, json_error, generation_failed, extract_<status>, valid_<status> and valid_total, if above 0.
+
+    bad_col holds the text of lines that are no records; those count as json_error alone. One pass, one narrow shuffle.
+    """
+    bad = F.col(bad_col).isNotNull() if bad_col else F.lit(False)
+    block = html_block(F.col(response_col))
+    judged = rows.select(bad.alias("bad"), succeeded(rows, success_col).alias("ok"), block.status.alias("extracted"), F.when(block.html.isNotNull(), validation_status(block.html)).alias("status"))
+    counters = (
+        F.when(F.col("bad"), F.array(F.lit("json_error")))
+        .when(~F.col("ok"), F.array(F.lit("total"), F.lit("generation_failed")))
+        .otherwise(F.array_compact(F.array(F.lit("total"), F.concat(F.lit("extract_"), "extracted"), F.concat(F.lit("valid_"), "status"), F.when(F.col("status") == "valid", "valid_total"))))
+    )
+    return judged.select(F.explode(counters).alias("counter")).groupBy("counter").agg(F.count("*").alias("n"))

@@ -72,9 +72,9 @@ def replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "pages").selectExpr("page_id", f"{REPLY} AS response"))
 
 
-@query("SELECT lang, count(DISTINCT text) AS n FROM documents WHERE length(text) >= 100 AND length(text) * 0.75 <= 16384 GROUP BY lang")
+@query("SELECT lang, count(DISTINCT text) AS n FROM documents GROUP BY lang")
 def exact_dedup_by_lang(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").where(H.fits_length(F.col("text"))).where("length(text) >= 100")
+    docs = table(spark, sf_dir, "documents").where("text IS NOT NULL")
     # Copies are told apart within their language, as the counts are by language.
     first = docs.groupBy("lang", F.sha2("text", 256).alias("digest")).agg(F.min("doc_id").alias("doc_id"))
     return first.groupBy("lang").agg(F.count("*").alias("n"))
@@ -162,38 +162,69 @@ def shingle_counts(spark, sf_dir):
     return docs.select("doc_id", F.size(minhash.shingles(F.col("text"))).cast("long").alias("n"))
 
 
-@query(f"SELECT doc_id, ({' + '.join(f'''('0x' || substr(d, {1 + 8 * i}, 8))::BIGINT''' for i in range(4))}) % 4294967295 AS hash FROM (SELECT doc_id, md5(substr(t, 1, 5)) AS d FROM ({NORMAL_SQL}))")
+HASHES_SQL = f"SELECT doc_id, ({' + '.join(f"('0x' || substr(d, {1 + 8 * i}, 8))::BIGINT" for i in range(4))}) % {minhash.LARGEST} AS hash FROM (SELECT doc_id, md5(g) AS d FROM (SELECT doc_id, unnest({GRAMS_SQL}) AS g FROM ({{}})))"
+
+
+@query(f"SELECT doc_id, min(hash) AS least, max(hash) AS greatest, count(*) AS n FROM ({HASHES_SQL.format(NORMAL_SQL)}) GROUP BY doc_id")
 def shingle_base_hash(spark, sf_dir):
-    first = F.substring(minhash.normalised(F.col("text")), 1, 5)
-    return table(spark, sf_dir, "documents").select("doc_id", minhash.base_hash(first).alias("hash"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    hashes = docs.select("doc_id", F.transform(minhash.shingles(F.col("text")), minhash.base_hash).alias("h"))
+    return hashes.select("doc_id", F.array_min("h").alias("least"), F.array_max("h").alias("greatest"), F.size("h").cast("long").alias("n"))
 
 
 def normal_docs(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), minhash.normalised(F.col("text")).alias("text_norm"))
 
 
-@query()
+# The hash family in SQL: a * h + b fits 64 bits without a sign; the library's signed arithmetic wraps at 2^63.
+FAMILY = minhash.family(128)
+WRAPPED = (minhash.PRIME - 2**64 % minhash.PRIME) % minhash.PRIME
+FAMILY_SQL = f"SELECT unnest(range(128)) AS i, unnest({FAMILY[0].tolist()}::UBIGINT[]) AS a, unnest({FAMILY[1].tolist()}::UBIGINT[]) AS b"
+SIGNED_SQL = """hashes AS ({hashes}), sig AS (SELECT doc_id, i, min(least({largest}, CASE WHEN x >= 9223372036854775808 THEN (x % {prime} + {wrapped}) % {prime} ELSE x % {prime} END)) AS v
+ FROM (SELECT doc_id, i, a * hash::UBIGINT + b AS x FROM hashes, ({family})) GROUP BY doc_id, i)"""
+
+
+def signed_sql(texts: str) -> str:
+    return SIGNED_SQL.format(hashes=HASHES_SQL.format(texts), largest=minhash.LARGEST, prime=minhash.PRIME, wrapped=WRAPPED, family=FAMILY_SQL)
+
+
+# The best row of each normalised text, and its candidates and links.
+BEST_SQL = f"SELECT doc_id, t, size FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY size DESC, doc_id) AS nth FROM (SELECT doc_id, coalesce({STRIP_SQL.format('lower(text)')}, '') AS t, coalesce(length(text), 0) AS size FROM documents)) WHERE nth = 1"
+LINKS_SQL = f"""best AS ({BEST_SQL}), {signed_sql('SELECT doc_id, t FROM best')},
+ bands AS (SELECT doc_id, i // 8 AS band, string_agg(v::VARCHAR, ',' ORDER BY i) AS key FROM sig GROUP BY ALL),
+ cand AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM bands x JOIN bands y USING (band, key) WHERE x.doc_id < y.doc_id),
+ sets AS (SELECT doc_id, size, {GRAMS_SQL} AS g FROM best),
+ pairs AS (SELECT a, b, x.size AS size_a, y.size AS size_b, len(list_intersect(x.g, y.g)) AS met, len(x.g) AS n_a, len(y.g) AS n_b FROM cand JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b),
+ links AS (SELECT *, met / (n_a + n_b - met) AS jaccard FROM pairs WHERE met / (n_a + n_b - met) >= 0.7),
+ ranked AS (SELECT CASE WHEN size_a >= size_b THEN a ELSE b END AS better, CASE WHEN size_a >= size_b THEN b ELSE a END AS worse FROM links)"""
+
+
+@query(f"WITH {signed_sql(NORMAL_SQL)} SELECT doc_id, string_agg(v::VARCHAR, ',' ORDER BY i) AS signature FROM sig GROUP BY doc_id")
 def minhash_signature(spark, sf_dir):
     signed = minhash.signatures(normal_docs(spark, sf_dir))
     return signed.select(F.col("id").alias("doc_id"), F.array_join(F.transform("signature", lambda x: x.cast("string")), ",").alias("signature"))
 
 
-@query()
+@query(f"WITH {LINKS_SQL} SELECT a, b FROM cand")
 def lsh_candidates(spark, sf_dir):
     return minhash.candidates(minhash.bands(minhash.signatures(minhash.prepared(table(spark, sf_dir, "documents"), "doc_id", "text"))))
 
 
-@query()
+@query(f"WITH {LINKS_SQL} SELECT a, b, round(jaccard, 9) AS jaccard FROM links")
 def jaccard_pairs(spark, sf_dir):
-    return minhash.similar_pairs(minhash.prepared(table(spark, sf_dir, "documents"), "doc_id", "text")).withColumn("jaccard", F.round("jaccard", 9))
+    rows = minhash.prepared(table(spark, sf_dir, "documents"), "doc_id", "text")
+    return minhash.similar_pairs(rows).withColumn("jaccard", F.round("jaccard", 9))
 
 
-@query()
+@query(f"WITH {LINKS_SQL} SELECT doc_id FROM best WHERE doc_id NOT IN (SELECT worse FROM ranked)")
 def neardup_oneshot(spark, sf_dir):
     return minhash.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", greedy=False).select("doc_id")
 
 
-@query()
+# The linked rows one after another, by rank, with the list of those that stay.
+@query(f"""WITH RECURSIVE {LINKS_SQL}, node AS (SELECT worse AS id, size, list(better) AS betters, row_number() OVER (ORDER BY size DESC, worse) AS n FROM ranked JOIN best ON doc_id = worse GROUP BY worse, size),
+ walk AS (SELECT 0::BIGINT AS n, []::BIGINT[] AS gone UNION ALL SELECT node.n, CASE WHEN len(list_filter(betters, lambda b: NOT list_contains(gone, b))) > 0 THEN list_append(gone, id) ELSE gone END FROM walk JOIN node ON node.n = walk.n + 1)
+ SELECT doc_id FROM best WHERE doc_id NOT IN (SELECT unnest(gone) FROM (SELECT gone FROM walk ORDER BY n DESC LIMIT 1))""")
 def neardup_greedy(spark, sf_dir):
     return minhash.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text").select("doc_id")
 
@@ -279,21 +310,21 @@ def variant_expand(spark, sf_dir):
     return expand.expand_variants(table(spark, sf_dir, "part").select(F.col("p_partkey").alias("task_id"))).select("variant_id", "variant_type_id", "variant_type", "task_id")
 
 
-TEMPLATE = "'Build a {design_style} page about {web_category} in {color_scheme}; {unknown}; ' || CASE WHEN n_nationkey % 2 = 0 THEN '{web_category} again' ELSE '{x}' END"
+TEMPLATE = "'Build a {design_style} page about {web_category} in {color_scheme}; {unknown}; ' || CASE WHEN p_partkey % 2 = 0 THEN '{web_category} again' ELSE '{x}' END"
 
 
-@query(f"SELECT n_nationkey, replace(replace(replace({TEMPLATE}, '{{web_category}}', n_name), '{{color_scheme}}', ({expand.COLOURS})[n_nationkey % 18 + 1]), '{{design_style}}', ({expand.STYLES})[n_nationkey % 44 + 1]) AS prompt FROM nation")
+@query(f"SELECT p_partkey, replace(replace(replace({TEMPLATE}, '{{web_category}}', p_name), '{{color_scheme}}', ({expand.COLOURS})[p_partkey % 18 + 1]), '{{design_style}}', ({expand.STYLES})[p_partkey % 44 + 1]) AS prompt FROM part")
 def template_fill(spark, sf_dir):
-    rows = table(spark, sf_dir, "nation").withColumn("template", F.expr(TEMPLATE))
-    cyclic = lambda pool: F.element_at(F.array(*map(F.lit, pool)), (F.col("n_nationkey") % len(pool) + 1).cast("int"))
-    values = {"web_category": F.col("n_name"), "color_scheme": cyclic(expand.COLOURS), "design_style": cyclic(expand.STYLES)}
-    return rows.select("n_nationkey", T.fill_template(F.col("template"), T.template_variables(F.col("template")), values).alias("prompt"))
+    rows = table(spark, sf_dir, "part").withColumn("template", F.expr(TEMPLATE))
+    cyclic = lambda pool: F.element_at(F.array(*map(F.lit, pool)), (F.col("p_partkey") % len(pool) + 1).cast("int"))
+    values = {"web_category": F.col("p_name"), "color_scheme": cyclic(expand.COLOURS), "design_style": cyclic(expand.STYLES)}
+    return rows.select("p_partkey", T.fill_template(F.col("template"), T.template_variables(F.col("template")), values).alias("prompt"))
 
 
-@query(f"SELECT n_nationkey, array_to_string(v, ',') AS variables, len(v) >= 2 AND list_contains(v, 'web_category') AND length(t) >= 20 AS valid FROM (SELECT n_nationkey, t, list_sort(list_distinct(regexp_extract_all(t, '\\{{([^}}]+)\\}}', 1))) AS v FROM (SELECT n_nationkey, {TEMPLATE} AS t FROM nation))")
+@query(f"SELECT p_partkey, array_to_string(v, ',') AS variables, len(v) >= 2 AND list_contains(v, 'web_category') AND length(t) >= 20 AS valid FROM (SELECT p_partkey, t, list_sort(list_distinct(regexp_extract_all(t, '\\{{([^}}]+)\\}}', 1))) AS v FROM (SELECT p_partkey, {TEMPLATE} AS t FROM part))")
 def template_vars(spark, sf_dir):
-    rows = table(spark, sf_dir, "nation").withColumn("t", F.expr(TEMPLATE)).withColumn("v", T.template_variables(F.col("t")))
-    return rows.select("n_nationkey", F.array_join("v", ",").alias("variables"), T.template_is_valid(F.col("t"), F.col("v")).alias("valid"))
+    rows = table(spark, sf_dir, "part").withColumn("t", F.expr(TEMPLATE)).withColumn("v", T.template_variables(F.col("t")))
+    return rows.select("p_partkey", F.array_join("v", ",").alias("variables"), T.template_is_valid(F.col("t"), F.col("v")).alias("valid"))
 
 
 def nodes(spark, sf_dir) -> DataFrame:
@@ -325,11 +356,28 @@ def tree_depth_counts(spark, sf_dir):
     return expand.depth_counts(nodes(spark, sf_dir))
 
 
-@query()
+def drawn_sql(*parts: str) -> str:
+    return f"('0x' || substr(md5(concat_ws('|', {', '.join(parts)})), 1, 8))::BIGINT"
+
+
+POOLS_SQL = ", ".join(f"({pool})[{drawn_sql(chr(39) + '42 ' + name + chr(39), 'node_id', 'k')} % {len(pool)} + 1] AS {name}" for name, pool in expand.POOLS.items())
+LEAF_TEMPLATE = "'Build a {design_style} page about {web_category} in {color_scheme} of ' || p_type || '; {unknown}; ' || CASE WHEN p_partkey % 2 = 0 THEN '{web_category} again' ELSE '{features}' END"
+
+
+@query(f"""{NODES_SQL}, walk AS (SELECT node_id, '' AS path FROM nodes WHERE parent_id IS NULL UNION ALL SELECT n.node_id, CASE WHEN path = '' THEN name ELSE path || ' > ' || name END FROM walk JOIN nodes n ON n.parent_id = walk.node_id),
+ leaf AS (SELECT node_id, path FROM walk WHERE node_id NOT IN (SELECT parent_id FROM nodes WHERE parent_id IS NOT NULL)),
+ templates AS (SELECT t, row_number() OVER (ORDER BY t) - 1 AS choice, count(*) OVER () AS n FROM (SELECT DISTINCT {LEAF_TEMPLATE} AS t FROM part)),
+ draw AS (SELECT node_id, path, k, {drawn_sql("'42'", 'node_id', 'k')} % (SELECT max(n) FROM templates) AS choice, {POOLS_SQL} FROM leaf, range(100) r(k))
+ SELECT node_id, CAST(k AS INTEGER) AS k, md5(replace(replace(replace(replace(t, '{{web_category}}', path), '{{color_scheme}}', color_scheme), '{{design_style}}', design_style), '{{features}}', features)) AS prompt, path AS web_category FROM draw JOIN templates USING (choice)""")
 def leaf_prompts(spark, sf_dir):
-    templates = table(spark, sf_dir, "nation").select(F.expr(TEMPLATE).alias("prompt_template")).withColumn("variables", T.template_variables(F.col("prompt_template")))
-    filled = expand.fill_prompts(expand.leaf_paths(nodes(spark, sf_dir)), templates, per_leaf=5)
-    return filled.select("node_id", "k", "prompt", "web_category")
+    templates = table(spark, sf_dir, "part").select(F.expr(LEAF_TEMPLATE).alias("prompt_template")).withColumn("variables", T.template_variables(F.col("prompt_template")))
+    filled = expand.fill_prompts(expand.leaf_paths(nodes(spark, sf_dir)), templates)
+    return filled.select("node_id", "k", F.md5("prompt").alias("prompt"), "web_category")
+
+
+@query("SELECT CASE WHEN p_type IS NULL THEN 0 ELSE row_number() OVER (ORDER BY p_type) END AS node_id, 0 AS parent_id, p_type AS name, 1 AS depth, false AS is_leaf FROM (SELECT DISTINCT p_type FROM part) UNION ALL SELECT 0, NULL, 'ROOT', 0, false")
+def tree_scaffold(spark, sf_dir):
+    return expand.make_nodes(table(spark, sf_dir, "part").select(F.col("p_type").alias("name")))
 
 
 @query("SELECT r_name AS root, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY r_name UNION ALL SELECT 'all', count(*) FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey")
@@ -345,9 +393,9 @@ QUOTA_SQL = "WITH w AS (SELECT unnest([{}]::DOUBLE[]) AS w, unnest(range(16)) AS
 def quota_synthesis(spark, sf_dir):
     part = table(spark, sf_dir, "part")
     names = spark.createDataFrame([(i, n) for i, (n, _) in enumerate(expand.CATEGORY_WEIGHTS)], "position int, category_name string")
-    tasks = part.groupBy((F.col("p_partkey") % 16).cast("int").alias("position")).agg(F.transform(F.sort_array(F.collect_list(F.struct("p_partkey", "p_name"))), lambda x: x.p_name).alias("tasks")).join(F.broadcast(names), "position").drop("position")
-    made = expand.synthesise(expand.quotas(spark, part.count()), tasks)
-    return made.select(F.col("position").cast("long").alias("position"), F.col("i").cast("long").alias("i"), "base_task", "tech_stack")
+    rows = part.select((F.col("p_partkey") % 16).cast("int").alias("position"), "p_partkey", F.col("p_name").alias("base_task")).join(F.broadcast(names), "position").drop("position")
+    made = expand.synthesise(expand.quotas(spark, part.count()), expand.number_tasks(rows, "category_name", "p_partkey"))
+    return made.select(F.col("position").cast("long").alias("position"), "i", "base_task", "tech_stack")
 
 
 @query(f"{QUOTA_SQL} SELECT position, n FROM f ORDER BY n DESC")
@@ -390,9 +438,17 @@ def composite_reward(spark, sf_dir):
     return rows.select("page_id", F.round(reward, 9).alias("reward"))
 
 
-@query()
+REPEATED = "CASE WHEN page_id % 4 = 0 THEN '<html>' || repeat(substr(html, 1, 90), 200) || '</html>' ELSE html END"
+
+
+@query(f"""WITH r AS (SELECT page_id, {REPEATED} AS response FROM pages), p AS (SELECT page_id, {PAGE_SQL} AS page FROM r),
+ w AS (SELECT page_id, w AS nth, substr(page, 1 + w * 4000, 8000) AS part FROM p, range(1000) t(w) WHERE length(page) >= 100 AND w * 4000 < length(page)),
+ g AS (SELECT page_id, nth, list_distinct(list_transform(range(1, length(part) - 6), lambda i: substr(part, i, 8))) AS grams, length(part) - 7 AS total, row_number() OVER (PARTITION BY page_id ORDER BY nth) AS i FROM w WHERE length(part) >= 100),
+ bad AS (SELECT page_id FROM g WHERE 1 - len(grams) / total >= 0.65 UNION SELECT x.page_id FROM g x JOIN g y ON x.page_id = y.page_id AND y.i IN (x.i + 1, x.i + 2)
+  WHERE len(list_intersect(x.grams, y.grams)) / (len(x.grams) + len(y.grams) - len(list_intersect(x.grams, y.grams))) >= 0.85)
+ SELECT page_id, CASE WHEN page_id IN (SELECT page_id FROM bad) THEN 0 ELSE 1 END AS clean FROM p""")
 def repetition_flag(spark, sf_dir):
-    pages = spread(table(spark, sf_dir, "pages").selectExpr("page_id", "CASE WHEN page_id % 4 = 0 THEN '<html>' || repeat(substr(html, 1, 90), 200) || '</html>' ELSE html END AS reply"))
+    pages = spread(table(spark, sf_dir, "pages").selectExpr("page_id", f"{REPEATED} AS reply"))
     return pages.select("page_id", similarity.repetition_flag(H.page(F.col("reply"))).alias("clean"))
 
 
@@ -413,8 +469,8 @@ def stream_exact_dedup(spark, sf_dir):
     schema = table(spark, sf_dir, "events").schema
     path = f"{shared_folder(spark)}/quern-stream-{uuid.uuid4().hex}"
     # A pattern, as the table may be one file: a plain path would have to be a folder.
-    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]").withColumn("ts", F.col("ts").cast("timestamp"))
-    seen = stream_dedup(stream, ["user_id", "event_type"], "ts", "36500 days").select("user_id", "event_type")
+    stream = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    seen = stream_dedup(stream.select("user_id", "event_type"), ["user_id", "event_type"])
     seen.writeStream.format("parquet").option("path", f"{path}/out").option("checkpointLocation", f"{path}/state").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{path}/out")
 
@@ -437,10 +493,10 @@ def safe_names(spark, sf_dir):
     return part.select("p_partkey", T.safe_name(F.expr("p_type || ' & /' || p_brand")).alias("safe"), T.path_key(F.array(F.col("p_name"), F.expr("'a/' || p_brand"))).alias("path"))
 
 
-@query("SELECT n_nationkey, n_name AS name FROM nation")
+@query("SELECT c_custkey, c_name AS name FROM customer")
 def root_labels(spark, sf_dir):
-    line = "CASE n_nationkey % 3 WHEN 0 THEN 'L' || CAST(n_nationkey AS STRING) || ': ' || n_name WHEN 1 THEN CAST(n_nationkey AS STRING) || ':' || n_name ELSE '  ' || n_name || ' ' END"
-    return table(spark, sf_dir, "nation").select("n_nationkey", T.without_line_label(F.expr(line)).alias("name"))
+    line = "CASE c_custkey % 3 WHEN 0 THEN 'L' || CAST(c_custkey AS STRING) || ': ' || c_name WHEN 1 THEN CAST(c_custkey AS STRING) || ':' || c_name ELSE '  ' || c_name || ' ' END"
+    return table(spark, sf_dir, "customer").select("c_custkey", T.without_line_label(F.expr(line)).alias("name"))
 
 
 @query(f"SELECT conv_id, turn, md5({STRIP_SQL.format('text')}) AS one, md5({STRIP_SQL.format('text')}) AS two FROM conversations")
@@ -467,3 +523,59 @@ def task_parse(spark, sf_dir):
 def checklist_texts(spark, sf_dir):
     items = """'[{"id": 0, "title": "' || p_name || '", "maxScore": ' || CAST(p_size AS STRING) || ', "description": "' || p_type || '"}, {"id": 1}]'"""
     return table(spark, sf_dir, "part").select("p_partkey", R.checklist_text(R.checklist(F.expr(items))).alias("text"))
+
+
+GENERATED = "CASE WHEN page_id % 7 = 0 THEN NULL ELSE page_id % 7 <> 1 END"
+JUDGED_SQL = f"""WITH r AS (SELECT page_id, {REPLY} AS response FROM pages), b AS (SELECT page_id, response, {', '.join(f'{longest_sql(p)} AS {n}' for n, p in FENCES.items())} FROM r),
+ x AS (SELECT page_id, {GENERATED} AS ok, CASE WHEN response = '' THEN 'empty_response' WHEN one <> '' THEN 'html_block' WHEN three <> '' THEN 'doctype_block' WHEN four <> '' THEN 'html_tag_block' ELSE 'no_html_block' END AS extracted,
+  CASE WHEN one <> '' THEN one WHEN three <> '' THEN three WHEN four <> '' THEN four END AS response FROM b),
+ v AS (SELECT *, CASE WHEN response IS NOT NULL THEN {STATUS_SQL} END AS status FROM (SELECT *, lower(response) AS low FROM x))"""
+
+
+def generated(spark, sf_dir) -> DataFrame:
+    return replies(spark, sf_dir).selectExpr("page_id AS index", "page_id", "response", f"{GENERATED} AS generation_success", "'task ' || CAST(page_id AS STRING) AS base_task_title")
+
+
+@query(f"{JUDGED_SQL} SELECT page_id AS index, CAST(NULL AS VARCHAR) AS question, CAST(NULL AS VARCHAR) AS checklist, CAST(NULL AS VARCHAR) AS source, CAST(NULL AS VARCHAR) AS base_task_id, 'task ' || CAST(page_id AS VARCHAR) AS base_task_title, CAST(NULL AS VARCHAR) AS tech_stack, CAST(NULL AS VARCHAR) AS design_style, CAST(NULL AS VARCHAR) AS feature_modifier, md5(response) AS response, extracted AS extraction_method, CAST(length(response) AS BIGINT) AS html_length FROM v WHERE coalesce(ok, false) AND status = 'valid'")
+def valid_records(spark, sf_dir):
+    return select.valid_records(generated(spark, sf_dir)).withColumn("response", F.md5("response"))
+
+
+@query(f"{JUDGED_SQL}, c AS (SELECT 'total' AS counter FROM v UNION ALL SELECT 'generation_failed' FROM v WHERE NOT coalesce(ok, false) UNION ALL SELECT 'extract_' || extracted FROM v WHERE coalesce(ok, false) UNION ALL SELECT 'valid_' || status FROM v WHERE coalesce(ok, false) AND status IS NOT NULL UNION ALL SELECT 'valid_total' FROM v WHERE coalesce(ok, false) AND status = 'valid') SELECT counter, count(*) AS n FROM c GROUP BY counter ORDER BY counter")
+def record_counters(spark, sf_dir):
+    return select.record_counters(generated(spark, sf_dir)).orderBy("counter")
+
+
+@query("SELECT doc_id, md5(substr(text, 1, 8000)) AS digest FROM documents")
+def truncated_texts(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.md5(select.truncated("text")).alias("digest"))
+
+
+@query("SELECT conv_id, turn, text AS question FROM conversations")
+def question_texts(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    # Every third question is a chat, every third the text in a list.
+    asked = F.when(F.col("turn") % 3 == 0, F.to_json(F.array(F.struct(F.lit("user").alias("role"), F.col("text").alias("content"))))).when(F.col("turn") % 3 == 1, F.to_json(F.array("text"))).otherwise(F.col("text"))
+    return turns.select("conv_id", "turn", R.question_text(asked).alias("question"))
+
+
+@query("SELECT p_partkey, CAST(p_size + 5 AS BIGINT) AS most FROM part")
+def checklist_top_scores(spark, sf_dir):
+    items = """'[{"id": 0, "title": "a", "maxScore": ' || CAST(p_size AS STRING) || '}, {"id": 1}]'"""
+    return table(spark, sf_dir, "part").select("p_partkey", select.top_score(R.checklist(F.expr(items))).alias("most"))
+
+
+@query(f"WITH r AS ({SQL['composite_reward']}) SELECT round(avg(reward), 6) AS mean, min(reward) AS min, max(reward) AS max FROM r")
+def reward_summary(spark, sf_dir):
+    return select.batch_summary(composite_reward(spark, sf_dir), "reward").withColumn("mean", F.round("mean", 6))
+
+
+@query("SELECT page_id, 'data:image/png;base64,' || to_base64(encode(html)) AS image FROM pages")
+def image_urls(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", T.data_url(F.col("html").cast("binary")).alias("image"))
+
+
+@query("SELECT event_id, strftime(make_timestamp(CAST(floor(epoch(ts)) AS BIGINT) * 1000000), '%Y-%m-%dT%H:%M:%SZ') AS at FROM events")
+def event_times(spark, sf_dir):
+    seconds = F.floor(F.col("ts").cast("timestamp").cast("double")).cast("long")
+    return table(spark, sf_dir, "events").select("event_id", T.stamped(seconds).alias("at"))

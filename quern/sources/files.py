@@ -87,3 +87,9 @@ def write_object(df: DataFrame, path: str) -> None:
     """One row as one pretty JSON object, by the same file system as the tables."""
     text = df.select(F.to_json(F.struct("*"), {"pretty": "true"}).alias("value"))
     text.limit(1).coalesce(1).write.text(path)
+
+
+def write_by_stem(df: DataFrame, path: str, stem_col: str = "stem") -> None:
+    """JSON lines in a folder <stem>_output.jsonl for each input file's stem, nulls kept."""
+    named = df.withColumn("file", F.concat(F.col(stem_col), F.lit("_output.jsonl"))).drop(stem_col)
+    named.write.partitionBy("file").option("ignoreNullFields", "false").json(path)

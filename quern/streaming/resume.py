@@ -19,6 +19,7 @@ def resumable(spark: SparkSession, source: str, schema: str, stage: Callable[[Da
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_dedup(stream: DataFrame, keys: list[str], time_col: str, late: str = "1 day") -> DataFrame:
-    """The first row of each key; state is kept as long as the watermark allows late rows."""
-    return stream.withWatermark(time_col, late).dropDuplicatesWithinWatermark(keys)
+def stream_dedup(stream: DataFrame, keys: list[str], time_col: str | None = None, late: str = "1 day") -> DataFrame:
+    """The first row of each key: ever, the state growing with the distinct keys, or, with a time column, within `late`
+    of its first row, after which its state is dropped."""
+    return stream.withWatermark(time_col, late).dropDuplicatesWithinWatermark(keys) if time_col else stream.dropDuplicates(keys)

@@ -109,3 +109,37 @@ def test_templates(spark):
     filled = T.fill_template(template, T.template_variables(template), {"a": F.lit("x"), "b": F.lit("y")})
     assert spark.range(1).select(filled).first()[0] == "x y x {c}"
     assert values(spark, T.without_whole_fence, f"{FENCE}x\nbody\n{FENCE}", f"{FENCE}x", "plain ") == ["body", f"{FENCE}x", "plain"]
+
+
+# The patterns and formats as literals, so that a changed constant of the library doesn't pass unseen.
+
+
+@pytest.mark.parametrize(
+    ("text", "found"),
+    [
+        ("<div>" + "x" * 100 + "</div>", "few_elements"), ("<div>" * 10 + "x" * 60, "unbalanced"), ("plain words " * 20, "no_markup"),
+        ("<html>" + "x" * 100 + "... rest of the code ...</html>", "unfinished"), ("<p>x</p>", "too_short"),
+    ],
+)
+def test_rule_reasons(spark, text, found):
+    assert values(spark, H.rule_reason, text) == [found]
+
+
+def test_pages_as_literals(spark):
+    got = values(spark, H.page, f"so:\n{FENCE}html\n<b>1</b>\n{FENCE}", "<!DOCTYPE html><html><b>2</b></html> tail", "a <html><b>3</b></html> z")
+    assert got == ["<b>1</b>", "<!DOCTYPE html><html><b>2</b></html>", "<html><b>3</b></html>"]
+
+
+def test_data_urls_and_times(spark):
+    rows = spark.createDataFrame([(bytearray(range(100)),), (None,)], "image binary")
+    import base64
+
+    assert [r[0] for r in rows.select(T.data_url(F.col("image"))).collect()] == ["data:image/png;base64," + base64.b64encode(bytes(range(100))).decode(), None]
+    assert spark.range(1).select(T.stamped(F.lit(1_700_000_000))).first()[0] == "2023-11-14T22:13:20Z"
+
+
+def test_hash_numbers(spark):
+    import hashlib
+
+    want = int(hashlib.md5(b"42|7|x").hexdigest()[:8], 16)
+    assert spark.range(1).select(T.hash_number(F.lit("42"), F.lit(7), F.lit("x"))).first()[0] == want

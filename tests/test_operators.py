@@ -155,14 +155,39 @@ def test_repetition():
     assert not similarity.is_repetitive(clean) and similarity.is_repetitive(clean[:4000] * 4)
 
 
+def echo():
+    """A stand-in for a service: answers in capitals, fails for prompts that hold `bad`, is busy at first for `busy`."""
+
+    class Echo:  # made here, so that it travels to the workers by value
+        def __init__(self):
+            self.asked = {}
+
+        def complete(self, prompt):
+            self.asked[prompt] = n = self.asked.get(prompt, 0) + 1
+            if "bad" in prompt or ("busy" in prompt and n < 3):
+                raise RuntimeError("429 too many" if "busy" in prompt else "refused")
+            return "draft" if "slow" in prompt and n < 2 else prompt.upper()
+
+    return Echo
+
+
 def test_external_stage_retries_and_resumes(spark):
-    rows = spark.createDataFrame([(1, "a"), (2, "bad"), (3, None)], "id long, prompt string")
-    got = external.external_stage(rows, lambda: external.EchoClient(failing="bad"), "id", "prompt", sleep=lambda s: None)
+    rows = spark.createDataFrame([(1, "a"), (2, "bad"), (3, None), (4, "busy"), (5, "slow")], "id long, prompt string")
+    got = external.external_stage(rows, echo(), "id", "prompt", sleep=lambda s: None, accepts=str.isupper)
     found = {r["id"]: (r["response"], r["ok"]) for r in got.collect()}
-    assert found == {1: ("A", True), 2: (None, False), 3: (None, False)}
+    assert found == {1: ("A", True), 2: (None, False), 3: (None, False), 4: ("BUSY", True), 5: ("SLOW", True)}
     assert [r["id"] for r in select.not_done(rows, got.where("ok"), "id").orderBy("id").collect()] == [2, 3]
 
 
+def test_waits_grow_and_are_longer_when_busy():
+    waits = []
+    how = dict(wait=(1, 1), busy_wait=(10, 10), is_busy=lambda e: "429" in str(e), sleep=waits.append)
+    assert external.ask(echo()(), "busy", **how) == ("BUSY", None) and waits == [10, 20]
+    waits.clear()
+    answer, error = external.ask(echo()(), "x", accepts=lambda a: False, **how)
+    assert answer is None and "not accepted" in error and waits == [1, 2]
+
+
 def test_resumable_stream(spark, tmp_path):
     source, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
     spark.range(3).write.parquet(f"{source}/a")
@@ -225,3 +250,81 @@ def test_scratch_tables(spark):
     scratch.clear(spark)
     with pytest.raises(Exception):
         kept.count()
+
+
+def test_records_in_and_out(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "x"), (2, None)], "a int, b string")
+    files.write_records(rows, str(tmp_path / "out.jsonl"))
+    assert '"b":null' in "".join(p.read_text() for p in (tmp_path / "out.jsonl").glob("part-*"))
+    assert files.read_table(spark, str(tmp_path / "out.jsonl"), "a int, b string").count() == 2
+    rows.write.parquet(str(tmp_path / "p.parquet"))
+    assert files.read_table(spark, str(tmp_path / "p.parquet")).count() == 2
+    folder = tmp_path / "folder"
+    folder.mkdir()
+    for name in ("a", "b", "c"):
+        rows.withColumn("name", F.lit(name)).toPandas().to_parquet(folder / f"{name}.parquet")
+    (folder / "broken.parquet").write_text("no parquet")
+    assert files.read_parquet_folder(spark, str(folder), ["b"]).count() == 3
+    (folder / "broken.parquet").unlink()
+    assert sorted(r["name"] for r in files.read_parquet_folder(spark, str(folder), ["b"], max_files=2).collect()) == ["a", "b"]
+    (tmp_path / "t.jsonl").write_text('{"prompt_template": "{a}", "variables": ["a"]}\n{"prompt_template": "x"}\n')
+    assert files.read_templates(spark, str(tmp_path / "t.jsonl")).count() == 1
+    many = tmp_path / "many"
+    many.mkdir()
+    (many / "one.jsonl").write_text('{"a": 1}\n{"a": 2}\n')
+    (many / "two.jsonl").write_text('{"a": 3}\n')
+    found = files.read_folder_of_records(spark, str(many), "a int")
+    assert sorted((r["a"], r["stem"]) for r in found.collect()) == [(1, "one"), (2, "one"), (3, "two")]
+    files.write_by_stem(found, str(tmp_path / "stems"))
+    assert sorted(p.name for p in (tmp_path / "stems").glob("file=*")) == ["file=one_output.jsonl", "file=two_output.jsonl"]
+    files.write_object(rows.limit(1), str(tmp_path / "object"))
+    assert '"a" : 1' in "".join(p.read_text() for p in (tmp_path / "object").glob("part-*"))
+
+
+def test_prompts_checklists_and_chats(spark):
+    from quern.functions import replies
+
+    row = spark.createDataFrame([("Maps", "a, b", None)], "name string, parts string, none string")
+    assert row.select(expand.render_prompt("Make {name}:\n- {parts}{none}", ["name", "parts", "none"], ["parts"])).first()[0] == "Make Maps:\n- a\n- b"
+    lists = spark.createDataFrame([([1, 2], [3])], "own array<int>, every array<int>")
+    assert lists.select(expand.full_checklist(F.col("own"), F.col("every"))).first()[0] == [1, 2, 3]
+    chats = spark.createDataFrame([([("hello",), ("there",)],), ([],), (None,)], "m array<struct<content: string>>")
+    assert [r[0] for r in chats.select(replies.conversation_text(F.col("m"))).collect()] == ["hello", "", ""]
+    asked = spark.createDataFrame([('[{"role": "user", "content": "q"}]',), ('["plain"]',), ("text",), ("[not json",), (None,), ("[]",)], "q string")
+    assert [r[0] for r in asked.select(replies.question_text(F.col("q"))).collect()] == ["q", "plain", "text", "[not json", "", "[]"]
+
+
+def test_best_per_group_and_numbering(spark):
+    rows = spark.createDataFrame([("x", 3, 1), ("x", 5, 2), ("y", 1, 3), ("x", 5, 4)], "g string, s int, id int")
+    best = minhash.best_per_group(rows, ["g"], F.desc("s"), F.asc("id"))
+    assert sorted((r["g"], r["id"]) for r in best.collect()) == [("x", 2), ("y", 3)]
+    assert [r["id"] for r in convert.numbered(rows, "s", "id").orderBy("position").collect()] == [3, 1, 2, 4]
+    assert [r["position"] for r in convert.numbered(rows, "s", "id").orderBy("position").collect()] == [0, 1, 2, 3]
+    assert convert.numbered(rows.limit(0), "s").count() == 0
+
+
+def test_tree_nodes(spark):
+    made = expand.make_nodes(spark.createDataFrame([("b",), ("a",), (None,), ("b",)], "name string"))
+    assert sorted(tuple(r) for r in made.collect() if r["node_id"]) == [(1, 0, "a", 1, False), (2, 0, "b", 1, False)]
+    assert made.where("node_id = 0 AND parent_id IS NULL AND depth = 0").count() == 1
+
+
+def test_record_projection_and_counters(spark):
+    page = "<html><head></head><body>" + 21 * "<p>x</p>" + "</body></html>"
+    fenced = "```html\n" + page + "\n```"
+    rows = spark.createDataFrame([(1, fenced, True, None), (2, fenced, False, None), (3, "none", True, None), (4, "```html\n<p>\n```", True, None), (5, fenced, None, None), (None, None, None, "{bad")], "index int, response string, generation_success boolean, _bad string")
+    kept = select.valid_records(rows).collect()
+    assert [(r["index"], r["response"], r["source"], r["extraction_method"], r["html_length"]) for r in kept] == [(1, page, None, "html_block", len(page))] and len(kept[0]) == 12
+    counts = {r["counter"]: r["n"] for r in select.record_counters(rows, bad_col="_bad").collect()}
+    assert counts == {"json_error": 1, "total": 5, "generation_failed": 2, "extract_html_block": 2, "extract_no_html_block": 1, "valid_valid": 1, "valid_too_short": 1, "valid_total": 1}
+
+
+def test_similarity_of_golden_shingles(spark):
+    sets = spark.createDataFrame([("abcdefgh", "abcdefgi")], "a string, b string").select(minhash.shingles(F.col("a")).alias("x"), minhash.shingles(F.col("b")).alias("y"))
+    assert sets.select(minhash.jaccard(F.col("x"), F.col("y"))).first()[0] == 0.6
+
+
+def test_approximate_statistics(spark):
+    rows = spark.range(1, 1001).select(F.col("id").cast("double").alias("s"))
+    assert abs(select.score_stats(rows, "s", accuracy=1000).first()["median"] - 500) <= 2
+    assert tuple(select.batch_summary(rows, "s").first()) == (500.5, 1.0, 1000.0)
