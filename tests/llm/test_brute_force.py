@@ -716,11 +716,16 @@ def test_language_model_scores_do_not_depend_on_partitions_and_beat_the_base(spa
 # The pipeline
 
 
-def test_pipeline(spark, tmp_path):
+def pipeline_corpus():
     rng = random.Random(12)
     syllable = {"en": ["ka", "ta", "na", "ra", "so"], "fr": ["lo", "mi", "sü", "pe", "dré"]}
     say = lambda lang, n: " ".join("".join(rng.choice(syllable[lang]) for _ in range(rng.randint(1, 4))) for _ in range(n))
     texts = [say("en" if i % 2 else "fr", 120) for i in range(30)]
+    return texts, say
+
+
+def test_pipeline(spark, tmp_path):
+    texts, say = pipeline_corpus()
     item = say("en", 20)
     near = texts[4].rsplit(" ", 2)[0] + " ka ta"
     odd = ["123", None, "", near, texts[6], texts[7] + " " + item]
@@ -733,3 +738,40 @@ def test_pipeline(spark, tmp_path):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns, name
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0, name
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Null and repeated ids, clashing columns, one very long text; every stage against a model of it."""
+    texts, say = pipeline_corpus()
+    item, long = say("en", 20), "\n".join(say("fr", 40) for _ in range(1500))
+    passage = "\n".join(say("en", 12) for _ in range(12))
+    rows = [(i, t) for i, t in enumerate(texts)]
+    rows += [(3, texts[2]), (3, texts[3]), (5, "9 9"), (6, texts[6] + " " + item), (None, texts[1]), (None, say("fr", 90)), (None, item), (40, long), (41, long + " x"), (42, say("en", 60) + "\n" + passage), (43, say("fr", 60) + "\n" + passage)]
+    extra = [(i, t, "en", "s", len(t), 1, "key", True, 7, "r") for i, t in rows]
+    schema = "doc_id long, text string, lang string, source string, n_chars int, row int, key string, kept boolean, text_hash long, row0 string"
+    spark.createDataFrame(extra, schema).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, item)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    docs, sf = spark.read.parquet(str(tmp_path / "documents.parquet")), str(tmp_path)
+    held = Counter(rows)
+
+    def after(stage):
+        nonlocal docs
+        docs = corpus_pipeline.stored(stage(spark, docs, sf))
+        assert docs.dtypes == [tuple(d) for d in spark.read.parquet(str(tmp_path / "documents.parquet")).dtypes]
+        return Counter((r["doc_id"], r["text"]) for r in docs.collect())
+
+    left = after(corpus_pipeline.language)
+    assert held - left == Counter([(5, "9 9")])
+    before, left = left, after(corpus_pipeline.lines)
+    want = model_lines({i: t for i, t in before if i is not None and list(k for k, _ in before).count(i) == 1})
+    assert all((i, w[3]) in left for i, w in want.items() if w[2] == 0) and sum(left.values()) == sum(before.values())
+    assert len(dict(left.keys())[43].split("\n")) < 13 and dict(left.keys())[42].endswith(passage)
+    before, left = left, after(corpus_pipeline.near_copies)
+    gone = before - left
+    assert (3, texts[2]) in gone and (3, texts[3]) not in gone and (None, texts[1]) in gone and (None, item) not in gone
+    assert (40, long) in left and len(dict(left.keys())[41]) < len(long) / 10  # its lines went before
+    before, left = left, after(corpus_pipeline.benchmark)
+    assert {t for _, t in before - left} <= {texts[6] + " " + item, item} and (None, item) not in left
+    assert all(item not in t for _, t in left) and (6, texts[6]) in left
+    pieces = corpus_pipeline.packing(spark, docs, sf).collect()
+    assert sum(p["length"] for p in pieces if p["start"] + p["length"] == p["doc_tokens"]) and {p["doc_id"] for p in pieces} == {i for i, _ in left}
