@@ -112,6 +112,38 @@ def test_packing_assigns_to_the_cheapest_sequence():
     assert np.bincount(sequence, length).tolist() == [16, 16] and [(d, s) for d, s in zip(doc, sequence)][:3] == [(0, 0), (1, 1), (2, 1)]
 
 
+def model_pack(lengths, capacity, linear, quadratic):
+    """Pieces (document, start, length, sequence, offset), by the rule as it is stated, one token count at a time."""
+    pieces, sequences, rest = [], 0, []
+    for d, n in enumerate(lengths):
+        for k in range(n // capacity):
+            pieces.append((d, k * capacity, capacity, sequences, 0))
+            sequences += 1
+        rest.append(n % capacity)
+    total = sum(rest)
+    sizes = [capacity] * (total // capacity) + [1 << k for k in range(capacity.bit_length() - 1, -1, -1) if total % capacity >> k & 1]
+    room, cost = list(sizes), [0.0] * len(sizes)
+    for d in sorted(range(len(rest)), key=lambda d: (-rest[d], d)):
+        left = rest[d]
+        while left:
+            whole = [j for j in range(len(sizes)) if room[j] >= left]
+            j = min(whole or [j for j in range(len(sizes)) if room[j]], key=lambda j: (cost[j], j))
+            put = min(left, room[j])
+            pieces.append((d, lengths[d] - left, put, sequences + j, sizes[j] - room[j]))
+            room[j] -= put
+            cost[j] += linear * put + quadratic * put * put
+            left -= put
+    return pieces
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_packing_follows_the_rule(seed):
+    rng = random.Random(seed)
+    lengths = [rng.choice([1, 1, 5, 5, 17, 63, 64, 65, 200, rng.randint(1, 40)]) for _ in range(rng.choice([0, 1, 3, 60, 200]))]
+    got = packing.pack(np.array(lengths, int), 64, 1.0, 1 / 16)
+    assert [tuple(p) for p in zip(*(x.tolist() for x in got))] == model_pack(lengths, 64, 1.0, 1 / 16)
+
+
 # 2: neighbours
 
 
@@ -236,6 +268,49 @@ def test_language_identification(spark, empty):
     assert [tuple(r)[2:4] for r in langid.identify(unlearned).collect()] == [("und", 0.0)]
 
 
+def best_shares(likely, times, steps=40):
+    """The best log likelihood of any shares on a grid, and the shares."""
+    k = likely.shape[1]
+    grids = [g for g in np.ndindex(*[steps + 1] * (k - 1)) if sum(g) <= steps]
+    options = [np.array([*g, steps - sum(g)]) / steps for g in grids]
+    return max(((float(times @ np.log(np.maximum(likely @ s, 1e-300))), s.tolist()) for s in options), key=lambda x: x[0])
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_mixture_inference_against_a_grid(seed):
+    rng = np.random.default_rng(seed)
+    k, n = 3, 60
+    table = rng.dirichlet(np.full(n, 0.3), k).T + 1e-4
+    logs = np.log(table / table.sum(0)).astype(np.float32)
+    true = rng.dirichlet(np.ones(k))
+    grams = np.concatenate([rng.choice(n, int(400 * t) + 1, p=np.exp(logs[:, i]) / np.exp(logs[:, i]).sum()) for i, t in enumerate(true)])
+    penalty = rng.choice([0.5, 4.0, 40.0])
+    share = langid.infer(grams, logs, penalty)
+    times = np.bincount(grams, minlength=n)
+    seen = np.flatnonzero(times)
+    likely, times = np.exp(logs[seen].astype(float)), times[seen].astype(float)
+    chosen = [i for i in range(k) if share[i] > 0]
+    fit = float(times @ np.log(likely @ share))
+    cost = penalty * np.log(1 + times.sum())
+    assert abs(share.sum() - 1) < 1e-4
+    # The shares are the best of the chosen set, and no nested set of the order of shares is better after the penalty.
+    assert fit >= best_shares(likely[:, chosen], times)[0] - 0.01 * times.sum() ** 0.5
+    order = np.argsort(-np.array(best_shares(likely, times)[1]), kind="stable")
+    fits = [best_shares(likely[:, order[:m]], times)[0] - cost * m for m in (1, 2, 3)]
+    assert fit - cost * len(chosen) >= max(fits) - 1.0
+
+
+def test_language_of_repeated_rows_ties_and_clashing_columns(spark):
+    rows = [(i, t, lang, True, 0.5, "r", "x") for i, (t, lang) in enumerate([("kata nara", "aa"), ("lomi pesu", "bb")] * 30)]
+    rows += [(100, "kata nara lomi pesu", None, True, 0.5, "r", "x"), rows[0], rows[0]]
+    got = by_id(langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, held_out boolean, score double, row string, lang_pred string")))
+    assert len(got[0]) == 3 and len({tuple(r) for r in got[0]}) == 1 and got[0][0]["lang_pred"] == "aa"
+    assert got[100][0]["lang_pred"] in ("aa", "bb") and 0.4 < got[100][0]["score"] <= 1
+    learned = [i for i in range(90) if zlib.crc32(str(i).encode()) % 3 != 1][:40]
+    tie = spark.createDataFrame([(i, "same words", ["bb", "aa"][n % 2]) for n, i in enumerate(learned)], "doc_id long, text string, lang string")
+    assert {r["lang_pred"] for r in langid.identify(tie).collect()} == {"aa"}
+
+
 # 5: lines
 
 
