@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quern.functions.text import hash_number
 from quern.scratch import stored
 
 
@@ -43,7 +44,7 @@ def numbered(df: DataFrame, *order: str, name: str = "position") -> DataFrame:
 
 def shuffled(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     """df with `position`, a permutation of 0 .. n - 1 that depends on seed and key alone: the order of a hash."""
-    return numbered(df.withColumn("mixed", F.xxhash64(F.lit(seed), key)), "mixed", key).drop("mixed")
+    return numbered(df.withColumn("mixed", hash_number(F.lit(str(seed)), key)), "mixed", key).drop("mixed")
 
 
 def train_val_split(df: DataFrame, key: str, ratio: float = 0.9, seed: int = 42) -> DataFrame:

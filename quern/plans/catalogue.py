@@ -15,7 +15,7 @@ from quern.functions import replies as R
 from quern.functions import scores as S
 from quern.functions import text as T
 from quern.operators import convert, expand, minhash, select, similarity
-from quern.scratch import shared_folder, spread
+from quern.scratch import shared_folder, small, spread, stored
 from quern.streaming.resume import stream_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,10 +131,10 @@ FENCES = {"one": r"(?i)```html\s*((?s:.)*?)```", "three": r"(?i)```\s*(<!DOCTYPE
 
 @query(f"""{REPLIES}, b AS (SELECT page_id, response, {', '.join(f'{longest_sql(p)} AS {n}' for n, p in FENCES.items())} FROM r)
  SELECT page_id, CASE WHEN response = '' THEN 'empty_response' WHEN one <> '' THEN 'html_block' WHEN three <> '' THEN 'doctype_block' WHEN four <> '' THEN 'html_tag_block' ELSE 'no_html_block' END AS status,
- CAST(length(CASE WHEN one <> '' THEN one WHEN three <> '' THEN three WHEN four <> '' THEN four END) AS BIGINT) AS html_length FROM b""")
+ md5(CASE WHEN one <> '' THEN one WHEN three <> '' THEN three WHEN four <> '' THEN four END) AS digest FROM b""")
 def extract_html_block(spark, sf_dir):
     found = replies(spark, sf_dir).select("page_id", H.html_block(F.col("response")).alias("b"))
-    return found.select("page_id", "b.status", F.length("b.html").cast("long").alias("html_length"))
+    return found.select("page_id", "b.status", F.md5("b.html").alias("digest"))
 
 
 PAGE_SQL = rf"""CASE WHEN {STRIP_SQL.format('response')} = '' THEN ''
@@ -233,7 +233,7 @@ def neardup_greedy(spark, sf_dir):
 def benchmark_overlap(spark, sf_dir):
     docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", F.explode(minhash.shingles(F.col("text"))).alias("g"))
     known = table(spark, sf_dir, "benchmark").select(F.explode(minhash.shingles(F.col("text"))).alias("g")).distinct().withColumn("known", F.lit(1))
-    return docs.join(known, "g", "left").groupBy("doc_id").agg(F.count("*").alias("n"), F.count("known").alias("n_shared"))
+    return docs.join(small(stored(known)), "g", "left").groupBy("doc_id").agg(F.count("*").alias("n"), F.count("known").alias("n_shared"))
 
 
 def scored(spark, sf_dir) -> DataFrame:
@@ -289,11 +289,13 @@ NUMBERS = "array_join(transform(sequence(0, 19), i -> CAST((doc_id + i) % 8 AS S
 JUDGED = f"""CASE doc_id % 4 WHEN 0 THEN '{{"scores": [' || {NUMBERS} || ']}}' WHEN 1 THEN 'ratings ' || {NUMBERS} || ' and 1, 2, 3, 4, 5' WHEN 2 THEN '{{"scores": [1, x]}} ' || {NUMBERS} ELSE '' END"""
 
 
-@query("""SELECT doc_id, CAST(CASE doc_id % 4 WHEN 0 THEN list_sum(list_transform(range(20), lambda i: least(5, (doc_id + i) % 8)))
- WHEN 1 THEN CASE WHEN len(list_filter(range(20), lambda i: (doc_id + i) % 8 <= 5)) + 5 >= 20
-  THEN list_sum(list_slice(list_concat(list_filter(list_transform(range(20), lambda i: (doc_id + i) % 8), lambda v: v <= 5), [1, 2, 3, 4, 5]), 1, 20)) ELSE 0 END ELSE 0 END AS DOUBLE) / 100 AS s_chk FROM documents""")
+@query("""WITH l AS (SELECT doc_id, list_transform(range(20), lambda i: (doc_id + i) % 8) AS n FROM documents),
+ s AS (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN list_transform(n, lambda v: least(5, v))
+  WHEN doc_id % 4 = 1 AND len(list_filter(n, lambda v: v <= 5)) + 5 >= 20 THEN list_slice(list_concat(list_filter(n, lambda v: v <= 5), [1, 2, 3, 4, 5]), 1, 20) ELSE list_transform(n, lambda v: 0) END AS scores FROM l)
+ SELECT doc_id, array_to_string(scores, ',') AS scores, CAST(list_sum(scores) AS DOUBLE) / 100 AS s_chk FROM s""")
 def checklist_scores(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", S.checklist_score(R.checklist_scores(F.expr(JUDGED))).alias("s_chk"))
+    scores = table(spark, sf_dir, "documents").select("doc_id", R.checklist_scores(F.expr(JUDGED)).alias("scores"))
+    return scores.select("doc_id", F.array_join(F.transform("scores", lambda x: x.cast("int").cast("string")), ",").alias("scores"), S.checklist_score(F.col("scores")).alias("s_chk"))
 
 
 TASKS = "transform(sequence(0, CAST(p_partkey % 5 + 8 AS INT)), i -> p_name || ' ' || CAST(i AS STRING))"
@@ -413,10 +415,9 @@ def grpo_convert(spark, sf_dir):
     return made.select("conv_id", "turn", "prompt", "data_source", "extra_info.reference")
 
 
-@query("SELECT CAST(floor(count(*) * 0.9) AS BIGINT) AS n_train, count(*) - CAST(floor(count(*) * 0.9) AS BIGINT) AS n_val, count(*) AS n_ids FROM documents")
+@query("SELECT doc_id, row_number() OVER (ORDER BY ('0x' || substr(md5('42|' || CAST(doc_id AS VARCHAR)), 1, 8))::BIGINT, doc_id) <= CAST(floor(count(*) OVER () * 0.9) AS BIGINT) AS is_train FROM documents")
 def train_val_split(spark, sf_dir):
-    split = convert.train_val_split(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
-    return split.agg(F.count_if("is_train").alias("n_train"), F.count_if(~F.col("is_train")).alias("n_val"), F.countDistinct("doc_id").alias("n_ids"))
+    return convert.train_val_split(table(spark, sf_dir, "documents").select("doc_id"), "doc_id")
 
 
 LONG_PAGE = "'```html' || chr(10) || repeat(html, CAST(1 + page_id % 12 AS INT)) || chr(10) || '```'"
