@@ -190,12 +190,12 @@ def signed_sql(texts: str) -> str:
 
 # The best row of each normalised text, and its candidates and links.
 BEST_SQL = f"SELECT doc_id, t, size FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY size DESC, doc_id) AS nth FROM (SELECT doc_id, coalesce({STRIP_SQL.format('lower(text)')}, '') AS t, coalesce(length(text), 0) AS size FROM documents)) WHERE nth = 1"
-LINKS_SQL = f"""best AS ({BEST_SQL}), {signed_sql('SELECT doc_id, t FROM best')},
- bands AS (SELECT doc_id, i // 8 AS band, string_agg(v::VARCHAR, ',' ORDER BY i) AS key FROM sig GROUP BY ALL),
- cand AS (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM bands x JOIN bands y USING (band, key) WHERE x.doc_id < y.doc_id),
- sets AS (SELECT doc_id, size, {GRAMS_SQL} AS g FROM best),
+LINKS_SQL = f"""best AS MATERIALIZED ({BEST_SQL}), {signed_sql('SELECT doc_id, t FROM best')},
+ bands AS MATERIALIZED (SELECT doc_id, i // 8 AS band, string_agg(v::VARCHAR, ',' ORDER BY i) AS key FROM sig GROUP BY ALL),
+ cand AS MATERIALIZED (SELECT DISTINCT x.doc_id AS a, y.doc_id AS b FROM bands x JOIN bands y USING (band, key) WHERE x.doc_id < y.doc_id),
+ sets AS MATERIALIZED (SELECT doc_id, size, {GRAMS_SQL} AS g FROM best WHERE doc_id IN (SELECT a FROM cand UNION SELECT b FROM cand)),
  pairs AS (SELECT a, b, x.size AS size_a, y.size AS size_b, len(list_intersect(x.g, y.g)) AS met, len(x.g) AS n_a, len(y.g) AS n_b FROM cand JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b),
- links AS (SELECT *, met / (n_a + n_b - met) AS jaccard FROM pairs WHERE met / (n_a + n_b - met) >= 0.7),
+ links AS MATERIALIZED (SELECT *, met / (n_a + n_b - met) AS jaccard FROM pairs WHERE met / (n_a + n_b - met) >= 0.7),
  ranked AS (SELECT CASE WHEN size_a >= size_b THEN a ELSE b END AS better, CASE WHEN size_a >= size_b THEN b ELSE a END AS worse FROM links)"""
 
 
