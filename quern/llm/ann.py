@@ -8,7 +8,9 @@ are scored grow slower than the table. Every code's vectors are scored exactly,
 vectors in double precision, and each query keeps its nearest.
 
 Codes are dealt in ranges of about `block` vectors. A range receives each query that probes any of its codes once, with
-the list of those codes; ranges that hold too many vectors (unlike vectors with one code) are split further.
+the list of those codes; ranges that hold too many vectors (unlike vectors with one code) are split further. Queries go
+to the range of their best code in every table first. What they find there bounds the score of their k nearest from
+below, so the other ranges give only pairs that reach it, not the k nearest of each range.
 
 Inner products of vectors of unequal length become angles by one more coordinate: sqrt(longest^2 - length^2) for the
 indexed vectors, 0 for the queries. Vectors are indexed by bands of length, each with its own `longest`, so that a few
@@ -83,8 +85,9 @@ def codes_of(x: np.ndarray, signs: np.ndarray, sizes: list[int]) -> np.ndarray:
     return code
 
 
-def probed_codes(x: np.ndarray, signs: np.ndarray, sizes: list[int], probes: int) -> np.ndarray:
-    """The `probes` codes with the largest sums of coordinates of each row (all, if there are fewer), in order of codes.
+def probed_codes(x: np.ndarray, signs: np.ndarray, sizes: list[int], probes: int) -> tuple[np.ndarray, np.ndarray]:
+    """The `probes` codes with the largest sums of coordinates of each row (all, if there are fewer), in order of codes,
+    and each row's best code.
 
     Axes are added one by one: the first axes of a best code are always among the best so far.
     """
@@ -96,7 +99,7 @@ def probed_codes(x: np.ndarray, signs: np.ndarray, sizes: list[int], probes: int
         if total.shape[1] > probes:
             top = np.argpartition(-total, probes - 1, axis=1)[:, :probes]
             total, code = np.take_along_axis(total, top, 1), np.take_along_axis(code, top, 1)
-    return np.sort(code, axis=1)
+    return np.sort(code, axis=1), np.take_along_axis(code, total.argmax(1)[:, None], 1)[:, 0]
 
 
 def probe_count(rows: int, codes: int) -> int:
@@ -170,22 +173,29 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 6, b
                     code = codes_of(own, signs[t], sizes)
                     yield pd.DataFrame({"band": some.band.to_numpy(), "range": t * n_codes + code // per, "node": some.node.to_numpy(), "code": code, "v": v})
 
-    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        most = probe_count(min(large.values(), default=0), n_codes)
-        step = max(1, (8 << 20) // (most * 2 * sizes[-1] + n_codes // (2 * sizes[-1])))
-        for pdf in batches:
-            for a in range(0, len(pdf), step):
-                some = pdf.iloc[a : a + step]
-                x = np.array(some.v.tolist(), np.float64)
-                own = np.concatenate([x / some.length.to_numpy()[:, None], np.zeros((len(x), 1))], 1)
-                v, out = raw(x), []
-                for t in range(tables):
-                    for band, n in large.items():
-                        for node, bytes_, codes in zip(some.node, v, probed_codes(own, signs[t], sizes, probe_count(n, n_codes))):
-                            which = codes // per_range[band]
-                            cuts = np.flatnonzero(np.diff(which, prepend=-1))
-                            out += [(band, t * n_codes + int(which[c]), node, part.tobytes(), bytes_) for c, part in zip(cuts, np.split(codes, cuts[1:]))]
-                yield pd.DataFrame(out, columns=["band", "range", "node", "codes", "v"])
+    def ask(first: bool):
+        """The ranges that a query probes: those of its best codes, or all others."""
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            most = probe_count(min(large.values(), default=0), n_codes)
+            step = max(1, (8 << 20) // (most * 2 * sizes[-1] + n_codes // (2 * sizes[-1])))
+            for pdf in batches:
+                for a in range(0, len(pdf), step):
+                    some = pdf.iloc[a : a + step]
+                    x = np.array(some.v.tolist(), np.float64)
+                    own = np.concatenate([x / some.length.to_numpy()[:, None], np.zeros((len(x), 1))], 1)
+                    v, out = raw(x), []
+                    for t in range(tables):
+                        for band, n in large.items():
+                            codes, best = probed_codes(own, signs[t], sizes, probe_count(n, n_codes))
+                            per = per_range[band]
+                            for node, bytes_, least, own_codes, top in zip(some.node, v, some.least, codes, best // per):
+                                which = own_codes // per
+                                cuts = np.flatnonzero(np.diff(which, prepend=-1))
+                                out += [(band, t * n_codes + int(which[c]), node, part.tobytes(), bytes_, least) for c, part in zip(cuts, np.split(own_codes, cuts[1:])) if (which[c] == top) == first]
+                    yield pd.DataFrame(out, columns=["band", "range", "node", "codes", "v", "least"])
+
+        return run
 
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -205,7 +215,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 6, b
         stop, found = np.append(start[1:], len(code)), []
         for a in range(0, len(queries), 1000):
             some = queries.iloc[a : a + 1000]
-            q, lists = unraw(some.v), [np.frombuffer(c, np.int64) for c in some.codes]
+            q, lists, least = unraw(some.v), [np.frombuffer(c, np.int64) for c in some.codes], some.least.to_numpy()
+            least = least - 1e-9 * (1 + np.abs(least))
             which, who = np.concatenate(lists), np.repeat(np.arange(len(some)), [len(c) for c in lists])
             at = np.searchsorted(names, which)
             there = names[np.minimum(at, len(names) - 1)] == which
@@ -216,9 +227,10 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 6, b
             for b, e in zip(cuts, np.append(cuts[1:], len(at))):
                 lo, hi, own = start[at[b]], stop[at[b]], who[b:e]
                 for c in range(lo, hi, block):
-                    j = np.arange(c, min(hi, c + block))
-                    pairs.append((np.repeat(own, len(j)), np.tile(j, len(own)), (q[own] @ x[j].T).ravel()))
-                    held_pairs += len(own) * len(j)
+                    rough = q[own] @ x[c : min(hi, c + block)].T
+                    i, j = np.nonzero(rough >= least[own][:, None])
+                    pairs.append((own[i], j + c, rough[i, j]))
+                    held_pairs += len(i)
                     if held_pairs > 4_000_000:  # bounded: what can't be among the nearest is left behind
                         i, j, score = best_pairs(q, x, *(np.concatenate(p) for p in zip(*pairs)), k + 1)
                         pairs, held_pairs = [(i, j, score)], len(i)
@@ -244,14 +256,21 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 6, b
     ranged = banded.join(F.broadcast(tops), "band")
     asking = banded.join(asked.select("node").distinct(), "node")
     indexed = ranged.where(F.col("rows") > block).mapInPandas(index, "band long, range long, node long, code long, v binary")
-    probing = asking.mapInPandas(ask, "band long, range long, node long, codes binary, v binary")
     # Ranges far larger than a block are few; they are split, and the queries that probe them go to every part.
     crowded = stored(indexed.groupBy("band", "range").agg(F.ceil(F.count("*") / (2 * block)).alias("parts")).where("parts > 1"))
     keys = ["band", "range", "part"]
     parts = F.coalesce("parts", F.lit(1))
     held = indexed.join(small(crowded), ["band", "range"], "left").withColumn("part", F.pmod(F.xxhash64("node"), parts)).drop("parts")
-    probing = probing.join(small(crowded), ["band", "range"], "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
-    pairs = probing.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(score_codes, schema)
+
+    def probed(asking: DataFrame, first: bool) -> DataFrame:
+        probing = asking.mapInPandas(ask(first), "band long, range long, node long, codes binary, v binary, least double")
+        probing = probing.join(small(crowded), ["band", "range"], "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
+        return stored(probing.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(score_codes, schema))
+
+    pairs = probed(asking.withColumn("least", F.lit(float("-inf"))), True)
+    nth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))
+    bounds = pairs.distinct().withColumn("nth", nth).where(F.col("nth") == k + 1).select(F.col("query").alias("node"), F.col("score").alias("least"))
+    pairs = pairs.unionByName(probed(asking.join(bounds, "node", "left").fillna(float("-inf"), ["least"]), False))
 
     # Bands that fit in a block are met whole, by blocks of queries.
     blank = "band long, node long, v binary"
@@ -277,7 +296,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 6, b
         others = F.slice(F.filter("near", lambda x: x.vec_id != F.col("id")), 1, k)
         return asked.join(near, F.col("node") == F.col("query"), "left").select("node", "id", F.coalesce(others, F.array().cast("array<struct<far: double, vec_id: long>>")).alias("near"))
 
-    answers = stored(answered(asked, pairs))
+    answers = stored(answered(asked, stored(pairs)))
     few = F.size("near") < min(k, members.count() - 1)
     lacking = stored(answers.where(few).select("node", "id"))
     lacking_nodes = lacking.select("node").distinct()

@@ -209,7 +209,8 @@ def test_probed_codes_are_the_best():
     total = (sums[0][:, :, None, None] + sums[1][:, None, :, None] + sums[2][:, None, None, :]).reshape(6, -1)
     for probes in (1, 7, 100, 5000):
         want = np.sort(np.argsort(-total, axis=1)[:, :probes], axis=1)
-        assert (ann.probed_codes(x, signs, sizes, probes) == want).all()
+        codes, best = ann.probed_codes(x, signs, sizes, probes)
+        assert (codes == want).all() and (best == total.argmax(1)).all()
     assert (ann.codes_of(x, signs, sizes) == total.argmax(1)).all()
 
 
