@@ -149,7 +149,7 @@ def with_rank(rows: DataFrame) -> DataFrame:
 
 def similar_pairs(rows: DataFrame, threshold: float = 0.7, permutations: int = 128, n_bands: int = 16, k: int = 5) -> DataFrame:
     """(a, b, jaccard) of LSH candidates among (id, text_norm, size) with at least the threshold, a < b."""
-    shared = stored(crowded(bands(signatures(rows, permutations=permutations, k=k), n_bands=n_bands)).join(with_rank(rows), "id").withColumn("target", F.lit(True)))
+    shared = stored(crowded(stored(bands(signatures(rows, permutations=permutations, k=k), n_bands=n_bands))).join(with_rank(rows), "id").withColumn("target", F.lit(True)))
     sets = stored(gram_sets(rows.join(shared.select("id").distinct(), "id", "left_semi"), k))
     pairs = compared(shared, sets, threshold, all_pairs=True).select(F.least("better", "worse").alias("a"), F.greatest("better", "worse").alias("b"))
     left, right = sets.select(F.col("id").alias("a"), F.col("grams").alias("x")), sets.select(F.col("id").alias("b"), F.col("grams").alias("y"))
@@ -215,7 +215,7 @@ def survivors_of_links(links: DataFrame, rank: DataFrame, few: int = 1_000_000)
 def removed(rows: DataFrame, threshold: float, permutations: int, n_bands: int, k: int, greedy: bool) -> DataFrame:
     """Ids among (id, text_norm, size) that a better row removes: any better one, or (greedy) any that survives."""
     rank = with_rank(rows)
-    shared = stored(crowded(bands(signatures(rows, permutations=permutations, k=k), n_bands=n_bands)).join(rank, "id"))
+    shared = stored(crowded(stored(bands(signatures(rows, permutations=permutations, k=k), n_bands=n_bands))).join(rank, "id"))
     sets = stored(gram_sets(rows.join(shared.select("id").distinct(), "id", "left_semi"), k))
     if not greedy:
         _, gone = led(shared, sets, threshold)
