@@ -493,6 +493,17 @@ def test_decontamination(spark, empty, small):
     assert not decontam.digest(decontam.decontaminate(table, bench.limit(0))).where("contaminated").count()
 
 
+def test_decontamination_of_a_long_text_that_repeats_a_passage(spark):
+    rng = random.Random(17)
+    item = " ".join(f"term{rng.randrange(40)}" for _ in range(25))
+    filler = [f"word{rng.randrange(3000)}" for _ in range(40_000)]
+    text = " ".join([*filler, *(500 * (item + " between").split())])
+    docs = spark.createDataFrame([(1, text), (2, " ".join(filler))], "doc_id long, text string")
+    got = by_id(decontam.decontaminate(docs, spark.createDataFrame([(7, item)], "item_id long, text string")))
+    assert (got[1][0]["n_words"], got[1][0]["n_hit"], got[1][0]["items"]) == (40_000 + 500 * 26, 500 * 25, ["7"])
+    assert (got[2][0]["n_hit"], got[2][0]["n_near"]) == (0, 0)
+
+
 # 8: near copies
 
 
@@ -563,6 +574,19 @@ def test_links_across_components_in_chunks(spark, main):
     assert groups(got) == groups(want)
 
 
+def test_near_duplicates_of_very_long_texts(spark):
+    rng = random.Random(18)
+    words_ = [f"w{rng.randrange(5000)}" for _ in range(60_000)]
+    other = list(words_)
+    for at in rng.sample(range(len(other)), 3000):
+        other[at] = "changed"
+    texts = {1: " ".join(words_), 2: " ".join(other), 3: " ".join(words_[:30_000]), 4: "short text"}
+    got = by_id(neardup.near_duplicates(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), words=2))
+    for i, (n, c) in model_components(texts, 2, 80).items():
+        assert (got[i][0]["n_shingles"], got[i][0]["component_id"]) == (n, c)
+    assert got[2][0]["component_id"] == 1 and got[3][0]["component_id"] == 3
+
+
 def test_equal_hashes_of_unlike_sets_are_told_apart(spark, monkeypatch):
     from quern import scratch
 
