@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 from quern.llm.ann import nearest
 from quern.llm.decontam import decontaminate, digest
 from quern.llm.langid import identify
-from quern.llm import linededup
+from quern.llm import linededup, pivots, resample
 from quern.llm.licenses import scan
 from quern.llm.lm import score_texts
 from quern.llm.neardup import near_duplicates
 from quern.llm.packing import pack_documents
+from quern.llm.piecebpe import encode_texts
 from quern.llm.suffixdedup import cut_repeats
 from quern.llm.tokencount import count_tokens
 
@@ -62,9 +63,23 @@ def op10_recurrent_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(table(spark, sf_dir, "documents"), folds=5, fold=1)
 
 
+def op11_ptolemaic_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.cluster_vectors(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64.0, seed="1").drop("n_checked")
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=25, longest=2, buckets=10_000, least=20, seed="7")
+
+
+def op13_prefix_table_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    ids = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256)
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), ids.alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_cost_balanced_packing, op2_cross_polytope_neighbours, op3_mixture_language_id, op4_token_counts, op5_content_defined_line_dedup, op6_diagonal_license_scan, op7_positional_decontamination, op8_odd_sketch_near_duplicates, op9_interval_suffix_dedup, op10_recurrent_lm_scores)}
+    return {f.__name__: f for f in (op1_cost_balanced_packing, op2_cross_polytope_neighbours, op3_mixture_language_id, op4_token_counts, op5_content_defined_line_dedup, op6_diagonal_license_scan, op7_positional_decontamination, op8_odd_sketch_near_duplicates, op9_interval_suffix_dedup, op10_recurrent_lm_scores, op11_ptolemaic_clusters, op12_importance_resampling, op13_prefix_table_pieces)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_content_defined_line_dedup": linededup.sql()}
+    return {"op5_content_defined_line_dedup": linededup.sql(), "op11_ptolemaic_clusters": pivots.sql(), "op12_importance_resampling": resample.sql()}
