@@ -15,6 +15,8 @@ from quern.functions import replies as R
 from quern.functions import scores as S
 from quern.functions import text as T
 from quern.operators import convert, expand, minhash, select, similarity
+from quern.operators.asof import asof_join
+from quern.operators.intervals import interval_join
 from quern.scratch import shared_folder, small, spread, stored
 from quern.streaming.resume import stream_dedup
 
@@ -580,3 +582,59 @@ def image_urls(spark, sf_dir):
 def event_times(spark, sf_dir):
     seconds = F.floor(F.col("ts").cast("timestamp").cast("double")).cast("long")
     return table(spark, sf_dir, "events").select("event_id", T.stamped(seconds).alias("at"))
+
+
+@query("""SELECT e.event_id, arg_max(p.event_id, (p.ts, p.event_id)) AS prev_event_id, arg_max(p.event_type, (p.ts, p.event_id)) AS prev_type,
+ CAST(date_diff('microsecond', max(p.ts), any_value(e.ts)) AS BIGINT) AS gap_us FROM events e LEFT JOIN events p ON e.user_id = p.user_id AND p.ts < e.ts AND p.event_type <> e.event_type GROUP BY e.event_id""")
+def asof_other_kind(spark, sf_dir):
+    """Each event with its user's last earlier event of another kind."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    found = asof_join(events, events, ["user_id"], "ts", "ts", exact=False, differs="event_type", tie="event_id")
+    gap = F.unix_micros("ts") - F.unix_micros("match.ts")
+    return found.select("event_id", F.col("match.event_id").alias("prev_event_id"), F.col("match.event_type").alias("prev_type"), gap.alias("gap_us"))
+
+
+@query("""SELECT p.event_id, CASE WHEN p.ts - c.ts <= INTERVAL 2 DAY THEN c.event_id END AS click_id, CASE WHEN p.ts - c.ts <= INTERVAL 2 DAY THEN c.value END AS click_value
+ FROM (FROM events WHERE event_type = 'purchase') p ASOF LEFT JOIN (FROM events WHERE event_type = 'click') c ON p.user_id = c.user_id AND p.ts >= c.ts""")
+def asof_purchase_click(spark, sf_dir):
+    """Each purchase with the same user's last click, two days before it at most."""
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    buys, clicks = events.where("event_type = 'purchase'"), events.where("event_type = 'click'").select("event_id", "user_id", "ts", "value")
+    found = asof_join(buys, clicks, ["user_id"], "ts", "ts", tie="event_id", within=2 * 86_400)
+    return found.select("event_id", F.col("match.event_id").alias("click_id"), F.col("match.value").alias("click_value"))
+
+
+@query("""SELECT o.o_orderkey, arg_max(p.o_orderkey, (p.o_orderdate, p.o_orderkey)) AS prev_orderkey, arg_max(p.o_totalprice, (p.o_orderdate, p.o_orderkey)) AS prev_price
+ FROM orders o LEFT JOIN orders p ON o.o_custkey = p.o_custkey AND p.o_orderdate < o.o_orderdate GROUP BY o.o_orderkey""")
+def asof_previous_order(spark, sf_dir):
+    """Each order with its customer's order of an earlier date, the last one by date and key."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
+    found = asof_join(orders, orders, ["o_custkey"], "o_orderdate", "o_orderdate", exact=False, tie="o_orderkey")
+    return found.select("o_orderkey", F.col("match.o_orderkey").alias("prev_orderkey"), F.col("match.o_totalprice").alias("prev_price"))
+
+
+OPEN_SQL = "SELECT o_orderkey, any_value(o_custkey) AS o_custkey, any_value(o_orderdate) AS opened, max(l_shipdate) AS closed FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey"
+
+
+@query(f"WITH o AS ({OPEN_SQL}) SELECT a.o_orderkey, b.o_orderkey AS other_orderkey FROM o a JOIN o b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey AND a.opened < b.closed AND b.opened < a.closed AND a.opened < a.closed AND b.opened < b.closed")
+def interval_open_orders(spark, sf_dir):
+    """Pairs of a customer's orders that are open (ordered, not wholly shipped) at the same time."""
+    shipped = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.max("l_shipdate").alias("closed"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_orderdate").alias("opened")).join(shipped, "o_orderkey")
+    pairs = interval_join(orders, orders, ("opened", "closed"), ("opened", "closed"), ["o_custkey"])
+    return pairs.where("left.o_orderkey < right.o_orderkey").select(F.col("left.o_orderkey").alias("o_orderkey"), F.col("right.o_orderkey").alias("other_orderkey"))
+
+
+STORED_SQL = "SELECT l_quantity, l_shipdate AS a, l_shipdate + to_days(CAST(l_quantity AS INT)) AS b FROM lineitem"
+
+
+@query(f"""WITH l AS ({STORED_SQL}), s AS (SELECT e.user_id, e.event_type, o_orderdate, o_orderdate + to_days(CAST(1 + o_orderkey % 400 AS INT)) AS until, o_orderkey FROM orders JOIN (SELECT DISTINCT user_id, event_type FROM events) e ON e.user_id = o_custkey WHERE e.event_type = 'error')
+ SELECT o_orderkey, count(*) AS n, sum(l_quantity) AS quantity FROM s JOIN l ON l.a < until AND o_orderdate < l.b AND l.a < l.b GROUP BY o_orderkey""")
+def interval_stored_lines(spark, sf_dir):
+    """Lines in store (a day for each unit from their shipping on) during the order spans, a day to 400 long, of customers with errors."""
+    days = lambda start, n: F.expr(f"{start} + make_dt_interval(CAST({n} AS INT))")
+    lines = table(spark, sf_dir, "lineitem").select("l_quantity", F.col("l_shipdate").alias("a"), days("l_shipdate", "l_quantity").alias("b"))
+    failing = table(spark, sf_dir, "events").where("event_type = 'error'").select(F.col("user_id").alias("o_custkey")).distinct()
+    spans = table(spark, sf_dir, "orders").join(failing, "o_custkey").select("o_orderkey", "o_orderdate", days("o_orderdate", "1 + o_orderkey % 400").alias("until"))
+    pairs = interval_join(spans, lines, ("o_orderdate", "until"), ("a", "b"))
+    return pairs.groupBy(F.col("left.o_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"), F.sum("right.l_quantity").alias("quantity"))
