@@ -7,7 +7,8 @@ from range to range and joined with what is pending. There is one shuffle of bot
 
 Defined cases: null keys, times or kinds match nothing; such left rows stay, without a match. Of right rows with one key
 and time the one with the largest `tie` counts (if those are equal, one chosen by hash). Repeated rows count each; empty
-tables give no matches or no rows; clashing names don't matter, since the match is one struct column.
+tables give no matches or no rows; names that both tables have don't clash, since the match is one struct column, for
+which `name` should be a name that left doesn't have.
 """
 
 from collections.abc import Iterator

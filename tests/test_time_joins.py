@@ -76,7 +76,7 @@ def test_asof_without_rows_keys_and_with_timestamps(spark):
     plain = spark.createDataFrame(every, EVENTS)
     assert joined(asof_join(plain, plain, [], "at", "at", tie="id", parts=4)) == model_asof(every, every, True, None)
     timed = df.withColumn("at", F.timestamp_micros(F.col("at") * 1_500_000))
-    got = asof_join(timed, timed, ["user"], "at", "at", exact=False, tie="id", within=3.0).select("id", "match.id").collect()
+    got = asof_join(timed, timed, ["user"], "at", "at", exact=False, tie="id", within=3.0, name="m").select("id", "m.id").collect()
     assert Counter(map(tuple, got)) == Counter({(a[0], b and b[0]): n for (a, b), n in model_asof(events(3, 60), events(3, 60), False, None, 2).items()})
 
 
