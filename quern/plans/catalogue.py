@@ -18,7 +18,9 @@ from quern.operators import convert, expand, minhash, select, similarity
 from quern.operators.asof import asof_join
 from quern.operators.intervals import interval_join
 from quern.scratch import shared_folder, small, spread, stored
+from quern.streaming.arrivals import feed
 from quern.streaming.resume import stream_dedup
+from quern.streaming.windows import range_join, sessions, windowed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -638,3 +640,75 @@ def interval_stored_lines(spark, sf_dir):
     spans = table(spark, sf_dir, "orders").join(failing, "o_custkey").select("o_orderkey", "o_orderdate", days("o_orderdate", "1 + o_orderkey % 400").alias("until"))
     pairs = interval_join(spans, lines, ("o_orderdate", "until"), ("a", "b"))
     return pairs.groupBy(F.col("left.o_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"), F.sum("right.l_quantity").alias("quantity"))
+
+
+# Events arrive in four portions by id, some of them one or two portions after their time; the watermark is two days back.
+PORTION = "least(3, event_id * 4 {div} n + CASE WHEN event_id % 17 = 3 THEN 1 WHEN event_id % 53 = 7 THEN 2 ELSE 0 END)"
+PORTIONS_SQL = f"n AS (SELECT max(event_id) + 1 AS n FROM events), a AS (SELECT events.*, epoch_us(ts) AS us, {PORTION.format(div='//')} AS portion FROM events, n)"
+HOUR, DELAY = 3_600_000_000, "2 days"
+
+
+def marks_sql(time: str, rows: str = "a", name: str = "marks") -> str:
+    """The watermark before each portion, and after the last one as that of portion 4; in microseconds."""
+    top = f"SELECT max({time}) // 1000 - 48 * 3600000 FROM {rows} b WHERE b.portion < t.p"
+    return f"{name} AS (SELECT p AS portion, coalesce(greatest(0, ({top}) * 1000), 0) AS mark FROM range(5) AS t(p))"
+
+
+def portions(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    n = (events.agg(F.max("event_id")).first()[0] or 0) + 1
+    placed = events.withColumn("portion", F.expr(PORTION.replace("n +", f"{n}L +").format(div="div")))
+    return [placed.where(F.col("portion") == i).drop("portion") for i in range(4)]
+
+
+def streamed(spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return feed(portions(spark, sf_dir), build, f"{shared_folder(spark)}/quern-stream-{uuid.uuid4().hex}")
+
+
+def windows_sql(size: int, slide: int) -> str:
+    """Windows of `size` hours, one every `slide` hours, over the rows that weren't late."""
+    start = f"(us // ({slide} * {HOUR}) - k) * {slide} * {HOUR}"
+    kept = f"SELECT {start} AS window_start, event_type, value FROM a, range({size // slide}) AS t(k), marks WHERE marks.portion = a.portion AND {start} + {size} * {HOUR} > mark"
+    closed = f"window_start + {size} * {HOUR} <= (SELECT mark FROM marks WHERE portion = 4)"
+    return f"WITH {PORTIONS_SQL}, {marks_sql('us')} SELECT window_start, event_type, count(*) AS n, round(sum(value), 2) AS total FROM ({kept}) WHERE {closed} GROUP BY window_start, event_type"
+
+
+def event_windows(spark: SparkSession, sf_dir: str, size: int, slide: int) -> DataFrame:
+    sums = [F.count("*").alias("n"), F.round(F.sum("value"), 2).alias("total")]
+    found = streamed(spark, sf_dir, lambda s: windowed(s, "ts", f"{size} hours", ["event_type"], sums, DELAY, f"{slide} hours"))
+    return found.select(F.unix_micros("window_start").alias("window_start"), "event_type", "n", "total")
+
+
+@query(windows_sql(6, 6))
+def stream_tumbling_windows(spark, sf_dir):
+    """Events and values by kind and six hours, with late rows."""
+    return event_windows(spark, sf_dir, 6, 6)
+
+
+@query(windows_sql(24, 6))
+def stream_sliding_windows(spark, sf_dir):
+    """Events and values by kind and day, one every six hours, with late rows."""
+    return event_windows(spark, sf_dir, 24, 6)
+
+
+PANE_SQL = f"(us // (6 * {HOUR}) + 1) * 6 * {HOUR}"
+
+
+@query(f"""WITH {PORTIONS_SQL}, p AS (SELECT *, {PANE_SQL} AS pane_end FROM a), {marks_sql('pane_end', 'p')},
+ k AS (SELECT user_id, us, value, CASE WHEN us - lag(us) OVER u < 6 * {HOUR} THEN 0 ELSE 1 END AS opens FROM p JOIN marks USING (portion) WHERE pane_end > mark WINDOW u AS (PARTITION BY user_id ORDER BY us)),
+ s AS (SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY us) AS nth FROM k)
+ SELECT user_id, min(us) AS first_us, max(us) AS last_us, count(*) AS n, round(sum(value), 2) AS total FROM s GROUP BY user_id, nth HAVING (max(us) // (6 * {HOUR}) + 2) * 6 * {HOUR} <= (SELECT mark FROM marks WHERE portion = 4)""")
+def stream_sessions(spark, sf_dir):
+    """Users' sessions of events less than six hours apart, with late rows."""
+    found = streamed(spark, sf_dir, lambda s: sessions(s, "ts", "user_id", "value", 6 * 3_600_000, DELAY))
+    return found.select("user_id", F.unix_micros("first").alias("first_us"), F.unix_micros("last").alias("last_us"), "n", F.round("total", 2).alias("total"))
+
+
+@query(f"""WITH {PORTIONS_SQL}, v AS (FROM a WHERE event_type = 'view'), b AS (FROM a WHERE event_type = 'purchase'), {marks_sql('us', 'v', 'vm')}, {marks_sql('us', 'b', 'bm')},
+ marks AS (SELECT portion, least(vm.mark, bm.mark) AS mark FROM vm JOIN bm USING (portion)), x AS (FROM v JOIN marks USING (portion) WHERE us > mark), y AS (FROM b JOIN marks USING (portion) WHERE us > mark)
+ SELECT x.event_id AS view_id, y.event_id AS purchase_id, y.us - x.us AS gap_us FROM x JOIN y ON x.user_id = y.user_id AND y.us BETWEEN x.us AND x.us + 12 * {HOUR}""")
+def stream_range_join(spark, sf_dir):
+    """Views and the same user's purchases in the twelve hours after, two streams with late rows."""
+    of = lambda s, kind: s.where(F.col("event_type") == kind).select("event_id", "user_id", "ts")
+    found = streamed(spark, sf_dir, lambda s: range_join(of(s, "view"), of(s, "purchase"), ["user_id"], "ts", "ts", 12 * 3600, DELAY))
+    return found.select(F.col("left.event_id").alias("view_id"), F.col("right.event_id").alias("purchase_id"), (F.unix_micros("right.ts") - F.unix_micros("left.ts")).alias("gap_us"))
