@@ -157,13 +157,14 @@ def odd_texts():
 
 def test_pieces_equal_the_library(model):
     pieces, library, rng = Pieces(model), sentencepiece.SentencePieceProcessor(model_file=model), random.Random(5)
-    for text in odd_texts():
-        ids = library.encode(text)
-        assert pieces.encode(text) == (ids, library.decode(ids)) and pieces.decode(ids) == library.decode(ids)
-    whole = Pieces(model)
+    encoded = lambda p, texts: (lambda ids, ends, decoded: [(x.tolist(), t) for x, t in zip(np.split(ids, ends[:-1]), decoded)])(*p.encode(texts))
+    want = [(ids, library.decode(ids)) for ids in library.encode(odd_texts())]
+    whole, forgetful = Pieces(model), Pieces(model, 3)
     whole.split = False
-    for text in odd_texts()[:300]:
-        assert whole.encode(text)[0] == library.encode(text)
+    for p in (pieces, whole):
+        assert encoded(p, odd_texts()) == want
+    assert [encoded(forgetful, [t])[0] for t in odd_texts()[:300]] == want[:300]
+    assert all(pieces.decode(ids) == text for ids, text in want) and pieces.encode([])[2] == []
     for _ in range(2000):
         ids = [rng.choice([rng.randrange(3, 259), rng.randrange(259, 32_000), rng.randrange(3)]) for _ in range(rng.randint(1, 8))]
         assert pieces.decode(ids) == library.decode(ids)
@@ -172,7 +173,7 @@ def test_pieces_equal_the_library(model):
 def test_every_prefix_has_its_last_token(model):
     pieces = Pieces(model)
     for text in ("▁interpretations", "▁▁▁▁▁▁▁▁▁▁▁▁▁▁▁▁▁▁▁▁▁x", "aaaaabaaaaaab", "▁th日ere"):
-        assert pieces.prefixes(text)[1:] == [len(pieces.merged(text[:n])[-1]) for n in range(1, len(text) + 1)]
+        assert [pieces.number.text[t] for t in pieces.prefixes(text)[1:]] == [pieces.merged(text[:n])[-1] for n in range(1, len(text) + 1)]
 
 
 def test_encoded_rows(spark, model):
