@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from quern.functions.html import fits_length, html_block, passes_rules, validation_status
 from quern.functions.scores import CRITERION_WEIGHTS, passes_score
+from quern.operators.sketches import exact_median
 
 
 def merge_scores(rows: DataFrame, scores: DataFrame, key: str, score_col: str = "quality_score", details_col: str | None = None) -> DataFrame:
@@ -32,11 +33,15 @@ def filter_chain(rows: DataFrame, key: str, response_col: str = "response", scor
 def score_stats(rows: DataFrame, score_col: str, accuracy: int | None = None) -> DataFrame:
     """Mean, median, minimum and maximum of the scores that are numbers.
 
-    The median is exact, for which the distinct scores gather in one task; with an accuracy it is approximate.
+    The median is exact, from order statistics that no task holds all values for; with an accuracy it is approximate.
     """
     known = rows.where(F.col(score_col).isNotNull() & ~F.isnan(score_col))
-    median = F.percentile(score_col, F.lit(0.5)) if accuracy is None else F.percentile_approx(score_col, 0.5, accuracy)
-    return known.agg(F.avg(score_col).alias("mean"), median.alias("median"), F.min(score_col).alias("min"), F.max(score_col).alias("max"))
+    others = [F.avg(score_col).alias("mean"), F.min(score_col).alias("min"), F.max(score_col).alias("max")]
+    if accuracy is not None:
+        return known.agg(*others, F.percentile_approx(score_col, 0.5, accuracy).alias("median")).select("mean", "median", "min", "max")
+    # One row each; on a key, since there is none to join by.
+    found, one = known.agg(*others).withColumn("one", F.lit(1)), exact_median(known, score_col).withColumn("one", F.lit(1))
+    return found.join(F.broadcast(one), "one", "left").select("mean", "median", "min", "max")
 
 
 def status_counts(rows: DataFrame, status_col: str) -> DataFrame:

@@ -14,7 +14,7 @@ from quern.functions import html as H
 from quern.functions import replies as R
 from quern.functions import scores as S
 from quern.functions import text as T
-from quern.operators import convert, expand, minhash, select, similarity
+from quern.operators import convert, expand, minhash, select, similarity, sketches
 from quern.operators.asof import asof_join
 from quern.operators.intervals import interval_join
 from quern.scratch import shared_folder, small, spread, stored
@@ -712,3 +712,37 @@ def stream_range_join(spark, sf_dir):
     of = lambda s, kind: s.where(F.col("event_type") == kind).select("event_id", "user_id", "ts")
     found = streamed(spark, sf_dir, lambda s: range_join(of(s, "view"), of(s, "purchase"), ["user_id"], "ts", "ts", 12 * 3600, DELAY))
     return found.select(F.col("left.event_id").alias("view_id"), F.col("right.event_id").alias("purchase_id"), (F.unix_micros("right.ts") - F.unix_micros("left.ts")).alias("gap_us"))
+
+
+@query("""SELECT CAST(grouping(event_type, CAST(ts AS DATE)) AS BIGINT) AS set_id, event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS day, count(DISTINCT user_id) AS n, true AS within
+ FROM events GROUP BY GROUPING SETS ((event_type, CAST(ts AS DATE)), (event_type), (CAST(ts AS DATE)), ())""")
+def distinct_grouping_sets(spark, sf_dir):
+    """Distinct users by kind and day, exactly, and whether merged sketches of the finest groups estimate them within their bound."""
+    events = table(spark, sf_dir, "events").select("user_id", "event_type", F.col("ts").cast("date").alias("day"))
+    by, sets = ["event_type", "day"], [["event_type", "day"], ["event_type"], ["day"], []]
+    exact = sketches.distinct_counts(events, by, "user_id", sets)
+    guess = sketches.distinct_estimates(sketches.distinct_sketches(events, by, "user_id"), by, sets)
+    same = [exact[c].eqNullSafe(guess[c]) for c in ("set_id", *by)]
+    within = F.abs(F.col("estimate") - F.col("n")) <= F.col("n") * sketches.distinct_bound(12)
+    return exact.join(guess, same, "left").select(exact.set_id, exact.event_type, exact.day.cast("string").alias("day"), "n", F.coalesce(within, F.lit(False)).alias("within"))
+
+
+RANKS = {"p10": "(n + 9) {div} 10", "median": "(n + 1) {div} 2", "p99": "(n * 99 + 99) {div} 100"}
+
+
+@query(f"""WITH r AS (SELECT l_returnflag, l_linestatus, l_extendedprice, row_number() OVER (PARTITION BY l_returnflag, l_linestatus ORDER BY l_extendedprice) AS nth, count(*) OVER (PARTITION BY l_returnflag, l_linestatus) AS n FROM lineitem),
+ k AS ({" UNION ALL ".join(f"SELECT '{name}' AS name, l_returnflag, l_linestatus, n, l_extendedprice FROM r WHERE nth = {rank.format(div='//')}" for name, rank in RANKS.items())})
+ SELECT l_returnflag, l_linestatus, name, n, l_extendedprice AS value, true AS within FROM k""")
+def price_quantiles(spark, sf_dir):
+    """Exact price quantiles by flag and status, and whether merged sketches, made by supplier, name ranks within their bound."""
+    lines, by = table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"]
+    exact = stored(sketches.order_statistics(lines, "l_extendedprice", {k: r.format(div="div") for k, r in RANKS.items()}, by, most=1000))
+    fine = sketches.quantile_sketches(lines, "l_extendedprice", [*by, "l_suppkey"])
+    share, shares = F.col("share"), {"p10": 0.1, "median": 0.5, "p99": 0.99}
+    guess = sketches.quantile_estimates(sketches.merged_quantile_sketches(fine, by), by, list(shares.values()))
+    guess = stored(guess.withColumn("name", F.element_at(F.create_map(*[F.lit(x) for k, v in shares.items() for x in (v, k)]), share)))
+    # Ranks of the estimates: one estimate a group and name, groups being few here.
+    met = lines.join(small(guess), by).groupBy(*by, "name", "share").agg(F.count("*").alias("m"), F.count_if(F.col("l_extendedprice") < F.col("estimate")).alias("least"), F.count_if(F.col("l_extendedprice") <= F.col("estimate")).alias("upto"))
+    off = 2 * sketches.rank_bound(400) * F.col("m")
+    within = (F.col("least") - off <= share * F.col("m")) & (share * F.col("m") <= F.col("upto") + off)
+    return exact.join(met.select(*by, "name", within.alias("within")), [*by, "name"], "left").select(*by, "name", "n", "value", "within")
