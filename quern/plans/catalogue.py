@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quern.functions import html as H
 from quern.functions import replies as R
 from quern.functions import scores as S
+from quern.functions import tables
 from quern.functions import text as T
 from quern.operators import convert, expand, minhash, select, similarity, sketches
 from quern.operators.asof import asof_join
@@ -746,3 +747,23 @@ def price_quantiles(spark, sf_dir):
     off = 2 * sketches.rank_bound(400) * F.col("m")
     within = (F.col("least") - off <= share * F.col("m")) & (share * F.col("m") <= F.col("upto") + off)
     return exact.join(met.select(*by, "name", within.alias("within")), [*by, "name"], "left").select(*by, "name", "n", "value", "within")
+
+
+def lateral(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
+    """SQL over the pages, under a name of their own, and the table functions."""
+    name = f"pages_{uuid.uuid4().hex}"
+    spread(table(spark, sf_dir, "pages")).createOrReplaceTempView(name)
+    tables.register(spark)
+    return spark.sql(sql.format(pages=name))
+
+
+@query("SELECT page_id, CAST(s AS INT) AS start, md5(substr(html, s + 1, 8000)) AS digest FROM (SELECT page_id, html, unnest(range(0, length(html), 4000)) AS s FROM pages)")
+def lateral_text_windows(spark, sf_dir):
+    """Windows of 8000 characters, one every 4000, of every page."""
+    return lateral(spark, sf_dir, "SELECT page_id, w.start, md5(w.piece) AS digest FROM {pages}, LATERAL text_windows(html, 8000, 4000) AS w")
+
+
+@query("SELECT page_id, tag, count(*) AS n FROM (SELECT page_id, lower(unnest(regexp_extract_all(html, '<([a-zA-Z][^\\s/>]*)', 1))) AS tag FROM pages) GROUP BY page_id, tag")
+def lateral_page_elements(spark, sf_dir):
+    """How many elements of each tag every page has."""
+    return lateral(spark, sf_dir, "SELECT page_id, e.tag, count(*) AS n FROM {pages}, LATERAL page_elements(html) AS e GROUP BY page_id, e.tag")
