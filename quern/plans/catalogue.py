@@ -628,19 +628,28 @@ def interval_open_orders(spark, sf_dir):
     return pairs.where("left.o_orderkey < right.o_orderkey").select(F.col("left.o_orderkey").alias("o_orderkey"), F.col("right.o_orderkey").alias("other_orderkey"))
 
 
-STORED_SQL = "SELECT l_quantity, l_shipdate AS a, l_shipdate + to_days(CAST(l_quantity AS INT)) AS b FROM lineitem"
+PROMO_SQL = """SELECT p_partkey, 0 AS long, TIMESTAMP '1992-01-02' + to_days(CAST(p_partkey * 37 % 2400 AS INT)) AS a, 1 + p_size * 3 AS days FROM part
+ UNION ALL SELECT p_partkey, 1, TIMESTAMP '1993-01-01', 1500 FROM part WHERE p_partkey % 10 = 0"""
 
 
-@query(f"""WITH l AS ({STORED_SQL}), s AS (SELECT e.user_id, e.event_type, o_orderdate, o_orderdate + to_days(CAST(1 + o_orderkey % 400 AS INT)) AS until, o_orderkey FROM orders JOIN (SELECT DISTINCT user_id, event_type FROM events) e ON e.user_id = o_custkey WHERE e.event_type = 'error')
- SELECT o_orderkey, count(*) AS n, sum(l_quantity) AS quantity FROM s JOIN l ON l.a < until AND o_orderdate < l.b AND l.a < l.b GROUP BY o_orderkey""")
-def interval_stored_lines(spark, sf_dir):
-    """Lines in store (a day for each unit from their shipping on) during the order spans, a day to 400 long, of customers with errors."""
+@query(f"""WITH p AS ({PROMO_SQL}), l AS (SELECT l_partkey, l_quantity, l_shipdate AS a, l_shipdate + to_days(CAST(l_quantity AS INT)) AS b FROM lineitem)
+ SELECT p_partkey, long, count(*) AS n, sum(l_quantity) AS quantity FROM p JOIN l ON l_partkey = p_partkey AND l.a < p.a + to_days(CAST(days AS INT)) AND p.a < l.b AND l.a < l.b GROUP BY p_partkey, long""")
+def interval_promoted_lines(spark, sf_dir):
+    """Lines in store (a day for each unit from their shipping on) during their part's promotions, days or years long."""
     days = lambda start, n: F.expr(f"{start} + make_dt_interval(CAST({n} AS INT))")
-    lines = table(spark, sf_dir, "lineitem").select("l_quantity", F.col("l_shipdate").alias("a"), days("l_shipdate", "l_quantity").alias("b"))
-    failing = table(spark, sf_dir, "events").where("event_type = 'error'").select(F.col("user_id").alias("o_custkey")).distinct()
-    spans = table(spark, sf_dir, "orders").join(failing, "o_custkey").select("o_orderkey", "o_orderdate", days("o_orderdate", "1 + o_orderkey % 400").alias("until"))
-    pairs = interval_join(spans, lines, ("o_orderdate", "until"), ("a", "b"))
-    return pairs.groupBy(F.col("left.o_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n"), F.sum("right.l_quantity").alias("quantity"))
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"), "l_quantity", F.col("l_shipdate").alias("a"), days("l_shipdate", "l_quantity").alias("b"))
+    parts = table(spark, sf_dir, "part")
+    promos = parts.select("p_partkey", F.lit(0).alias("long"), days("TIMESTAMP_NTZ '1992-01-02'", "p_partkey * 37 % 2400").alias("a"), (1 + F.col("p_size") * 3).alias("days"))
+    promos = promos.unionByName(parts.where("p_partkey % 10 = 0").select("p_partkey", F.lit(1).alias("long"), F.expr("TIMESTAMP_NTZ '1993-01-01'").alias("a"), F.lit(1500).alias("days")))
+    pairs = interval_join(promos.withColumn("b", days("a", "days")), lines, ("a", "b"), ("a", "b"), ["p_partkey"])
+    return pairs.groupBy(F.col("left.p_partkey").alias("p_partkey"), F.col("left.long").alias("long")).agg(F.count("*").alias("n"), F.sum("right.l_quantity").alias("quantity"))
+
+
+@query("SELECT conv_id, turn, (SELECT max(p.turn) FROM conversations p WHERE p.conv_id = c.conv_id AND p.turn < c.turn AND p.role <> c.role) AS prev_turn FROM conversations c")
+def asof_other_role(spark, sf_dir):
+    """Each turn with the last earlier turn of another role in its conversation."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role")
+    return asof_join(turns, turns, ["conv_id"], "turn", "turn", exact=False, differs="role").select("conv_id", "turn", F.col("match.turn").alias("prev_turn"))
 
 
 # Events arrive in four portions by id, some of them one or two portions after their time; the watermark is two days back.
