@@ -1,11 +1,13 @@
 """Approximate nearest neighbours by cross-polytope hashing with exact reranking.
 
 Vectors are scaled to unit length and turned by fast pseudo-rotations (three rounds of random signs and a Hadamard
-transform). A rotation assigns a vector to the nearest signed axis among its first 64; a table joins the axes of two
-rotations or more into one code, so that codes grow in number with the table. A query probes, in every table, the codes
-with the largest sums of its own coordinates; their number falls as a power of the rows behind them, so the pairs that
-are scored grow slower than the table. Every code's vectors are scored exactly, by inner products of the original
-vectors in double precision, and each query keeps its nearest.
+transform). A rotation assigns a vector to the nearest signed axis; a table joins the axes of one rotation or more, the
+last one's among a part of its axes, so that the codes grow with the table and hold about PER_CODE vectors at any size.
+A query probes, in every table, the codes with the largest sums of its own coordinates. Every code's vectors are scored
+exactly, by inner products of the original vectors in double precision, and each query keeps its nearest.
+
+How many codes are probed is measured: for a sample of SAMPLE queries, chosen by hash, the true nearest vectors are
+found by one pass over the table, and enough codes are probed for SHARE of them to lie in a probed code of some table.
 
 Codes are dealt in ranges of about `block` vectors. A range receives each query that probes any of its codes once, with
 the list of those codes; ranges that hold too many vectors (unlike vectors with one code) are split further. Queries go
@@ -13,11 +15,11 @@ to the range of their best code in every table first. What they find there bound
 below, so the other ranges give only pairs that reach it, not the k nearest of each range.
 
 Inner products of vectors of unequal length become angles by one more coordinate: sqrt(longest^2 - length^2) for the
-indexed vectors, 0 for the queries. Vectors are indexed by bands of length, each with its own `longest`, so that a few
-long vectors don't turn all others towards that coordinate; a query probes every band, and meets the whole of a band of
-no more than `block` vectors. Queries that find fewer than k others this way, and fewer than there are, are scored
-exactly against all vectors, in blocks. Equal vectors are one node: it is hashed and scored once, and lists the smallest
-of its ids, as many as could be returned, since ties go to smaller ids.
+indexed vectors, 0 for the queries. Vectors are indexed by bands of length, each with its own `longest` and its own codes,
+so that a few long vectors don't turn all others towards that coordinate; a query probes every band. Queries that find
+fewer than k others this way, and fewer than there are, are scored exactly against all vectors, in blocks. Equal vectors
+are one node: it is hashed and scored once, and lists the smallest of its ids, as many as could be returned, since ties
+go to smaller ids.
 
 Defined cases: vectors that are null, of another length than most, zero, or that hold null or non-finite components
 take no part; so do null ids. Repeated rows are one row. With fewer than k others all are returned; a query without
@@ -33,8 +35,8 @@ from pyspark.sql import functions as F
 
 from quern.scratch import small, stored
 
-#: Probes in a table of CODES codes over PROBED_ROWS rows; they fall with the rows to the power FALL.
-PROBES, CODES, PROBED_ROWS, FALL = 700, 1 << 14, 10_000, 0.19
+#: Vectors that a code holds on average, queries whose true neighbours are measured, and the share of these to be probed.
+PER_CODE, SAMPLE, SHARE = 4, 64, 0.95
 
 
 def rotations(dims: int, tables: int, axes: int, seed: int = 11) -> np.ndarray:
@@ -60,15 +62,11 @@ def rotated(x: np.ndarray, signs: np.ndarray) -> np.ndarray:
 
 
 def widths(rows: int, padded: int) -> list[int]:
-    """How many coordinates of each rotation take part in a code: two rotations, more while a code would hold over 1000 rows."""
-    out, codes = [min(64, padded)] * 2, 4 * min(64, padded) ** 2
-    while rows > 1000 * codes:
-        if len(out) > 2 and out[-1] < min(64, padded):
-            out[-1] *= 2
-            codes *= 2
-        else:
-            out.append(1)
-            codes *= 2
+    """How many coordinates of each rotation take part in a code: all of them, of the last rotation as many as the rows allow."""
+    out, wanted = [], rows / PER_CODE
+    while not out or wanted >= 2:
+        out.append(min(padded, 1 << max(0, int(wanted / 2).bit_length() - 1)))
+        wanted /= 2 * out[-1]
     return out
 
 
@@ -102,8 +100,35 @@ def probed_codes(x: np.ndarray, signs: np.ndarray, sizes: list[int], probes: int
     return np.sort(code, axis=1), np.take_along_axis(code, total.argmax(1)[:, None], 1)[:, 0]
 
 
-def probe_count(rows: int, codes: int) -> int:
-    return max(1, min(codes, round(PROBES * codes / CODES * (max(rows, 1) / PROBED_ROWS) ** -FALL)))
+def code_ranks(q: np.ndarray, x: np.ndarray, signs: np.ndarray, sizes: list[int]) -> np.ndarray:
+    """For each pair of rows of q and x, how many codes come before x's code in the order in which q probes."""
+    step, out = max(1, (4 << 20) // int(np.prod([2 * w for w in sizes[::2]]))), []
+    for a in range(0, len(q), step):
+        # Sums over every other rotation, and over those between; a code's sum is one of each, so codes aren't listed.
+        parts, own = [np.zeros((len(q[a : a + step]), 1))] * 2, np.zeros(len(q[a : a + step]))
+        for i, (turn, width) in enumerate(zip(signs, sizes)):
+            both = signed(rotated(q[a : a + step], turn), width)
+            own += both[np.arange(len(own)), signed(rotated(x[a : a + step], turn), width).argmax(1)]
+            parts[i % 2] = (parts[i % 2][:, :, None] + both[:, None, :]).reshape(len(own), -1)
+        out += [int(np.sum(len(t) - np.searchsorted(np.sort(t), o + 1e-12 - h, "right"))) for h, t, o in zip(*parts, own)]
+    return np.array(out)
+
+
+def probes_needed(pairs: list[tuple], signs: np.ndarray, sizes: dict[int, list[int]]) -> dict[int, int]:
+    """How many codes of each band to probe, from pairs (band, query, neighbour) of scaled vectors.
+
+    Of every pair the best table counts. Bands with few pairs take the largest share of codes that any other band takes.
+    """
+    codes = {band: int(np.prod([2 * w for w in own])) for band, own in sizes.items()}
+    needed: dict[int, float] = {}
+    for band in {p[0] for p in pairs}:
+        own = [p for p in pairs if p[0] == band]
+        q, x = (np.array([p[i] for p in own]) for i in (1, 2))
+        best = np.min([code_ranks(q, x, turn, sizes[band]) for turn in signs], axis=0)
+        if len(own) >= 40 or len(own) * 2 > len(pairs):
+            needed[band] = float(np.quantile(best, SHARE, method="higher")) + 1
+    most = max((n / codes[band] for band, n in needed.items()), default=1.0)
+    return {band: int(min(n, max(1, np.ceil(needed.get(band, most * n))))) for band, n in codes.items()}
 
 
 def usable(vectors: DataFrame, id_column: str, column: str) -> DataFrame:
@@ -127,6 +152,41 @@ def best_pairs(q: np.ndarray, x: np.ndarray, i: np.ndarray, j: np.ndarray, rough
     return i, j, (q[i] * x[j]).sum(1)
 
 
+def scaled(rows: pd.DataFrame) -> np.ndarray:
+    """Vectors by their band's longest, with the coordinate that makes them unit vectors."""
+    top = np.maximum(rows.top.to_numpy(), np.finfo(float).tiny)[:, None]
+    x = np.array(rows.v.tolist(), np.float64) / top
+    return np.concatenate([x, np.sqrt(np.maximum(0, 1 - (rows.length.to_numpy()[:, None] / top) ** 2))], 1)
+
+
+def neighbours_of_sample(ranged: DataFrame, asked: DataFrame, k: int) -> list[tuple]:
+    """(band, query, neighbour), scaled, of the true k nearest of SAMPLE queries: one pass over all vectors."""
+    chosen = asked.select("node").distinct().orderBy(F.xxhash64("node"), "node").limit(SAMPLE)
+    sample = ranged.join(F.broadcast(chosen), "node").select("node", "v", "length").toPandas()
+    if not len(sample):
+        return []
+    q = np.array(sample.v.tolist(), np.float64)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for a in range(0, len(pdf), 5000):
+                some = pdf.iloc[a : a + 5000]
+                score = np.array(some.v.tolist(), np.float64) @ q.T
+                score[some.node.to_numpy()[:, None] == sample.node.to_numpy()] = -np.inf
+                at, of = np.nonzero(score >= np.partition(score, -min(k, len(some)), axis=0)[-min(k, len(some))])
+                out = some.iloc[at].drop(columns="node")
+                out["query"], out["score"] = of, score[at, of]
+                yield out[out.score > -np.inf]
+
+    near = ranged.select("node", "band", "v", "length", "top").mapInPandas(run, "band long, v array<double>, length double, top double, query long, score double")
+    nth = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "band"))
+    near = near.withColumn("nth", nth).where(F.col("nth") <= k).drop("nth").toPandas()  # k a sampled query
+    if not len(near):
+        return []
+    asking = np.concatenate([q / sample.length.to_numpy()[:, None], np.zeros((len(q), 1))], 1)
+    return list(zip(near.band, asking[near["query"].to_numpy()], scaled(near)))
+
+
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 6, block: int = 2000, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row whose id is divisible by `every`."""
     rows = usable(vectors, id_column, column)
@@ -141,19 +201,20 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 6, b
     members = rows.join(nodes.select("v", "node"), "v").select("node", "id")
     shape = nodes.agg(F.max(F.size("v")).alias("dims"), F.max("length").alias("longest")).first()
     dims, longest = shape["dims"] or 1, shape["longest"] or 1.0
+    padded = 1 << max(1, dims).bit_length()
     asked = stored(members.where(F.col("id") % every == 0))
     # Lengths of a band differ by a factor of 2 ** (1 / 4) at most; those too small for a double are a band of their own.
     # There are at most about 8200 bands, so their table is small whatever the input.
     shorter = F.nanvl(F.log2(F.lit(longest)) - F.log2("length"), F.lit(0.0))
     banded = nodes.withColumn("band", F.coalesce(F.floor(shorter * 4), F.lit(1 << 14)))
     tops = stored(banded.groupBy("band").agg(F.max("length").alias("top"), F.count("*").alias("rows")))
-    large = {r["band"]: r["rows"] for r in tops.where(F.col("rows") > block).collect()}
-    sizes = widths(max(large.values(), default=0), 1 << max(1, dims).bit_length())
-    n_codes = int(np.prod([2 * w for w in sizes]))
+    rows_of = {r["band"]: r["rows"] for r in tops.collect()}
+    sizes = {band: widths(n, padded) for band, n in rows_of.items()}
+    n_codes = {band: int(np.prod([2 * w for w in own])) for band, own in sizes.items()}
     # A range of codes holds about `block` vectors of its band if they are spread evenly.
-    per_range = {band: -(-n_codes // min(n_codes, -(-n // block))) for band, n in large.items()}
-    query_blocks = max(1, -(-asked.select("node").distinct().count() // block))
-    signs = rotations(dims + 1, tables, len(sizes))
+    per_range = {band: -(-n_codes[band] // min(n_codes[band], -(-n // block))) for band, n in rows_of.items()}
+    signs = rotations(dims + 1, tables, max(map(len, sizes.values()), default=1))
+    probes = probes_needed(neighbours_of_sample(banded.join(F.broadcast(tops), "band"), asked, k), signs, sizes)
 
     def raw(x: np.ndarray) -> list[bytes]:
         return [r.tobytes() for r in x.astype(kind)]
@@ -164,21 +225,18 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 6, b
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for a in range(0, len(pdf), 2000):
-                some = pdf.iloc[a : a + 2000]
-                x = np.array(some.v.tolist(), np.float64)
-                top = np.maximum(some.top.to_numpy(), np.finfo(float).tiny)[:, None]
-                own = np.concatenate([x / top, np.sqrt(np.maximum(0, 1 - (some.length.to_numpy()[:, None] / top) ** 2))], 1)
-                v, per = raw(x), some.band.map(per_range).to_numpy()
-                for t in range(tables):
-                    code = codes_of(own, signs[t], sizes)
-                    yield pd.DataFrame({"band": some.band.to_numpy(), "range": t * n_codes + code // per, "node": some.node.to_numpy(), "code": code, "v": v})
+                for band, some in pdf.iloc[a : a + 2000].groupby("band"):
+                    own, v, codes = scaled(some), raw(np.array(some.v.tolist(), np.float64)), n_codes[band]
+                    for t in range(tables):
+                        code = codes_of(own, signs[t], sizes[band])
+                        yield pd.DataFrame({"band": band, "range": t * codes + code // per_range[band], "node": some.node.to_numpy(), "code": code, "v": v})
 
     def ask(first: bool):
         """The ranges that a query probes: those of its best codes, or all others."""
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            most = probe_count(min(large.values(), default=0), n_codes)
-            step = max(1, (8 << 20) // (most * 2 * sizes[-1] + n_codes // (2 * sizes[-1])))
+            most = max(min(probes[band] * 2 * own[-1], n_codes[band]) for band, own in sizes.items())
+            step = max(1, (8 << 20) // (most + 4 * padded * padded))
             for pdf in batches:
                 for a in range(0, len(pdf), step):
                     some = pdf.iloc[a : a + step]
@@ -186,13 +244,13 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 6, b
                     own = np.concatenate([x / some.length.to_numpy()[:, None], np.zeros((len(x), 1))], 1)
                     v, out = raw(x), []
                     for t in range(tables):
-                        for band, n in large.items():
-                            codes, best = probed_codes(own, signs[t], sizes, probe_count(n, n_codes))
-                            per = per_range[band]
+                        for band, own_sizes in sizes.items():
+                            codes, best = probed_codes(own, signs[t], own_sizes, probes[band])
+                            per, first_range = per_range[band], t * n_codes[band]
                             for node, bytes_, least, own_codes, top in zip(some.node, v, some.least, codes, best // per):
                                 which = own_codes // per
                                 cuts = np.flatnonzero(np.diff(which, prepend=-1))
-                                out += [(band, t * n_codes + int(which[c]), node, part.tobytes(), bytes_, least) for c, part in zip(cuts, np.split(own_codes, cuts[1:])) if (which[c] == top) == first]
+                                out += [(band, first_range + int(which[c]), node, part.tobytes(), bytes_, least) for c, part in zip(cuts, np.split(own_codes, cuts[1:])) if (which[c] == top) == first]
                     yield pd.DataFrame(out, columns=["band", "range", "node", "codes", "v", "least"])
 
         return run
@@ -255,7 +313,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 6, b
     schema = "query long, node long, score double"
     ranged = banded.join(F.broadcast(tops), "band")
     asking = banded.join(asked.select("node").distinct(), "node")
-    indexed = ranged.where(F.col("rows") > block).mapInPandas(index, "band long, range long, node long, code long, v binary")
+    indexed = ranged.mapInPandas(index, "band long, range long, node long, code long, v binary")
     # Ranges far larger than a block are few; they are split, and the queries that probe them go to every part.
     crowded = stored(indexed.groupBy("band", "range").agg(F.ceil(F.count("*") / (2 * block)).alias("parts")).where("parts > 1"))
     keys = ["band", "range", "part"]
@@ -272,17 +330,6 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 6, b
     bounds = pairs.distinct().withColumn("nth", nth).where(F.col("nth") == k + 1).select(F.col("query").alias("node"), F.col("score").alias("least"))
     pairs = pairs.unionByName(probed(asking.join(bounds, "node", "left").fillna(float("-inf"), ["least"]), False))
 
-    # Bands that fit in a block are met whole, by blocks of queries.
-    blank = "band long, node long, v binary"
-    query_block = F.pmod(F.xxhash64("node"), F.lit(query_blocks))
-    whole = ranged.where(F.col("rows") <= block).mapInPandas(packed, blank)
-    if not whole.isEmpty():
-        left = asking.mapInPandas(packed, blank).withColumn("block", query_block)
-        listed = [r["band"] for r in tops.where(F.col("rows") <= block).collect()]
-        left = left.drop("band").withColumn("band", F.explode(F.array(*[F.lit(b).cast("long") for b in listed])))
-        right = whole.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1)).cast("array<long>")))
-        pairs = pairs.unionByName(left.groupBy("band", "block").cogroup(right.groupBy("band", "block")).applyInPandas(score_all, schema))
-
     def answered(asked: DataFrame, pairs: DataFrame) -> DataFrame:
         # The k + 1 nearest nodes hold the k nearest rows other than the query's own.
         pairs = pairs.distinct()
@@ -303,7 +350,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, tables: int = 6, b
     n_lacking, n_nodes = lacking_nodes.count(), nodes.count()
     if n_lacking:
         # Blocks of queries against blocks of all vectors.
-        blocks, parts = -(-n_lacking // block), -(-n_nodes // block)
+        blank, blocks, parts = "band long, node long, v binary", -(-n_lacking // block), -(-n_nodes // block)
         one = lambda n: F.pmod(F.xxhash64("node"), F.lit(n))
         each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<long>"))
         left = banded.join(lacking_nodes, "node").mapInPandas(packed, blank).withColumn("block", one(blocks)).withColumn("part", each(parts))

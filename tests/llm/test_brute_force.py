@@ -9,6 +9,8 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -214,12 +216,56 @@ def test_probed_codes_are_the_best():
     assert (ann.codes_of(x, signs, sizes) == total.argmax(1)).all()
 
 
-def test_codes_grow_and_probes_fall_with_the_table():
-    sizes = [ann.widths(n, 128) for n in (10**4, 10**7, 10**8, 10**9, 10**12)]
-    codes = [int(np.prod([2 * w for w in s])) for s in sizes]
-    assert codes == sorted(codes) and all(n <= 1000 * c for n, c in zip((10**4, 10**7, 10**8, 10**9, 10**12), codes))
-    shares = [ann.probe_count(n, c) / c for n, c in zip((10**4, 10**7, 10**8, 10**9), codes)]
-    assert shares == sorted(shares, reverse=True) and shares[-1] < shares[0] / 5
+def test_codes_follow_the_rows():
+    for padded in (2, 32, 128, 1024):
+        for n in (1, 9, 50, 2000, 10**4, 10**6, 10**9, 10**12):
+            sizes = ann.widths(n, padded)
+            codes = int(np.prod([2 * w for w in sizes]))
+            assert all(w == padded for w in sizes[:-1]) and (n < 16 or n / 40 <= codes <= n)
+
+
+@pytest.mark.parametrize("sizes", [[8], [8, 4], [8, 8, 2], [4, 8, 8, 2]])
+def test_ranks_of_codes(sizes):
+    rng = np.random.default_rng(5)
+    q, x, signs = rng.standard_normal((30, 8)), rng.standard_normal((30, 8)), ann.rotations(8, 1, 4)[0]
+    total = np.zeros((30, 1))
+    for s, w in zip(signs, sizes):
+        total = (total[:, :, None] + ann.signed(ann.rotated(q, s), w)[:, None, :]).reshape(30, -1)
+    own = total[np.arange(30), ann.codes_of(x, signs, sizes)]
+    assert ann.code_ranks(q, x, signs, sizes).tolist() == (total > own[:, None] + 1e-12).sum(1).tolist()
+
+
+def recall(spark, x, tmp_path):
+    table = pa.table({"vec_id": np.arange(len(x)), "embedding": pa.array(list(np.float32(x)))})
+    pq.write_table(table, tmp_path / "x.parquet")
+    got = ann.nearest(spark.read.parquet(str(tmp_path / "x.parquet"))).collect()
+    x, hit = np.float32(x).astype(float), 0
+    for q in range(0, len(x), 20):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hit += len({r["vec_id"] for r in got if r["query_id"] == q} & set(np.argsort(-score)[:20].tolist()))
+    return hit / (len(range(0, len(x), 20)) * 20)
+
+
+@pytest.mark.parametrize("dims", [64, 384])
+@pytest.mark.parametrize("clusters", [0, 40])
+def test_recall_of_wide_and_random_vectors(spark, tmp_path, monkeypatch, dims, clusters):
+    """At defaults, with 2000 rows: codes decide what is scored, and enough of them are probed."""
+    rng = np.random.default_rng(dims + clusters)
+    x = rng.standard_normal((2000, dims)) * (0.5 if clusters else 1)
+    x += rng.standard_normal((clusters, dims))[rng.integers(0, clusters, 2000)] if clusters else 0
+    taken, needed = {}, ann.probes_needed
+
+    def spy(pairs, signs, sizes):
+        taken.update(needed(pairs, signs, sizes))
+        assert all(n < np.prod([2 * w for w in sizes[band]]) for band, n in taken.items() if sum(p[0] == band for p in pairs) > 100)
+        return taken
+
+    monkeypatch.setattr(ann, "probes_needed", spy)
+    assert recall(spark, x, tmp_path) >= 0.9
+    if not clusters:
+        monkeypatch.setattr(ann, "probes_needed", lambda pairs, signs, sizes: {band: max(1, n // 8) for band, n in taken.items()})
+        assert recall(spark, x, tmp_path) < 0.8
 
 
 @pytest.mark.parametrize("kind", ["one long", "log-normal", "few"])
