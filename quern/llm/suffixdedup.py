@@ -21,7 +21,7 @@ differ, and with the number of 16 MB portions, but not with the documents.
 
 Defined cases: null and empty texts are empty; texts shorter than `least` lose nothing; of equal texts the one with the
 smallest doc_id stays whole; rows that repeat doc_id and text are one document and lose nothing to each other; if a
-doc_id has several texts, each loses the ranges found in any; a row with a null doc_id has no order, so it loses
+doc_id has unlike texts (of 4 GB together at most), each loses what its own bytes repeat of smaller doc_ids; a row with a null doc_id has no order, so it loses
 nothing and removes nothing; empty tables give no rows; other columns are ignored.
 """
 
@@ -30,12 +30,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quern.llm.common import mix, raw, slices, texts_of
 from quern.llm.suffixes import prefix_groups, spread_ranges
-from quern.scratch import spread
+from quern.scratch import small, spread, stored
 
 NO_ID = -(2**63)
 SEGMENT = 1 << 20
@@ -303,6 +303,7 @@ def repeated_ranges(texts: DataFrame, least: int, k: int, mark_buckets: int, buc
         for batch in batches:
             for some in slices(batch, "text"):
                 names = some.column("key").to_numpy()
+                base = some.column("base").to_numpy()
                 tags = [np.frombuffer(b"".join(row), np.uint64) for row in some.column("tags").to_pylist()]
                 whose = np.repeat(np.arange(len(tags), dtype=np.uint64), [len(t) for t in tags])
                 hot = np.unique(mix(np.concatenate(tags) ^ mix(whose + np.uint64(1))))
@@ -319,7 +320,7 @@ def repeated_ranges(texts: DataFrame, least: int, k: int, mark_buckets: int, buc
                             marks.append(m)
                             size += len(fragment)
                         which[i] = n
-                    held.append((names[text[pick]], place[pick], which))
+                    held.append((names[text[pick]], place[pick] + base[text[pick]], which))
                     if size > 16 << 20:
                         yield from emit(known, marks, held)
                         known, marks, held, size = {}, [], [], 0
@@ -363,13 +364,26 @@ def repeated_ranges(texts: DataFrame, least: int, k: int, mark_buckets: int, buc
     return dealt.groupBy("bucket").applyInArrow(meet, "key long, spans binary")
 
 
+def placed(texts: DataFrame, unlike: DataFrame) -> DataFrame:
+    """texts with `base`: where a text begins if the unlike texts of its doc_id stand one after another, in order of their hashes."""
+    keys = small(stored(unlike))
+    shared = texts.join(keys, "key", "left_semi").select("key", F.xxhash64("text").alias("hash"), F.octet_length("text").cast("long").alias("n")).distinct()
+    before = Window.partitionBy("key").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)
+    bases = stored(shared.select("key", "hash", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
+    found = texts.withColumn("hash", F.xxhash64("text")).join(small(bases), ["key", "hash"], "left")
+    return found.select("key", "text", F.coalesce("base", F.lit(0)).cast("long").alias("base"))
+
+
 def cut_repeats(docs: DataFrame, least: int = 50, k: int = 14, bucket_bytes: int = 4 << 20, fragment_bytes: int = 4 << 20) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, text): text is what is left, as bytes.
 
     bucket_bytes, fragment_bytes: text per bucket in which marks meet, and in which fragments meet.
     """
     texts = texts_of(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "text")
-    total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    known = texts.select("key", F.octet_length("text").alias("n"), F.xxhash64("text").alias("hash")).groupBy("key").agg(F.sum("n").alias("n"), F.min("hash").alias("low"), F.max("hash").alias("high"))
+    unlike = (F.col("key") != NO_ID) & (F.col("low") != F.col("high"))
+    total, n_unlike = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(unlike)).first()
+    texts = placed(texts, known.where(unlike).select("key")) if n_unlike else texts.withColumn("base", F.lit(0).cast("long"))
     mark_buckets = 1 + total // bucket_bytes
     # Rows without an id lose nothing; they don't meet under a common key. Both joins share one exchange of the others.
     named, unnamed = texts.where(F.col("key") != NO_ID), texts.where(F.col("key") == NO_ID)
@@ -380,10 +394,11 @@ def cut_repeats(docs: DataFrame, least: int = 50, k: int = 14, bucket_bytes: int
         for batch in batches:
             for some in slices(batch, "text"):
                 n, removed, count, left = [], [], [], []
-                for text, spans in zip(raw(some.column("text")), some.column("spans").to_pylist()):
+                for text, base, spans in zip(raw(some.column("text")), some.column("base").to_pylist(), some.column("spans").to_pylist()):
                     kept, at, spots = [], 0, 0
-                    if spans:
-                        ranges = np.frombuffer(b"".join(spans), np.uint32).reshape(-1, 2).astype(np.int64)
+                    ranges = np.frombuffer(b"".join(spans or []), np.uint32).reshape(-1, 2).astype(np.int64) - base
+                    ranges = ranges[(ranges[:, 0] >= 0) & (ranges[:, 0] <= len(text) - least)]  # not those of the doc_id's other texts
+                    if len(ranges):
                         ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
                         stops = np.minimum(np.maximum.accumulate(ranges[:, 1] + least - 1), len(text))
                         opens = np.flatnonzero(np.r_[True, ranges[1:, 0] > stops[:-1]])
@@ -401,4 +416,4 @@ def cut_repeats(docs: DataFrame, least: int = 50, k: int = 14, bucket_bytes: int
                 yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(left, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "text"])
 
     spans = F.lit(None).cast("array<binary>").alias("spans")
-    return named.join(ranges, "key", "left").select("key", "text", "spans").union(unnamed.select("key", "text", spans)).mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, text binary")
+    return named.join(ranges, "key", "left").select("key", "text", "base", "spans").union(unnamed.select("key", "text", "base", spans)).mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, text binary")

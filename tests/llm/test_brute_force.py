@@ -709,6 +709,29 @@ def test_repeated_strings(spark, docs, empty):
     assert any(w[1] for w in want.values()) and suffixdedup.cut_repeats(empty).count() == 0
 
 
+def test_unlike_texts_of_one_document(spark):
+    """Each loses what its own bytes repeat of smaller doc_ids, and nothing to the others of its doc_id."""
+    rng = random.Random(23)
+    line = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    common, other = line(80), line(70)
+    rows = [(1, line(20) + common + line(20) + other), (2, line(300)), (2, line(110) + common + line(40)), (2, other + line(60)), (2, None), (3, line(10) + common)]
+    shared = line(90)
+    rows += [(4, shared + line(9)), (4, line(30) + shared), (4, line(30) + shared + line(5) + other), rows[2]]
+    table = spark.createDataFrame([(i, t, i, "x") for i, t in rows], "doc_id long, text string, base long, hash string").repartition(3)
+    got, first = suffixdedup.cut_repeats(table).collect(), {}
+    for i, t in rows:
+        for a in range(len(t or "") - 49):
+            first[t[a : a + 50]] = min(i, first.get(t[a : a + 50], i))
+    want = []
+    for i, t in rows:
+        gone = np.zeros(len(t or ""), bool)
+        for a in range(len(t or "") - 49):
+            gone[a : a + 50] |= first[t[a : a + 50]] < i
+        want.append((i, int(gone.sum()), "".join(c for c, g in zip(t or "", gone) if not g).encode()))
+    assert sorted((r["doc_id"], r["n_removed"], bytes(r["text"])) for r in got) == sorted(want)
+    assert any(w[1] for w in want) and (2, 0, rows[1][1].encode()) in want
+
+
 @pytest.mark.parametrize("partitions", [1, 7])
 def test_strings_that_all_documents_share(spark, partitions):
     rng = random.Random(19)
