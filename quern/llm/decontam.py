@@ -1,13 +1,14 @@
 """Benchmark decontamination on a distributed positional inverted index of the training tokens.
 
 1. Benchmark items are cut into windows (of `size` words, or the whole item if it is shorter). Every document's
-   occurrences of the benchmark's terms are counted, and each window's rarest terms become its keys, `misses` + 2 of them.
+   occurrences of the benchmark's terms are counted, and each window's rarest terms become its keys, 2 * `misses` + 2 of them.
 2. The index stores postings (term, document, position) of the training tokens; only the lists of key terms are needed.
 3. Each list is shifted by its term's place in the item, which leaves diagonals (document position - item position).
-   Where a window's shifted lists intersect, all of them or all but `misses`, the diagonal is a candidate.
+   Where enough of a window's shifted lists intersect, the diagonal is a candidate.
 4. Candidates meet the text, one list of diagonals for each document and item. Exact phrases are confirmed word by word.
    Proximity matches are windows within `misses` words added, dropped or replaced of a stretch of the text: such edits
-   leave at least two of `misses` + 2 keys on one diagonal, so none is overlooked, whichever words they change.
+   take `misses` keys at most and leave the others on `misses` + 1 diagonals at most, so two keys or more stand on one of
+   them, and none is overlooked, whichever words they change.
 
 Item and document may be of any size: the benchmark's terms, windows and texts are sent to all tasks only while it has
 at most `small` words, else they are matched by joins alone.
@@ -84,7 +85,7 @@ def candidates(docs: DataFrame, items: DataFrame, size: int, misses: int, few: b
     counts = occurrences(docs, vocabulary, places=False).groupBy("term").agg(F.sum("n").alias("n"))
     places = windows.select("item_id", "at", F.size("terms").alias("length"), F.posexplode("terms").alias("offset", "term")).join(counts, "term", "left").fillna(0, ["n"])
     rank = F.row_number().over(Window.partitionBy("item_id", "at", "length").orderBy("n", "offset"))
-    chosen = stored(places.withColumn("rank", rank).where(F.col("rank") <= misses + 2).select("item_id", "at", "length", "offset", "term"))
+    chosen = stored(places.withColumn("rank", rank).where(F.col("rank") <= 2 * misses + 2).select("item_id", "at", "length", "offset", "term"))
     terms = context.broadcast({bytes(r[0]) for r in chosen.select("term").distinct().collect()}) if vocabulary is not None else None
     index = occurrences(docs, terms, places=True)
 
@@ -92,7 +93,7 @@ def candidates(docs: DataFrame, items: DataFrame, size: int, misses: int, few: b
     lists = chosen.select("term", "item_id", (F.col("at") + F.col("offset")).alias("place")).distinct()
     shifted = index.join(lists, "term").select("item_id", *ROW, (F.col("position") - F.col("place")).alias("diagonal"), "place")
     of_window = chosen.groupBy("item_id", "at", "length").agg(F.collect_set(F.col("at") + F.col("offset")).alias("places"))
-    needed = F.when(F.col("length") < size, F.size("places")).otherwise(F.greatest(F.size("places") - misses, F.lit(1)))
+    needed = F.when(F.col("length") < size, F.size("places")).otherwise(F.greatest(F.ceil((F.size("places") - misses) / (misses + 1)).cast("int"), F.lit(1)))
     of_item = of_window.withColumn("needed", needed).groupBy("item_id").agg(F.collect_set(F.struct("places", "needed")).alias("windows"), F.min("needed").alias("least"))
     of_item = stored(of_item)
     met = shifted.groupBy(*ROW, "item_id", "diagonal").agg(F.collect_set("place").alias("met")).join(of_item if vocabulary is None else F.broadcast(of_item), "item_id").where("size(met) >= least")

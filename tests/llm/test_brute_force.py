@@ -550,6 +550,20 @@ def test_decontamination_of_a_long_text_that_repeats_a_passage(spark):
     assert (got[2][0]["n_hit"], got[2][0]["n_near"]) == (0, 0)
 
 
+def test_every_single_edit_is_a_near_match(spark):
+    """Each word dropped, replaced or preceded by another, wherever the window's rare words stand."""
+    item = "the rar of and osc the zyl in to qub".split()
+    common = " ".join(["the of and in to"] * 40)
+    edited = [item[:i] + item[i + 1 :] for i in range(10)] + [[*item[:i], "x", *item[i + 1 :]] for i in range(10)] + [[*item[:i], "x", *item[i:]] for i in range(1, 10)]
+    twice = [item[:2] + item[3:7] + item[8:], item[::-1]]
+    rows = [(i, f"{common} {' '.join(w)} {common}") for i, w in enumerate(edited + twice)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([("a", " ".join(item)), ("b", "q w e r t y")], "item_id string, text string")
+    for small in (500_000, 0):
+        got = {r["doc_id"]: (r["n_hit"], r["n_near"]) for r in decontam.decontaminate(docs, bench, small=small).collect()}
+        assert got == {i: (0, int(i < len(edited))) for i in range(len(rows))}
+
+
 # 8: near copies
 
 
