@@ -7,9 +7,10 @@
 3. In each band bucket every node is compared with the bucket's smallest node only. The sketch drops clearly unlike
    pairs (six standard deviations below the threshold); the rest are confirmed on full sets.
 4. Where a bucket still holds several components beside that node, all nodes compared with it are dealt out in bounded
-   chunks, a task for each pair of chunks that isn't of one component, and pairs across components are compared there:
-   first all sketches, then full sets. Pairs within a component can't change the result, so only links that join components come out, a group of m
-   near copies gives about m rows, no cap is needed, and no pair that shares a bucket is lost.
+   chunks, a task for each pair of chunks that isn't of one component. First only sketches meet there; the nodes that
+   some node of another component may be similar to meet again with their texts, and full sets are compared. Pairs
+   within a component can't change the result, so only links that join components come out, a group of m near copies
+   gives about m rows, no cap is needed, and no pair that shares a bucket is lost.
 
 Defined cases: null and empty texts have an empty set, are linked with nothing and are kept; a text of fewer words
 than a shingle is one shingle; rows that repeat a doc_id or a text are linked like other documents; a row with a null
@@ -168,19 +169,62 @@ def joining_links(sets: list[np.ndarray], sketches: np.ndarray, component: np.nd
     return links
 
 
+def may_meet(size: np.ndarray, sketches: np.ndarray, component: np.ndarray, part: np.ndarray, percent: int) -> np.ndarray:
+    """For each row, whether sizes and sketches leave a similarity possible with a row of another component, as joining_links pairs them."""
+    most, alone, out = most_differing_bits(percent / 100), len(np.unique(part)) == 1, np.zeros(len(size), bool)
+    for i in range(len(size)):
+        others = (component != component[i]) & (alone | (part != part[i]))
+        others[: i + 1] = False
+        j = np.flatnonzero(others & (np.minimum(size, size[i]) * 100 >= percent * np.maximum(size, size[i])))
+        j = j[np.bitwise_count(sketches[j] ^ sketches[i]).sum(1) <= most]
+        out[j] = True
+        out[i] |= len(j) > 0
+    return out
+
+
+def possible(light: DataFrame, percent: int) -> DataFrame:
+    """The rows of light (hub, low, high, node, component, part, n_shingles, s0...) that may be similar to one of their chunk pair."""
+    columns = ["hub", "low", "high", "node", "component", "part", "n_shingles", *SKETCH]
+    dealt = light.select(*columns).repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, group = [], None
+
+        def flush() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            size, component, part = (rows.column(c).to_numpy() for c in ("n_shingles", "component", "part"))
+            sketches = np.stack([rows.column(s).to_numpy() for s in SKETCH], 1).view(np.uint64)
+            return rows.filter(pa.array(may_meet(size, sketches, component, part, percent)))
+
+        for batch in batches:
+            keys = np.stack([batch.column(c).to_numpy() for c in ("hub", "low", "high")], 1)
+            cuts = np.r_[0, np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1, len(keys)]
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                if a < b:
+                    if held and tuple(keys[a]) != group:
+                        yield flush()
+                        held = []
+                    group = tuple(keys[a])
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield flush()
+
+    return dealt.mapInArrow(run, dealt.schema)
+
+
 def across(members: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int, chunk_rows: int = 1000, chunk_shingles: int = 500_000) -> DataFrame:
     """Links (a, b) that join the components of members (hub, node, component, main) of the same hub.
 
     A hub's members are cut into chunks of bounded rows and shingles, those of its main component apart from the
-    others; every pair of chunks but those of two main ones meets in a task.
+    others; every pair of chunks but those of two main ones meets in a task, with texts only where sketches call for it.
     """
     light = members.join(nodes.select("node", "n_shingles", *SKETCH), "node")
     needed = lambda of: F.coalesce(F.ceil(F.greatest(F.count_if(of) / chunk_rows, F.sum(F.when(of, F.col("n_shingles"))) / chunk_shingles)), F.lit(0))
     chunks = light.groupBy("hub").agg(needed(F.col("main")).alias("mains"), needed(~F.col("main")).alias("rest"), F.count("*").alias("n")).where("rest > 0")
     light = joined(light, stored(chunks), ["hub"]).withColumn("part", F.expr("IF(main, pmod(xxhash64(node), mains), mains + pmod(xxhash64(node), rest))"))
     light = light.withColumn("other", F.explode(F.expr("sequence(IF(main, mains, 0), mains + rest - 1)")))
-    light = light.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("other", "mains", "rest", "main", "n_shingles")
-    dealt = with_texts(light, nodes, docs).repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node")
+    light = light.withColumn("low", F.least("part", "other")).withColumn("high", F.greatest("part", "other")).drop("other", "mains", "rest", "main")
+    dealt = with_texts(stored(possible(light, percent)), nodes, docs).repartition("hub", "low", "high").sortWithinPartitions("hub", "low", "high", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, group, held = Hashes(), None, {}

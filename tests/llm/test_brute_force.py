@@ -634,6 +634,27 @@ def test_links_across_components_in_chunks(spark, main):
     assert groups(got) == groups(want)
 
 
+def test_texts_meet_only_where_sketches_call_for_it(spark, monkeypatch):
+    """A bucket of 10,000 unlike rows, two pairs of which are alike: sketches go to all pairs of chunks, few texts do."""
+    rng = random.Random(31)
+    texts = {i: " ".join(rng.choice("abcdefghij") + str(rng.randrange(900)) for _ in range(30)) for i in range(10_000)}
+    texts[9000], texts[9001] = texts[3] + " new", texts[4] + " new"
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    nodes = neardup.stored(neardup.signatures(docs, 2))
+    members = nodes.selectExpr("1L AS hub", "node", "node AS component", "false AS main")
+    plain, seen = neardup.with_texts, []
+
+    def counted(wanted, *rest):
+        seen.append(wanted.count())
+        return plain(wanted, *rest)
+
+    monkeypatch.setattr(neardup, "with_texts", counted)
+    links = neardup.across(members, nodes, docs, 2, 80).collect()
+    named = {r["node"]: r["doc_id"] for r in nodes.collect()}
+    assert {frozenset((named[r["a"]], named[r["b"]])) for r in links} == {frozenset((3, 9000)), frozenset((4, 9001))}
+    assert seen[0] < 1000
+
+
 def test_near_duplicates_of_very_long_texts(spark):
     rng = random.Random(18)
     words_ = [f"w{rng.randrange(5000)}" for _ in range(60_000)]
