@@ -13,6 +13,10 @@ LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: Lower-cases A-Z and turns every ASCII byte that is neither letter nor digit into a space.
 ALNUM = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in LOWER)
 
+#: The words of a text in DuckDB's SQL, of letters and digits and of anything but white space, with A-Z lower-cased.
+WORDS_SQL = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{}')"
+ALNUM_SQL, LOWER_SQL = WORDS_SQL.format(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), WORDS_SQL.format(r"[^\x20\x09-\x0D]+")
+
 
 def remainder(key: str, divisor: int) -> Column:
     """crc32 of the key as text, modulo divisor (null for a null key)."""

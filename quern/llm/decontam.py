@@ -27,7 +27,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import ALNUM, ROW, named_rows, raw, slices
+from quern.llm.common import ALNUM, ALNUM_SQL, ROW, named_rows, raw, slices
 from quern.scratch import spread, stored
 
 WORDS = "transform(filter(split(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\\\x00-\\\\x2F\\\\x3A-\\\\x60\\\\x7B-\\\\x7F]+'), w -> w <> ''), w -> CAST(w AS BINARY))"
@@ -174,5 +174,19 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, misses: int
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """One row per document: counts, and a digest of the items found."""
+    """One row per document: counts, a digest of the items found, and the number of proximity matches."""
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"), "n_near")
+
+
+def sql(size: int = 10) -> str:
+    """The digest, without n_near, in DuckDB's SQL over the tables `documents` and `benchmark`: all grams are looked up."""
+    return rf"""WITH i AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, {ALNUM_SQL} AS w FROM benchmark),
+ g AS (SELECT DISTINCT item_id, least(len(w), {size}) AS n, array_to_string(w[a + 1 : a + least(len(w), {size})], ' ') AS gram
+ FROM (SELECT item_id, w, unnest(range(greatest(len(w) - {size}, 0) + 1)) AS a FROM i WHERE len(w) > 0)),
+ d AS (SELECT doc_id, {ALNUM_SQL} AS w FROM documents),
+ p AS (SELECT doc_id, a, n, array_to_string(w[a + 1 : a + n], ' ') AS gram FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS a FROM d, (SELECT DISTINCT n FROM g))),
+ m AS MATERIALIZED (SELECT doc_id, a, p.n, item_id FROM p JOIN g USING (n, gram)),
+ h AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(range(a, a + n)) AS place FROM m) GROUP BY doc_id),
+ k AS (SELECT doc_id, list_sort(list(DISTINCT item_id)) AS items FROM m GROUP BY doc_id)
+ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(items), 0) AS BIGINT) AS n_items,
+ sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM d LEFT JOIN h USING (doc_id) LEFT JOIN k USING (doc_id)"""

@@ -26,7 +26,7 @@ import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import LOWER, Hashes, mix, raw, shingle_set, slices, texts_of
+from quern.llm.common import LOWER, LOWER_SQL, Hashes, mix, raw, shingle_set, slices, texts_of
 from quern.llm.components import components
 from quern.scratch import joined, spread, stored
 
@@ -326,3 +326,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     out = joined(signed.select(*columns, "node"), stored(of_node), ["node"]).select(*columns, "component_id")
     out = out.unionByName(signed.where("node IS NULL").select(*columns, F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+
+
+def sql(percent: int = 80) -> str:
+    """The same for shingles of two words in DuckDB's SQL over the table `documents`: all pairs that share a shingle are counted."""
+    return rf"""WITH RECURSIVE w AS (SELECT doc_id, {LOWER_SQL} AS w FROM documents),
+ s AS MATERIALIZED (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS shingle FROM w),
+ n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+ links AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM s a JOIN s b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id
+ HAVING 100 * count(*) >= {percent} * ((SELECT n FROM n WHERE n.doc_id = a.doc_id) + (SELECT n FROM n WHERE n.doc_id = b.doc_id) - count(*))),
+ reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a)
+ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) LEFT JOIN n USING (doc_id)"""

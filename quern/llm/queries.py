@@ -5,12 +5,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.llm.ann import nearest
-from quern.llm.decontam import decontaminate, digest
 from quern.llm.langid import identify
-from quern.llm import linededup, pivots, resample
+from quern.llm import decontam, linededup, neardup, pivots, resample
 from quern.llm.licenses import scan
 from quern.llm.lm import score_texts
-from quern.llm.neardup import near_duplicates
 from quern.llm.packing import pack_documents
 from quern.llm.piecebpe import encode_texts
 from quern.llm.suffixdedup import cut_repeats
@@ -47,11 +45,11 @@ def op6_diagonal_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10))
+    return decontam.digest(decontam.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=10)).drop("n_near")
 
 
 def op8_odd_sketch_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80).drop("text_hash")
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80).drop("text_hash")
 
 
 def op9_interval_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,4 +80,10 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_content_defined_line_dedup": linededup.sql(), "op11_ptolemaic_clusters": pivots.sql(), "op12_importance_resampling": resample.sql()}
+    return {
+        "op5_content_defined_line_dedup": linededup.sql(),
+        "op7_positional_decontamination": decontam.sql(),
+        "op8_odd_sketch_near_duplicates": neardup.sql(),
+        "op11_ptolemaic_clusters": pivots.sql(),
+        "op12_importance_resampling": resample.sql(),
+    }

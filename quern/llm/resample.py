@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
-from quern.llm.common import ALNUM, raw, slices, texts_of
+from quern.llm.common import ALNUM, ALNUM_SQL, raw, slices, texts_of
 from quern.scratch import spread, stored
 
 KEY = ["low", "doc_id", "text_hash"]
@@ -294,14 +294,12 @@ def resample(docs: DataFrame, target: DataFrame, percent: int = 25, longest: int
 def sql(percent: int = 25, buckets: int = 10_000, least: int = 20, seed: str = "7") -> str:
     """The same for runs of 1 to 2 words in DuckDB's SQL, over the tables `documents` and `benchmark`; crc32 goes byte by byte."""
     table = [zlib.crc32(bytes([v]), 0xFFFFFFFF) ^ 0xFFFFFFFF for v in range(256)]
-    upper, lower = (bytes(range(a, a + 26)).decode() for a in (65, 97))
-    words = rf"regexp_extract_all(translate(coalesce(text, ''), '{upper}', '{lower}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     runs = "list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
     byte = "CAST('0x' || substr(h, 2 * i + 1, 2) AS BIGINT)"
     step = f"xor(c >> 8, {table}[xor(c & 255, b) + 1])"
     share = f"(t + 1) * ((SELECT sum(s) FROM n) + {buckets}) / ((s + 1) * ((SELECT sum(t) FROM n) + {buckets}))"
-    return rf"""WITH d AS MATERIALIZED (SELECT doc_id, len(w) AS n_words, {runs} AS f FROM (SELECT doc_id, {words} AS w FROM documents)),
- b AS MATERIALIZED (SELECT {runs} AS f FROM (SELECT {words} AS w FROM benchmark)),
+    return rf"""WITH d AS MATERIALIZED (SELECT doc_id, len(w) AS n_words, {runs} AS f FROM (SELECT doc_id, {ALNUM_SQL} AS w FROM documents)),
+ b AS MATERIALIZED (SELECT {runs} AS f FROM (SELECT {ALNUM_SQL} AS w FROM benchmark)),
  distinct_features AS (SELECT unnest(f) AS feature FROM d UNION SELECT unnest(f) FROM b),
  crc AS MATERIALIZED (SELECT feature, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(len(h) // 2), lambda i: {byte})), lambda c, b: {step}), 4294967295) % {buckets} AS bucket
  FROM (SELECT feature, hex(encode(feature)) AS h FROM distinct_features)),

@@ -191,7 +191,7 @@ def test_encoded_rows(spark, model):
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name, tables", [("op11_ptolemaic_clusters", ["embeddings"]), ("op12_importance_resampling", ["documents", "benchmark"])])
+@pytest.mark.parametrize("name, tables", [("op11_ptolemaic_clusters", ["embeddings"]), ("op12_importance_resampling", ["documents", "benchmark"]), ("op7_positional_decontamination", ["documents", "benchmark"]), ("op8_odd_sketch_near_duplicates", ["documents"])])
 def test_queries_equal_their_sql(spark, name, tables):
     con = duckdb.connect()
     for t in tables:
