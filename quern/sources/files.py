@@ -1,7 +1,5 @@
 """Record files: JSON lines, parquet, trees, templates and category lists."""
 
-import json
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,17 +37,6 @@ def read_parquet_folder(spark: SparkSession, folder: str, required: list[str], m
     return found
 
 
-def read_tree(spark: SparkSession, path: str) -> DataFrame:
-    """(node_id, parent_id, name, depth, is_leaf) of a nested JSON tree; a child may be named by `category`."""
-    root, rows, todo = json.loads("\n".join(r[0] for r in spark.read.text(path).collect())), [], []
-    todo = [(root, None)]
-    while todo:
-        node, parent = todo.pop()
-        rows.append((len(rows), parent, node.get("name") or node.get("category"), node.get("depth", 0), bool(node.get("is_leaf")) or not node.get("children")))
-        todo += [(child, rows[-1][0]) for child in reversed(node.get("children") or [])]
-    return spark.createDataFrame(rows, "node_id long, parent_id long, name string, depth int, is_leaf boolean")
-
-
 def read_templates(spark: SparkSession, path: str) -> DataFrame:
     """Templates that have both a text and variables."""
     return read_records(spark, path, "prompt_template string, variables array<string>").where("prompt_template IS NOT NULL AND variables IS NOT NULL")

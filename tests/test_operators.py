@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quern.operators import convert, expand, external, minhash, select, similarity
-from quern.sources import files
+from quern.sources import files, trees
 from quern.streaming.resume import resumable
 
 
@@ -207,7 +207,7 @@ def test_files(spark, tmp_path):
         files.read_records(spark, str(path), "a int, b string", bad="fail").collect()
     tree = tmp_path / "t.json"
     tree.write_text('{"name": "ROOT", "depth": 0, "children": [{"category": "a", "depth": 1, "children": []}]}')
-    assert [(r["name"], r["is_leaf"]) for r in files.read_tree(spark, str(tree)).orderBy("node_id").collect()] == [("ROOT", False), ("a", True)]
+    assert [(r["name"], r["is_leaf"]) for r in trees.read_tree(spark, str(tree)).orderBy("node_id").collect()] == [("ROOT", False), ("a", True)]
     names = tmp_path / "c.txt"
     names.write_text("L1: Games\n\n2:Tools\n  Plain \n")
     assert sorted(r["name"] for r in files.read_categories(spark, str(names)).collect()) == ["Games", "Plain", "Tools"]
