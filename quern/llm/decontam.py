@@ -1,14 +1,15 @@
 """Benchmark decontamination on a distributed positional inverted index of the training tokens.
 
 1. Benchmark items are cut into windows (of `size` words, or the whole item if it is shorter). Every document's
-   occurrences of the benchmark's terms are counted, and each window's rarest terms become its keys, 2 * `misses` + 2 of them.
+   occurrences of the benchmark's terms are counted, and each window's rarest terms become its keys, `misses` + 2 of them.
 2. The index stores postings (term, document, position) of the training tokens; only the lists of key terms are needed.
 3. Each list is shifted by its term's place in the item, which leaves diagonals (document position - item position).
-   Where enough of a window's shifted lists intersect, the diagonal is a candidate.
+   Where a window's shifted lists intersect, all of them or all but `misses`, on one diagonal or on neighbouring ones,
+   `misses` apart at most, these diagonals are candidates. Postings meet by blocks of diagonals, whose edges overlap.
 4. Candidates meet the text, one list of diagonals for each document and item. Exact phrases are confirmed word by word.
    Proximity matches are windows within `misses` words added, dropped or replaced of a stretch of the text: such edits
-   take `misses` keys at most and leave the others on `misses` + 1 diagonals at most, so two keys or more stand on one of
-   them, and none is overlooked, whichever words they change.
+   take `misses` keys at most and leave the others on diagonals `misses` apart at most, so none is overlooked, whichever
+   words they change.
 
 Item and document may be of any size: the benchmark's terms, windows and texts are sent to all tasks only while it has
 at most `small` words, else they are matched by joins alone.
@@ -32,6 +33,9 @@ from quern.scratch import spread, stored
 
 WORDS = "transform(filter(split(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\\\x00-\\\\x2F\\\\x3A-\\\\x60\\\\x7B-\\\\x7F]+'), w -> w <> ''), w -> CAST(w AS BINARY))"
 
+#: Neighbouring diagonals whose postings meet together.
+BLOCK = 8
+
 
 def windows_of(items: DataFrame, size: int) -> DataFrame:
     """(item_id, at, terms): every window's first place in its item, and its words."""
@@ -85,19 +89,26 @@ def candidates(docs: DataFrame, items: DataFrame, size: int, misses: int, few: b
     counts = occurrences(docs, vocabulary, places=False).groupBy("term").agg(F.sum("n").alias("n"))
     places = windows.select("item_id", "at", F.size("terms").alias("length"), F.posexplode("terms").alias("offset", "term")).join(counts, "term", "left").fillna(0, ["n"])
     rank = F.row_number().over(Window.partitionBy("item_id", "at", "length").orderBy("n", "offset"))
-    chosen = stored(places.withColumn("rank", rank).where(F.col("rank") <= 2 * misses + 2).select("item_id", "at", "length", "offset", "term"))
+    chosen = stored(places.withColumn("rank", rank).where(F.col("rank") <= misses + 2).select("item_id", "at", "length", "offset", "term"))
     terms = context.broadcast({bytes(r[0]) for r in chosen.select("term").distinct().collect()}) if vocabulary is not None else None
     index = occurrences(docs, terms, places=True)
 
     # Windows overlap, so a key term is looked up once for each place in its item; a place and a posting fix a diagonal.
     lists = chosen.select("term", "item_id", (F.col("at") + F.col("offset")).alias("place")).distinct()
     shifted = index.join(lists, "term").select("item_id", *ROW, (F.col("position") - F.col("place")).alias("diagonal"), "place")
+    # A posting within `misses` of its block's end is also in the next block; diagonal, from the block's first, and place are one number.
+    blocks = F.array_distinct(F.array(F.floor(F.col("diagonal") / BLOCK), F.floor((F.col("diagonal") + misses) / BLOCK))) if misses else F.array(F.floor(F.col("diagonal") / BLOCK))
+    shifted = shifted.withColumn("block", F.explode(blocks)).select("item_id", *ROW, "block", ((F.col("diagonal") - F.col("block") * BLOCK + misses) * F.lit(1 << 32) + F.col("place")).alias("met"))
     of_window = chosen.groupBy("item_id", "at", "length").agg(F.collect_set(F.col("at") + F.col("offset")).alias("places"))
-    needed = F.when(F.col("length") < size, F.size("places")).otherwise(F.greatest(F.ceil((F.size("places") - misses) / (misses + 1)).cast("int"), F.lit(1)))
+    needed = F.when(F.col("length") < size, F.size("places")).otherwise(F.greatest(F.size("places") - misses, F.lit(1)))
     of_item = of_window.withColumn("needed", needed).groupBy("item_id").agg(F.collect_set(F.struct("places", "needed")).alias("windows"), F.min("needed").alias("least"))
     of_item = stored(of_item)
-    met = shifted.groupBy(*ROW, "item_id", "diagonal").agg(F.collect_set("place").alias("met")).join(of_item if vocabulary is None else F.broadcast(of_item), "item_id").where("size(met) >= least")
-    return met.where(F.exists("windows", lambda w: F.size(F.array_intersect(w.places, F.col("met"))) >= w.needed)).select(*ROW, "item_id", "diagonal")
+    met = shifted.groupBy(*ROW, "item_id", "block").agg(F.array_sort(F.collect_set("met")).alias("met")).join(of_item if vocabulary is None else F.broadcast(of_item), "item_id").where("size(met) >= least")
+    close = F.expr(f"least = 1 OR exists(sequence(1, size(met) - 1), i -> shiftright(get(met, i), 32) - shiftright(get(met, i - 1), 32) <= {misses})")
+    places = F.transform("met", lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)))
+    met = met.where(close).withColumn("places", places).where(F.exists("windows", lambda w: F.size(F.array_intersect(w.places, F.col("places"))) >= w.needed))
+    diagonals = F.array_distinct(F.transform("met", lambda x: F.shiftright(x, 32) + F.col("block") * BLOCK - misses))
+    return met.select(*ROW, "item_id", F.explode(diagonals).alias("diagonal"))
 
 
 def within(phrase: list[bytes], text: list[bytes], misses: int) -> bool:
@@ -125,7 +136,7 @@ def matches(words: list[bytes], item: list[bytes], diagonals: list[int], size: i
         if misses and span == size:
             sums = np.concatenate([[0], np.cumsum(same)])
             at = np.arange(len(item) - size + 1)
-            # Two keys or more stand in place.
+            # Two words or more stand in place.
             agree = sums[np.clip(at + size - low, 0, len(same))] - sums[np.clip(at - low, 0, len(same))]
             for a in np.flatnonzero(agree >= 2).tolist():
                 if a not in near:
@@ -144,7 +155,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, misses: int
     texts = F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce(F.col("text"), F.lit("")).alias("item")
     item_texts = items.select(*texts).dropDuplicates(["item_id", "item"])
     few = total_words(items) <= small
-    found = candidates(docs, items, size, misses, few).groupBy(*ROW, "item_id").agg(F.collect_list("diagonal").alias("diagonals"))
+    found = candidates(docs, items, size, misses, few).groupBy(*ROW, "item_id").agg(F.collect_set("diagonal").alias("diagonals"))
     listed = found.join(F.broadcast(item_texts) if few else item_texts, "item_id").groupBy(*ROW).agg(F.collect_list(F.struct("item_id", "item", "diagonals")).alias("places"))
     joined = named_rows(docs).join(listed, ROW, "left").select("doc_id", "text", "places")
     schema = "doc_id long, text string, n_words long, n_hit long, n_items long, items array<string>, n_near long"
