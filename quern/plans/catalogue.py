@@ -19,6 +19,7 @@ from quern.operators import convert, expand, minhash, select, similarity, sketch
 from quern.operators.asof import asof_join
 from quern.operators.intervals import interval_join
 from quern.scratch import shared_folder, small, spread, stored
+from quern.sources.trees import read_tree, write_tree
 from quern.streaming.arrivals import feed
 from quern.streaming.resume import stream_dedup
 from quern.streaming.windows import range_join, sessions, windowed
@@ -776,3 +777,20 @@ def lateral_text_windows(spark, sf_dir):
 def lateral_page_elements(spark, sf_dir):
     """How many elements of each tag every page has."""
     return lateral(spark, sf_dir, "SELECT page_id, e.tag, count(*) AS n FROM {pages}, LATERAL page_elements(html) AS e GROUP BY page_id, e.tag")
+
+
+@query("""SELECT 'world' AS name, NULL AS parent, 0 AS depth, false AS is_leaf UNION ALL SELECT r_name, 'world', 1, r_regionkey NOT IN (SELECT n_regionkey FROM nation) FROM region
+ UNION ALL SELECT n_name, r_name, 2, n_nationkey NOT IN (SELECT c_nationkey FROM customer) FROM nation JOIN region ON r_regionkey = n_regionkey
+ UNION ALL SELECT c_name, n_name, 3, true FROM customer JOIN nation ON n_nationkey = c_nationkey""")
+def nested_tree_round_trip(spark, sf_dir):
+    """Regions, nations and customers written as one nested JSON text, in parts, and read back."""
+    region, nation, customer = (table(spark, sf_dir, t) for t in ("region", "nation", "customer"))
+    nations = nation.join(F.broadcast(region), F.col("r_regionkey") == F.col("n_regionkey"))
+    paths = [["'world'"], ["'world'", "r_name"], ["'world'", "r_name", "n_name"], ["'world'", "r_name", "n_name", "c_name"]]
+    rows = [spark.range(1), region, nations, customer.join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey"))]
+    nodes = [df.select(F.expr(f"array({', '.join(p)})").alias("path"), F.lit(i).alias("depth"), F.lit(i == 3).alias("is_leaf")) for i, (df, p) in enumerate(zip(rows, paths))]
+    path = f"{shared_folder(spark)}/quern-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+    write_tree(nodes[0].union(nodes[1]).union(nodes[2]).union(nodes[3]), path)
+    tree = read_tree(spark, path, parts=True)
+    parents = tree.select(F.col("node_id").alias("parent_id"), F.col("name").alias("parent"))
+    return tree.join(parents, "parent_id", "left").select("name", "parent", "depth", "is_leaf")

@@ -7,44 +7,49 @@ from pyspark.sql import types as T
 from quern.functions.text import safe_name, strip, without_line_label
 
 
-def read_records(spark: SparkSession, path: str | list[str], schema: T.StructType | str, bad: str = "skip") -> DataFrame:
+def trial(rows: DataFrame, first: int | None) -> DataFrame:
+    """rows, or for a trial run only `first` of them; every reader here takes this limit."""
+    return rows if first is None else rows.limit(first)
+
+
+def read_records(spark: SparkSession, path: str | list[str], schema: T.StructType | str, bad: str = "skip", first: int | None = None) -> DataFrame:
     """JSON lines under a declared schema; blank lines are no records.
 
     bad: `skip` drops lines that aren't JSON, `fail` raises on them, `keep` gives them in a column `_bad`.
     """
     schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     if bad == "fail":
-        return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+        return trial(spark.read.schema(schema).option("mode", "FAILFAST").json(path), first)
     # Parsed from text: the JSON reader refuses queries that need the bad lines alone, such as counts.
     lines = spark.read.text(path).where(strip(F.col("value")) != "")
     kept = T.StructType([*schema.fields, T.StructField("_bad", T.StringType())])
     found = lines.select(F.from_json("value", kept, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("r")).select("r.*")
-    return found if bad == "keep" else found.where("_bad IS NULL").drop("_bad")
+    return trial(found if bad == "keep" else found.where("_bad IS NULL").drop("_bad"), first)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: T.StructType | str | None = None, first: int | None = None) -> DataFrame:
     """Records by the suffix of the path: parquet, or JSON lines (which need a schema)."""
-    return read_records(spark, path, schema) if path.endswith((".jsonl", ".json")) else spark.read.parquet(path)
+    return read_records(spark, path, schema, first=first) if path.endswith((".jsonl", ".json")) else trial(spark.read.parquet(path), first)
 
 
-def read_parquet_folder(spark: SparkSession, folder: str, required: list[str], max_files: int | None = None) -> DataFrame:
+def read_parquet_folder(spark: SparkSession, folder: str, required: list[str], max_files: int | None = None, first: int | None = None) -> DataFrame:
     """The parquet files of a folder in order of their names, without unreadable ones and rows with an empty required column."""
     found = spark.read.option("pathGlobFilter", "*.parquet").option("ignoreCorruptFiles", "true").parquet(folder)
     if max_files is not None:
         found = spark.read.option("ignoreCorruptFiles", "true").parquet(*sorted(found.inputFiles())[:max_files])
     for name in required:
         found = found.where(F.coalesce(F.col(name), F.lit("")) != "")
-    return found
+    return trial(found, first)
 
 
-def read_templates(spark: SparkSession, path: str) -> DataFrame:
+def read_templates(spark: SparkSession, path: str, first: int | None = None) -> DataFrame:
     """Templates that have both a text and variables."""
-    return read_records(spark, path, "prompt_template string, variables array<string>").where("prompt_template IS NOT NULL AND variables IS NOT NULL")
+    return trial(read_records(spark, path, "prompt_template string, variables array<string>").where("prompt_template IS NOT NULL AND variables IS NOT NULL"), first)
 
 
-def read_categories(spark: SparkSession, path: str) -> DataFrame:
+def read_categories(spark: SparkSession, path: str, first: int | None = None) -> DataFrame:
     """Names of a text file, one a line, without line labels and blanks."""
-    return spark.read.text(path).select(without_line_label(F.col("value")).alias("name")).where("name <> ''")
+    return trial(spark.read.text(path).select(without_line_label(F.col("value")).alias("name")).where("name <> ''"), first)
 
 
 def write_records(df: DataFrame, path: str) -> None:

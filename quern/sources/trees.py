@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.scratch import stored
+from quern.sources.files import trial
 
 CHILDREN = '"children"'
 TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\]:,]|[^\s{}\[\]:,"]+', re.DOTALL)
@@ -86,7 +87,7 @@ def walked(batches: Iterator[pa.RecordBatch], begin) -> Iterator[tuple[tuple, Wa
             place += len(text)
 
 
-def read_tree(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
+def read_tree(spark: SparkSession, path: str, parts: bool = False, first: int | None = None) -> DataFrame:
     """(node_id, parent_id, name, depth, is_leaf) of nested JSON; a child may be named by `category`.
 
     Ids grow in the order of the text. parts: the files are one text, cut between objects or fields, in order of their names.
@@ -135,9 +136,10 @@ def read_tree(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
     made = made.where("under = 'children' OR parent IS NULL")
     inner = rows.where(own & (F.col("value") == "children")).groupBy(F.col("parent").alias("node")).agg(F.lit(True).alias("inner"))
     leaf = F.coalesce(F.lower("is_leaf") == "true", F.lit(False)) | F.col("inner").isNull()
-    return made.join(inner, "node", "left").select(
+    found = made.join(inner, "node", "left").select(
         F.col("node").alias("node_id"), F.col("parent").alias("parent_id"), F.coalesce("name", "category").alias("name"), F.coalesce(F.expr("try_cast(depth AS INT)"), F.lit(0)).alias("depth"), leaf.alias("is_leaf")
     )
+    return trial(found, first)
 
 
 def write_tree(nodes: DataFrame, path: str, key: str = "path") -> None:

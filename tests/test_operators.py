@@ -208,9 +208,11 @@ def test_files(spark, tmp_path):
     tree = tmp_path / "t.json"
     tree.write_text('{"name": "ROOT", "depth": 0, "children": [{"category": "a", "depth": 1, "children": []}]}')
     assert [(r["name"], r["is_leaf"]) for r in trees.read_tree(spark, str(tree)).orderBy("node_id").collect()] == [("ROOT", False), ("a", True)]
+    assert files.read_records(spark, str(path), "a int, b string", first=1).count() == files.read_table(spark, str(path), "a int", first=1).count() == trees.read_tree(spark, str(tree), first=1).count() == 1
     names = tmp_path / "c.txt"
     names.write_text("L1: Games\n\n2:Tools\n  Plain \n")
     assert sorted(r["name"] for r in files.read_categories(spark, str(names)).collect()) == ["Games", "Plain", "Tools"]
+    assert files.read_categories(spark, str(names), first=2).count() == 2
     split = convert.hash_split(spark.range(50), "id")
     files.write_split(split, str(tmp_path / "x.parquet"))
     assert spark.read.parquet(str(tmp_path / "x_train.parquet")).count() + spark.read.parquet(str(tmp_path / "x_val.parquet")).count() == 50
