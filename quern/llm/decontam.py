@@ -98,13 +98,18 @@ def candidates(docs: DataFrame, items: DataFrame, size: int, misses: int, few: b
     shifted = index.join(lists, "term").select("item_id", *ROW, (F.col("position") - F.col("place")).alias("diagonal"), "place")
     # A posting within `misses` of its block's end is also in the next block; diagonal, from the block's first, and place are one number.
     blocks = F.array_distinct(F.array(F.floor(F.col("diagonal") / BLOCK), F.floor((F.col("diagonal") + misses) / BLOCK))) if misses else F.array(F.floor(F.col("diagonal") / BLOCK))
-    shifted = shifted.withColumn("block", F.explode(blocks)).select("item_id", *ROW, "block", ((F.col("diagonal") - F.col("block") * BLOCK + misses) * F.lit(1 << 32) + F.col("place")).alias("met"))
+    off = F.col("diagonal") - F.col("block") * BLOCK + misses
+    shifted = shifted.withColumn("block", F.explode(blocks)).select("item_id", *ROW, "block", (off * F.lit(1 << 32) + F.col("place")).alias("met"), F.call_function("shiftleft", F.lit(1).cast("long"), off.cast("int")).alias("bit"))
     of_window = chosen.groupBy("item_id", "at", "length").agg(F.collect_set(F.col("at") + F.col("offset")).alias("places"))
     needed = F.when(F.col("length") < size, F.size("places")).otherwise(F.greatest(F.size("places") - misses, F.lit(1)))
     of_item = of_window.withColumn("needed", needed).groupBy("item_id").agg(F.collect_set(F.struct("places", "needed")).alias("windows"), F.min("needed").alias("least"))
     of_item = stored(of_item)
-    met = shifted.groupBy(*ROW, "item_id", "block").agg(F.array_sort(F.collect_set("met")).alias("met")).join(of_item if vocabulary is None else F.broadcast(of_item), "item_id").where("size(met) >= least")
-    close = F.expr(f"least = 1 OR exists(sequence(1, size(met) - 1), i -> shiftright(get(met, i), 32) - shiftright(get(met, i - 1), 32) <= {misses})")
+    met = shifted.groupBy(*ROW, "item_id", "block").agg(F.collect_set("met").alias("met"), F.bit_or("bit").alias("bits"))
+    met = met.join(of_item if vocabulary is None else F.broadcast(of_item), "item_id").where("size(met) >= least")
+    # Two postings on one diagonal, or on neighbouring ones; told by bits, since few blocks have any.
+    close = (F.col("least") == 1) | (F.size("met") > F.bit_count("bits"))
+    for apart in range(1, misses + 1):
+        close = close | (F.col("bits").bitwiseAND(F.shiftright("bits", apart)) != 0)
     places = F.transform("met", lambda x: x.bitwiseAND(F.lit((1 << 32) - 1)))
     met = met.where(close).withColumn("places", places).where(F.exists("windows", lambda w: F.size(F.array_intersect(w.places, F.col("places"))) >= w.needed))
     diagonals = F.array_distinct(F.transform("met", lambda x: F.shiftright(x, 32) + F.col("block") * BLOCK - misses))
