@@ -108,10 +108,7 @@ def compared(shared: DataFrame, sets: DataFrame, threshold: float, all_pairs: bo
 
     shared: (band, key, id, rank, target), rank being (far, id); only rows marked as targets are looked at as the worse
     one. A bucket's rows are dealt in chunks of about `chunk`, and each two chunks (or one with itself) meet in a task.
-    Two rows that share several buckets are compared in that of the first band alone.
     """
-    n_bands = (shared.agg(F.max("band")).first()[0] or 0) + 1
-    sets = sets.join(shared.groupBy("id").agg(F.array(*[F.max(F.when(F.col("band") == b, F.col("key"))) for b in range(n_bands)]).alias("keys")), "id")
     places = stored(shared.groupBy("band", "key").agg(F.ceil(F.count("*") / chunk).alias("chunks"), F.count("*").alias("n")).where("n > 1"))
     dealt = joined(shared, places, ["band", "key"]).withColumn("part", F.pmod(F.xxhash64("id"), "chunks"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
@@ -125,15 +122,11 @@ def compared(shared: DataFrame, sets: DataFrame, threshold: float, all_pairs: bo
         names, flat = np.unique(flat, return_inverse=True)
         start, mark = np.cumsum(size) - size, np.zeros(len(names), bool)
         part, target = (table.column(c).to_numpy() for c in ("part", "target"))
-        band = table.column("band")[0].as_py()
-        keys = table.column("keys").combine_chunks().flatten()
-        known, keys = (x.to_numpy(zero_copy_only=False).reshape(len(size), -1)[:, :band] for x in (keys.is_valid(), keys.fill_null(0)))
         alone, better, worse = len(np.unique(part)) == 1, [], []
         for i in np.flatnonzero(target & (size > 0)).tolist():
             # Sizes that differ too much leave no such similarity.
             may = (alone | (part[:i] != part[i])) & (np.minimum(size[:i], size[i]) >= threshold * np.maximum(size[:i], size[i])) & (size[:i] > 0)
             j = np.flatnonzero(may)
-            j = j[~((keys[j] == keys[i]) & known[j] & known[i]).any(1)]
             if not len(j):
                 continue
             mark[flat[start[i] : start[i] + size[i]]] = True
