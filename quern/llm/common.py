@@ -1,6 +1,6 @@
 """Small helpers that the training-data operators share."""
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +50,16 @@ def slices(batch: pa.RecordBatch, column: str, budget: int = 4 << 20) -> Iterato
         yield batch.slice(at, cuts[np.searchsorted(cuts, at) + 1] - at)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, which gives Arrow's unused memory back when a task ends: Spark keeps its Python workers for later tasks."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+
+    return tidied
+
+
 def word_hash(word: bytes) -> int:
     """A 64-bit hash of a word, as a Python int below 2**64."""
     import xxhash

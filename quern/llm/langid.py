@@ -19,8 +19,9 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
-from quern.llm.common import remainder, slices, texts_of
+from quern.llm.common import remainder, slices, texts_of, tidy
 from quern.scratch import spread
 
 UNKNOWN = "und"
@@ -117,6 +118,8 @@ def identify(docs: DataFrame, folds: int = 3, fold: int = 1, bound: int = 10_000
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, logs = model.value
         for batch in batches:
+            if inside:
+                batch = batch.append_column("text", pa.compute.fill_null(pa.compute.struct_field(batch.column("row"), "text"), ""))
             for some in slices(batch, "text"):
                 names, scores, sets = [], [], []
                 for text in some.column("text").to_pylist():
@@ -137,6 +140,9 @@ def identify(docs: DataFrame, folds: int = 3, fold: int = 1, bound: int = 10_000
     whole = [F.struct("*").alias("row")] if rows else []
     texts = texts_of(docs, held.alias("held_out"), *whole)
     schema = texts.drop("text").schema
+    # A row's struct has its text; no task sends it to Python a second time.
+    inside = rows and any(f.name == "text" and f.dataType == StringType() for f in docs.schema)
+    texts = texts.drop("text") if inside else texts
     for name, kind in (("lang_pred", "string"), ("score", "double"), ("langs", "string")):
         schema = schema.add(name, kind)
-    return spread(texts).mapInArrow(run, schema)
+    return spread(texts).mapInArrow(tidy(run), schema)

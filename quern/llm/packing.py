@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from quern.llm.bpe import Merges
-from quern.llm.common import slices, texts_of
+from quern.llm.common import slices, texts_of, tidy
 from quern.scratch import spread
 
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -127,4 +127,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, capacity: i
         if state["ids"]:
             yield flush()
 
-    return spread(texts_of(docs)).mapInArrow(run, SCHEMA)
+    return spread(texts_of(docs)).mapInArrow(tidy(run), SCHEMA)

@@ -734,6 +734,19 @@ def model_repeats(texts):
     return want
 
 
+def test_language_sends_each_text_once(spark, capsys):
+    """With the rows asked for, Python gets the text in the row alone; the results are those without the rows."""
+    rows = [(i, ["the cat and the dog ", "der hund und die katze ", None, "123"][i % 4], ["en", "de", None, None][i % 4], i) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n long")
+    whole = langid.identify(docs, rows=True)
+    whole.explain()
+    assert "coalesce(text" not in capsys.readouterr().out
+    plain = {r["doc_id"]: tuple(r) for r in langid.identify(docs).collect()}
+    got = whole.collect()
+    assert sorted(tuple(r["row"]) for r in got) == sorted(rows) and {p[2] for p in plain.values()} == {"en", "de", "und"}
+    assert all((r["doc_id"], r["held_out"], r["lang_pred"], r["score"], r["langs"]) == plain[r["doc_id"]] for r in got)
+
+
 def test_repeated_strings(spark, docs, empty):
     want = model_repeats({i: t for i, t in TEXTS.items() if i is not None})
     for bucket in (4 << 20, 1000):
