@@ -11,7 +11,8 @@ A byte goes if it is covered by a string of `least` bytes that also starts in a
    fragments are merged first, with their smallest doc_id; a fragment thousands of documents share is compared once.
 3. Fragments of one mark that differ are compared by interval expansion on their Burrows-Wheeler transform (suffixes),
    which groups all windows with equal bytes; a group's smallest doc_id decides which occurrences go.
-4. The ranges found return to their documents.
+4. The ranges found return to their documents, as the marks of step 1 do: a bucket sends one packed row to each shard of
+   documents, a shard one row for each document, so rows don't multiply with the buckets that a document has a part in.
 
 Texts are read in segments, buckets grow in number with the input, and a bucket's fragments are compared in blocks of
 marks. What many documents share is collapsed where it is read, for every 16 MB of text: of equal marks with an equal
@@ -176,8 +177,36 @@ def by_doc(doc: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return doc[row], np.diff(np.append(row, len(doc))), [v[order] for v in values]
 
 
-def shared_marks(docs: DataFrame, least: int, k: int, buckets: int) -> DataFrame:
-    """(key, tags): tags of a document's marks that another document has with an equal side, in packed rows."""
+def for_shards(names: np.ndarray, n: np.ndarray, pairs: np.ndarray, shards: int) -> pa.Table:
+    """Packed rows, one for each shard of documents, of pairs of 32-bit numbers: n of them for each of the names."""
+    shard = (mix(names.view(np.uint64)) % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    pairs = pairs[spread_ranges((np.cumsum(n) - n)[order], n[order])]
+    names, n, shard = names[order], n[order], shard[order]
+    row = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1]]) if len(names) else np.zeros(0, np.int64)
+    docs, size = np.diff(np.append(row, len(names))), np.add.reduceat(n, row) if len(row) else row
+    return pa.table({"shard": shard[row], "docs": packed(names, docs), "counts": packed(n.astype(np.uint32), docs), "first": packed(pairs[:, 0], size), "second": packed(pairs[:, 1], size)})
+
+
+def gathered(met: DataFrame, name: str) -> DataFrame:
+    """(key, name): all pairs of a document, in one row; from the rows of for_shards."""
+
+    def gather(table: pa.Table) -> pa.Table:
+        docs, counts, first, second = (b"".join(table.column(c).to_pylist()) for c in ("docs", "counts", "first", "second"))
+        doc = np.repeat(np.frombuffer(docs, np.int64), np.frombuffer(counts, np.uint32))
+        order = np.argsort(doc, kind="stable")
+        doc, pairs = doc[order], np.stack([np.frombuffer(first, np.uint32), np.frombuffer(second, np.uint32)], 1)[order]
+        row = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]])
+        return pa.table({"key": doc[row], name: packed(pairs, np.diff(np.append(row, len(doc))))})
+
+    return met.groupBy("shard").applyInArrow(gather, f"key long, {name} binary")
+
+
+PAIRS = "shard long, docs binary, counts binary, first binary, second binary"
+
+
+def shared_marks(docs: DataFrame, least: int, k: int, buckets: int, shards: int = 1) -> DataFrame:
+    """(key, tags): tags of a document's marks that another document has with an equal side, one row a document."""
 
     def emit(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         doc, mark, before, after = (np.concatenate(x) for x in zip(*held))
@@ -225,7 +254,7 @@ def shared_marks(docs: DataFrame, least: int, k: int, buckets: int) -> DataFrame
         doc, entry = np.repeat(np.frombuffer(docs, np.int64), np.frombuffer(counts, np.uint32)), unpacked(entries)
         if table.column("bucket")[0].as_py() < 0:
             names, n, (tags,) = by_doc(doc, tag_of(entry, buckets))
-            return pa.table({"key": pa.array(names), "tags": packed(tags, n)})
+            return for_shards(names, n, tags.view(np.uint32).reshape(-1, 2), shards)
         mark = entry >> np.uint64(16)
         hot = several(entry >> np.uint64(8), doc) | several(mark << np.uint64(8) | entry & np.uint64(255), doc)
         doc, tag = doc[hot], mark[hot] | np.uint64(table.column("bucket")[0].as_py() << 32)
@@ -233,10 +262,10 @@ def shared_marks(docs: DataFrame, least: int, k: int, buckets: int) -> DataFrame
         doc, tag = doc[order], tag[order]
         new = np.r_[True, (doc[1:] != doc[:-1]) | (tag[1:] != tag[:-1])][: len(doc)]
         names, n, (tags,) = by_doc(doc[new], tag[new])
-        return pa.table({"key": pa.array(names), "tags": packed(tags, n)})
+        return for_shards(names, n, tags.view(np.uint32).reshape(-1, 2), shards)
 
     dealt = docs.mapInArrow(deal, "bucket long, docs binary, counts binary, entries binary")
-    return dealt.groupBy("bucket").applyInArrow(meet, "key long, tags binary")
+    return gathered(dealt.groupBy("bucket").applyInArrow(meet, PAIRS), "tags")
 
 
 def smallest_docs(fragments: list[bytes], marks: np.ndarray, docs: np.ndarray, least: int, block: int = 2 << 20) -> tuple[np.ndarray, np.ndarray]:
@@ -265,8 +294,8 @@ def smallest_docs(fragments: list[bytes], marks: np.ndarray, docs: np.ndarray, l
     return found, begin
 
 
-def repeated_ranges(texts: DataFrame, least: int, k: int, mark_buckets: int, buckets: int) -> DataFrame:
-    """(key, spans): window ranges (first, last + 1) that a document loses, from texts (key, text, tags)."""
+def repeated_ranges(texts: DataFrame, least: int, k: int, mark_buckets: int, buckets: int, shards: int = 1) -> DataFrame:
+    """(key, spans): window ranges (first, last + 1) that a document loses, one row a document, from texts (key, text, tags)."""
 
     def emit(known: dict[bytes, int], marks: list[int], held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         doc, place, which = (np.concatenate(x) for x in zip(*held))
@@ -304,7 +333,7 @@ def repeated_ranges(texts: DataFrame, least: int, k: int, mark_buckets: int, buc
             for some in slices(batch, "text"):
                 names = some.column("key").to_numpy()
                 base = some.column("base").to_numpy()
-                tags = [np.frombuffer(b"".join(row), np.uint64) for row in some.column("tags").to_pylist()]
+                tags = [np.frombuffer(row, np.uint64) for row in some.column("tags").to_pylist()]
                 whose = np.repeat(np.arange(len(tags), dtype=np.uint64), [len(t) for t in tags])
                 hot = np.unique(mix(np.concatenate(tags) ^ mix(whose + np.uint64(1))))
                 for text, place, windows, mark, data, at in runs(raw(some.column("text")), least, k):
@@ -331,7 +360,7 @@ def repeated_ranges(texts: DataFrame, least: int, k: int, mark_buckets: int, buc
         if table.column("bucket")[0].as_py() < 0:
             docs, begin, stop = (b"".join(table.column(c).to_pylist()) for c in ("docs", "places", "which"))
             names, n, spans = by_doc(np.frombuffer(docs, np.int64), np.frombuffer(begin, np.uint32), np.frombuffer(stop, np.uint32))
-            return pa.table({"key": pa.array(names), "spans": packed(np.stack(spans, 1).ravel(), 2 * n)})
+            return for_shards(names, n, np.stack(spans, 1), shards)
         rows = [table.column(c).to_pylist() for c in ("docs", "places", "which", "sizes", "marks", "content")]
         doc, place, size = (np.frombuffer(b"".join(rows[i]), t).astype(np.int64) for i, t in ((0, np.int64), (1, np.uint32), (3, np.uint32)))
         mark, content, ends = unpacked(b"".join(rows[4])).astype(np.int64), b"".join(rows[5]), np.cumsum(size)
@@ -358,10 +387,10 @@ def repeated_ranges(texts: DataFrame, least: int, k: int, mark_buckets: int, buc
         order = np.argsort(doc, kind="stable")
         doc, spans = doc[order], spans[order]
         row = np.flatnonzero(np.r_[True, doc[1:] != doc[:-1]]) if len(doc) else np.zeros(0, np.int64)
-        return pa.table({"key": pa.array(doc[row]), "spans": packed(spans.ravel(), 2 * np.diff(np.append(row, len(doc))))})
+        return for_shards(doc[row], np.diff(np.append(row, len(doc))), spans, shards)
 
     dealt = texts.mapInArrow(deal, "bucket long, docs binary, places binary, which binary, sizes binary, marks binary, content binary")
-    return dealt.groupBy("bucket").applyInArrow(meet, "key long, spans binary")
+    return gathered(dealt.groupBy("bucket").applyInArrow(meet, PAIRS), "spans")
 
 
 def placed(texts: DataFrame, unlike: DataFrame) -> DataFrame:
@@ -374,21 +403,22 @@ def placed(texts: DataFrame, unlike: DataFrame) -> DataFrame:
     return found.select("key", "text", F.coalesce("base", F.lit(0)).cast("long").alias("base"))
 
 
-def cut_repeats(docs: DataFrame, least: int = 50, k: int = 14, bucket_bytes: int = 4 << 20, fragment_bytes: int = 4 << 20) -> DataFrame:
+def cut_repeats(docs: DataFrame, least: int = 50, k: int = 14, bucket_bytes: int = 4 << 20, fragment_bytes: int = 4 << 20, shard_bytes: int = 16 << 20) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, text): text is what is left, as bytes.
 
-    bucket_bytes, fragment_bytes: text per bucket in which marks meet, and in which fragments meet.
+    bucket_bytes, fragment_bytes: text per bucket in which marks meet, and in which fragments meet; shard_bytes: text per
+    shard of documents to which what they found returns.
     """
     texts = texts_of(docs).select(F.coalesce("doc_id", F.lit(NO_ID)).alias("key"), "text")
     known = texts.select("key", F.octet_length("text").alias("n"), F.xxhash64("text").alias("hash")).groupBy("key").agg(F.sum("n").alias("n"), F.min("hash").alias("low"), F.max("hash").alias("high"))
     unlike = (F.col("key") != NO_ID) & (F.col("low") != F.col("high"))
     total, n_unlike = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_if(unlike)).first()
     texts = placed(texts, known.where(unlike).select("key")) if n_unlike else texts.withColumn("base", F.lit(0).cast("long"))
-    mark_buckets = 1 + total // bucket_bytes
+    mark_buckets, shards = 1 + total // bucket_bytes, 1 + total // shard_bytes
     # Rows without an id lose nothing; they don't meet under a common key. Both joins share one exchange of the others.
     named, unnamed = texts.where(F.col("key") != NO_ID), texts.where(F.col("key") == NO_ID)
-    hot = shared_marks(spread(named), least, k, mark_buckets).groupBy("key").agg(F.collect_list("tags").alias("tags"))
-    ranges = repeated_ranges(named.join(hot, "key"), least, k, mark_buckets, 1 + total // fragment_bytes).groupBy("key").agg(F.collect_list("spans").alias("spans"))
+    hot = shared_marks(spread(named), least, k, mark_buckets, shards)
+    ranges = repeated_ranges(named.join(hot, "key"), least, k, mark_buckets, 1 + total // fragment_bytes, shards)
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -396,7 +426,7 @@ def cut_repeats(docs: DataFrame, least: int = 50, k: int = 14, bucket_bytes: int
                 n, removed, count, left = [], [], [], []
                 for text, base, spans in zip(raw(some.column("text")), some.column("base").to_pylist(), some.column("spans").to_pylist()):
                     kept, at, spots = [], 0, 0
-                    ranges = np.frombuffer(b"".join(spans or []), np.uint32).reshape(-1, 2).astype(np.int64) - base
+                    ranges = np.frombuffer(spans or b"", np.uint32).reshape(-1, 2).astype(np.int64) - base
                     ranges = ranges[(ranges[:, 0] >= 0) & (ranges[:, 0] <= len(text) - least)]  # not those of the doc_id's other texts
                     if len(ranges):
                         ranges = ranges[np.argsort(ranges[:, 0], kind="stable")]
@@ -415,5 +445,5 @@ def cut_repeats(docs: DataFrame, least: int = 50, k: int = 14, bucket_bytes: int
                 ids = pa.compute.if_else(pa.compute.equal(key, NO_ID), pa.scalar(None, pa.int64()), key)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(left, pa.binary())], ["doc_id", "n_bytes", "n_removed", "n_spans", "text"])
 
-    spans = F.lit(None).cast("array<binary>").alias("spans")
+    spans = F.lit(None).cast("binary").alias("spans")
     return named.join(ranges, "key", "left").select("key", "text", "base", "spans").union(unnamed.select("key", "text", "base", spans)).mapInArrow(finish, "doc_id long, n_bytes long, n_removed long, n_spans long, text binary")

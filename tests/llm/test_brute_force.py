@@ -795,6 +795,24 @@ def test_strings_that_all_documents_share(spark, partitions):
     assert [bytes(r["text"]).decode() for r in got[None]] == [common, common]
 
 
+def test_marks_and_ranges_return_in_one_row_a_document(spark):
+    """However many buckets a document's marks and fragments meet in."""
+    rng = random.Random(29)
+    line = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    common = [line(70) for _ in range(40)]
+    texts = {i: "".join(line(30) + c for c in rng.sample(common, 12)) for i in range(50)}
+    table = spark.createDataFrame(list(texts.items()), "key long, text string").repartition(3)
+    marks = [suffixdedup.shared_marks(table, 50, 14, 30, *shards).collect() for shards in ((), (7,))]
+    assert all(len(m) == len({r["key"] for r in m}) == 50 for m in marks)
+    assert len({str(sorted((r["key"], sorted(np.frombuffer(r["tags"], np.uint64).tolist())) for r in m)) for m in marks}) == 1
+    tagged = table.withColumn("base", F.lit(0).cast("long")).join(suffixdedup.shared_marks(table, 50, 14, 30), "key")
+    spans = [suffixdedup.repeated_ranges(tagged, 50, 14, 30, 30, *shards).collect() for shards in ((), (7,))]
+    assert all(len(s) == len({r["key"] for r in s}) > 40 and any(len(r["spans"]) > 8 for r in s) for s in spans)
+    got = by_id(suffixdedup.cut_repeats(table.withColumnRenamed("key", "doc_id"), bucket_bytes=1000, fragment_bytes=1000, shard_bytes=9000))
+    for i, w in model_repeats(texts).items():
+        assert (got[i][0]["n_bytes"], got[i][0]["n_removed"], got[i][0]["n_spans"], bytes(got[i][0]["text"])) == w, i
+
+
 def test_segments_of_long_texts(monkeypatch):
     monkeypatch.setattr(suffixdedup, "SEGMENT", 100)
     text = bytes(random.Random(1).choices(b"abcdef", k=1234))
