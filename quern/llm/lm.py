@@ -21,6 +21,7 @@ the base is 0; texts of any length are scored whole, the state carried along; ot
 import math
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -125,20 +126,20 @@ def encoded(texts: DataFrame, vocabulary) -> DataFrame:
         beyond, row = slot == slot[unknown], TaskContext.get().partitionId() << 40
         for batch in batches:
             for some in slices(batch, "text", 2 << 20):
-                found: list[tuple] = []
+                places, seldom = [], []
                 for text in raw(some.column("text")):
-                    words = text.translate(LOWER).split()
-                    at = np.fromiter((get(w, unknown) for w in words), np.int32, len(words))
-                    at = np.append(at, place[END])
-                    rare = at == unknown
-                    seldom = Counter([words[i] for i in np.flatnonzero(rare)])
-                    outside = beyond[at]
-                    found.append((len(at), int(len(at) - rare.sum()), int(outside.sum()), float(logs[at].sum()), float(logs[at[outside]].sum()), slot[at].tobytes(), list(seldom), list(seldom.values())))
+                    words = [*text.translate(LOWER).split(), END]
+                    places.append(np.fromiter(map(get, words, repeat(unknown)), np.int32, len(words)))
+                    seldom.append(Counter([words[i] for i in np.flatnonzero(places[-1] == unknown).tolist()]))
+                at, sizes = np.concatenate(places), np.fromiter(map(len, places), np.int64, len(places))
+                ends = np.cumsum(sizes)
+                first, rare, outside, log = ends - sizes, at == unknown, beyond[at], logs[at]
                 kept = {c: some.column(c) for c in ("doc_id", "text_hash", "held_out", "learned")}
                 ids = pa.array(np.arange(row, row + len(some)))
                 row += len(some)
-                kinds = [pa.int64()] * 3 + [pa.float64()] * 2 + [pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64())]
-                cols = [pa.array(x, k) for x, k in zip(zip(*found), kinds)]
+                slots = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer((2 * np.append(0, ends)).astype(np.int32)), pa.py_buffer(slot[at])])
+                sums = [sizes - np.add.reduceat(rare, first, dtype=np.int64), np.add.reduceat(outside, first, dtype=np.int64), np.add.reduceat(log, first), np.add.reduceat(log * outside, first)]
+                cols = [*map(pa.array, [sizes, *sums]), slots, pa.array(map(list, seldom), pa.list_(pa.binary())), pa.array([list(x.values()) for x in seldom], pa.list_(pa.int64()))]
                 yield pa.RecordBatch.from_arrays([ids, *kept.values(), *cols], ["row", *kept, "n_tokens", "n_common", "n_outside", "common", "outside", "slots", "words", "times"])
 
     schema = "row long, doc_id long, text_hash long, held_out boolean, learned boolean, n_tokens long, n_common long, n_outside long, common double, outside double, slots binary, words array<binary>, times array<long>"

@@ -889,6 +889,24 @@ def test_a_very_long_document_needs_memory_for_its_tokens_only():
     assert peak < 12 << 20  # lanes padded to the longest would take 200 MB
 
 
+def test_training_and_scoring_reuse_their_memory():
+    import os
+    import subprocess
+    import sys
+
+    code = """import resource, numpy as np
+from quern.llm import gru
+rng = np.random.default_rng(4)
+p, docs = gru.initial(rng.integers(1, 99, 2304).astype(float), 48, 16, 16), [rng.integers(0, 2304, n).astype(np.uint16) for n in rng.integers(50, 900, 400)]
+for _ in range(2):
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+    p = gru.train(p, docs, 0)
+    gru.score(p, p["E"] @ p["W"] + p["b"], docs, 0)
+print(resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before)"""
+    faults = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, env={**os.environ, "PYTHONPATH": os.pathsep.join(sys.path)}).stdout)
+    assert faults < 2000  # 8,500 with arrays given back and asked for again at every window
+
+
 def test_training_pieces_cover_every_token():
     docs = [np.arange(10), np.arange(3), np.arange(8)]
     parts, first = gru.pieces(docs, 99, 4)
