@@ -2,7 +2,8 @@
 
 1. Benchmark items are cut into windows (of `size` words, or the whole item if it is shorter). Every document's
    occurrences of the benchmark's terms are counted, and each window's rarest terms become its keys, `misses` + 2 of them.
-2. The index stores postings (term, document, position) of the training tokens; only the lists of key terms are needed.
+2. The index stores postings (term, document, position) of the training tokens; only the lists of key terms are needed,
+   and of these no posting that meets no other of its document on any diagonal of step 3 (unless one key is enough).
 3. Each list is shifted by its term's place in the item, which leaves diagonals (document position - item position).
    Where a window's shifted lists intersect, all of them or all but `misses`, on one diagonal or on neighbouring ones,
    `misses` apart at most, these diagonals are candidates. Postings meet by blocks of diagonals, whose edges overlap.
@@ -20,7 +21,9 @@ as the empty string; rows with a null doc_id are searched like others; items sho
 proximity matches; empty tables give no hits; other columns are ignored.
 """
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +31,7 @@ import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import ALNUM, ALNUM_SQL, ROW, named_rows, raw, slices
+from quern.llm.common import ALNUM, ALNUM_SQL, ROW, named_rows, raw, slices, texts_of
 from quern.scratch import spread, stored
 
 WORDS = "transform(filter(split(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\\\x00-\\\\x2F\\\\x3A-\\\\x60\\\\x7B-\\\\x7F]+'), w -> w <> ''), w -> CAST(w AS BINARY))"
@@ -44,37 +47,90 @@ def windows_of(items: DataFrame, size: int) -> DataFrame:
     return starts.select("item_id", "at", F.expr(f"slice(words, at + 1, {size})").alias("terms"))
 
 
-def occurrences(docs: DataFrame, wanted, places: bool) -> DataFrame:
-    """Postings (term, key, unnamed, position) or, without places, partial counts (term, n) of the training tokens.
-
-    wanted: a broadcast set of the only terms to give, or None for all.
-    """
+def term_counts(docs: DataFrame, wanted) -> DataFrame:
+    """Partial counts (term, n) of the training tokens. wanted: a broadcast set of the only terms to count, or None for all."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[bytes, int] = {}
-        only = None if wanted is None else wanted.value
+        counts: Counter = Counter()
+        only = None if wanted is None else wanted.value.__contains__
         for batch in batches:
             for some in slices(batch, "text", 2 << 20):
-                terms, row, at = [], [], []
-                for n, text in enumerate(raw(some.column("text"))):
+                for text in raw(some.column("text")):
                     words = text.translate(ALNUM).split()
-                    for i, w in enumerate(words) if only is None else [(i, w) for i, w in enumerate(words) if w in only]:
-                        if places:
-                            terms.append(w)
-                            row.append(n)
-                            at.append(i)
-                        else:
-                            counts[w] = counts.get(w, 0) + 1
-                if places:
-                    rows = pa.array(row, pa.int64())
-                    yield pa.RecordBatch.from_arrays([pa.array(terms, pa.binary()), some.column("key").take(rows), some.column("unnamed").take(rows), pa.array(at, pa.int64())], ["term", *ROW, "position"])
+                    counts.update(words if only is None else filter(only, words))
             if len(counts) > 500_000:
                 yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
-                counts = {}
-        if not places:
-            yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
+                counts = Counter()
+        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["term", "n"])
+
+    return spread(texts_of(docs).select("text")).mapInArrow(run, "term binary, n long")
+
+
+class Lists:
+    """Where key terms stand in items: for each term's number, places and numbers of items.
 
-    return spread(named_rows(docs).select(*ROW, "text")).mapInArrow(run, "term binary, key long, unnamed boolean, position long" if places else "term binary, n long")
+    alone: whether one key of an item's window is enough.
+    """
+
+    def __init__(self, rows: pa.Table):
+        names = rows.column("term").to_pylist()
+        self.number = {w: i for i, w in enumerate(dict.fromkeys(names))}
+        term = np.fromiter(map(self.number.__getitem__, names), np.int64, len(names))
+        order = np.argsort(term, kind="stable")
+        self.start = np.searchsorted(term[order], np.arange(len(self.number) + 1))
+        items, alone = rows.column("item_id").to_pylist(), rows.column("alone").to_numpy()
+        of = {x: i for i, x in enumerate(dict.fromkeys(items))}
+        self.items, self.item = len(of), np.fromiter(map(of.__getitem__, items), np.int64, len(items))[order]
+        self.place, self.alone = rows.column("place").to_numpy()[order].astype(np.int64), alone[order].astype(bool)
+
+    def meeting(self, term: np.ndarray, row: np.ndarray, position: np.ndarray, misses: int, most: int = 4_000_000) -> np.ndarray:
+        """Which postings meet another of their row: on a diagonal of one item, or on two that are `misses` apart at most.
+
+        All of them, if they have more than `most` diagonals: Spark compares those.
+        """
+        many = self.start[term + 1] - self.start[term]
+        total = int(many.sum())
+        if not 0 < total <= most:
+            return np.ones(len(term), bool)
+        posting = np.repeat(np.arange(len(term)), many)
+        at = np.arange(total) - np.repeat(np.cumsum(many) - many - self.start[term], many)
+        diagonal = position[posting] - self.place[at]
+        diagonal -= diagonal.min()
+        met = (row[posting] * self.items + self.item[at]) * (int(diagonal.max()) + misses + 1) + diagonal
+        order = np.argsort(met)
+        close = np.diff(met[order]) <= misses
+        keep, kept = np.zeros(len(term), bool), self.alone[at[order]]
+        kept[1:] |= close
+        kept[:-1] |= close
+        keep[posting[order[kept]]] = True
+        return keep
+
+
+def postings(docs: DataFrame, wanted, misses: int) -> DataFrame:
+    """Postings (term, key, unnamed, position) of the training tokens: all, or with wanted, a broadcast of Lists, those that may meet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = None if wanted is None else wanted.value
+        names = None if lists is None else pa.array(list(lists.number), pa.binary())
+        for batch in batches:
+            for some in slices(batch, "text", 2 << 20):
+                texts = (text.translate(ALNUM).split() for text in raw(some.column("text")))
+                if lists is None:
+                    texts = list(texts)
+                    sizes = [len(words) for words in texts]
+                    terms = pa.array([w for words in texts for w in words], pa.binary())
+                    row, position = np.repeat(np.arange(len(sizes)), sizes), np.concatenate([np.arange(n) for n in sizes])
+                else:
+                    found = [np.fromiter(map(lists.number.get, words, repeat(-1)), np.int64, len(words)) for words in texts]
+                    places = [np.flatnonzero(x >= 0) for x in found]
+                    term, position = np.concatenate([x[at] for x, at in zip(found, places)]), np.concatenate(places)
+                    row = np.repeat(np.arange(len(places)), [len(x) for x in places])
+                    keep = lists.meeting(term, row, position, misses)
+                    terms, row, position = names.take(pa.array(term[keep])), row[keep], position[keep]
+                rows = pa.array(row, pa.int64())
+                yield pa.RecordBatch.from_arrays([terms, some.column("key").take(rows), some.column("unnamed").take(rows), pa.array(position, pa.int64())], ["term", *ROW, "position"])
+
+    return spread(named_rows(docs).select(*ROW, "text")).mapInArrow(run, "term binary, key long, unnamed boolean, position long")
 
 
 def total_words(items: DataFrame) -> int:
@@ -86,24 +142,24 @@ def candidates(docs: DataFrame, items: DataFrame, size: int, misses: int, few: b
     context = docs.sparkSession.sparkContext
     windows = windows_of(items, size)
     vocabulary = context.broadcast({bytes(r[0]) for r in windows.select(F.explode("terms")).distinct().collect()}) if few else None
-    counts = occurrences(docs, vocabulary, places=False).groupBy("term").agg(F.sum("n").alias("n"))
+    counts = term_counts(docs, vocabulary).groupBy("term").agg(F.sum("n").alias("n"))
     places = windows.select("item_id", "at", F.size("terms").alias("length"), F.posexplode("terms").alias("offset", "term")).join(counts, "term", "left").fillna(0, ["n"])
     rank = F.row_number().over(Window.partitionBy("item_id", "at", "length").orderBy("n", "offset"))
     chosen = stored(places.withColumn("rank", rank).where(F.col("rank") <= misses + 2).select("item_id", "at", "length", "offset", "term"))
-    terms = context.broadcast({bytes(r[0]) for r in chosen.select("term").distinct().collect()}) if vocabulary is not None else None
-    index = occurrences(docs, terms, places=True)
+    of_window = chosen.groupBy("item_id", "at", "length").agg(F.collect_set(F.col("at") + F.col("offset")).alias("places"))
+    needed = F.when(F.col("length") < size, F.size("places")).otherwise(F.greatest(F.size("places") - misses, F.lit(1)))
+    of_item = of_window.withColumn("needed", needed).groupBy("item_id").agg(F.collect_set(F.struct("places", "needed")).alias("windows"), F.min("needed").alias("least"))
+    of_item = stored(of_item)
 
     # Windows overlap, so a key term is looked up once for each place in its item; a place and a posting fix a diagonal.
     lists = chosen.select("term", "item_id", (F.col("at") + F.col("offset")).alias("place")).distinct()
-    shifted = index.join(lists, "term").select("item_id", *ROW, (F.col("position") - F.col("place")).alias("diagonal"), "place")
+    # While the benchmark is small, postings whose diagonals meet no other's don't leave the task that reads their text.
+    known = context.broadcast(Lists(lists.join(of_item.select("item_id", (F.col("least") == 1).alias("alone")), "item_id").toArrow())) if few else None
+    shifted = postings(docs, known, misses).join(lists, "term").select("item_id", *ROW, (F.col("position") - F.col("place")).alias("diagonal"), "place")
     # A posting within `misses` of its block's end is also in the next block; diagonal, from the block's first, and place are one number.
     blocks = F.array_distinct(F.array(F.floor(F.col("diagonal") / BLOCK), F.floor((F.col("diagonal") + misses) / BLOCK))) if misses else F.array(F.floor(F.col("diagonal") / BLOCK))
     off = F.col("diagonal") - F.col("block") * BLOCK + misses
     shifted = shifted.withColumn("block", F.explode(blocks)).select("item_id", *ROW, "block", (off * F.lit(1 << 32) + F.col("place")).alias("met"), F.call_function("shiftleft", F.lit(1).cast("long"), off.cast("int")).alias("bit"))
-    of_window = chosen.groupBy("item_id", "at", "length").agg(F.collect_set(F.col("at") + F.col("offset")).alias("places"))
-    needed = F.when(F.col("length") < size, F.size("places")).otherwise(F.greatest(F.size("places") - misses, F.lit(1)))
-    of_item = of_window.withColumn("needed", needed).groupBy("item_id").agg(F.collect_set(F.struct("places", "needed")).alias("windows"), F.min("needed").alias("least"))
-    of_item = stored(of_item)
     met = shifted.groupBy(*ROW, "item_id", "block").agg(F.collect_set("met").alias("met"), F.bit_or("bit").alias("bits"))
     met = met.join(of_item if vocabulary is None else F.broadcast(of_item), "item_id").where("size(met) >= least")
     # Two postings on one diagonal, or on neighbouring ones; told by bits, since few blocks have any.
@@ -170,8 +226,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, size: int = 10, misses: int
             rows = []
             for doc, text, places in zip(batch.column("doc_id").to_pylist(), raw(batch.column("text")), batch.column("places").to_pylist()):
                 words = text.translate(ALNUM).split()
+                if not places:
+                    rows.append((doc, len(words), 0, [], 0))
+                    continue
                 hit, names, exact, near = np.zeros(len(words) + 1, np.int64), set(), set(), set()
-                for place in places or []:
+                for place in places:
                     name = place["item_id"]
                     begin, own, span, close = matches(words, place["item"].encode().translate(ALNUM).split(), place["diagonals"], size, misses)
                     exact |= {(name, a) for a in own}

@@ -550,6 +550,36 @@ def test_decontamination_of_a_long_text_that_repeats_a_passage(spark):
     assert (got[2][0]["n_hit"], got[2][0]["n_near"]) == (0, 0)
 
 
+def test_only_postings_that_meet_leave_their_task(spark, monkeypatch):
+    """Key terms that stand alone, far from where an item has its others, are dropped; passages and one-word items stay."""
+    rng = random.Random(27)
+    item = [f"term{i}" for i in range(14)]
+    apart = [" ".join(w for k in rng.sample(item, 14) for w in (k, *["filler"] * rng.randint(20, 40))) for _ in range(200)]
+    texts = [*apart, " ".join(["x", *item]), " ".join(item[2:12]), " ".join([*item[:5], "y", *item[5:11]]), "x solo y"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, "solo")], "item_id long, text string")
+    left, found = [], decontam.postings
+    monkeypatch.setattr(decontam, "postings", lambda *a: left.append(found(*a)) or left[-1])
+    got = {r["doc_id"]: (r["n_hit"], r["n_near"]) for r in decontam.decontaminate(docs, bench).collect()}
+    assert got == {i: (0, 0) for i in range(200)} | {200: (14, 0), 201: (10, 2), 202: (0, 2), 203: (1, 0)}
+    rows = left[0].groupBy("key").count().collect()
+    assert {200, 201, 202, 203} <= {r["key"] for r in rows} and sum(r["count"] for r in rows if r["key"] < 200) < 100
+    assert found(docs, None, 1).count() == sum(len(t.split()) for t in texts)
+
+
+def test_postings_that_meet():
+    rng = np.random.default_rng(5)
+    lists = decontam.Lists(pa.table({"term": [b"a", b"b", b"b", b"c", b"a"], "item_id": ["x", "x", "y", "y", "y"], "place": [0, 3, 1, 4, 6], "alone": [False] * 5}))
+    row, position, of = np.repeat(np.arange(40), 12), np.tile(np.arange(0, 36, 3), 40), {b"a": [("x", 0), ("y", 6)], b"b": [("x", 3), ("y", 1)], b"c": [("y", 4)]}
+    names = rng.choice(list(of), len(row))
+    term = np.array([lists.number[w] for w in names])
+    for misses in (0, 1, 2):
+        diagonals = [{(r, item, p - place) for item, place in of[w]} for w, r, p in zip(names, row, position)]
+        want = [any(i != j and a[:2] == b[:2] and abs(a[2] - b[2]) <= misses for a in own for j, other in enumerate(diagonals) for b in other) for i, own in enumerate(diagonals)]
+        assert lists.meeting(term, row, position, misses).tolist() == want and 0 < sum(want) < len(want)
+    assert lists.meeting(term, row, position, 1, most=100).all() and not len(lists.meeting(term[:0], row[:0], position[:0], 1))
+
+
 def test_every_single_edit_is_a_near_match(spark):
     """Each word dropped, replaced or preceded by another, wherever the window's rare words stand."""
     item = "the rar of and osc the zyl in to qub".split()
