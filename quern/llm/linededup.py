@@ -4,13 +4,13 @@ A text's lines are hashed; a rolling hash over one line hash (the next line's) o
 into residue classes modulo `divisor`. In the chunking (r, s) a chunk begins before every line of class r and ends after
 every pair of lines of class s, so boundaries depend on nearby lines alone and an inserted line shifts none further on.
 Every pair of classes gives a chunking of its own; a passage that one of them doesn't isolate is isolated by another.
-Chunks of two lines or more whose hash occurs again anywhere are compared byte by byte; of equal chunks the first one
-(by doc_id, then place) stays, and the lines of the others go. A removed line has an equal one at an earlier place, so
+Chunks of two lines or more are equal if their SHA-256 is; of equal chunks the first one (by doc_id, then place) stays,
+and the lines of the others go. A removed line has an equal one at an earlier place, so
 the first copy of every line stays whatever the chunkings remove.
 
-Chunk hashes are counted before any text moves, and are made of line hashes. Only chunks with a repeated hash travel
-with their text, once a distinct text and partition; their occurrences then meet by hash. Tables of repeated hashes are
-broadcast only while they are small, and frequent hashes apart from the others.
+No text of a chunk ever moves: chunkings overlap, so their chunks hold several times the table. Each is made in the scan
+and leaves it as a digest of 32 bytes; digests are written once, counted, and met by the first place of those that occur
+again, frequent ones apart from the others, in the same way at any size. Texts are shuffled once, to lose their lines.
 
 Defined cases: null and empty texts are one empty line; a single line is no chunk and always stays; rows that repeat
 both doc_id and text count as one row and lose nothing to each other; a row with a null doc_id can't be ordered, so it
@@ -20,7 +20,7 @@ stays whole and repeats nothing; empty tables give no rows; other columns of the
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.scratch import joined, small, stored
+from quern.scratch import joined, stored
 
 
 def pinned(df: DataFrame, **expressions: str) -> DataFrame:
@@ -30,7 +30,7 @@ def pinned(df: DataFrame, **expressions: str) -> DataFrame:
 
 
 def lined(docs: DataFrame, divisor: int) -> DataFrame:
-    """docs as (own0, own1, ...: its columns by place, doc_id, text_hash, lines, chunks): chunks are (start, stop, hash), stop excluded."""
+    """docs as (own0, own1, ...: its columns by place, doc_id, text_hash, lines, chunks): chunks are (start, stop), stop excluded."""
     key, text = (f"own{docs.columns.index(c)}" for c in ("doc_id", "text"))
     rows = docs.toDF(*[f"own{i}" for i in range(len(docs.columns))])
     rows = rows.select("*", F.col(key).cast("long").alias("doc_id"), F.expr(f"xxhash64(coalesce({text}, ''))").alias("text_hash"))
@@ -44,30 +44,17 @@ def lined(docs: DataFrame, divisor: int) -> DataFrame:
     # A range as one number, since distinct numbers are found by hashing and distinct structs by comparing all.
     chunk = "transform(filter(transform({0}, (e, i) -> struct(IF(i = 0, 0, get({0}, i - 1)) AS start, e AS stop)), c -> c.stop - c.start > 1), c -> c.start * 4294967296 + c.stop)"
     rows = pinned(rows, ranges=f"array_distinct(concat({', '.join(chunk.format(name) for name in stops)}))").drop(*stops)
-    rows = pinned(rows, ends="transform(ranges, c -> struct(CAST(c div 4294967296 AS INT) AS start, CAST(c % 4294967296 AS INT) AS stop))").drop("ranges")
-    return pinned(rows, chunks="transform(ends, c -> struct(c.start AS start, c.stop AS stop, xxhash64(slice(hashes, c.start + 1, c.stop - c.start)) AS hash))").drop("ends", "hashes")
+    return pinned(rows, chunks="transform(ranges, c -> struct(CAST(c div 4294967296 AS INT) AS start, CAST(c % 4294967296 AS INT) AS stop))").drop("ranges", "hashes")
 
 
 def repeated_chunks(rows: DataFrame) -> DataFrame:
     """(doc_id, text_hash, gone): the line ranges that each document loses, sorted, disjoint."""
-    chunks = rows.where("doc_id IS NOT NULL").select("doc_id", "text_hash", "lines", "chunks")
-    counted = chunks.select(F.expr("inline(chunks)")).groupBy("hash").agg(F.count("*").alias("n")).where("n > 1")
-    again = stored(counted)
-    # Bodies are made in the scan and leave it only if their hash is repeated.
-    bodies = chunks.select("doc_id", "text_hash", F.expr("inline(transform(chunks, c -> struct(c.hash AS hash, c.start AS start, c.stop AS stop, array_join(slice(lines, c.start + 1, c.stop - c.start), '\n') AS body)))"))
-    found = bodies.join(small(again.select("hash")), "hash")
-    distinct = found.groupBy("hash", "body").agg(F.min(F.struct("doc_id", "start")).alias("first"))
-    kinds = distinct.groupBy("hash").agg(F.count("*").alias("kinds"), F.min("first").alias("first"))
-    firsts = stored(kinds.join(again, "hash"))
-    narrow = chunks.select("doc_id", "text_hash", F.expr("inline(chunks)"))
-    met = joined(narrow, firsts.where("kinds = 1").drop("kinds"), ["hash"]).select("doc_id", "text_hash", "start", "stop", "first")
-    # Chunks whose hash several texts have are told apart by their bytes.
-    several = firsts.where("kinds > 1").select("hash")
-    if not several.isEmpty():
-        unlike = found.join(several, "hash", "left_semi").join(distinct, ["hash", "body"]).select("doc_id", "text_hash", "start", "stop", "first")
-        met = met.unionByName(unlike)
-    gone = met.where("struct(doc_id, start) > first").select("doc_id", "text_hash", "start", "stop").distinct()
-    # Ranges of several chunkings overlap: each goes on where those before it have ended.
+    digests = "inline(transform(chunks, c -> struct(c.start AS start, c.stop AS stop, unhex(sha2(array_join(slice(lines, c.start + 1, c.stop - c.start), '\n'), 256)) AS digest)))"
+    found = stored(rows.where("doc_id IS NOT NULL").select("doc_id", "text_hash", F.expr(digests)))
+    firsts = stored(found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("first")).where("n > 1"))
+    met = joined(found, firsts, ["digest"])
+    gone = met.where("struct(doc_id, start) > first").select("doc_id", "text_hash", "start", "stop")
+    # Ranges of several chunkings overlap, those of repeated rows are equal: each goes on where those before it have ended.
     before = Window.partitionBy("doc_id", "text_hash").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
     gone = gone.withColumn("start", F.greatest("start", F.coalesce(F.max("stop").over(before), F.lit(0)))).where("start < stop")
     return gone.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("gone"))
@@ -76,13 +63,16 @@ def repeated_chunks(rows: DataFrame) -> DataFrame:
 def dedup_lines(docs: DataFrame, divisor: int = 3) -> DataFrame:
     """docs with their remaining text, plus n_lines, n_chunks, n_removed (lines) as columns of a struct `lines_report`."""
     rows = lined(docs, divisor)
-    joined_rows = rows.join(repeated_chunks(rows), ["doc_id", "text_hash"], "left")
-    joined_rows = pinned(joined_rows.withColumnRenamed("gone", "ranges"), gone="coalesce(ranges, array())")
+    # Lines are cut again after the shuffle, and only of texts that lose some: as an array they are larger than the text.
+    own, text = [f"own{i}" for i in range(len(docs.columns))], f"own{docs.columns.index('text')}"
+    sizes = rows.select(*own, "doc_id", "text_hash", F.expr("CAST(size(lines) AS BIGINT)").alias("n_lines"), F.expr("CAST(size(chunks) AS BIGINT)").alias("n_chunks"))
+    met = pinned(sizes.join(repeated_chunks(rows), ["doc_id", "text_hash"], "left"), lines=f"IF(gone IS NULL, array(), split({text}, '\n'))")
     stays = "transform(sequence(0, size(gone)), i -> struct(IF(i = 0, 0, get(gone, i - 1).stop) AS start, IF(i = size(gone), size(lines), get(gone, i).start) AS stop))"
-    kept = F.expr(f"array_join(flatten(transform({stays}, s -> slice(lines, s.start + 1, s.stop - s.start))), '\n')")
-    report = F.struct(F.expr("CAST(size(lines) AS BIGINT)").alias("n_lines"), F.expr("CAST(size(chunks) AS BIGINT)").alias("n_chunks"), F.expr("CAST(aggregate(gone, 0, (n, c) -> n + c.stop - c.start) AS BIGINT)").alias("n_removed"))
+    kept = F.expr(f"IF(gone IS NULL, coalesce({text}, ''), array_join(flatten(transform({stays}, s -> slice(lines, s.start + 1, s.stop - s.start))), '\n'))")
+    removed = F.expr("CAST(IF(gone IS NULL, 0, aggregate(gone, 0, (n, c) -> n + c.stop - c.start)) AS BIGINT)")
+    report = F.struct("n_lines", "n_chunks", removed.alias("n_removed"))
     columns = [(kept if c == "text" else F.col(f"own{i}")).alias(c) for i, c in enumerate(docs.columns)]
-    return joined_rows.select(*columns, report.alias("lines_report"))
+    return met.select(*columns, report.alias("lines_report"))
 
 
 def sql(divisor: int = 3) -> str:

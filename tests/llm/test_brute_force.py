@@ -416,6 +416,38 @@ def test_line_chunks_with_equal_hashes_are_compared_by_bytes(spark, monkeypatch)
         assert (*got[i][0]["lines_report"], got[i][0]["text"]) == w, i
 
 
+def shuffled_bytes(spark):
+    """Bytes that this session's stages have written for shuffles so far."""
+    sc = spark.sparkContext
+    sc._jsc.sc().listenerBus().waitUntilEmpty()
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_line_dedup_shuffles_texts_once_at_any_size(spark, monkeypatch):
+    # As with more repeated chunks than may be broadcast: chunks of all chunkings hold several times the texts.
+    from quern import scratch
+
+    rng = random.Random(16)
+    texts = {i: "\n".join(rng.randbytes(600).hex() for _ in range(24)) for i in range(60)}
+    texts |= {i: texts[i - 60] for i in range(60, 64)}
+    monkeypatch.setattr(scratch.small, "__defaults__", (0,))
+    limits = {f"spark.sql.{name}": spark.conf.get(f"spark.sql.{name}", None) for name in ("autoBroadcastJoinThreshold", "adaptive.autoBroadcastJoinThreshold")}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3).localCheckpoint()
+    try:
+        for name in limits:
+            spark.conf.set(name, "-1")
+        before = shuffled_bytes(spark)
+        got = by_id(linededup.dedup_lines(docs))
+        moved = shuffled_bytes(spark) - before
+    finally:
+        for name, value in limits.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    for i, w in model_lines(texts).items():
+        assert (*got[i][0]["lines_report"], got[i][0]["text"]) == w, i
+    assert moved < 1.5 * sum(map(len, texts.values()))
+
+
 # 6: licenses
 
 
