@@ -122,11 +122,16 @@ def fill_prompts(leaves: DataFrame, templates: DataFrame, per_leaf: int = 100, s
     distinct = templates.select("prompt_template", "variables").dropDuplicates(["prompt_template"])
     choices = stored(numbered(distinct, "prompt_template", name="choice"))
     n = choices.count()
-    draws = leaves.select(key, "path", F.explode(F.sequence(F.lit(0), F.lit(per_leaf - 1))).alias("k"))
-    draws = draws.withColumn("choice", hash_number(F.lit(str(seed)), key, "k") % max(n, 1))
-    category = F.array_join("path", " > ")
-    values: dict[str, Column] = {"web_category": category} | {name: pick(pool, F.lit(f"{seed} {name}"), key, "k") for name, pool in POOLS.items()}
-    return draws.join(small(choices), "choice").select(key, "k", fill_template(F.col("prompt_template"), F.col("variables"), values).alias("prompt"), category.alias("web_category"), F.col("path").alias("category_path"))
+    used = {r[0] for r in choices.select(F.explode("variables").alias("name")).where(F.col("name").isin(*POOLS)).distinct().collect()}
+    # Leaves are few files beside their prompts. Values are drawn below the join, once a row: inlined into the filling,
+    # they would be drawn anew for each variable of a template.
+    leaves = leaves.select(key, "path", F.array_join("path", " > ").alias("category")).repartition(leaves.sparkSession.sparkContext.defaultParallelism * 4, key)
+    draws = leaves.select("*", F.explode(F.sequence(F.lit(0), F.lit(per_leaf - 1))).alias("k"))
+    values: dict[str, Column] = {name: pick(pool, F.lit(f"{seed} {name}"), key, "k") for name, pool in POOLS.items() if name in used}
+    named = F.create_map(*[x for name, value in ({"web_category": F.col("category")} | values).items() for x in (F.lit(name), value)])
+    drawn = draws.select("*", (hash_number(F.lit(str(seed)), key, "k") % max(n, 1)).alias("choice"), named.alias("named"))
+    filled = fill_template(F.col("prompt_template"), F.col("variables"), F.col("named"))
+    return drawn.join(small(choices), "choice").select(key, "k", filled.alias("prompt"), F.col("category").alias("web_category"), F.col("path").alias("category_path"))
 
 
 def quotas(spark, target: int, weights: list[tuple[str, float]] = CATEGORY_WEIGHTS, exact: bool = False) -> DataFrame:

@@ -330,3 +330,15 @@ def test_approximate_statistics(spark):
     rows = spark.range(1, 1001).select(F.col("id").cast("double").alias("s"))
     assert abs(select.score_stats(rows, "s", accuracy=1000).first()["median"] - 500) <= 2
     assert tuple(select.batch_summary(rows, "s").first()) == (500.5, 1.0, 1000.0)
+
+
+def test_prompts_are_drawn_once_a_row_in_many_tasks(spark):
+    leaves = spark.createDataFrame([(i, ["a", f"b{i}"]) for i in range(40)], "node_id long, path array<string>").coalesce(1)
+    templates = spark.createDataFrame([("{web_category} {color_scheme} {web_category} {x}", ["color_scheme", "web_category", "x"])], "prompt_template string, variables array<string>")
+    made = expand.fill_prompts(leaves, templates, per_leaf=5)
+    assert made.rdd.getNumPartitions() >= 4
+    # Values are hashed below the join with the templates; above it they'd be hashed for each variable.
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan[: plan.index("Join")] and "md5" in plan
+    rows = made.collect()
+    assert len(rows) == 200 and all(r["prompt"].startswith(f"{r['web_category']} ") and r["prompt"].endswith(f" {r['web_category']} {{x}}") and r["prompt"].split(" > ")[0] == "a" for r in rows)
