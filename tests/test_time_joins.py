@@ -111,6 +111,31 @@ def test_interval_join(spark, keyed, closed, chunk):
     assert pairs(interval_join(l_df, r_df, ("a", "b"), ("a", "b"), by, closed=closed, chunk=chunk, how="left")) == want + Counter({(x, None): n for x, n in alone.items()})
 
 
+@pytest.mark.parametrize("few, most", [(16, 100_000), (0, 100_000), (1000, 1000), (1000, 3)])
+def test_interval_join_by_key_and_by_bins(spark, few, most):
+    left, right = ranges(3, 120, 40), ranges(4, 160, 3000)
+    l_df, r_df = (spark.createDataFrame(x, RANGES).repartition(3) for x in (left, right))
+    got = interval_join(l_df, r_df, ("a", "b"), ("a", "b"), ["k"], few=few, most=most)
+    assert Counter(tuple(tuple(x) for x in r) for r in got.collect()) == model_intervals(left, right, True, False)
+
+
+def test_rows_of_few_ranges_a_key_are_not_copied(spark):
+    """One range a key and 20 starts: a start travels once, and not once for each width that some range has."""
+    left = spark.range(200).selectExpr("id AS k", "0L AS a", "shiftleft(1L, CAST(id % 30 AS INT)) AS b")
+    right = spark.range(4000).selectExpr("id % 200 AS k", "id AS a", "id + 1 AS b", "id AS v")
+    sc = spark.sparkContext
+
+    def moved():
+        sc._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+    before = moved()
+    got = interval_join(left, right, ("a", "b"), ("a", "b"), ["k"]).groupBy("left.k").agg(F.count("*").alias("n")).collect()
+    assert {r["k"]: r["n"] for r in got} == {k: n for k in range(200) if (n := sum(a < 2 ** (k % 30) for a in range(k, 4000, 200)))}
+    assert moved() - before < 3 * 4200
+
+
 def test_interval_join_of_dates_and_empty_tables(spark):
     day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
     df = spark.createDataFrame([(i, day(i), day(i + i % 4)) for i in range(30)], "id long, a date, b date")
