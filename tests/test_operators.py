@@ -342,3 +342,29 @@ def test_prompts_are_drawn_once_a_row_in_many_tasks(spark):
     assert "md5" not in plan[: plan.index("Join")] and "md5" in plan
     rows = made.collect()
     assert len(rows) == 200 and all(r["prompt"].startswith(f"{r['web_category']} ") and r["prompt"].endswith(f" {r['web_category']} {{x}}") and r["prompt"].split(" > ")[0] == "a" for r in rows)
+
+
+@pytest.mark.parametrize("find", ["pairs", "oneshot", "greedy"])
+def test_near_copies_of_long_texts_travel_a_few_times(spark, find):
+    """Copies share all 16 bands; sets of 64-bit hashes, sent once a bucket, would be a hundred times the texts."""
+    rng = random.Random(8)
+    rows = []
+    for _ in range(30):
+        text = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(2000))
+        rows += [(len(rows) + i, text + " copy" * i) for i in range(3)]
+    df = spark.createDataFrame(rows, "id long, text string").repartition(3).localCheckpoint()
+    sc = spark.sparkContext
+
+    def moved():
+        sc._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+        return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+    before = moved()
+    if find == "pairs":
+        got = minhash.similar_pairs(minhash.prepared(df, "id", "text")).collect()
+        assert sorted((r["a"], r["b"]) for r in got) == [(i + a, i + b) for i in range(0, 90, 3) for a, b in ((0, 1), (0, 2), (1, 2))]
+    else:
+        got = minhash.deduplicate(df, "id", "text", greedy=find == "greedy").collect()
+        assert sorted(r["id"] for r in got) == list(range(2, 90, 3))
+    assert moved() - before < 10 * sum(len(t) for _, t in rows)
