@@ -368,3 +368,18 @@ def test_near_copies_of_long_texts_travel_a_few_times(spark, find):
         got = minhash.deduplicate(df, "id", "text", greedy=find == "greedy").collect()
         assert sorted(r["id"] for r in got) == list(range(2, 90, 3))
     assert moved() - before < 10 * sum(len(t) for _, t in rows)
+
+
+def test_hash_ranges_equal_the_expressions_and_hash_a_shingle_once_a_task(spark):
+    from quern.plans.catalogue import QUERIES
+
+    rows = [(0, None), (1, ""), (2, " Ab "), (3, "abcde"), (4, "aaaaaaaaaa"), (5, "Ä€\U0001f600 x y" * 40), (6, "the quick brown fox " * 30)]
+    df = spark.createDataFrame(rows, "id long, text string")
+    hashes = df.select("id", F.transform(minhash.shingles(F.col("text")), minhash.base_hash).alias("h"))
+    want = hashes.select("id", F.array_min("h"), F.array_max("h"), F.size("h")).collect()
+    got = minhash.hash_ranges(df.select("id", minhash.normalised(F.col("text")).alias("text_norm"))).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    assert minhash.hash_ranges(df.selectExpr("id", "text AS text_norm").limit(0)).count() == 0
+    # An md5 expression is worked out for every shingle of every text.
+    plan = QUERIES["shingle_base_hash"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan
