@@ -383,3 +383,12 @@ def test_hash_ranges_equal_the_expressions_and_hash_a_shingle_once_a_task(spark)
     # An md5 expression is worked out for every shingle of every text.
     plan = QUERIES["shingle_base_hash"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert "md5" not in plan
+
+
+@pytest.mark.parametrize("greedy", [True, False])
+def test_near_copies_are_written_as_texts_not_as_sets(spark, monkeypatch, greedy):
+    kinds, stored = [], minhash.stored
+    monkeypatch.setattr(minhash, "stored", lambda df: kinds.extend(kind for _, kind in df.dtypes) or stored(df))
+    df = spark.createDataFrame([(0, "one two three four five"), (1, "one two three four five!"), (2, "other")], "id long, text string")
+    assert sorted(r["id"] for r in minhash.deduplicate(df, "id", "text", greedy=greedy).collect()) == [1, 2]
+    assert kinds and "array<bigint>" not in kinds
